@@ -72,3 +72,157 @@ PROFILE_QUERIES: dict[str, Query] = {
 
 QUERIES: dict[str, Query] = {}
 QUERIES.update(PROFILE_QUERIES)
+
+
+# ------------------------------------------------------ splits / encoders
+
+from cohortlens.functions import days_between as _days_between  # noqa: E402
+from cohortlens.functions import epoch_seconds as _epoch  # noqa: E402
+from cohortlens.functions import rounded as _rounded  # noqa: E402
+from cohortlens.operators import encode as ENC  # noqa: E402
+from cohortlens.operators import metrics as MET  # noqa: E402
+from cohortlens.operators import split as SPL  # noqa: E402
+from cohortlens.plans.features import FeaturePlan, design_columns, variant_frame, variant_plan  # noqa: E402
+
+
+def _holdout(spark, d):
+    return SPL.holdout_split(appointments(spark, d), p=0.1, seed=1)
+
+
+def _holdout_split(spark, d):
+    return _holdout(spark, d).select("appointment_id", "stratum", "in_holdout")
+
+
+def _holdout_split_anti(spark, d):
+    view = appointments(spark, d)
+    test = SPL.holdout_split(view).filter("in_holdout").select("appointment_id")
+    return SPL.holdout_complement(view, test)
+
+
+def _three_way(spark, d):
+    return SPL.three_way_split(appointments(spark, d), 0.1, 0.1, seed=1)
+
+
+def _recombine(spark, d):
+    s = _three_way(spark, d)
+    train = s.filter(F.col("split") == "train")
+    dev = s.filter(F.col("split") == "dev")
+    return SPL.recombine(train, dev).select("appointment_id", "split")
+
+
+def _kfold(spark, d):
+    return SPL.kfold_assign(appointments(spark, d), folds=10, seed=1).select("appointment_id", "fold")
+
+
+def _balanced(spark, d):
+    return SPL.balanced_sample(appointments(spark, d), 500, seed=1).select("appointment_id", "no_show")
+
+
+def _bias_per_group(spark, d):
+    enc = ENC.fit_target_encoder(appointments(spark, d), "neighbourhood", 15, "bias_per_nbh")
+    return enc.select("neighbourhood", _rounded("bias_per_nbh").alias("bias_per_nbh"))
+
+
+def _bias_per_entity(spark, d):
+    enc = ENC.fit_target_encoder(appointments(spark, d), "patient_id", 4, "bias_per_patient")
+    return enc.select("patient_id", _rounded("bias_per_patient").alias("bias_per_patient"))
+
+
+def _natural_left_join(spark, d):
+    view = appointments(spark, d)
+    return ENC.natural_left_join(view, P.visits_per_entity_day(view))
+
+
+def feature_matrix(spark, d, lambda_nbh: int = 50):
+    """Encoders fitted on the non-holdout rows, applied to every row."""
+    split = _holdout(spark, d).drop("stratum")
+    train = split.filter(~F.col("in_holdout"))
+    fitted = FeaturePlan(lambda_nbh=lambda_nbh).fit(train)
+    return fitted.transform(split)
+
+
+def _feature_matrix(spark, d):
+    fm = feature_matrix(spark, d)
+    return fm.withColumn("bias_per_nbh", _rounded("bias_per_nbh"))
+
+
+def _design_matrix(spark, d):
+    """RF9 predictors as doubles (timestamps as epoch seconds, flags 0/1)."""
+    fm = feature_matrix(spark, d, lambda_nbh=15)
+    cols = []
+    for c in design_columns(fm):
+        if c == "in_holdout":
+            continue
+        t = dict(fm.dtypes)[c]
+        e = _epoch(c) if t.startswith("timestamp") else F.col(c).cast("double")
+        cols.append(_rounded(e).alias(c))
+    return fm.select("appointment_id", *cols, F.col("no_show").cast("double").alias("label"))
+
+
+def _oof(spark, d):
+    folds = SPL.kfold_assign(appointments(spark, d), folds=10, seed=1)
+    enc = ENC.oof_target_encode(folds, "neighbourhood", 100, "bias_per_nbh")
+    return enc.select("appointment_id", "fold", _rounded("bias_per_nbh").alias("bias_per_nbh"))
+
+
+def scored_by_days(spark, d):
+    """A fixed, model-free score: the outcome rate of the row's day gap."""
+    view = appointments(spark, d).withColumn(
+        "days_between", _days_between("appointment_day", "scheduled_ts"))
+    rates = view.groupBy("days_between").agg(
+        F.avg(F.col("no_show").cast("int")).alias("score"))
+    return view.join(rates, "days_between")
+
+
+def _roc_curve(spark, d):
+    view = appointments(spark, d).withColumn(
+        "days_between", _days_between("appointment_day", "scheduled_ts"))
+    return MET.roc_curve(view, "days_between", "no_show")
+
+
+def _roc_auc(spark, d):
+    view = appointments(spark, d).withColumn(
+        "days_between", _days_between("appointment_day", "scheduled_ts"))
+    return MET.roc_auc(view, "days_between", "no_show")
+
+
+def _confusion(spark, d):
+    return MET.confusion_at_cutoffs(scored_by_days(spark, d), "score", "no_show", [0.32, 0.55])
+
+
+def _confusion_stats(spark, d):
+    counts = MET.confusion_at_cutoffs(scored_by_days(spark, d), "score", "no_show", [0.32, 0.55])
+    return MET.confusion_tests(spark, counts)
+
+
+def _cutoff_search(spark, d):
+    return MET.cutoff_search(scored_by_days(spark, d), "score", "no_show", 0.5, 0.75)
+
+
+def _two_class(spark, d):
+    s = scored_by_days(spark, d)
+    s = SPL.kfold_assign(s, folds=10, seed=1)
+    return MET.two_class_summary(s, "score", "no_show", ["fold"])
+
+
+MODEL_FREE_QUERIES: dict[str, Query] = {
+    "holdout_split": _holdout_split,
+    "holdout_split_anti": _holdout_split_anti,
+    "three_way_split": lambda s, d: _three_way(s, d).select("appointment_id", "split"),
+    "recombine_splits": _recombine,
+    "kfold_assign": _kfold,
+    "balanced_sample": _balanced,
+    "bias_per_group": _bias_per_group,
+    "bias_per_entity": _bias_per_entity,
+    "natural_left_join": _natural_left_join,
+    "feature_matrix": _feature_matrix,
+    "design_matrix": _design_matrix,
+    "oof_target_encode": _oof,
+    "roc_curve": _roc_curve,
+    "roc_auc": _roc_auc,
+    "confusion_at_cutoff": _confusion,
+    "confusion_stats": _confusion_stats,
+    "cutoff_search": _cutoff_search,
+    "two_class_summary": _two_class,
+}
+QUERIES.update(MODEL_FREE_QUERIES)

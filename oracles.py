@@ -181,3 +181,191 @@ PROFILE = {
 
 ORACLES: dict[str, str] = {}
 ORACLES.update(PROFILE)
+
+
+# ------------------------------------------------------ splits / encoders
+
+def md5_order(id_col: str = "appointment_id", seed: int = 1) -> str:
+    return f"md5(concat(CAST({id_col} AS VARCHAR), ':{seed}')), {id_col}"
+
+
+def split_ctes(src: str, name: str, p: float = 0.1, seed: int = 1) -> list[str]:
+    """Quartile strata of appointment_id, then ceil(p * n) rows per stratum
+    in md5 order -> CTE ``name`` = src columns + stratum + in_holdout."""
+    return [
+        f"{name}_q AS (SELECT quantile_cont(appointment_id, [0.25, 0.5, 0.75]) AS qs FROM {src})",
+        f"{name}_s AS (SELECT x.*, CASE WHEN appointment_id <= qs[1] THEN 0 WHEN appointment_id <= qs[2] "
+        f"THEN 1 WHEN appointment_id <= qs[3] THEN 2 ELSE 3 END AS stratum FROM {src} x, {name}_q)",
+        f"{name}_h AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY {md5_order(seed=seed)}) "
+        f"AS rn_, count(*) OVER (PARTITION BY stratum) AS ns_ FROM {name}_s)",
+        f"{name} AS (SELECT * EXCLUDE (rn_, ns_), rn_ <= ceil({p} * ns_) AS in_holdout FROM {name}_h)",
+    ]
+
+
+THREE_WAY = split_ctes("appointments", "sp1") + [
+    "rest AS (SELECT * EXCLUDE (stratum, in_holdout) FROM sp1 WHERE NOT in_holdout)",
+] + split_ctes("rest", "sp2") + [
+    "three AS (SELECT appointment_id, 'test' AS split FROM sp1 WHERE in_holdout UNION ALL "
+    "SELECT appointment_id, CASE WHEN in_holdout THEN 'dev' ELSE 'train' END AS split FROM sp2)",
+]
+
+KFOLD = ("k AS (SELECT a.*, CAST(floor((row_number() OVER (ORDER BY "
+         f"{md5_order()}) - 1) * 10 / count(*) OVER ()) + 1 AS INT) AS fold FROM appointments a)")
+
+DAYS_SCORED = [
+    f"dv AS (SELECT *, {GAP} AS days_between FROM appointments)",
+    "scored AS (SELECT *, avg(CAST(no_show AS INT)) OVER (PARTITION BY days_between) AS score FROM dv)",
+]
+
+ROC = [
+    f"pts AS (SELECT CAST({GAP} AS DOUBLE) AS threshold, sum(CAST(no_show AS INT)) AS pos, "
+    "sum(1 - CAST(no_show AS INT)) AS neg FROM appointments GROUP BY 1)",
+    "cum AS (SELECT *, sum(pos) OVER (ORDER BY threshold DESC) AS tp, sum(neg) OVER (ORDER BY threshold DESC) "
+    "AS fp, sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM pts)",
+]
+
+
+def _confusion_sql() -> str:
+    counts = " UNION ALL ".join(
+        f"SELECT CAST({c} AS DOUBLE) AS cutoff, "
+        f"CAST(count(*) FILTER (WHERE score > {c} AND no_show) AS BIGINT) AS tp, "
+        f"CAST(count(*) FILTER (WHERE score > {c} AND NOT no_show) AS BIGINT) AS fp, "
+        f"CAST(count(*) FILTER (WHERE NOT (score > {c}) AND no_show) AS BIGINT) AS fn, "
+        f"CAST(count(*) FILTER (WHERE NOT (score > {c}) AND NOT no_show) AS BIGINT) AS tn FROM scored"
+        for c in (0.32, 0.55))
+    n = "(tp + fp + fn + tn)"
+    acc = f"CAST(tp + tn AS DOUBLE) / {n}"
+    pe = f"(CAST((tp + fp) * (tp + fn) + (fn + tn) * (fp + tn) AS DOUBLE) / ({n} * {n}))"
+    sens = "CASE WHEN tp + fn <> 0 THEN CAST(tp AS DOUBLE) / (tp + fn) END"
+    spec = "CASE WHEN tn + fp <> 0 THEN CAST(tn AS DOUBLE) / (tn + fp) END"
+    ppv = "CASE WHEN tp + fp <> 0 THEN CAST(tp AS DOUBLE) / (tp + fp) END"
+    npv = "CASE WHEN tn + fn <> 0 THEN CAST(tn AS DOUBLE) / (tn + fn) END"
+    body = (
+        f"SELECT cutoff, tp, fp, fn, tn, round({acc}, 6) AS accuracy, "
+        f"round(CASE WHEN tp + fn > fp + tn THEN tp + fn ELSE fp + tn END / {n}, 6) AS no_information_rate, "
+        f"round(CASE WHEN {pe} < 1 THEN ({acc} - {pe}) / (1 - {pe}) END, 6) AS kappa, "
+        f"round({sens}, 6) AS sensitivity, round({spec}, 6) AS specificity, round({ppv}, 6) AS ppv, "
+        f"round({npv}, 6) AS npv, "
+        f"round(CASE WHEN ({ppv}) + ({sens}) > 0 THEN 2 * ({ppv}) * ({sens}) / (({ppv}) + ({sens})) END, 6) AS f1, "
+        f"round(CAST(tp + fn AS DOUBLE) / {n}, 6) AS prevalence, round(CAST(tp AS DOUBLE) / {n}, 6) AS detection_rate, "
+        f"round(CAST(tp + fp AS DOUBLE) / {n}, 6) AS detection_prevalence, "
+        f"round((({sens}) + ({spec})) / 2, 6) AS balanced_accuracy, "
+        f"round(CASE WHEN fp + fn > 0 THEN power(abs(fp - fn) - 1, 2) / CAST(fp + fn AS DOUBLE) END, 6) "
+        f"AS mcnemar_statistic FROM c")
+    return with_view(*DAYS_SCORED, f"c AS ({counts})", body=body)
+
+
+_FM_COLS = ("s.appointment_id, s.patient_id, s.gender, s.scheduled_ts, s.appointment_day, s.age, "
+            "s.scholarship, s.hipertension, s.diabetes, s.alcoholism, s.handcap, s.sms_received, "
+            "s.no_show, s.in_holdout")
+
+
+def _feature_ctes(lam: int) -> list[str]:
+    return split_ctes("appointments", "sp1") + [
+        "tr AS (SELECT * FROM sp1 WHERE NOT in_holdout)",
+        "g AS (SELECT avg(CAST(no_show AS INT)) AS base_rate FROM tr)",
+        "nb AS (SELECT neighbourhood, avg(CAST(no_show AS INT)) - (SELECT base_rate FROM g) AS bias_per_nbh "
+        f"FROM tr GROUP BY neighbourhood HAVING count(*) > {lam})",
+        "pp AS (SELECT patient_id, count(*) AS nbr_app_per_patient FROM tr GROUP BY patient_id)",
+        "pd AS (SELECT patient_id, appointment_day, count(*) AS nbr_app_that_day FROM tr "
+        "GROUP BY patient_id, appointment_day)",
+        "fm AS (SELECT s.*, coalesce(nb.bias_per_nbh, 0.0) AS bias_per_nbh, "
+        f"{GAP.replace('scheduled_ts', 's.scheduled_ts').replace('appointment_day', 's.appointment_day')} AS days_between, "
+        "CAST(dayofweek(s.scheduled_ts) + 1 AS INT) AS wday_sched, "
+        "CAST(dayofweek(s.appointment_day) + 1 AS INT) AS wday_app, CAST(hour(s.scheduled_ts) AS INT) AS hour_sched, "
+        "CAST(coalesce(pp.nbr_app_per_patient, 0) AS DOUBLE) AS nbr_app_per_patient, "
+        "CAST(coalesce(pd.nbr_app_that_day, 0) AS DOUBLE) AS nbr_app_that_day "
+        "FROM sp1 s LEFT JOIN nb USING (neighbourhood) LEFT JOIN pp USING (patient_id) "
+        "LEFT JOIN pd USING (patient_id, appointment_day))",
+    ]
+
+
+_DESIGN = ["patient_id", "gender", "scheduled_ts", "appointment_day", "age", "scholarship",
+           "hipertension", "diabetes", "alcoholism", "handcap", "sms_received", "bias_per_nbh",
+           "days_between", "wday_sched", "wday_app", "hour_sched", "nbr_app_per_patient",
+           "nbr_app_that_day"]
+
+
+def _design_sql() -> str:
+    cols = []
+    for c in _DESIGN:
+        e = f"epoch_us({c}) / 1e6" if c in ("scheduled_ts", "appointment_day") else f"CAST({c} AS DOUBLE)"
+        cols.append(f"round({e}, 6) AS {c}")
+    return with_view(*_feature_ctes(15), body=(
+        f"SELECT appointment_id, {', '.join(cols)}, CAST(no_show AS DOUBLE) AS label FROM fm"))
+
+
+MODEL_FREE = {
+    "holdout_split": with_view(*split_ctes("appointments", "sp1"),
+                               body="SELECT appointment_id, stratum, in_holdout FROM sp1"),
+    "holdout_split_anti": with_view(*split_ctes("appointments", "sp1"),
+                                    body="SELECT * EXCLUDE (stratum, in_holdout) FROM sp1 WHERE NOT in_holdout"),
+    "three_way_split": with_view(*THREE_WAY, body="SELECT * FROM three"),
+    "recombine_splits": with_view(*THREE_WAY, body="SELECT * FROM three WHERE split <> 'test'"),
+    "kfold_assign": with_view(KFOLD, body="SELECT appointment_id, fold FROM k"),
+    "balanced_sample": with_view(
+        f"b AS (SELECT appointment_id, no_show, row_number() OVER (PARTITION BY no_show ORDER BY {md5_order()}) "
+        "AS rn FROM appointments)", body="SELECT appointment_id, no_show FROM b WHERE rn <= 500"),
+    "bias_per_group": with_view(
+        "g AS (SELECT avg(CAST(no_show AS INT)) AS base_rate FROM appointments)",
+        body=("SELECT neighbourhood, round(avg(CAST(no_show AS INT)) - (SELECT base_rate FROM g), 6) "
+              "AS bias_per_nbh FROM appointments GROUP BY neighbourhood HAVING count(*) > 15")),
+    "bias_per_entity": with_view(
+        "g AS (SELECT avg(CAST(no_show AS INT)) AS base_rate FROM appointments)",
+        body=("SELECT patient_id, round(avg(CAST(no_show AS INT)) - (SELECT base_rate FROM g), 6) "
+              "AS bias_per_patient FROM appointments GROUP BY patient_id HAVING count(*) > 4")),
+    "natural_left_join": with_view(
+        "d AS (SELECT patient_id, appointment_day, count(*) AS nbr_app_that_day FROM appointments GROUP BY 1, 2)",
+        body="SELECT a.*, d.nbr_app_that_day FROM appointments a LEFT JOIN d USING (patient_id, appointment_day)"),
+    "feature_matrix": with_view(*_feature_ctes(50), body=(
+        f"SELECT * EXCLUDE (neighbourhood, stratum, bias_per_nbh), round(bias_per_nbh, 6) AS bias_per_nbh FROM fm")),
+    "design_matrix": _design_sql(),
+    "oof_target_encode": with_view(
+        KFOLD,
+        "kf AS (SELECT neighbourhood, fold, count(*) AS n, sum(CAST(no_show AS INT)) AS p FROM k GROUP BY 1, 2)",
+        "kt AS (SELECT neighbourhood, sum(n) AS nt, sum(p) AS pt FROM kf GROUP BY 1)",
+        "ff AS (SELECT fold, sum(n) AS fn, sum(p) AS fp FROM kf GROUP BY 1)",
+        "tot AS (SELECT sum(fn) AS l, sum(fp) AS pl FROM ff)",
+        "fb AS (SELECT fold, CAST(pl - fp AS DOUBLE) / (l - fn) AS b FROM ff, tot)",
+        "enc AS (SELECT kf.neighbourhood, kf.fold, CAST(kt.pt - kf.p AS DOUBLE) / (kt.nt - kf.n) - fb.b AS bias "
+        "FROM kf JOIN kt USING (neighbourhood) JOIN fb USING (fold) WHERE kt.nt - kf.n > 100)",
+        body=("SELECT k.appointment_id, k.fold, round(coalesce(enc.bias, 0.0), 6) AS bias_per_nbh "
+              "FROM k LEFT JOIN enc USING (neighbourhood, fold)")),
+    "roc_curve": with_view(*ROC, body=(
+        "SELECT threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, round(tp / P, 6) AS tpr, "
+        "round(fp / N, 6) AS fpr FROM cum")),
+    "roc_auc": with_view(*ROC, body=(
+        "SELECT round(sum(neg * ((tp - pos) + pos / 2.0)) / (CAST(max(P) AS DOUBLE) * max(N)), 6) AS auc FROM cum")),
+    "confusion_at_cutoff": _confusion_sql(),
+    "cutoff_search": with_view(
+        *DAYS_SCORED,
+        "pts AS (SELECT CAST(score AS DOUBLE) AS threshold, sum(CAST(no_show AS INT)) AS pos, "
+        "sum(1 - CAST(no_show AS INT)) AS neg FROM scored GROUP BY 1)",
+        "cum AS (SELECT threshold, sum(pos) OVER (ORDER BY threshold DESC) AS tp, "
+        "sum(neg) OVER (ORDER BY threshold DESC) AS fp, sum(pos) OVER () AS P FROM pts)",
+        "t AS (SELECT threshold, CAST(tp AS DOUBLE) / P AS tpr, CAST(tp AS DOUBLE) / (tp + fp) AS ppv FROM cum)",
+        "a AS (SELECT * FROM t WHERE tpr >= 0.5 ORDER BY threshold DESC LIMIT 1)",
+        "b AS (SELECT * FROM t WHERE ppv >= 0.75 ORDER BY tpr DESC, threshold DESC LIMIT 1)",
+        body=("SELECT 'sensitivity' AS target, 0.5::DOUBLE AS goal, a.threshold, round(a.tpr, 6) AS tpr, "
+              "round(a.ppv, 6) AS ppv FROM (SELECT 1) one LEFT JOIN a ON TRUE UNION ALL "
+              "SELECT 'ppv', 0.75::DOUBLE, b.threshold, round(b.tpr, 6), round(b.ppv, 6) "
+              "FROM (SELECT 1) one LEFT JOIN b ON TRUE")),
+    "two_class_summary": with_view(
+        *DAYS_SCORED,
+        "k AS (SELECT s.*, CAST(floor((row_number() OVER (ORDER BY "
+        f"{md5_order()}) - 1) * 10 / count(*) OVER ()) + 1 AS INT) AS fold FROM scored s)",
+        "pts AS (SELECT fold, score, sum(CAST(no_show AS INT)) AS pos, sum(1 - CAST(no_show AS INT)) AS neg "
+        "FROM k GROUP BY 1, 2)",
+        "cum AS (SELECT *, sum(pos) OVER (PARTITION BY fold ORDER BY score DESC) AS tp, "
+        "sum(pos) OVER (PARTITION BY fold) AS P, sum(neg) OVER (PARTITION BY fold) AS N FROM pts)",
+        "auc AS (SELECT fold, round(sum(neg * ((tp - pos) + pos / 2.0)) / (CAST(max(P) AS DOUBLE) * max(N)), 6) "
+        "AS roc FROM cum GROUP BY fold)",
+        "cm AS (SELECT fold, count(*) FILTER (WHERE score > 0.5 AND no_show) AS tp, "
+        "count(*) FILTER (WHERE score > 0.5 AND NOT no_show) AS fp, "
+        "count(*) FILTER (WHERE NOT (score > 0.5) AND no_show) AS fn, "
+        "count(*) FILTER (WHERE NOT (score > 0.5) AND NOT no_show) AS tn FROM k GROUP BY fold)",
+        body=("SELECT auc.fold, auc.roc, round(CASE WHEN tn + fp <> 0 THEN CAST(tn AS DOUBLE) / (tn + fp) END, 6) "
+              "AS sens, round(CASE WHEN tp + fn <> 0 THEN CAST(tp AS DOUBLE) / (tp + fn) END, 6) AS spec "
+              "FROM auc JOIN cm USING (fold)")),
+}
+ORACLES.update(MODEL_FREE)
