@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from cohortlens.functions import hash_key
 from cohortlens.operators import roles as R
 from cohortlens.operators.ordering import hash_row_numbers, value_row_numbers
+from cohortlens.session import materialize
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -63,10 +64,16 @@ def holdout_split(df: DataFrame, p: float = 0.1, seed: int = 1, y: str = R.ROW_I
 
 
 def three_way_split(df: DataFrame, p_test: float = 0.1, p_dev: float = 0.1, seed: int = 1,
-                    y: str = R.ROW_ID, id_col: str = R.ROW_ID) -> DataFrame:
+                    y: str = R.ROW_ID, id_col: str = R.ROW_ID,
+                    checkpoint: bool = True) -> DataFrame:
     """``split`` in {test, dev, train}: a stratified test holdout, then a
-    stratified dev holdout of the remaining rows (same procedure)."""
+    stratified dev holdout of the remaining rows (same procedure).
+
+    The first split is checkpointed (lineage cut in the shared folder)
+    before the second is planned on top of it."""
     first = holdout_split(df, p_test, seed, y, id_col, out="__test").drop("stratum")
+    if checkpoint:
+        first = materialize(first)
     test = first.filter(F.col("__test")).drop("__test").withColumn("split", F.lit("test"))
     rest = first.filter(~F.col("__test")).drop("__test")
     second = holdout_split(rest, p_dev, seed, y, id_col, out="__dev").drop("stratum")

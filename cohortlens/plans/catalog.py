@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.operators import inspect, profile as P
-from cohortlens.session import checkpoint_dir
+from cohortlens.session import checkpoint_dir, materialize
 from cohortlens.sources import appointments
 from cohortlens.sources.csv import read_raw_csv, recode, to_raw, write_raw_csv
 from pyspark.sql import functions as F
@@ -226,3 +226,126 @@ MODEL_FREE_QUERIES: dict[str, Query] = {
     "two_class_summary": _two_class,
 }
 QUERIES.update(MODEL_FREE_QUERIES)
+
+
+# ----------------------------------------------------------------- models
+
+from cohortlens.operators import knn as KNN  # noqa: E402
+from cohortlens.operators import models as MOD  # noqa: E402
+from cohortlens.plans import tune as TUNE  # noqa: E402
+from cohortlens.sources import read_table  # noqa: E402
+
+
+def train_dev(spark, d):
+    """The three-way split's train and dev rows (test is never touched)."""
+    s = materialize(_three_way(spark, d))
+    train = s.filter(F.col("split") == "train").drop("split")
+    dev = s.filter(F.col("split") == "dev").drop("split")
+    return train, dev
+
+
+def _variant(spark, d, name, **plan_kw):
+    train, dev = train_dev(spark, d)
+    plan, extra = variant_plan(name, **plan_kw)
+    fitted = plan.fit(train)
+    tr, dv = variant_frame(fitted, train, extra), variant_frame(fitted, dev, extra)
+    return tr, dv, design_columns(tr)
+
+
+def _model_logreg(spark, d):
+    tr, dv, cols = _variant(spark, d, "GLM")
+    model = MOD.fit_logreg(tr, cols)
+    return MET.roc_auc(model.score(dv), "prob", "label").select(F.lit("GLM").alias("model"), "auc")
+
+
+def _model_rf(spark, d):
+    tr, dv, cols = _variant(spark, d, "RF9")
+    model = MOD.fit_rf(tr, cols, num_trees=20, max_depth=10, seed=1)
+    return MET.roc_auc(model.score(dv), "prob", "label").select(F.lit("RF9").alias("model"), "auc")
+
+
+def _model_rf_balanced(spark, d):
+    tr, dv, cols = _variant(spark, d, "RF10")
+    model = MOD.fit_rf_balanced(tr, cols, n_per_class=500, n_bags=5, trees_per_bag=20)
+    return MET.roc_auc(model.score(dv), "prob", "label").select(F.lit("RF10").alias("model"), "auc")
+
+
+def _oob(spark, d):
+    tr, _, cols = _variant(spark, d, "RF2")
+    return MOD.oob_scores(tr, cols, n_bags=10, trees_per_bag=5, max_depth=10)
+
+
+def _importance(spark, d):
+    tr, _, cols = _variant(spark, d, "RF9")
+    model = MOD.fit_rf(tr, cols, num_trees=20, max_depth=10, seed=1)
+    return MOD.rf_importance(spark, model)
+
+
+def _non_test(spark, d):
+    s = materialize(_three_way(spark, d))
+    return s.filter(F.col("split") != "test").drop("split"), s.filter(F.col("split") == "test").drop("split")
+
+
+def _tune_grid(spark, d):
+    rest, _ = _non_test(spark, d)
+    return TUNE.summarise_grid(TUNE.tune_grid(spark, rest, folds=10, max_folds=2))
+
+
+def _tune_grid_best(spark, d):
+    return TUNE.best_params(_tune_grid(spark, d))
+
+
+def _final_model(spark, d):
+    rest, test = _non_test(spark, d)
+    return TUNE.final_model(rest, test, lambda_nbh=50, tune_mtry=4)
+
+
+def _embeddings(spark, d):
+    return read_table(spark, d, "embeddings").select(
+        "vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
+
+
+def _knn_join(spark, d):
+    e = _embeddings(spark, d)
+    nb = KNN.knn_join(e, e, 5, "vec_id", "vec_id", label="label", exclude_self=True)
+    return nb.select("query_id", "neighbour_id", "distance")
+
+
+def _knn_classify(spark, d):
+    e = _embeddings(spark, d)
+    nb = KNN.knn_join(e, e, 5, "vec_id", "vec_id", label="label", exclude_self=True)
+    return KNN.knn_majority(nb)
+
+
+KNN5_COLS = ["gender", "scheduled_ts", "appointment_day", "age", "scholarship", "hipertension",
+             "diabetes", "alcoholism", "handcap", "sms_received"]
+
+
+def _knn_cv(spark, d, ks=(25, 35, 45)):
+    """KNN5 columns, 10 folds over the non-test rows, neighbours from the
+    other folds, all k from one neighbour list; mean fold AUC per k."""
+    rest, _ = _non_test(spark, d)
+    data = KNN.to_vector(SPL.kfold_assign(rest, 10, seed=1), KNN5_COLS)
+    nb = KNN.knn_join(data, data, max(ks), "appointment_id", "appointment_id", label="no_show",
+                      group="fold")
+    probs = KNN.knn_probs_for_ks(nb, ks)
+    lab = data.select(F.col("appointment_id").alias("query_id"), "fold", "no_show")
+    scored = probs.join(lab, "query_id")
+    per_fold = MET.roc_auc(scored, "prob", "no_show", partition=["k", "fold"], name="roc")
+    return per_fold.groupBy("k").agg(_rounded(F.avg("roc")).alias("roc"))
+
+
+MODEL_QUERIES: dict[str, Query] = {
+    "model_logreg": _model_logreg,
+    "model_rf": _model_rf,
+    "model_rf_balanced": _model_rf_balanced,
+    "oob_scores": _oob,
+    "rf_importance": _importance,
+    "tune_grid": _tune_grid,
+    "tune_grid_best": _tune_grid_best,
+    "final_model": _final_model,
+    "knn_join": _knn_join,
+    "knn_classify": _knn_classify,
+    "knn_cv": _knn_cv,
+}
+QUERIES.update(MODEL_QUERIES)

@@ -62,3 +62,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
                                 dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
+
+
+def materialize(df):
+    """Cut lineage: write ``df`` to the shared checkpoint folder (eager
+    ``checkpoint``) and continue from the written copy. A lost executor
+    then re-reads the files instead of recomputing the whole plan."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -369,3 +369,27 @@ MODEL_FREE = {
               "FROM auc JOIN cm USING (fold)")),
 }
 ORACLES.update(MODEL_FREE)
+
+
+# -------------------------------------------------------------------- KNN
+
+KNN_PAIRS = (
+    "p AS (SELECT a.vec_id AS query_id, b.vec_id AS neighbour_id, b.label AS neighbour_label, "
+    "round(list_sum(list_transform(list_zip(a.embedding, b.embedding), "
+    "lambda s: power(CAST(s[1] AS DOUBLE) - CAST(s[2] AS DOUBLE), 2))), 9) AS distance "
+    "FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id)",
+    "nb AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY query_id ORDER BY distance) AS rk FROM p) "
+    "WHERE rk <= 5)",
+)
+
+KNN = {
+    "knn_join": "WITH " + ",\n".join(KNN_PAIRS) + "\nSELECT query_id, neighbour_id, distance FROM nb",
+    "knn_classify": "WITH " + ",\n".join(KNN_PAIRS + (
+        "v AS (SELECT query_id, neighbour_label, count(*) AS n FROM nb GROUP BY 1, 2)",
+        "t AS (SELECT query_id, count(*) AS t FROM nb GROUP BY 1)",
+        "b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY n DESC, "
+        "neighbour_label ASC) AS r FROM v) WHERE r = 1)",
+    )) + ("\nSELECT b.query_id, CAST(b.neighbour_label AS INT) AS predicted_label, "
+          "round(b.n / t.t, 6) AS share FROM b JOIN t USING (query_id)"),
+}
+ORACLES.update(KNN)
