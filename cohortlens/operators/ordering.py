@@ -38,6 +38,8 @@ def quantile_buckets(df: DataFrame, col: str, out: str, n_buckets: int = 1024,
     probs = [i / n_buckets for i in range(1, n_buckets)]
     cuts = sorted(set(df.approxQuantile(col, probs, rel_err))) if probs else []
     splits = [float("-inf")] + [c for c in cuts if c == c] + [float("inf")]
+    if len(splits) < 3:
+        return df.withColumn(out, F.lit(0).cast("long"))
     tmp = f"__{out}_src"
     b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
     res = b.transform(df.withColumn(tmp, F.col(col).cast("double"))).drop(tmp)
