@@ -95,3 +95,70 @@ def value_row_numbers(df: DataFrame, col: str, tie: str, out: str = "rn",
     b = f"__qb_{out}"
     d = quantile_buckets(df, col, b, n_buckets)
     return row_numbers(d, b, [F.col(col), F.col(tie)], (), out).drop(b)
+
+
+# ------------------------------------------------------- rank selection
+#
+# Splits, folds and samples only need to know on which side of a few rank
+# cut points a row falls. Per-bucket rank ranges answer that for every
+# bucket that lies wholly between two cut points; exact row numbers are
+# computed only inside the few buckets that straddle a cut point. The
+# rows are never sorted as a whole: the data pass is a map-side join with
+# the small per-bucket table.
+
+def bucket_ranges(df: DataFrame, bucket: str, partition: Sequence[str] = ()) -> DataFrame:
+    """``(partition..., bucket, __lo, __hi, __n)``: the rows of a bucket hold
+    ranks ``__lo + 1 .. __hi`` of their partition, which has ``__n`` rows.
+    One aggregate (one row per bucket) plus windows over that small table."""
+    part = list(partition)
+    counts = df.groupBy(*part, bucket).agg(F.count(F.lit(1)).alias("__c"))
+    before = Window.partitionBy(*part).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    lo = F.coalesce(F.sum("__c").over(before), F.lit(0))
+    return counts.select(*part, bucket, lo.alias("__lo"), (lo + F.col("__c")).alias("__hi"),
+                         F.sum("__c").over(Window.partitionBy(*part)).alias("__n"))
+
+
+def assign_by_rank(df: DataFrame, bucket: str, order: Sequence[Column], idx,
+                   partition: Sequence[str] = (), out: str = "idx",
+                   keep: int | None = None) -> DataFrame:
+    """``out = idx(rank, n)`` for every row, where ``rank`` is the row's exact
+    1-based rank in ``order`` within ``partition`` (``n`` rows) and ``idx``
+    maps rank columns to an integer column, non-decreasing in rank.
+
+    With ``keep`` only rows whose index equals ``keep`` are returned, and
+    buckets that cannot contain such rows are dropped before the join.
+    """
+    part = list(partition)
+    n = F.col("__n")
+    status = bucket_ranges(df, bucket, part).select(
+        *part, bucket, "__lo", "__n",
+        idx(F.col("__lo") + 1, n).alias("__ilo"), idx(F.col("__hi"), n).alias("__ihi"))
+    if keep is not None:
+        status = status.filter((F.col("__ilo") <= keep) & (F.col("__ihi") >= keep))
+    j = df.join(status, [*part, bucket])
+    whole = j.filter(F.col("__ilo") == F.col("__ihi")).withColumn(out, F.col("__ilo"))
+    inner = Window.partitionBy(*part, bucket).orderBy(*order)
+    edge = (j.filter(F.col("__ilo") != F.col("__ihi"))
+              .withColumn(out, idx(F.col("__lo") + F.row_number().over(inner), n)))
+    res = whole.unionByName(edge)
+    if keep is not None:
+        res = res.filter(F.col(out) == keep)
+    return res.drop("__lo", "__n", "__ilo", "__ihi")
+
+
+def values_at_ranks(df: DataFrame, bucket: str, order: Sequence[Column], value: str,
+                    ranks) -> DataFrame:
+    """One row with ``value`` at each exact rank ``ranks[i](n)`` (a function
+    of the row count ``n`` returning a rank column), as columns ``__v{i}``.
+    Only the buckets holding a requested rank are read back and ranked."""
+    st = bucket_ranges(df, bucket)
+    hit = F.lit(False)
+    for r in ranks:
+        rc = r(F.col("__n"))
+        hit = hit | ((F.col("__lo") < rc) & (rc <= F.col("__hi")))
+    st = st.filter(hit)
+    j = df.join(st, bucket)
+    rank = F.col("__lo") + F.row_number().over(Window.partitionBy(bucket).orderBy(*order))
+    j = j.withColumn("__r", rank)
+    return j.agg(*[F.max(F.when(F.col("__r") == r(F.col("__n")), F.col(value))).alias(f"__v{i}")
+                   for i, r in enumerate(ranks)])

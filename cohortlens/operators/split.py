@@ -14,30 +14,30 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.functions import hash_key
+from cohortlens.functions import hash_bucket, hash_key
 from cohortlens.operators import roles as R
-from cohortlens.operators.ordering import hash_row_numbers, value_row_numbers
+from cohortlens.operators.ordering import assign_by_rank, quantile_buckets, values_at_ranks
 from cohortlens.session import materialize
 
 QUARTILES = (0.25, 0.5, 0.75)
 
 
 def quantile_strata(df: DataFrame, y: str = R.ROW_ID, tie: str = R.ROW_ID,
-                    probs=QUARTILES, out: str = "stratum") -> DataFrame:
+                    probs=QUARTILES, out: str = "stratum", n_buckets: int = 1024) -> DataFrame:
     """Stratum of each row by the quantiles of numeric ``y``: intervals
     ``[q0, q1], (q1, q2], ...`` of the type-7 (linearly interpolated)
     quantiles, as ``cut(y, unique(quantile(y, probs)), include.lowest=TRUE)``.
 
     For a data value, ``y <= q_p`` holds exactly when ``y`` is at most the
-    order statistic at 0-based rank ``floor((n - 1) p)``; those order
-    statistics come from exact global row numbers, so the result is exact
-    without holding all values in one task.
+    order statistic at 0-based rank ``floor((n - 1) p)``. Those order
+    statistics are selected exactly (``ordering.values_at_ranks``): only
+    the few value buckets that hold them are ranked, so no task ever holds
+    all values.
     """
-    ranked = value_row_numbers(df.select(y, tie), y, tie, out="__ry")
-    n = df.agg(F.count(F.lit(1)).alias("__n"))
-    picks = [F.max(F.when(F.col("__ry") == F.floor((F.col("__n") - 1) * p) + 1, F.col(y)))
-             .alias(f"__c{i}") for i, p in enumerate(probs)]
-    cuts = ranked.crossJoin(F.broadcast(n)).agg(*picks)
+    yb = quantile_buckets(df.select(y, tie), y, "__qb", n_buckets)
+    ranks = [lambda n, p=p: F.floor((n - 1) * p) + 1 for p in probs]
+    cuts = values_at_ranks(yb, "__qb", [F.col(y), F.col(tie)], y, ranks)
+    cuts = cuts.select(*[F.col(f"__v{i}").alias(f"__c{i}") for i in range(len(probs))])
     stratum = F.lit(len(probs))
     for i in reversed(range(len(probs))):
         stratum = F.when(F.col(y) <= F.col(f"__c{i}"), F.lit(i)).otherwise(stratum)
@@ -49,18 +49,19 @@ def holdout_split(df: DataFrame, p: float = 0.1, seed: int = 1, y: str = R.ROW_I
                   id_col: str = R.ROW_ID, out: str = "in_holdout",
                   hex_digits: int = 4) -> DataFrame:
     """Stratified holdout flag: per quartile stratum of ``y``,
-    ``ceil(p * n_stratum)`` rows in md5 order are flagged.
+    ``ceil(p * n_stratum)`` rows in md5 order are flagged. Only the md5
+    buckets that straddle the cut get exact row numbers
+    (``ordering.assign_by_rank``); all other rows are decided by a map-side
+    join with the per-bucket rank ranges.
 
     Returns ``df`` plus ``stratum`` and the boolean ``out``.
     """
     s = quantile_strata(df, y, id_col)
-    s = s.withColumn("__h", hash_key(id_col, seed))
-    ranked = hash_row_numbers(s, "__h", id_col, partition=["stratum"], out="__rn",
-                              hex_digits=hex_digits)
-    sizes = s.groupBy("stratum").agg(F.count(F.lit(1)).alias("__ns"))
-    flagged = ranked.join(F.broadcast(sizes), "stratum")
-    keep = F.col("__rn") <= F.ceil(F.col("__ns") * F.lit(float(p)))
-    return flagged.withColumn(out, keep).drop("__h", "__rn", "__ns")
+    s = s.withColumns({"__h": hash_key(id_col, seed), "__hb": hash_bucket("__h", hex_digits)})
+    inside = lambda rank, n: F.when(rank <= F.ceil(n * F.lit(float(p))), 0).otherwise(1)
+    flagged = assign_by_rank(s, "__hb", [F.col("__h"), F.col(id_col)], inside,
+                             partition=["stratum"], out="__i")
+    return flagged.withColumn(out, F.col("__i") == 0).drop("__h", "__hb", "__i")
 
 
 def three_way_split(df: DataFrame, p_test: float = 0.1, p_dev: float = 0.1, seed: int = 1,
@@ -86,12 +87,9 @@ def kfold_assign(df: DataFrame, folds: int = 10, seed: int = 1, id_col: str = R.
     """Fold 1..``folds`` of each row: a random permutation (md5 order) cut
     into ``folds`` consecutive slices, ``floor((rn - 1) * folds / L) + 1``.
     Slice sizes differ by at most one and every row gets a fold."""
-    h = df.withColumn("__h", hash_key(id_col, seed))
-    ranked = hash_row_numbers(h, "__h", id_col, out="__rn", hex_digits=hex_digits)
-    n = df.agg(F.count(F.lit(1)).alias("__L"))
-    fold = (F.floor((F.col("__rn") - 1) * folds / F.col("__L")) + 1).cast("int")
-    return (ranked.crossJoin(F.broadcast(n)).withColumn(out, fold)
-                  .drop("__h", "__rn", "__L"))
+    h = df.withColumns({"__h": hash_key(id_col, seed), "__hb": hash_bucket("__h", hex_digits)})
+    fold = lambda rank, n: (F.floor((rank - 1) * folds / n) + 1).cast("int")
+    return assign_by_rank(h, "__hb", [F.col("__h"), F.col(id_col)], fold, out=out).drop("__h", "__hb")
 
 
 def balanced_sample(df: DataFrame, n_per_class: int = 500, label: str = R.LABEL,
@@ -99,10 +97,10 @@ def balanced_sample(df: DataFrame, n_per_class: int = 500, label: str = R.LABEL,
     """Exactly ``n_per_class`` rows of each label value (all of a class
     that has fewer), chosen in md5 order: the equal down-sampling used
     for a class-balanced forest. The sample size is the feature."""
-    h = df.withColumn("__h", hash_key(id_col, seed))
-    ranked = hash_row_numbers(h, "__h", id_col, partition=[label], out="__rn",
-                              hex_digits=hex_digits)
-    return ranked.filter(F.col("__rn") <= n_per_class).drop("__h", "__rn")
+    h = df.withColumns({"__h": hash_key(id_col, seed), "__hb": hash_bucket("__h", hex_digits)})
+    first = lambda rank, n: F.when(rank <= n_per_class, 0).otherwise(1)
+    return assign_by_rank(h, "__hb", [F.col("__h"), F.col(id_col)], first, partition=[label],
+                          out="__i", keep=0).drop("__h", "__hb", "__i")
 
 
 def holdout_complement(df: DataFrame, holdout: DataFrame, key: str = R.ROW_ID) -> DataFrame:
