@@ -64,3 +64,18 @@ def test_forest_learns_a_planted_signal(spark):
     assert M.roc_auc(scored, "prob", "label").first().auc > 0.7
     oob = MOD.oob_scores(df, ["signal", "noise"], n_bags=4, trees_per_bag=3, max_depth=4)
     assert M.roc_auc(oob.filter(F.col("oob_score").isNotNull()), "oob_score", "label").first().auc > 0.65
+
+
+def test_knn_join_with_group_exclusion_matches_brute_force(spark):
+    import random
+    rnd = random.Random(9)
+    pts = [(i, [rnd.gauss(0, 1) * 3, rnd.gauss(0, 1)], rnd.randint(0, 1), i % 4) for i in range(150)]
+    df = spark.createDataFrame(pts, "id long, v array<double>, label int, fold int")
+    got = {(r.query_id, r.neighbour_id) for r in
+           K.knn_join(df, df, 4, label="label", group="fold", block_rows=16, n_pivots=6).collect()}
+    want = set()
+    for i, v, _, f in pts:
+        d = sorted((round(sum((a - b) ** 2 for a, b in zip(v, w)), 9), j) for j, w, _, g in pts if g != f)
+        kth = d[3][0]
+        want |= {(i, j) for dd, j in d if dd <= kth}
+    assert got == want
