@@ -35,8 +35,10 @@ SEGMENT_FLAGS = {
 }
 
 
-def appointments(spark: SparkSession, base_dir: str) -> DataFrame:
-    ev = read_table(spark, base_dir, "events").select(
+def appointments(spark: SparkSession, base_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """The view over ``base_dir``'s tables; ``events`` may replace the
+    events table (e.g. a streaming source with the same schema)."""
+    ev = (events if events is not None else read_table(spark, base_dir, "events")).select(
         "event_id", "ts", "user_id", "event_type", "value",
         F.regexp_extract("props", r"([0-9]+)", 1).cast("int").alias("k"))
     cust = read_table(spark, base_dir, "customer").select(
