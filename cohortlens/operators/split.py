@@ -47,16 +47,21 @@ def quantile_strata(df: DataFrame, y: str = R.ROW_ID, tie: str = R.ROW_ID,
 
 def holdout_split(df: DataFrame, p: float = 0.1, seed: int = 1, y: str = R.ROW_ID,
                   id_col: str = R.ROW_ID, out: str = "in_holdout",
-                  hex_digits: int = 4) -> DataFrame:
+                  hex_digits: int = 4, checkpoint: bool = True) -> DataFrame:
     """Stratified holdout flag: per quartile stratum of ``y``,
     ``ceil(p * n_stratum)`` rows in md5 order are flagged. Only the md5
     buckets that straddle the cut get exact row numbers
     (``ordering.assign_by_rank``); all other rows are decided by a map-side
     join with the per-bucket rank ranges.
 
-    Returns ``df`` plus ``stratum`` and the boolean ``out``.
+    Returns ``df`` plus ``stratum`` and the boolean ``out``. With
+    ``checkpoint`` the stratum-annotated rows are written once to the shared
+    checkpoint folder: the rank passes below then re-read that copy instead
+    of re-running the quantile selection and ``df``'s own plan each time.
     """
     s = quantile_strata(df, y, id_col)
+    if checkpoint:
+        s = materialize(s)
     s = s.withColumns({"__h": hash_key(id_col, seed), "__hb": hash_bucket("__h", hex_digits)})
     inside = lambda rank, n: F.when(rank <= F.ceil(n * F.lit(float(p))), 0).otherwise(1)
     flagged = assign_by_rank(s, "__hb", [F.col("__h"), F.col(id_col)], inside,
@@ -72,12 +77,14 @@ def three_way_split(df: DataFrame, p_test: float = 0.1, p_dev: float = 0.1, seed
 
     The first split is checkpointed (lineage cut in the shared folder)
     before the second is planned on top of it."""
-    first = holdout_split(df, p_test, seed, y, id_col, out="__test").drop("stratum")
+    first = holdout_split(df, p_test, seed, y, id_col, out="__test",
+                          checkpoint=checkpoint).drop("stratum")
     if checkpoint:
         first = materialize(first)
     test = first.filter(F.col("__test")).drop("__test").withColumn("split", F.lit("test"))
     rest = first.filter(~F.col("__test")).drop("__test")
-    second = holdout_split(rest, p_dev, seed, y, id_col, out="__dev").drop("stratum")
+    second = holdout_split(rest, p_dev, seed, y, id_col, out="__dev",
+                           checkpoint=checkpoint).drop("stratum")
     rest = second.withColumn("split", F.when(F.col("__dev"), "dev").otherwise("train")).drop("__dev")
     return test.unionByName(rest)
 

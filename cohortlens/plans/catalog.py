@@ -8,6 +8,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.operators import inspect, profile as P
@@ -135,7 +136,7 @@ def _natural_left_join(spark, d):
 
 def feature_matrix(spark, d, lambda_nbh: int = 50):
     """Encoders fitted on the non-holdout rows, applied to every row."""
-    split = _holdout(spark, d).drop("stratum")
+    split = materialize(_holdout(spark, d).drop("stratum"))
     train = split.filter(~F.col("in_holdout"))
     fitted = FeaturePlan(lambda_nbh=lambda_nbh).fit(train)
     return fitted.transform(split)
@@ -248,7 +249,10 @@ def _variant(spark, d, name, **plan_kw):
     train, dev = train_dev(spark, d)
     plan, extra = variant_plan(name, **plan_kw)
     fitted = plan.fit(train)
-    tr, dv = variant_frame(fitted, train, extra), variant_frame(fitted, dev, extra)
+    # Model fits pass over their input several times (split search,
+    # bagging, levels): keep the joined feature rows instead of re-joining.
+    tr = variant_frame(fitted, train, extra).persist(StorageLevel.MEMORY_AND_DISK)
+    dv = variant_frame(fitted, dev, extra).persist(StorageLevel.MEMORY_AND_DISK)
     return tr, dv, design_columns(tr)
 
 

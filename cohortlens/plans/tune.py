@@ -80,7 +80,7 @@ def final_model(train: DataFrame, test: DataFrame, lambda_nbh: int = 50, tune_mt
     """Refit encoders and forest on all training rows, score the untouched
     test rows once: confusion statistics per cut-off plus the test AUC."""
     fitted = FeaturePlan(lambda_nbh=lambda_nbh).fit(train)
-    tr = fitted.transform(train)
+    tr = fitted.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
     te = fitted.transform(test)
     model = fit_rf(tr, design_columns(tr), num_trees=num_trees, max_depth=max_depth,
                    mtry=tune_mtry, seed=seed)
