@@ -167,7 +167,8 @@ def rate_by(df: DataFrame, key, label: str = R.LABEL, name: str = "ratio",
     aggs = [rounded(rate(label)).alias(name)]
     if with_count:
         aggs = [F.count(F.lit(1)).alias("count")] + aggs
-    return df.groupBy(key).agg(*aggs)
+    keys = key if isinstance(key, (list, tuple)) else [key]
+    return df.groupBy(*keys).agg(*aggs)
 
 
 def rate_by_gender(df: DataFrame, gender: str = R.GENDER, label: str = R.LABEL) -> DataFrame:

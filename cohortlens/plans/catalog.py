@@ -353,3 +353,78 @@ MODEL_QUERIES: dict[str, Query] = {
     "knn_cv": _knn_cv,
 }
 QUERIES.update(MODEL_QUERIES)
+
+
+# ------------------------------------------- the same operators, other tables
+#
+# The operators take column roles, so they run unchanged on the largest
+# table (lineitem, joined to its orders: entity = customer, booking = order
+# date, event day = ship date, outcome = returned line) and on documents
+# with their quality / toxicity labels (an imbalanced second label).
+
+def shipments(spark, d):
+    li = read_table(spark, d, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag", "l_shipdate")
+    od = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return (li.join(od, li.l_orderkey == od.o_orderkey)
+              .select("l_orderkey", "l_suppkey", "o_custkey", "o_orderdate", "l_shipdate",
+                      (F.col("l_returnflag") == "R").alias("returned")))
+
+
+def labelled_documents(spark, d):
+    docs = read_table(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")
+    labels = read_table(spark, d, "labels")
+    return docs.join(labels, "doc_id").select(
+        "doc_id", "lang", "source", "n_chars",
+        (F.col("quality") == 1).alias("quality"), (F.col("toxic") == 1).alias("toxic"))
+
+
+def _ship_days(spark, d):
+    return P.rate_by_days_between(shipments(spark, d), booked="o_orderdate", day="l_shipdate",
+                                  label="returned")
+
+
+def _ship_same_day(spark, d):
+    return P.bias_by_same_day_visits(shipments(spark, d), entity="o_custkey", day="l_shipdate",
+                                     label="returned")
+
+
+def _ship_extremes(spark, d):
+    return P.group_rate_extremes(shipments(spark, d), group="l_suppkey", label="returned")
+
+
+def _ship_cumulative(spark, d):
+    return P.visits_per_entity_cumulative(shipments(spark, d), entity="o_custkey")
+
+
+def _ship_auc(spark, d):
+    s = shipments(spark, d).withColumn("days_between", _days_between("l_shipdate", "o_orderdate"))
+    return MET.roc_auc(s, "days_between", "returned")
+
+
+def _doc_rates(spark, d):
+    return P.rate_by(labelled_documents(spark, d), ["lang", "source"], label="quality",
+                     with_count=True)
+
+
+def _doc_quality_auc(spark, d):
+    return MET.roc_auc(labelled_documents(spark, d), "n_chars", "quality")
+
+
+def _doc_toxic_confusion(spark, d):
+    docs = labelled_documents(spark, d)
+    rates = docs.groupBy("lang", "source").agg(F.avg(F.col("toxic").cast("int")).alias("score"))
+    return MET.confusion_at_cutoffs(docs.join(rates, ["lang", "source"]), "score", "toxic",
+                                    [0.05, 0.1])
+
+
+OTHER_TABLE_QUERIES: dict[str, Query] = {
+    "ship_rate_by_days_between": _ship_days,
+    "ship_bias_by_same_day": _ship_same_day,
+    "ship_group_rate_extremes": _ship_extremes,
+    "ship_visits_cumulative": _ship_cumulative,
+    "ship_roc_auc": _ship_auc,
+    "doc_quality_rate_by_group": _doc_rates,
+    "doc_quality_roc_auc": _doc_quality_auc,
+    "doc_toxic_confusion": _doc_toxic_confusion,
+}
+QUERIES.update(OTHER_TABLE_QUERIES)

@@ -393,3 +393,69 @@ KNN = {
           "round(b.n / t.t, 6) AS share FROM b JOIN t USING (query_id)"),
 }
 ORACLES.update(KNN)
+
+
+# ------------------------------------------- the same operators, other tables
+
+SHIP = ("s AS (SELECT l_orderkey, l_suppkey, o_custkey, o_orderdate, l_shipdate, "
+        "l_returnflag = 'R' AS returned FROM lineitem JOIN orders ON l_orderkey = o_orderkey)")
+SHIP_GAP = "CAST(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) AS INT)"
+DOCS = ("dl AS (SELECT d.doc_id, lang, source, n_chars, quality = 1 AS quality, toxic = 1 AS toxic "
+        "FROM documents d JOIN labels l ON d.doc_id = l.doc_id)")
+
+
+def _doc_confusion_sql() -> str:
+    base = _confusion_sql()
+    body = base[base.index("\nSELECT cutoff"):]
+    counts = " UNION ALL ".join(
+        f"SELECT CAST({c} AS DOUBLE) AS cutoff, "
+        f"CAST(count(*) FILTER (WHERE score > {c} AND toxic) AS BIGINT) AS tp, "
+        f"CAST(count(*) FILTER (WHERE score > {c} AND NOT toxic) AS BIGINT) AS fp, "
+        f"CAST(count(*) FILTER (WHERE NOT (score > {c}) AND toxic) AS BIGINT) AS fn, "
+        f"CAST(count(*) FILTER (WHERE NOT (score > {c}) AND NOT toxic) AS BIGINT) AS tn FROM scored"
+        for c in (0.05, 0.1))
+    return ("WITH " + DOCS + ",\nscored AS (SELECT *, avg(CAST(toxic AS INT)) OVER (PARTITION BY lang, source) "
+            f"AS score FROM dl),\nc AS ({counts})" + body)
+
+
+OTHER_TABLES = {
+    "ship_rate_by_days_between": (
+        f"WITH {SHIP} SELECT {SHIP_GAP} AS days_between, round(avg(CAST(returned AS INT)), 6) AS ratio "
+        "FROM s GROUP BY 1"),
+    "ship_bias_by_same_day": (
+        f"WITH {SHIP}, d AS (SELECT o_custkey, l_shipdate, count(*) AS nbr, sum(CAST(returned AS INT)) AS pos "
+        "FROM s GROUP BY 1, 2), n AS (SELECT nbr AS nbr_app_that_day, sum(nbr) AS rows_, sum(pos) AS pos "
+        "FROM d GROUP BY 1), g AS (SELECT avg(CAST(returned AS INT)) AS base_rate FROM s) "
+        "SELECT nbr_app_that_day, round(CAST(pos AS DOUBLE) / rows_ - base_rate, 6) AS bias, "
+        "CAST(rows_ / nbr_app_that_day AS DOUBLE) AS count FROM n, g"),
+    "ship_group_rate_extremes": (
+        f"WITH {SHIP}, t AS (SELECT l_suppkey, round(avg(CAST(returned AS INT)), 6) AS no_show_ratio, "
+        "count(*) AS count FROM s GROUP BY l_suppkey HAVING count(*) >= 20), "
+        "r AS (SELECT *, row_number() OVER (ORDER BY no_show_ratio DESC, l_suppkey ASC) AS a, "
+        "row_number() OVER (ORDER BY no_show_ratio ASC, l_suppkey DESC) AS b FROM t) "
+        "SELECT l_suppkey, no_show_ratio, count FROM r WHERE a <= 10 OR b <= 10"),
+    "ship_visits_cumulative": (
+        f"WITH {SHIP}, p AS (SELECT o_custkey, count(*) AS n FROM s GROUP BY 1), "
+        "b AS (SELECT CASE WHEN n > 9 THEN 'ten_or_more' ELSE CAST(n AS VARCHAR) END AS app_number_per_patient, "
+        "CAST(sum(n) AS BIGINT) AS app_number FROM p GROUP BY 1) "
+        "SELECT app_number_per_patient, app_number, round(100.0::DOUBLE * sum(app_number) OVER "
+        "(ORDER BY app_number_per_patient ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) "
+        "/ sum(app_number) OVER (), 6) AS cumulated_percentage FROM b"),
+    "ship_roc_auc": (
+        f"WITH {SHIP}, pts AS (SELECT CAST({SHIP_GAP} AS DOUBLE) AS threshold, sum(CAST(returned AS INT)) AS pos, "
+        "sum(1 - CAST(returned AS INT)) AS neg FROM s GROUP BY 1), "
+        "cum AS (SELECT *, sum(pos) OVER (ORDER BY threshold DESC) AS tp, sum(pos) OVER () AS P, "
+        "sum(neg) OVER () AS N FROM pts) "
+        "SELECT round(sum(neg * ((tp - pos) + pos / 2.0)) / (CAST(max(P) AS DOUBLE) * max(N)), 6) AS auc FROM cum"),
+    "doc_quality_rate_by_group": (
+        f"WITH {DOCS} SELECT lang, source, count(*) AS count, round(avg(CAST(quality AS INT)), 6) AS ratio "
+        "FROM dl GROUP BY lang, source"),
+    "doc_quality_roc_auc": (
+        f"WITH {DOCS}, pts AS (SELECT CAST(n_chars AS DOUBLE) AS threshold, sum(CAST(quality AS INT)) AS pos, "
+        "sum(1 - CAST(quality AS INT)) AS neg FROM dl GROUP BY 1), "
+        "cum AS (SELECT *, sum(pos) OVER (ORDER BY threshold DESC) AS tp, sum(pos) OVER () AS P, "
+        "sum(neg) OVER () AS N FROM pts) "
+        "SELECT round(sum(neg * ((tp - pos) + pos / 2.0)) / (CAST(max(P) AS DOUBLE) * max(N)), 6) AS auc FROM cum"),
+    "doc_toxic_confusion": _doc_confusion_sql(),
+}
+ORACLES.update(OTHER_TABLES)
