@@ -9,6 +9,7 @@ per (fold, lambda) instead of once per grid row.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 
 from pyspark import StorageLevel
@@ -36,9 +37,14 @@ def _auc(scored: DataFrame) -> float | None:
 
 def tune_grid(spark: SparkSession, df: DataFrame, grid: list[dict] | None = None,
               folds: int = 10, max_folds: int = 2, seed: int = 1, num_trees: int = 20,
-              max_depth: int = 8) -> DataFrame:
+              max_depth: int = 8, parallel_fits: int = 3) -> DataFrame:
     """``(tune_mtry, lambda_nbh, k, auc_roc)`` for each grid row and each of
-    the first ``max_folds`` of ``folds`` folds. Folds cover all rows."""
+    the first ``max_folds`` of ``folds`` folds. Folds cover all rows.
+
+    Fits that share a (fold, lambda) feature frame are independent and are
+    submitted together from ``parallel_fits`` driver threads, so the
+    cluster runs several forests at once (each fit is itself distributed;
+    seeds are fixed, so results do not depend on the interleaving)."""
     grid = grid or param_grid()
     data = kfold_assign(df, folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
     rows = []
@@ -53,10 +59,14 @@ def tune_grid(spark: SparkSession, df: DataFrame, grid: list[dict] | None = None
             tr = plan.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
             va = plan.transform(valid).persist(StorageLevel.MEMORY_AND_DISK)
             cols = [c for c in design_columns(tr)]
-            for g in [g for g in grid if g["lambda_nbh"] == lam]:
+
+            def one(g, tr=tr, va=va, cols=cols, lam=lam, k=k):
                 model = fit_rf(tr, cols, num_trees=num_trees, max_depth=max_depth,
                                mtry=g["tune_mtry"], seed=seed)
-                rows.append((g["tune_mtry"], lam, k, _auc(model.score(va))))
+                return (g["tune_mtry"], lam, k, _auc(model.score(va)))
+            todo = [g for g in grid if g["lambda_nbh"] == lam]
+            with ThreadPoolExecutor(max_workers=max(1, parallel_fits)) as pool:
+                rows.extend(pool.map(one, todo))
             for t in (tr, va, bias):
                 t.unpersist()
         for t in (train, per_patient, per_day):
