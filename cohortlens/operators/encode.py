@@ -40,8 +40,7 @@ def fit_target_encoder(df: DataFrame, key: str | Sequence[str], threshold: int,
     base = base if base is not None else base_rate(df, label)
     stats = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), rate(label).alias("__r"))
                .filter(F.col("__n") > threshold))
-    return (stats.crossJoin(F.broadcast(base))
-                 .select(*keys, (F.col("__r") - F.col(base.columns[0])).alias(name)))
+    return stats.select(*keys, (F.col("__r") - base.select(base.columns[0]).scalar()).alias(name))
 
 
 def fit_count_encoder(df: DataFrame, keys: str | Sequence[str], name: str) -> DataFrame:
@@ -103,8 +102,9 @@ def oof_target_encode(df: DataFrame, key: str, threshold: int, name: str,
     kt = kf.groupBy(key).agg(F.sum("__n").alias("__nk"), F.sum("__p").alias("__pk"))
     ff = kf.groupBy(fold).agg(F.sum("__n").alias("__fn"), F.sum("__p").alias("__fp"))
     tot = ff.agg(F.sum("__fn").alias("__L"), F.sum("__fp").alias("__PL"))
-    fold_base = ff.crossJoin(F.broadcast(tot)).select(
-        fold, ((F.col("__PL") - F.col("__fp")) / (F.col("__L") - F.col("__fn"))).alias("__b"))
+    fold_base = ff.select(
+        fold, ((tot.select("__PL").scalar() - F.col("__fp"))
+               / (tot.select("__L").scalar() - F.col("__fn"))).alias("__b"))
     n_out = F.col("__nk") - F.col("__n")
     enc = (kf.join(kt, key).join(F.broadcast(fold_base), fold)
              .filter(n_out > threshold)

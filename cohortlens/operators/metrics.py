@@ -37,8 +37,9 @@ def roc_table(scored: DataFrame, score: str, label: str,
                        {"tp": F.col("pos"), "fp": F.col("neg")}, part).drop("__b")
     totals = pts.groupBy(*part).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     if part:
+        # one row per partition value (folds, grid cells): a bounded table
         return cum.join(F.broadcast(totals), part)
-    return cum.crossJoin(F.broadcast(totals))
+    return cum.withColumns({"P": totals.select("P").scalar(), "N": totals.select("N").scalar()})
 
 
 def roc_curve(scored: DataFrame, score: str, label: str,

@@ -120,7 +120,8 @@ def distinct_profiles(df: DataFrame, entity: str = R.ENTITY,
     a = df.select(*with_age).distinct().agg(F.count(F.lit(1)).alias("n_profiles_with_age"))
     b = df.select(*without_age).distinct().agg(F.count(F.lit(1)).alias("n_profiles_without_age"))
     c = df.agg(F.countDistinct(entity).alias("n_patients"))
-    return a.crossJoin(b).crossJoin(c)
+    return a.select("n_profiles_with_age", b.scalar().alias("n_profiles_without_age"),
+                    c.scalar().alias("n_patients"))
 
 
 def entity_attribute_drift(df: DataFrame, entity: str = R.ENTITY, attr: str = R.AGE) -> DataFrame:
@@ -221,9 +222,9 @@ def bias_by_same_day_visits(df: DataFrame, entity: str = R.ENTITY, day: str = R.
     by_n = per_day.groupBy(F.col("nbr").alias("nbr_app_that_day")).agg(
         F.sum("nbr").alias("rows"), F.sum("pos").alias("pos"))
     base = base_rate if base_rate is not None else _global_rate(df, label)
-    return (by_n.crossJoin(F.broadcast(base))
+    return (by_n
             .select("nbr_app_that_day",
-                    rounded(F.col("pos") / F.col("rows") - F.col("base_rate")).alias("bias"),
+                    rounded(F.col("pos") / F.col("rows") - base.select("base_rate").scalar()).alias("bias"),
                     (F.col("rows") / F.col("nbr_app_that_day")).cast("double").alias("count")))
 
 
@@ -284,11 +285,12 @@ def hist_bins(df: DataFrame, col: str = R.AGE, bins: int = 30) -> DataFrame:
     that values on an edge land the same way in every engine.
     """
     stats = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
-    x = df.select(F.col(col).alias("x")).crossJoin(F.broadcast(stats))
-    rng = F.col("hi") - F.col("lo")
+    lo, hi = stats.select("lo").scalar(), stats.select("hi").scalar()
+    x = df.select(F.col(col).alias("x"))
+    rng = hi - lo
     k = 2 * (bins - 1)
     b = F.when(rng == 0, F.lit(0)).otherwise(
-        F.ceil((F.lit(k) * (F.col("x") - F.col("lo")) - rng) / (F.lit(2) * rng)))
+        F.ceil((F.lit(k) * (F.col("x") - lo) - rng) / (F.lit(2) * rng)))
     counts = x.groupBy(b.cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     dense = stats.select("lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     centre = F.col("lo") + F.col("bin") * (F.col("hi") - F.col("lo")) / F.lit(float(bins - 1))

@@ -37,12 +37,11 @@ def quantile_strata(df: DataFrame, y: str = R.ROW_ID, tie: str = R.ROW_ID,
     yb = quantile_buckets(df.select(y, tie), y, "__qb", n_buckets)
     ranks = [lambda n, p=p: F.floor((n - 1) * p) + 1 for p in probs]
     cuts = values_at_ranks(yb, "__qb", [F.col(y), F.col(tie)], y, ranks)
-    cuts = cuts.select(*[F.col(f"__v{i}").alias(f"__c{i}") for i in range(len(probs))])
     stratum = F.lit(len(probs))
     for i in reversed(range(len(probs))):
-        stratum = F.when(F.col(y) <= F.col(f"__c{i}"), F.lit(i)).otherwise(stratum)
-    return (df.crossJoin(F.broadcast(cuts)).withColumn(out, stratum)
-              .drop(*[f"__c{i}" for i in range(len(probs))]))
+        # each cut is a scalar subquery: computed once, inlined as a value
+        stratum = F.when(F.col(y) <= cuts.select(f"__v{i}").scalar(), F.lit(i)).otherwise(stratum)
+    return df.withColumn(out, stratum)
 
 
 def holdout_split(df: DataFrame, p: float = 0.1, seed: int = 1, y: str = R.ROW_ID,

@@ -96,4 +96,4 @@ def final_model(train: DataFrame, test: DataFrame, lambda_nbh: int = 50, tune_mt
                    mtry=tune_mtry, seed=seed)
     scored = model.score(te).persist(StorageLevel.MEMORY_AND_DISK)
     auc = roc_auc(scored, "prob", "label")
-    return confusion_at_cutoffs(scored, "prob", "label", cutoffs).crossJoin(auc)
+    return confusion_at_cutoffs(scored, "prob", "label", cutoffs).withColumn("auc", auc.scalar())
