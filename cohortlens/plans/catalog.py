@@ -428,3 +428,33 @@ OTHER_TABLE_QUERIES: dict[str, Query] = {
     "doc_toxic_confusion": _doc_toxic_confusion,
 }
 QUERIES.update(OTHER_TABLE_QUERIES)
+
+
+def _feature_variants(spark, d):
+    """Every feature-set variant fitted on the train split: its predictor
+    columns in order, with each predictor's mean over the training rows
+    (one aggregate per variant, unioned into one long table)."""
+    train, _ = train_dev(spark, d)
+    out = None
+    for name in VARIANTS:
+        plan, extra = variant_plan(name)
+        frame = variant_frame(plan.fit(train), train, extra)
+        cols = design_columns(frame)
+        types = dict(frame.dtypes)
+        means = frame.agg(*[
+            F.avg(_epoch(c) if types[c].startswith("timestamp")
+                  else F.col(c).cast("double")).alias(f"m{i}")
+            for i, c in enumerate(cols) if types[c] != "string"])
+        numeric = [(i, c) for i, c in enumerate(cols) if types[c] != "string"]
+        rows = [f"'{c}', {i + 1}, m{i}" for i, c in numeric]
+        rows += [f"'{c}', {i + 1}, CAST(NULL AS DOUBLE)" for i, c in enumerate(cols) if types[c] == "string"]
+        long = means.select(F.expr(f"stack({len(rows)}, {', '.join(rows)}) as (column_name, ordinal, mean)"))
+        long = long.select(F.lit(name).alias("variant"), "ordinal", "column_name",
+                           _rounded("mean").alias("mean"))
+        out = long if out is None else out.unionByName(long)
+    return out
+
+
+from cohortlens.plans.features import VARIANTS  # noqa: E402
+
+QUERIES["feature_variants"] = _feature_variants

@@ -44,7 +44,6 @@ class FittedPlan:
             out = apply_encoder(out, self.bias_per_nbh)
         if self.bias_per_patient is not None:
             out = apply_encoder(out, self.bias_per_patient)
-        out = out.drop(*self.drop)
         if self.date_parts:
             out = out.withColumn("days_between", days_between(R.DAY, R.BOOKED))
         if self.sms_three_way and "days_between" in out.columns:
@@ -57,7 +56,8 @@ class FittedPlan:
             out = apply_encoder(out, self.nbr_app_per_patient)
         if self.nbr_app_that_day is not None:
             out = apply_encoder(out, self.nbr_app_that_day)
-        return out
+        # dropped last: the entity column is a join key of the encoders
+        return out.drop(*self.drop)
 
     def unpersist(self) -> None:
         for t in self._cached:
