@@ -70,3 +70,27 @@ def materialize(df):
     then re-reads the files instead of recomputing the whole plan."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def size_shuffle_partitions(spark, base_dir: str, tables=("events", "lineitem")) -> int | None:
+    """Set ``spark.sql.shuffle.partitions`` from the input size when the
+    session still runs with Spark's default (200): one partition per
+    128 MB of the largest input table (Catalyst's size estimate, so any
+    filesystem works), at least the cluster's default parallelism. AQE
+    still coalesces small shuffles at run time. A value set explicitly by
+    the cluster or user is left alone. Returns the value set, or None."""
+    if spark.conf.get("spark.sql.shuffle.partitions") != "200":
+        return None
+    size = 0
+    for t in tables:
+        try:
+            plan = spark.read.parquet(f"{base_dir.rstrip('/')}/{t}.parquet")._jdf.queryExecution()
+            size = max(size, int(plan.optimizedPlan().stats().sizeInBytes().toString()))
+        except Exception:  # noqa: BLE001 - a table may be absent
+            continue
+    n = max(spark.sparkContext.defaultParallelism, -(-size // _TARGET_PARTITION_BYTES))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

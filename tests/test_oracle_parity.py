@@ -31,5 +31,7 @@ def test_every_oracle_has_a_query():
 
 def test_entry_runs(spark):
     df = E.entry(spark)
-    assert df.count() > 0
-    assert df.columns == ["days_between", "ratio"]
+    rows = df.collect()
+    assert len(rows) == 2 and [r.cutoff for r in sorted(rows)] == [0.32, 0.55]
+    assert df.columns[:5] == ["cutoff", "tp", "fp", "fn", "tn"] and df.columns[-1] == "auc"
+    assert all(r.tp + r.fp + r.fn + r.tn == rows[0].tp + rows[0].fp + rows[0].fn + rows[0].tn for r in rows)

@@ -121,3 +121,12 @@ def test_days_between_negative_and_weekday(spark):
     got = df.select(days_between("appointment_day", "scheduled_ts").alias("d"),
                     weekday("scheduled_ts").alias("w")).collect()
     assert [(r.d, r.w) for r in got] == [(-1, 1), (0, 1)]
+
+
+def test_split_and_folds_unchanged_under_repartition(view):
+    a = S.holdout_split(view).select("appointment_id", "in_holdout")
+    b = S.holdout_split(view.repartition(7)).select("appointment_id", "in_holdout")
+    assert sorted(a.collect()) == sorted(b.collect())
+    fa = S.kfold_assign(view, 5).select("appointment_id", "fold")
+    fb = S.kfold_assign(view.repartition(5), 5).select("appointment_id", "fold")
+    assert sorted(fa.collect()) == sorted(fb.collect())
