@@ -102,9 +102,10 @@ def oof_target_encode(df: DataFrame, key: str, threshold: int, name: str,
     kt = kf.groupBy(key).agg(F.sum("__n").alias("__nk"), F.sum("__p").alias("__pk"))
     ff = kf.groupBy(fold).agg(F.sum("__n").alias("__fn"), F.sum("__p").alias("__fp"))
     tot = ff.agg(F.sum("__fn").alias("__L"), F.sum("__fp").alias("__PL"))
+    t = tot.select(F.struct("__L", "__PL").alias("t")).scalar()
     fold_base = ff.select(
-        fold, ((tot.select("__PL").scalar() - F.col("__fp"))
-               / (tot.select("__L").scalar() - F.col("__fn"))).alias("__b"))
+        fold, ((t.getField("__PL") - F.col("__fp"))
+               / (t.getField("__L") - F.col("__fn"))).alias("__b"))
     n_out = F.col("__nk") - F.col("__n")
     enc = (kf.join(kt, key).join(F.broadcast(fold_base), fold)
              .filter(n_out > threshold)

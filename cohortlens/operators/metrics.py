@@ -39,7 +39,8 @@ def roc_table(scored: DataFrame, score: str, label: str,
     if part:
         # one row per partition value (folds, grid cells): a bounded table
         return cum.join(F.broadcast(totals), part)
-    return cum.withColumns({"P": totals.select("P").scalar(), "N": totals.select("N").scalar()})
+    t = totals.select(F.struct("P", "N").alias("t")).scalar()
+    return cum.withColumns({"P": t.getField("P"), "N": t.getField("N")})
 
 
 def roc_curve(scored: DataFrame, score: str, label: str,

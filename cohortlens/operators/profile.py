@@ -285,7 +285,8 @@ def hist_bins(df: DataFrame, col: str = R.AGE, bins: int = 30) -> DataFrame:
     that values on an edge land the same way in every engine.
     """
     stats = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
-    lo, hi = stats.select("lo").scalar(), stats.select("hi").scalar()
+    st = stats.select(F.struct("lo", "hi").alias("s")).scalar()
+    lo, hi = st.getField("lo"), st.getField("hi")
     x = df.select(F.col(col).alias("x"))
     rng = hi - lo
     k = 2 * (bins - 1)

@@ -37,10 +37,11 @@ def quantile_strata(df: DataFrame, y: str = R.ROW_ID, tie: str = R.ROW_ID,
     yb = quantile_buckets(df.select(y, tie), y, "__qb", n_buckets)
     ranks = [lambda n, p=p: F.floor((n - 1) * p) + 1 for p in probs]
     cuts = values_at_ranks(yb, "__qb", [F.col(y), F.col(tie)], y, ranks)
+    # one scalar subquery (a struct of all cuts): computed once, inlined
+    c = cuts.select(F.struct(*cuts.columns).alias("c")).scalar()
     stratum = F.lit(len(probs))
     for i in reversed(range(len(probs))):
-        # each cut is a scalar subquery: computed once, inlined as a value
-        stratum = F.when(F.col(y) <= cuts.select(f"__v{i}").scalar(), F.lit(i)).otherwise(stratum)
+        stratum = F.when(F.col(y) <= c.getField(f"__v{i}"), F.lit(i)).otherwise(stratum)
     return df.withColumn(out, stratum)
 
 
