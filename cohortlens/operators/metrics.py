@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from cohortlens.functions import as_flag, rounded
 from cohortlens.functions.stats import binom_ci, binom_sf_ge, chi2_sf_1df
 from cohortlens.operators.ordering import quantile_buckets, running_sums
+from cohortlens.session import materialize
 
 
 def roc_table(scored: DataFrame, score: str, label: str,
@@ -32,6 +33,10 @@ def roc_table(scored: DataFrame, score: str, label: str,
     pts = scored.groupBy(*part, F.col(score).cast("double").alias("threshold")).agg(
         F.sum(as_flag(label)).cast("long").alias("pos"),
         F.sum(1 - as_flag(label)).cast("long").alias("neg"))
+    # One row per distinct score: small next to the rows. Written once, so
+    # the cut-point pass and the running sums do not both re-run the plan
+    # that produced the scores.
+    pts = materialize(pts)
     pts = quantile_buckets(pts, "threshold", "__b", n_buckets, descending=True)
     cum = running_sums(pts, "__b", [F.col("threshold").desc()],
                        {"tp": F.col("pos"), "fp": F.col("neg")}, part).drop("__b")
