@@ -115,13 +115,13 @@ def distinct_profiles(df: DataFrame, entity: str = R.ENTITY,
     """Distinct attribute combinations with and without the age column.
 
     If the entity's attributes never change the second count equals the
-    number of entities.
+    number of entities. One pass: the three distinct counts are one
+    aggregate; a struct is never NULL, so combinations containing NULLs
+    count as values, as ``unique()`` does.
     """
-    a = df.select(*with_age).distinct().agg(F.count(F.lit(1)).alias("n_profiles_with_age"))
-    b = df.select(*without_age).distinct().agg(F.count(F.lit(1)).alias("n_profiles_without_age"))
-    c = df.agg(F.countDistinct(entity).alias("n_patients"))
-    return a.select("n_profiles_with_age", b.scalar().alias("n_profiles_without_age"),
-                    c.scalar().alias("n_patients"))
+    return df.agg(F.countDistinct(F.struct(*with_age)).alias("n_profiles_with_age"),
+                  F.countDistinct(F.struct(*without_age)).alias("n_profiles_without_age"),
+                  F.countDistinct(entity).alias("n_patients"))
 
 
 def entity_attribute_drift(df: DataFrame, entity: str = R.ENTITY, attr: str = R.AGE) -> DataFrame:
@@ -293,8 +293,8 @@ def hist_bins(df: DataFrame, col: str = R.AGE, bins: int = 30) -> DataFrame:
     b = F.when(rng == 0, F.lit(0)).otherwise(
         F.ceil((F.lit(k) * (F.col("x") - lo) - rng) / (F.lit(2) * rng)))
     counts = x.groupBy(b.cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    dense = stats.select("lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    centre = F.col("lo") + F.col("bin") * (F.col("hi") - F.col("lo")) / F.lit(float(bins - 1))
+    dense = df.sparkSession.range(bins).select(F.col("id").alias("bin"))
+    centre = lo + F.col("bin") * (hi - lo) / F.lit(float(bins - 1))
     return (dense.join(counts, "bin", "left")
                  .select(F.col("bin").cast("int").alias("bin"), rounded(centre).alias("x"),
                          F.coalesce("count", F.lit(0)).cast("long").alias("count")))

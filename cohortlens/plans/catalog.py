@@ -161,7 +161,8 @@ def _design_matrix(spark, d):
 
 
 def _oof(spark, d):
-    folds = SPL.kfold_assign(appointments(spark, d), folds=10, seed=1)
+    # the fold table feeds four aggregates and the final join: write it once
+    folds = materialize(SPL.kfold_assign(appointments(spark, d), folds=10, seed=1))
     enc = ENC.oof_target_encode(folds, "neighbourhood", 100, "bias_per_nbh")
     return enc.select("appointment_id", "fold", _rounded("bias_per_nbh").alias("bias_per_nbh"))
 
@@ -202,7 +203,7 @@ def _cutoff_search(spark, d):
 
 def _two_class(spark, d):
     s = scored_by_days(spark, d)
-    s = SPL.kfold_assign(s, folds=10, seed=1)
+    s = materialize(SPL.kfold_assign(s, folds=10, seed=1))
     return MET.two_class_summary(s, "score", "no_show", ["fold"])
 
 
