@@ -97,6 +97,16 @@ def value_row_numbers(df: DataFrame, col: str, tie: str, out: str = "rn",
     return row_numbers(d, b, [F.col(col), F.col(tie)], (), out).drop(b)
 
 
+def hex_digits_for(n_rows: int, rows_per_bucket: int = 1 << 20,
+                   lo: int = 2, hi: int = 7) -> int:
+    """md5-prefix length so that n_rows / 16**digits stays near
+    ``rows_per_bucket`` (the size of the one bucket that may need a sort)."""
+    d = lo
+    while d < hi and n_rows / (16 ** d) > rows_per_bucket:
+        d += 1
+    return d
+
+
 # ------------------------------------------------------- rank selection
 #
 # Splits, folds and samples only need to know on which side of a few rank

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions import hash_bucket, hash_key
 from cohortlens.operators import roles as R
-from cohortlens.operators.ordering import assign_by_rank, quantile_buckets, values_at_ranks
+from cohortlens.operators.ordering import (
+    assign_by_rank, hex_digits_for, quantile_buckets, values_at_ranks,
+)
 from cohortlens.session import materialize
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -47,7 +49,7 @@ def quantile_strata(df: DataFrame, y: str = R.ROW_ID, tie: str = R.ROW_ID,
 
 def holdout_split(df: DataFrame, p: float = 0.1, seed: int = 1, y: str = R.ROW_ID,
                   id_col: str = R.ROW_ID, out: str = "in_holdout",
-                  hex_digits: int = 4, checkpoint: bool = True) -> DataFrame:
+                  hex_digits: int | None = None, checkpoint: bool = True) -> DataFrame:
     """Stratified holdout flag: per quartile stratum of ``y``,
     ``ceil(p * n_stratum)`` rows in md5 order are flagged. Only the md5
     buckets that straddle the cut get exact row numbers
@@ -62,6 +64,9 @@ def holdout_split(df: DataFrame, p: float = 0.1, seed: int = 1, y: str = R.ROW_I
     s = quantile_strata(df, y, id_col)
     if checkpoint:
         s = materialize(s)
+    if hex_digits is None:
+        # bucket count sized from the row count (cheap on the written copy)
+        hex_digits = hex_digits_for(s.count()) if checkpoint else 4
     s = s.withColumns({"__h": hash_key(id_col, seed), "__hb": hash_bucket("__h", hex_digits)})
     inside = lambda rank, n: F.when(rank <= F.ceil(n * F.lit(float(p))), 0).otherwise(1)
     flagged = assign_by_rank(s, "__hb", [F.col("__h"), F.col(id_col)], inside,
