@@ -79,3 +79,18 @@ def test_knn_join_with_group_exclusion_matches_brute_force(spark):
         kth = d[3][0]
         want |= {(i, j) for dd, j in d if dd <= kth}
     assert got == want
+
+
+def test_balanced_bagged_forest_scores_all_rows(spark):
+    import random
+    rnd = random.Random(4)
+    rows = []
+    for i in range(800):
+        x = rnd.random()
+        rows.append((i, x, rnd.random() < (0.6 if x > 0.7 else 0.08)))
+    df = spark.createDataFrame(rows, "appointment_id long, signal double, no_show boolean")
+    model = MOD.fit_rf_balanced(df, ["signal"], n_per_class=60, n_bags=2, trees_per_bag=5, max_depth=3)
+    scored = model.score(df)
+    assert scored.count() == 800
+    assert scored.filter(F.col("prob").isNull() | (F.col("prob") < 0) | (F.col("prob") > 1)).count() == 0
+    assert M.roc_auc(scored, "prob", "label").first().auc > 0.7
