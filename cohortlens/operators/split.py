@@ -95,20 +95,26 @@ def three_way_split(df: DataFrame, p_test: float = 0.1, p_dev: float = 0.1, seed
 
 
 def kfold_assign(df: DataFrame, folds: int = 10, seed: int = 1, id_col: str = R.ROW_ID,
-                 out: str = "fold", hex_digits: int = 4) -> DataFrame:
+                 out: str = "fold", hex_digits: int | None = 4) -> DataFrame:
     """Fold 1..``folds`` of each row: a random permutation (md5 order) cut
     into ``folds`` consecutive slices, ``floor((rn - 1) * folds / L) + 1``.
-    Slice sizes differ by at most one and every row gets a fold."""
+    Slice sizes differ by at most one and every row gets a fold.
+    ``hex_digits=None`` sizes the md5 buckets from a row count (one pass)."""
+    if hex_digits is None:
+        hex_digits = hex_digits_for(df.count())
     h = df.withColumns({"__h": hash_key(id_col, seed), "__hb": hash_bucket("__h", hex_digits)})
     fold = lambda rank, n: (F.floor((rank - 1) * folds / n) + 1).cast("int")
     return assign_by_rank(h, "__hb", [F.col("__h"), F.col(id_col)], fold, out=out).drop("__h", "__hb")
 
 
 def balanced_sample(df: DataFrame, n_per_class: int = 500, label: str = R.LABEL,
-                    seed: int = 1, id_col: str = R.ROW_ID, hex_digits: int = 4) -> DataFrame:
+                    seed: int = 1, id_col: str = R.ROW_ID, hex_digits: int | None = 4) -> DataFrame:
     """Exactly ``n_per_class`` rows of each label value (all of a class
     that has fewer), chosen in md5 order: the equal down-sampling used
-    for a class-balanced forest. The sample size is the feature."""
+    for a class-balanced forest. The sample size is the feature.
+    ``hex_digits=None`` sizes the md5 buckets from a row count (one pass)."""
+    if hex_digits is None:
+        hex_digits = hex_digits_for(df.count())
     h = df.withColumns({"__h": hash_key(id_col, seed), "__hb": hash_bucket("__h", hex_digits)})
     first = lambda rank, n: F.when(rank <= n_per_class, 0).otherwise(1)
     return assign_by_rank(h, "__hb", [F.col("__h"), F.col(id_col)], first, partition=[label],
