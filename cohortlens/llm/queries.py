@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import fingerprints, sentencepiece_codec, sharding, token_counts
+from cohortlens.llm import fingerprints, packing, quality_rules, sentencepiece_codec, sharding, token_counts
 from cohortlens.llm.common import documents
 
 
@@ -20,6 +20,10 @@ def tokenizer_path(name: str) -> str:
     return os.fspath(public_tokenizers.path(name))
 
 
+def op1_quality_rules(spark: SparkSession, d: str) -> DataFrame:
+    return quality_rules.judge(documents(spark, d), documents(spark, d, "labels"))
+
+
 def op2_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, d), tokenizer_path("byte_bpe_50k.json"), limit=1024)
 
@@ -28,6 +32,10 @@ def op4_sharding(spark: SparkSession, d: str) -> DataFrame:
     return sharding.shard(documents(spark, d), shards=8)
 
 
+def op6_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, d), tokenizer_path("word_bpe_49k.json"))
+
+
 def op8_fingerprints(spark: SparkSession, d: str) -> DataFrame:
     return fingerprints.fingerprint_edits(documents(spark, d))
 
@@ -40,8 +48,10 @@ def op10_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
     "op4_sharding": op4_sharding,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op8_fingerprints": op8_fingerprints,
     "op10_sentencepiece": op10_sentencepiece,
 }
