@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from math import ceil
 
@@ -22,6 +23,13 @@ def documents(spark: SparkSession, base_dir: str, table: str = "documents") -> D
     return spark.read.parquet(f"{base_dir.rstrip('/')}/{table}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer file; every machine has the files at the
+    same place."""
+    import public_tokenizers
+    return os.fspath(public_tokenizers.path(name))
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound the rows of an Arrow batch unless the session already does."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
@@ -37,6 +45,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    while base.lower() in (c.lower() for c in df.columns):
+        base += "_"
+    return base
+
+
 def text_bytes(docs: DataFrame) -> int:
     """UTF-8 bytes of all texts (null: none)."""
     return int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
@@ -50,3 +65,13 @@ def words_of(text: str | None) -> list[bytes]:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text, as UTF-8 (null: none).
     ``bytes.split`` breaks at exactly these six ASCII characters."""
     return text.encode("utf-8", "surrogatepass").split() if text else []
+
+
+def sampled_texts(docs: DataFrame, at_most: int, seed: str) -> DataFrame:
+    """``doc_id, text`` of at most ``at_most`` documents drawn by a hash of
+    their id (of several texts with one id the first in order). For fitting
+    classifiers only."""
+    ids = (docs.select("doc_id").filter("doc_id is not null").distinct()
+           .orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(at_most))
+    return (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # at most ``at_most`` rows
+            .groupBy("doc_id").agg(F.min("text").alias("text")))

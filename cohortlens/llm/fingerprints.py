@@ -20,8 +20,9 @@ from cohortlens.llm.splitters import sampled_splits, with_range
 
 SHINGLE = 5
 K = 128
-BLOCK_BYTES = 32 << 20
-MAX_BLOCKS = 4096
+#: Text of one block of consecutive documents, and the most blocks.
+BLOCK_BYTES = 8 << 20
+MAX_BLOCKS = 65_536
 
 
 def with_sketch(df: DataFrame, text: str, name: str, k: int = K, n: int = SHINGLE) -> DataFrame:
@@ -86,7 +87,7 @@ def with_next(rows: DataFrame, columns: list[str], order: str = "doc_id", size:
     narrow = keyed.select("__key", "__tie", (F.coalesce(size, F.lit(0)) + 1).alias("__size"))
     total = narrow.agg(F.sum("__size")).first()[0] or 0
     parts = min(MAX_BLOCKS, parts_for(total, BLOCK_BYTES, 2 * spark.sparkContext.defaultParallelism))
-    splits = sampled_splits(narrow, "__key", "__size", ["__key", "__tie"], parts)
+    splits = sampled_splits(narrow, "__key", "__size", ["__key", "__tie"], parts, per_part=8)
     heads = with_range(narrow, "__key", splits, "__block").groupBy("__block").agg(
         F.max_by(F.struct("__key", "__tie"), F.struct("__key", -F.col("__tie"))).alias("head")).collect()
     heads.sort(key=lambda r: -r["__block"])  # at most MAX_BLOCKS
