@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from cohortlens.llm.common import free_name, small_batches, written
 
 #: Members that one task divides and compares, and bytes of their sets.
-REGION_MEMBERS, REGION_BYTES = 2048, 32 << 20
+REGION_MEMBERS, REGION_BYTES = 4096, 32 << 20
 LEAF = 192
 _MAX_WORDS = 500_000
 _WORDS: dict[bytes, int] = {}
@@ -93,11 +93,12 @@ def rings(size: int, percent: int) -> list[tuple[int, int]]:
     return found
 
 
-def region_keys(shingles: np.ndarray, percent: int, seed: int = 0) -> np.ndarray:
-    """Keys of the regions of a set. A set with too few filled blocks to be
-    sure of one that a linked set leaves alone also has the empty ones."""
-    keys = []
-    dealt = _mix(shingles + np.uint64(seed * 2 + 1) * np.uint64(0xD1342543DE82EF95))
+def region_keys(shingles: np.ndarray, percent: int, seed: int = 0) -> tuple[np.ndarray, int]:
+    """Keys of the regions of a set, and how many of them a linked set has
+    at least. A set with too few filled blocks to be sure of one that a
+    linked set leaves alone also has the empty ones."""
+    keys, sure = [], 1 << 30
+    dealt = _mix(shingles + np.uint64((seed * 2 + 1) * 0xD1342543DE82EF95 & (1 << 64) - 1))
     for ring, largest in rings(len(shingles), percent):
         tau = 2 * largest * (100 - percent) // (100 + percent)
         if not tau:
@@ -110,9 +111,10 @@ def region_keys(shingles: np.ndarray, percent: int, seed: int = 0) -> np.ndarray
         filled = block[order][ends]
         content[filled] = np.add.reduceat(_mix(dealt[order]), ends)
         chosen = np.arange(blocks) if len(filled) < tau + 1 else filled
+        sure = min(sure, max(1, len(filled) - tau))
         place = np.uint64(ring << 40) + chosen.astype(np.uint64) + np.uint64(seed << 56)
         keys.append(_mix(_mix(place + np.uint64(1)) + content[chosen]))
-    return np.concatenate(keys) if keys else np.empty(0, np.uint64)
+    return (np.concatenate(keys), sure) if keys else (np.empty(0, np.uint64), 1)
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -220,14 +222,15 @@ def _sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             sets = [shingle_set(t, n) for t in pdf["text"]]
+            keys = [region_keys(s, percent) for s in sets]
             yield pd.DataFrame({
                 "doc_id": pdf["doc_id"].astype("Int64"), "th": pdf["th"], "n": [len(s) for s in sets],
                 "h1": [int(_signed(np.atleast_1d(s.sum(dtype=np.uint64)))[0]) for s in sets],
                 "h2": [int(_signed(np.atleast_1d(_mix(s).sum(dtype=np.uint64)))[0]) for s in sets],
-                "keys": [_signed(region_keys(s, percent)) for s in sets]})
+                "sure": [sure for _, sure in keys], "keys": [_signed(k) for k, _ in keys]})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
-    return rows.mapInPandas(run, "doc_id long, th long, n long, h1 long, h2 long, keys array<long>")
+    return rows.mapInPandas(run, "doc_id long, th long, n long, h1 long, h2 long, sure long, keys array<long>")
 
 
 def _arrays(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -252,44 +255,63 @@ def _compared(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
             .filter(100 * F.col("shared") >= percent * (F.size("a") + F.size("b") - F.col("shared"))).select("u", "v"))
 
 
-def _distinct_regions(members: DataFrame) -> DataFrame:
+def _open_regions(members: DataFrame) -> DataFrame:
     """Regions (key, sid, comp) of three members or more in at least two
-    components; of regions with the same members only one."""
-    shape = members.groupBy("key").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"),
-                                       F.sum(F.xxhash64("sid").cast("decimal(20,0)")).alias("s"), F.bit_xor(F.xxhash64("sid", F.lit(1))).alias("x"))
-    one = shape.filter("size > 2 and low < high").groupBy("size", "s", "x").agg(F.min("key").alias("key"))
-    return members.join(one.select("key", "size"), "key")
-
-
-def _rest_links(regions: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
-    """Links between components inside the regions (key, sid, comp, size)."""
-    def rekey(seed: int):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                yield pd.DataFrame({"key": pdf["key"], "sid": pdf["sid"], "comp": pdf["comp"],
-                                    "more": [_signed(region_keys(s.view(np.uint64), percent, seed)) for s in pdf["set"]]})
-        return run
+    components. Two members have been compared already."""
+    shape = members.groupBy("key").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    return members.join(shape.filter("size > 2 and low < high").select("key"), "key")
+
+
+def _gathered(regions: DataFrame, sure: DataFrame) -> DataFrame:
+    """Gather overlapping regions (key, sid, comp) into cells, so that a set
+    travels once per cell and not once per region.
+
+    A region goes to the cell of its first member's first: the smallest
+    member of any region that this member is in. Linked sets share at least
+    ``sure`` regions, so in that of the common cells where they share most
+    they share at least ``sure / c``, for c the number of cells of either: a
+    set leaves the cells in which it has fewer regions."""
+    by_key = Window.partitionBy("key")
+    firsts = regions.withColumn("first", F.min("sid").over(by_key))
+    least = firsts.groupBy(F.col("sid").alias("first")).agg(F.min("first").alias("cell"))
+    placed = firsts.join(least, "first").groupBy("cell", "sid").agg(F.count("*").alias("shared"), F.first("comp").alias("comp"))
+    placed = placed.join(sure, "sid")
+    cells = F.count("*").over(Window.partitionBy("sid"))
+    placed = placed.withColumn("cells", cells).filter(F.col("shared") * F.col("cells") >= F.col("sure"))
+    shape = placed.groupBy("cell").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    return placed.join(shape.filter("low < high").select("cell", "size"), "cell").select(
+        F.xxhash64("cell").alias("key"), "sid", "comp", "size")
+
+
+def _rest_links(cells: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
+    """Links between components inside the cells (key, sid, comp, size)."""
+    def rekey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"key": pdf["key"], "sid": pdf["sid"], "comp": pdf["comp"],
+                                "more": [_signed(region_keys(s.view(np.uint64), percent, 1)[0]) for s in pdf["set"]]})
 
     def links(pdf: pd.DataFrame) -> pd.DataFrame:
         sets = [s.view(np.uint64) for s in pdf["set"]]
         sid = pdf["sid"].tolist()
         return pd.DataFrame([(sid[x], sid[y]) for x, y in region_links(sets, pdf["comp"].tolist(), percent)], columns=["u", "v"], dtype="int64")
 
-    small = (F.col("size") <= REGION_MEMBERS)
-    big = regions.filter(~small)
+    sized = arrays.select("sid", (F.size("set") * 8).alias("size_bytes"))
+    fits = F.col("size") <= REGION_MEMBERS
+    big = cells.filter(~fits)
     if not big.isEmpty():
-        again = big.join(arrays, "sid").mapInPandas(rekey(1), "key long, sid long, comp long, more array<long>")
-        again = again.select(F.explode("more").alias("k2"), "key", "sid", "comp").select(
-            F.xxhash64("key", "k2").alias("key"), "sid", "comp").distinct()
-        regions = written(regions.filter(small).unionByName(_distinct_regions(again)), "regions")
+        again = big.join(arrays, "sid").mapInPandas(rekey, "key long, sid long, comp long, more array<long>")
+        again = again.select("key", "sid", "comp", F.explode("more").alias("more")).select(
+            F.xxhash64("key", "more").alias("key"), "sid", "comp").distinct()
+        shape = again.groupBy("key").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+        again = again.join(shape.filter("low < high").select("key", "size"), "key").select("key", "sid", "comp", "size")
+        cells = written(cells.filter(fits).unionByName(again), "cells")
+    # A pair of tiles is one task: a member goes to the tasks of its tile.
+    load = cells.join(sized, "sid").groupBy("key").agg(F.sum("size_bytes").alias("bytes"))
     tiles = F.ceil(F.greatest(F.col("size") / REGION_MEMBERS, F.col("bytes") / REGION_BYTES)).cast("int")
-    sized = regions.join(arrays, "sid")
-    load = sized.groupBy("key").agg(F.sum(F.size("set") * 8).alias("bytes"), F.count("*").alias("members"))
-    sized = sized.join(load, "key").withColumn("tiles", tiles).withColumn("t", F.pmod(F.xxhash64("sid"), "tiles").cast("int"))
-    # A pair of tiles is one cell: each member goes to the cells of its tile.
-    cells = sized.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
-        "key", F.least("t", "o").alias("a"), F.greatest("t", "o").alias("b"), "sid", "comp", "set")
-    return cells.groupBy("key", "a", "b").applyInPandas(links, "u long, v long")
+    tiled = cells.join(load, "key").withColumn("tiles", tiles).withColumn("t", F.pmod(F.xxhash64("sid"), "tiles").cast("int"))
+    tiled = tiled.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
+        "key", F.least("t", "o").alias("a"), F.greatest("t", "o").alias("b"), "sid", "comp")
+    return tiled.join(arrays, "sid").groupBy("key", "a", "b").applyInPandas(links, "u long, v long")
 
 
 def _named_sets(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -303,19 +325,20 @@ def _named_sets(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataF
                                F.monotonically_increasing_id().alias("sid")), "set-ids")
     chosen = reps.select("sid", "h1", "h2", "rep_id", "rep_th")
     one = filled.join(chosen, ["h1", "h2"]).filter(F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("th") == F.col("rep_th")))
-    keyed = one.select("sid", F.explode("keys").alias("key"))
+    keyed = one.select("sid", "sure", F.explode("keys").alias("key"))
     w = Window.partitionBy("key")
-    members = written(keyed.select("key", "sid", F.min("sid").over(w).alias("pivot"), F.max("sid").over(w).alias("last"))
-                      .filter("pivot < last").select("key", "sid", "pivot").distinct(), "regions")
+    members = written(keyed.select("key", "sid", "sure", F.min("sid").over(w).alias("pivot"), F.max("sid").over(w).alias("last"))
+                      .filter("pivot < last").select("key", "sid", "sure", "pivot").distinct(), "regions")
     arrays = written(_arrays(docs, members.select("sid").distinct().join(chosen, "sid"), n), "arrays")
     pairs = members.filter("sid <> pivot").select(F.col("pivot").alias("u"), F.col("sid").alias("v")).distinct()
     edges = written(_compared(pairs, arrays, percent), "links")
     joined = components(edges)
     grouped = members.join(joined.withColumnRenamed("node", "sid"), "sid", "left").select(
         "key", "sid", F.coalesce("component", "sid").alias("comp"))
-    rest = written(_distinct_regions(grouped), "regions")
-    if not rest.isEmpty():
-        more = written(_rest_links(rest, arrays, percent), "links")
+    sure = members.groupBy("sid").agg(F.min("sure").alias("sure"))
+    cells = written(_gathered(written(_open_regions(grouped), "regions"), sure), "cells")
+    if not cells.isEmpty():
+        more = written(_rest_links(cells, arrays, percent), "links")
         joined = components(edges.unionByName(more))
     named = reps.join(joined.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"), F.min(F.struct(
