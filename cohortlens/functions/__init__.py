@@ -2,9 +2,9 @@
 
 from cohortlens.functions.columns import (
     as_flag, rate, rounded, days_between, weekday, hour_of, epoch_seconds,
-    hash_key, hash_bucket, sms_status, overflow_label, decade_band,
+    hash_key, sms_status, overflow_label, decade_band,
 )
 
 __all__ = ["as_flag", "rate", "rounded", "days_between", "weekday", "hour_of",
-           "epoch_seconds", "hash_key", "hash_bucket", "sms_status",
+           "epoch_seconds", "hash_key", "sms_status",
            "overflow_label", "decade_band"]

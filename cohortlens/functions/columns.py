@@ -54,22 +54,14 @@ def epoch_seconds(col) -> Column:
     return F.unix_micros(_c(col).cast("timestamp")) / F.lit(1e6)
 
 
-def hash_key(id_col, seed) -> Column:
-    """Deterministic pseudo-random order key: md5 of ``'<id>:<seed>'``.
+def hash_key(id_col, seed, purpose: str) -> Column:
+    """Deterministic pseudo-random order key: md5 of ``'<id>:<seed>:<purpose>'``.
 
     Partition-independent (unlike ``rand``), and reproducible by any
-    engine with md5, which is what makes split membership checkable.
+    engine with md5, which is what makes split membership checkable. The
+    purpose (test, dev, fold, ...) keeps draws with one seed independent.
     """
-    return F.md5(F.concat(_c(id_col).cast("string"), F.lit(":"), F.lit(str(seed))))
-
-
-def hash_bucket(hash_col, hex_digits: int) -> Column:
-    """Leading ``hex_digits`` of an md5 text as an integer bucket.
-
-    Buckets are ordered like the hash itself, so rows of bucket b come
-    before rows of bucket b+1 in hash order; md5 spreads rows evenly.
-    """
-    return F.conv(F.substring(_c(hash_col), 1, hex_digits), 16, 10).cast("long")
+    return F.md5(F.concat(_c(id_col).cast("string"), F.lit(f":{seed}:{purpose}")))
 
 
 def sms_status(days_col, sms_col, min_days: int = 3) -> Column:

@@ -9,38 +9,33 @@
 Fitted tables are small aggregates (one row per key). They are joined
 with a plain ``join``: AQE measures the materialised table at run time
 and broadcasts it only when it is below the broadcast threshold,
-otherwise it stays a shuffle join. ``sized_broadcast`` gives an explicit,
-counted alternative.
+otherwise it stays a shuffle join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.functions import as_flag, rate
+from cohortlens.functions import as_flag
 from cohortlens.operators import roles as R
 
 
-def base_rate(df: DataFrame, label: str = R.LABEL, name: str = "base_rate") -> DataFrame:
-    """The global outcome rate as a one-row frame (stays in the plan)."""
-    return df.agg(rate(label).alias(name))
-
-
 def fit_target_encoder(df: DataFrame, key: str | Sequence[str], threshold: int,
                        name: str, label: str = R.LABEL,
                        base: DataFrame | None = None) -> DataFrame:
     """``(key..., name)``: group rate minus the base rate, only for keys
     with ``count > threshold``. One aggregate with a HAVING, no per-row
-    window."""
+    window; the base rate is summed from the same group table."""
     keys = [key] if isinstance(key, str) else list(key)
-    base = base if base is not None else base_rate(df, label)
-    stats = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), rate(label).alias("__r"))
-               .filter(F.col("__n") > threshold))
-    return stats.select(*keys, (F.col("__r") - base.select(base.columns[0]).scalar()).alias(name))
+    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.sum(as_flag(label)).alias("__p"),
+                                  F.count(label).alias("__m"))
+    if base is None:
+        base = stats.agg((F.sum("__p") / F.sum("__m")).alias("base_rate"))
+    rates = stats.filter(F.col("__n") > threshold)
+    return rates.select(*keys, (F.col("__p") / F.col("__m") - base.select(base.columns[0]).scalar()).alias(name))
 
 
 def fit_count_encoder(df: DataFrame, keys: str | Sequence[str], name: str) -> DataFrame:
@@ -79,14 +74,6 @@ def apply_encoder(df: DataFrame, enc: DataFrame, fill=0.0, as_double: bool = Tru
     return out
 
 
-def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Persist a fitted table, count it, and mark it for broadcast only if
-    it has at most ``max_rows`` rows; otherwise return it unmarked so
-    joins with it shuffle."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def oof_target_encode(df: DataFrame, key: str, threshold: int, name: str,
                       fold: str = "fold", label: str = R.LABEL) -> DataFrame:
     """Out-of-fold target encoding: a row of fold f gets the encoding fitted

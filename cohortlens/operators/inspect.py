@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,18 +13,20 @@ def preview(df: DataFrame, key: str, n: int = 10) -> DataFrame:
     return df.orderBy(key).limit(n)
 
 
-def profile_columns(df: DataFrame, exact: bool = True) -> DataFrame:
+def profile_columns(df: DataFrame, distinct: Sequence[str] = (), exact: bool = True) -> DataFrame:
     """Long structure report ``(column, type, n, n_null, n_distinct, min, max)``.
 
     All statistics come from ONE aggregate over the table, then the wide
-    row is unpivoted with ``stack``. ``exact=False`` uses HyperLogLog
-    distinct counts (one pass, fixed memory) for very large tables.
+    row is unpivoted with ``stack``. Exact distinct counts multiply the
+    rows that are shuffled, so only the columns in ``distinct`` get them
+    (``exact=False``: by HyperLogLog in fixed memory); others have NULL.
     """
-    distinct = F.countDistinct if exact else F.approx_count_distinct
+    counted = F.countDistinct if exact else F.approx_count_distinct
+    none = F.lit(None).cast("bigint")
     aggs, fields = [], df.schema.fields
     for i, f in enumerate(fields):
         c = F.col(f"`{f.name}`")
-        aggs += [F.count(c).alias(f"nn{i}"), distinct(c).alias(f"nd{i}"),
+        aggs += [F.count(c).alias(f"nn{i}"), (F.max(none) if f.name not in distinct else counted(c)).alias(f"nd{i}"),
                  F.min(c).cast("string").alias(f"mn{i}"), F.max(c).cast("string").alias(f"mx{i}")]
     wide = df.agg(F.count(F.lit(1)).alias("n"), *aggs)
     parts = []

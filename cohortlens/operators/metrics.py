@@ -26,10 +26,12 @@ from cohortlens.session import materialize
 
 
 def roc_table(scored: DataFrame, score: str, label: str,
-              partition: Sequence[str] = (), n_buckets: int = 256) -> DataFrame:
+              partition: Sequence[str] = (), n_buckets: int | None = None) -> DataFrame:
     """``(partition..., threshold, pos, neg, tp, fp, P, N)`` per distinct score,
-    with tp/fp counting rows whose score is >= threshold."""
+    with tp/fp counting rows whose score is >= threshold. Rows without a
+    score or a label count nowhere, as in ``confusion_at_cutoffs``."""
     part = list(partition)
+    scored = scored.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
     pts = scored.groupBy(*part, F.col(score).cast("double").alias("threshold")).agg(
         F.sum(as_flag(label)).cast("long").alias("pos"),
         F.sum(1 - as_flag(label)).cast("long").alias("neg"))

@@ -46,7 +46,7 @@ def _stages(cols: Sequence[str], text: Sequence[str]) -> list:
     stages = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", stringOrderType="alphabetAsc",
                             handleInvalid="keep") for c in text]
     inputs = [f"{c}__idx" if c in text else c for c in cols]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
+    stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error"))
     return stages
 
 
@@ -119,9 +119,10 @@ _POISSON1_CDF = [math.exp(-1) * sum(1 / math.factorial(j) for j in range(k + 1))
 
 def poisson1_weight(id_col: str, bag: int) -> F.Column:
     """Bootstrap multiplicity of a row in bag ``bag``: a Poisson(1) draw by
-    inverse CDF of a uniform taken from md5(id:bag). Deterministic, so
+    inverse CDF of a uniform taken from md5(id:bag:bag), topped at 10 (about one
+    row in 10**8 has more). Deterministic, so
     a retried task draws the same bag."""
-    u = F.conv(F.substring(hash_key(id_col, f"bag{bag}"), 1, 12), 16, 10).cast("double") / float(16 ** 12)
+    u = F.conv(F.substring(hash_key(id_col, bag, "bag"), 1, 12), 16, 10).cast("double") / float(16 ** 12)
     w = F.lit(len(_POISSON1_CDF))
     for k in reversed(range(len(_POISSON1_CDF))):
         w = F.when(u < _POISSON1_CDF[k], F.lit(k)).otherwise(w)

@@ -25,16 +25,25 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.functions import hash_bucket
 
+#: Rows that one value bucket should hold, and the least number of buckets.
+ROWS_PER_BUCKET, LEAST_BUCKETS = 1 << 20, 64
 
-def quantile_buckets(df: DataFrame, col: str, out: str, n_buckets: int = 1024,
-                     rel_err: float = 1e-4, descending: bool = False) -> DataFrame:
+
+def buckets_for(n_rows: int) -> int:
+    return max(LEAST_BUCKETS, -(-n_rows // ROWS_PER_BUCKET))
+
+
+def quantile_buckets(df: DataFrame, col: str, out: str, n_buckets: int | None = None,
+                     rel_err: float | None = None, descending: bool = False) -> DataFrame:
     """Add an integer bucket column monotone in ``col`` (ascending, or
     descending with ``descending=True``). Cut points are approximate
     quantiles: only the bucket SIZES are approximate, never the order.
-    ``n_buckets + 1`` doubles reach the driver.
+    The number of buckets follows the row count, and about as many doubles
+    reach the driver (a million rows a bucket: 8 MB for 10**12 rows).
     """
+    n_buckets = n_buckets or buckets_for(df.count())
+    rel_err = rel_err or 0.1 / n_buckets
     probs = [i / n_buckets for i in range(1, n_buckets)]
     cuts = sorted(set(df.approxQuantile(col, probs, rel_err))) if probs else []
     splits = [float("-inf")] + [c for c in cuts if c == c] + [float("inf")]
@@ -73,48 +82,13 @@ def running_sums(df: DataFrame, bucket: str, order: Sequence[Column],
           for k in values])
 
 
-def row_numbers(df: DataFrame, bucket: str, order: Sequence[Column],
-                partition: Sequence[str] = (), out: str = "rn") -> DataFrame:
-    """Exact 1-based ``row_number()`` within ``partition`` in ``order``
-    (``order`` must be a total order for a deterministic answer)."""
-    return running_sums(df, bucket, order, {out: F.lit(1).cast("long")}, partition)
-
-
-def hash_row_numbers(df: DataFrame, hash_col: str, tie: str, partition: Sequence[str] = (),
-                     out: str = "rn", hex_digits: int = 4) -> DataFrame:
-    """Row numbers in (md5 text, tie) order, bucketed on the md5 prefix
-    (16**hex_digits buckets; raise it so rows / buckets stays near 10**6)."""
-    b = f"__hb_{out}"
-    d = df.withColumn(b, hash_bucket(hash_col, hex_digits))
-    return row_numbers(d, b, [F.col(hash_col), F.col(tie)], partition, out).drop(b)
-
-
-def value_row_numbers(df: DataFrame, col: str, tie: str, out: str = "rn",
-                      n_buckets: int = 1024) -> DataFrame:
-    """Global row numbers in (col, tie) ascending order."""
-    b = f"__qb_{out}"
-    d = quantile_buckets(df, col, b, n_buckets)
-    return row_numbers(d, b, [F.col(col), F.col(tie)], (), out).drop(b)
-
-
-def hex_digits_for(n_rows: int, rows_per_bucket: int = 1 << 20,
-                   lo: int = 2, hi: int = 7) -> int:
-    """md5-prefix length so that n_rows / 16**digits stays near
-    ``rows_per_bucket`` (the size of the one bucket that may need a sort)."""
-    d = lo
-    while d < hi and n_rows / (16 ** d) > rows_per_bucket:
-        d += 1
-    return d
-
-
 # ------------------------------------------------------- rank selection
 #
-# Splits, folds and samples only need to know on which side of a few rank
-# cut points a row falls. Per-bucket rank ranges answer that for every
-# bucket that lies wholly between two cut points; exact row numbers are
-# computed only inside the few buckets that straddle a cut point. The
-# rows are never sorted as a whole: the data pass is a map-side join with
-# the small per-bucket table.
+# Splits, folds and samples only need the order keys at a few ranks. Counts
+# per key prefix tell which prefix holds a rank, and only its rows are
+# looked at closer: by the next characters of the key, then by row numbers.
+# The flag of a row is then a comparison with the cut keys, so rows are
+# neither joined, sorted nor copied.
 
 def bucket_ranges(df: DataFrame, bucket: str, partition: Sequence[str] = ()) -> DataFrame:
     """``(partition..., bucket, __lo, __hi, __n)``: the rows of a bucket hold
@@ -128,32 +102,45 @@ def bucket_ranges(df: DataFrame, bucket: str, partition: Sequence[str] = ()) ->
                          F.sum("__c").over(Window.partitionBy(*part)).alias("__n"))
 
 
-def assign_by_rank(df: DataFrame, bucket: str, order: Sequence[Column], idx,
-                   partition: Sequence[str] = (), out: str = "idx",
-                   keep: int | None = None) -> DataFrame:
-    """``out = idx(rank, n)`` for every row, where ``rank`` is the row's exact
-    1-based rank in ``order`` within ``partition`` (``n`` rows) and ``idx``
-    maps rank columns to an integer column, non-decreasing in rank.
+_PREFIX = 4
 
-    With ``keep`` only rows whose index equals ``keep`` are returned, and
-    buckets that cannot contain such rows are dropped before the join.
+
+def rank_cuts(df: DataFrame, key: Column, tie: str, ranks,
+              partition: str | None = None) -> dict:
+    """The order keys at given ranks: ``{partition value: (n, cuts)}`` where
+    ``cuts[i]`` is the (key, tie) of the row at rank ``ranks[i](n)`` of the
+    ``n`` rows of the partition, or None if there is none.
+
+    ``key`` is hexadecimal text spread evenly (md5). Two rounds of prefix
+    counts leave the rows that share eight characters with a cut key, about
+    one in four billion, to be numbered. One row per partition value (a
+    stratum, a class) reaches the driver, so that membership becomes a
+    comparison with literals.
     """
-    part = list(partition)
-    n = F.col("__n")
-    status = bucket_ranges(df, bucket, part).select(
-        *part, bucket, "__lo", "__n",
-        idx(F.col("__lo") + 1, n).alias("__ilo"), idx(F.col("__hi"), n).alias("__ihi"))
-    if keep is not None:
-        status = status.filter((F.col("__ilo") <= keep) & (F.col("__ihi") >= keep))
-    j = df.join(status, [*part, bucket])
-    whole = j.filter(F.col("__ilo") == F.col("__ihi")).withColumn(out, F.col("__ilo"))
-    inner = Window.partitionBy(*part, bucket).orderBy(*order)
-    edge = (j.filter(F.col("__ilo") != F.col("__ihi"))
-              .withColumn(out, idx(F.col("__lo") + F.row_number().over(inner), n)))
-    res = whole.unionByName(edge)
-    if keep is not None:
-        res = res.filter(F.col(out) == keep)
-    return res.drop("__lo", "__n", "__ilo", "__ihi")
+    part = F.col(partition) if partition else F.lit(0)
+    src = df.select(part.alias("__p"), key.alias("__k"), F.col(tie).alias("__t"))
+    src = src.withColumns({"__b1": F.substring("__k", 1, _PREFIX), "__b2": F.substring("__k", _PREFIX + 1, _PREFIX)})
+
+    def straddling(counts: DataFrame, within: list[str], bucket: str, first: bool) -> DataFrame:
+        """Buckets that hold a rank, with the rank range (__lo, __hi]."""
+        before = Window.partitionBy(*within).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+        lo = F.coalesce(F.sum("__c").over(before), F.lit(0)) + (F.lit(0) if first else F.col("__lo"))
+        n = F.sum("__c").over(Window.partitionBy("__p")) if first else F.col("__n")
+        st = counts.select(*within, bucket, lo.alias("__lo"), (lo + F.col("__c")).alias("__hi"), n.alias("__n"))
+        hit = F.lit(False)
+        for r in ranks:
+            hit = hit | ((F.col("__lo") < r(F.col("__n"))) & (r(F.col("__n")) <= F.col("__hi")))
+        return st.filter(hit).drop("__hi")
+
+    one = straddling(src.groupBy("__p", "__b1").agg(F.count(F.lit(1)).alias("__c")), ["__p"], "__b1", True)
+    two = src.join(one, ["__p", "__b1"]).groupBy("__p", "__b1", "__b2").agg(
+        F.count(F.lit(1)).alias("__c"), F.first("__lo").alias("__lo"), F.first("__n").alias("__n"))
+    two = straddling(two, ["__p", "__b1"], "__b2", False)
+    inner = Window.partitionBy("__p", "__b1", "__b2").orderBy("__k", "__t")
+    rows = src.join(two, ["__p", "__b1", "__b2"]).withColumn("__r", F.col("__lo") + F.row_number().over(inner))
+    at = [F.max(F.when(F.col("__r") == r(F.col("__n")), F.struct("__k", "__t"))).alias(f"c{i}") for i, r in enumerate(ranks)]
+    cuts = rows.groupBy("__p").agg(F.first("__n").alias("n"), *at).collect()
+    return {r["__p"]: (r["n"], [r[f"c{i}"] and tuple(r[f"c{i}"]) for i in range(len(ranks))]) for r in cuts}
 
 
 def values_at_ranks(df: DataFrame, bucket: str, order: Sequence[Column], value: str,

@@ -5,8 +5,7 @@ are aggregate-first: Spark runs a partial (map-side) aggregate, shuffles
 only one row per key and partition, and finishes the aggregate; windows
 run only on those aggregated rows, whose count is bounded by the key
 domain, never on the raw rows. Global scalars (the overall rate) stay in
-the plan as a one-row aggregate that is cross-joined (broadcast) rather
-than collected.
+the plan as scalar subqueries rather than being collected.
 """
 
 from __future__ import annotations
@@ -21,9 +20,10 @@ from cohortlens.functions import (
 from cohortlens.operators import roles as R
 
 
-def _global_rate(df: DataFrame, label: str, name: str = "base_rate") -> DataFrame:
-    """One-row frame with the overall rate, kept lazy for a broadcast cross join."""
-    return df.agg(rate(label).alias(name))
+def valid_age(df: DataFrame, age: str = R.AGE) -> DataFrame:
+    """Rows with an age of zero or more: the training-side filter that all
+    steps after the age profile work on."""
+    return df.filter(F.col(age) >= 0)
 
 
 # --------------------------------------------------------------- scalars
@@ -182,7 +182,7 @@ def rate_by_gender(df: DataFrame, gender: str = R.GENDER, label: str = R.LABEL)
 
 def rate_by_age_band(df: DataFrame, age: str = R.AGE, label: str = R.LABEL) -> DataFrame:
     """Rate by decade of age (90+ pooled), over rows with a valid age."""
-    banded = (df.filter(F.col(age) >= 0)
+    banded = (valid_age(df, age)
                 .select(decade_band(age).alias("rounded_age"), label)
                 .filter(F.col("rounded_age") >= 0))
     return rate_by(banded, "rounded_age", label)
@@ -215,13 +215,14 @@ def bias_by_same_day_visits(df: DataFrame, entity: str = R.ENTITY, day: str = R.
 
     ``base_rate`` (one row, column ``base_rate``) may be given to use a
     rate computed on another frame (the original used the rate from
-    before an age filter); by default it is the rate of ``df``.
+    before its age filter); by default it is the rate of ``df``, summed
+    from the per-count table instead of a second pass.
     """
     per_day = df.groupBy(entity, day).agg(F.count(F.lit(1)).alias("nbr"),
                                           F.sum(as_flag(label)).alias("pos"))
     by_n = per_day.groupBy(F.col("nbr").alias("nbr_app_that_day")).agg(
         F.sum("nbr").alias("rows"), F.sum("pos").alias("pos"))
-    base = base_rate if base_rate is not None else _global_rate(df, label)
+    base = base_rate if base_rate is not None else by_n.agg((F.sum("pos") / F.sum("rows")).alias("base_rate"))
     return (by_n
             .select("nbr_app_that_day",
                     rounded(F.col("pos") / F.col("rows") - base.select("base_rate").scalar()).alias("bias"),
@@ -246,16 +247,17 @@ def group_rate_extremes(df: DataFrame, n: int = 10, min_rows: int = 20,
     """The ``n`` highest and ``n`` lowest group rates among groups with at
     least ``min_rows`` rows (all groups when there are ``2n`` or fewer).
 
-    Order is rate descending, then group name; the lowest ``n`` are the
+    Order is the unrounded rate descending, then group name; the lowest ``n`` are the
     last ``n`` of that order. Two distributed top-n's and a union, so the
     number of groups never has to fit one task.
     """
     stats = (df.groupBy(group)
-               .agg(rounded(rate(label)).alias("no_show_ratio"), F.count(F.lit(1)).alias("count"))
+               .agg(rate(label).alias("__rate"), F.count(F.lit(1)).alias("count"))
                .filter(F.col("count") >= min_rows))
-    top = stats.orderBy(F.col("no_show_ratio").desc(), F.col(group).asc()).limit(n)
-    bottom = stats.orderBy(F.col("no_show_ratio").asc(), F.col(group).desc()).limit(n)
-    return top.unionByName(bottom).dropDuplicates([group])
+    top = stats.orderBy(F.col("__rate").desc(), F.col(group).asc()).limit(n)
+    bottom = stats.orderBy(F.col("__rate").asc(), F.col(group).desc()).limit(n)
+    both = top.unionByName(bottom).dropDuplicates([group])
+    return both.select(group, rounded("__rate").alias("no_show_ratio"), "count")
 
 
 # ------------------------------------------------------------ histograms
@@ -302,10 +304,10 @@ def hist_bins(df: DataFrame, col: str = R.AGE, bins: int = 30) -> DataFrame:
 
 def hist_age_binwidth(df: DataFrame, age: str = R.AGE) -> DataFrame:
     """Appointments by age in 5-year bins, over rows with a valid age."""
-    return hist_binwidth(df.filter(F.col(age) >= 0), age, 5)
+    return hist_binwidth(valid_age(df, age), age, 5)
 
 
 def hist_age_30bins(df: DataFrame, entity: str = R.ENTITY, age: str = R.AGE) -> DataFrame:
     """Entities by their highest age, 30 bins, over rows with a valid age."""
-    per_entity = df.filter(F.col(age) >= 0).groupBy(entity).agg(F.max(age).alias(age))
+    per_entity = valid_age(df, age).groupBy(entity).agg(F.max(age).alias(age))
     return hist_bins(per_entity, age, 30)

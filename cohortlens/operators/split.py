@@ -1,31 +1,29 @@
 """Reproducible splitting: stratified holdouts, k folds, balanced samples.
 
-Randomness is an md5 order key of ``'<id>:<seed>'`` (see
+Randomness is an md5 order key of ``'<id>:<seed>:<purpose>'`` (see
 ``functions.hash_key``): independent of partitioning and of task retries,
-so a lost executor recomputes exactly the same membership.
-Exact per-stratum sizes come from bucketed row numbers
-(``operators.ordering``), never from a single global window.
+so a lost executor recomputes exactly the same membership, and independent
+between the test cut, the dev cut, the folds and the samples.
+Exact sizes come from the keys at the cut ranks (``ordering.rank_cuts``):
+a row's membership is a comparison of its own key with them, so rows are
+neither joined, sorted nor copied.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.functions import hash_bucket, hash_key
+from cohortlens.functions import hash_key
 from cohortlens.operators import roles as R
-from cohortlens.operators.ordering import (
-    assign_by_rank, hex_digits_for, quantile_buckets, values_at_ranks,
-)
-from cohortlens.session import materialize
+from cohortlens.operators.ordering import quantile_buckets, rank_cuts, values_at_ranks
 
 QUARTILES = (0.25, 0.5, 0.75)
 
 
 def quantile_strata(df: DataFrame, y: str = R.ROW_ID, tie: str = R.ROW_ID,
-                    probs=QUARTILES, out: str = "stratum", n_buckets: int = 1024) -> DataFrame:
+                    probs=QUARTILES, out: str = "stratum",
+                    rows: DataFrame | None = None) -> DataFrame:
     """Stratum of each row by the quantiles of numeric ``y``: intervals
     ``[q0, q1], (q1, q2], ...`` of the type-7 (linearly interpolated)
     quantiles, as ``cut(y, unique(quantile(y, probs)), include.lowest=TRUE)``.
@@ -34,91 +32,86 @@ def quantile_strata(df: DataFrame, y: str = R.ROW_ID, tie: str = R.ROW_ID,
     order statistic at 0-based rank ``floor((n - 1) p)``. Those order
     statistics are selected exactly (``ordering.values_at_ranks``): only
     the few value buckets that hold them are ranked, so no task ever holds
-    all values.
+    all values. ``rows`` gives the rows whose quantiles count, if not all.
     """
-    yb = quantile_buckets(df.select(y, tie), y, "__qb", n_buckets)
+    yb = quantile_buckets((df if rows is None else rows).select(*dict.fromkeys((y, tie))), y, "__qb")
     ranks = [lambda n, p=p: F.floor((n - 1) * p) + 1 for p in probs]
-    cuts = values_at_ranks(yb, "__qb", [F.col(y), F.col(tie)], y, ranks)
-    # one scalar subquery (a struct of all cuts): computed once, inlined
-    c = cuts.select(F.struct(*cuts.columns).alias("c")).scalar()
+    cuts = values_at_ranks(yb, "__qb", [F.col(y), F.col(tie)], y, ranks).first()
     stratum = F.lit(len(probs))
     for i in reversed(range(len(probs))):
-        stratum = F.when(F.col(y) <= c.getField(f"__v{i}"), F.lit(i)).otherwise(stratum)
+        stratum = F.when(F.col(y) <= F.lit(cuts[f"__v{i}"]), F.lit(i)).otherwise(stratum)
     return df.withColumn(out, stratum)
 
 
+def _at_most(key: Column, id_col: str, cut: tuple | None) -> Column:
+    """(key, id) is at or before the cut in order."""
+    if cut is None:
+        return F.lit(False)
+    return (key < F.lit(cut[0])) | ((key == F.lit(cut[0])) & (F.col(id_col) <= F.lit(cut[1])))
+
+
+def _at_most_in(key: Column, id_col: str, part: str, cuts: dict) -> Column:
+    """The same with the first cut of the row's partition value."""
+    inside = F.lit(False)
+    for value, (_, at) in cuts.items():
+        inside = F.when(F.col(part).eqNullSafe(F.lit(value)), _at_most(key, id_col, at[0])).otherwise(inside)
+    return inside
+
+
 def holdout_split(df: DataFrame, p: float = 0.1, seed: int = 1, y: str = R.ROW_ID,
-                  id_col: str = R.ROW_ID, out: str = "in_holdout",
-                  hex_digits: int | None = None, checkpoint: bool = True) -> DataFrame:
+                  id_col: str = R.ROW_ID, out: str = "in_holdout", purpose: str = "test",
+                  where: Column | None = None) -> DataFrame:
     """Stratified holdout flag: per quartile stratum of ``y``,
-    ``ceil(p * n_stratum)`` rows in md5 order are flagged. Only the md5
-    buckets that straddle the cut get exact row numbers
-    (``ordering.assign_by_rank``); all other rows are decided by a map-side
-    join with the per-bucket rank ranges.
-
-    Returns ``df`` plus ``stratum`` and the boolean ``out``. With
-    ``checkpoint`` the stratum-annotated rows are written once to the shared
-    checkpoint folder: the rank passes below then re-read that copy instead
-    of re-running the quantile selection and ``df``'s own plan each time.
-    """
-    s = quantile_strata(df, y, id_col)
-    if checkpoint:
-        s = materialize(s)
-    if hex_digits is None:
-        # bucket count sized from the row count (cheap on the written copy)
-        hex_digits = hex_digits_for(s.count()) if checkpoint else 4
-    s = s.withColumns({"__h": hash_key(id_col, seed), "__hb": hash_bucket("__h", hex_digits)})
-    inside = lambda rank, n: F.when(rank <= F.ceil(n * F.lit(float(p))), 0).otherwise(1)
-    flagged = assign_by_rank(s, "__hb", [F.col("__h"), F.col(id_col)], inside,
-                             partition=["stratum"], out="__i")
-    return flagged.withColumn(out, F.col("__i") == 0).drop("__h", "__hb", "__i")
+    ``ceil(p * n_stratum)`` rows in md5 order are flagged.
+
+    ``where`` restricts the split to a part of the rows (the others are
+    never flagged and count nowhere). Returns ``df`` plus ``stratum`` and
+    the boolean ``out``: a projection. The quartiles and the cut keys come
+    from small jobs over the id columns only."""
+    rows = df if where is None else df.filter(where)
+    s = quantile_strata(df, y, id_col, rows=rows)
+    key = hash_key(id_col, seed, purpose)
+    narrow = s if where is None else s.filter(where)
+    cuts = rank_cuts(narrow.select(*dict.fromkeys((id_col, "stratum"))), key, id_col,
+                     [lambda n: F.ceil(n * F.lit(float(p)))], "stratum")
+    inside = _at_most_in(key, id_col, "stratum", cuts)
+    return s.withColumn(out, inside if where is None else F.coalesce(where & inside, F.lit(False)))
 
 
 def three_way_split(df: DataFrame, p_test: float = 0.1, p_dev: float = 0.1, seed: int = 1,
-                    y: str = R.ROW_ID, id_col: str = R.ROW_ID,
-                    checkpoint: bool = True) -> DataFrame:
+                    y: str = R.ROW_ID, id_col: str = R.ROW_ID) -> DataFrame:
     """``split`` in {test, dev, train}: a stratified test holdout, then a
-    stratified dev holdout of the remaining rows (same procedure).
-
-    The first split is checkpointed (lineage cut in the shared folder)
-    before the second is planned on top of it."""
-    first = holdout_split(df, p_test, seed, y, id_col, out="__test",
-                          checkpoint=checkpoint).drop("stratum")
-    if checkpoint:
-        first = materialize(first)
-    test = first.filter(F.col("__test")).drop("__test").withColumn("split", F.lit("test"))
-    rest = first.filter(~F.col("__test")).drop("__test")
-    second = holdout_split(rest, p_dev, seed, y, id_col, out="__dev",
-                           checkpoint=checkpoint).drop("stratum")
-    rest = second.withColumn("split", F.when(F.col("__dev"), "dev").otherwise("train")).drop("__dev")
-    return test.unionByName(rest)
+    stratified dev holdout of the remaining rows with a key of its own."""
+    first = holdout_split(df, p_test, seed, y, id_col, "__test", "test").drop("stratum")
+    second = holdout_split(first, p_dev, seed, y, id_col, "__dev", "dev", where=~F.col("__test"))
+    split = F.when(F.col("__test"), "test").when(F.col("__dev"), "dev").otherwise("train")
+    return second.withColumn("split", split).drop("stratum", "__test", "__dev")
 
 
 def kfold_assign(df: DataFrame, folds: int = 10, seed: int = 1, id_col: str = R.ROW_ID,
-                 out: str = "fold", hex_digits: int | None = 4) -> DataFrame:
+                 out: str = "fold") -> DataFrame:
     """Fold 1..``folds`` of each row: a random permutation (md5 order) cut
     into ``folds`` consecutive slices, ``floor((rn - 1) * folds / L) + 1``.
-    Slice sizes differ by at most one and every row gets a fold.
-    ``hex_digits=None`` sizes the md5 buckets from a row count (one pass)."""
-    if hex_digits is None:
-        hex_digits = hex_digits_for(df.count())
-    h = df.withColumns({"__h": hash_key(id_col, seed), "__hb": hash_bucket("__h", hex_digits)})
-    fold = lambda rank, n: (F.floor((rank - 1) * folds / n) + 1).cast("int")
-    return assign_by_rank(h, "__hb", [F.col("__h"), F.col(id_col)], fold, out=out).drop("__h", "__hb")
+    Slice sizes differ by at most one and every row gets a fold."""
+    key = hash_key(id_col, seed, "fold")
+    # The last rank of fold f is ceil(f * L / folds).
+    ends = [lambda n, f=f: F.ceil(F.lit(f) * n / F.lit(folds)) for f in range(1, folds)]
+    _, cuts = rank_cuts(df.select(id_col), key, id_col, ends).get(0, (0, [None] * folds))
+    fold = F.lit(folds)
+    for f in reversed(range(1, folds)):
+        fold = F.when(_at_most(key, id_col, cuts[f - 1]), F.lit(f)).otherwise(fold)
+    return df.withColumn(out, fold.cast("int"))
 
 
 def balanced_sample(df: DataFrame, n_per_class: int = 500, label: str = R.LABEL,
-                    seed: int = 1, id_col: str = R.ROW_ID, hex_digits: int | None = 4) -> DataFrame:
+                    seed: int = 1, id_col: str = R.ROW_ID) -> DataFrame:
     """Exactly ``n_per_class`` rows of each label value (all of a class
     that has fewer), chosen in md5 order: the equal down-sampling used
-    for a class-balanced forest. The sample size is the feature.
-    ``hex_digits=None`` sizes the md5 buckets from a row count (one pass)."""
-    if hex_digits is None:
-        hex_digits = hex_digits_for(df.count())
-    h = df.withColumns({"__h": hash_key(id_col, seed), "__hb": hash_bucket("__h", hex_digits)})
-    first = lambda rank, n: F.when(rank <= n_per_class, 0).otherwise(1)
-    return assign_by_rank(h, "__hb", [F.col("__h"), F.col(id_col)], first, partition=[label],
-                          out="__i", keep=0).drop("__h", "__hb", "__i")
+    for a class-balanced forest. The sample size is the feature."""
+    key = hash_key(id_col, seed, "balance")
+    cuts = rank_cuts(df.select(*dict.fromkeys((id_col, label))), key, id_col,
+                     [lambda n: F.least(n, F.lit(n_per_class))], label)
+    return df.filter(_at_most_in(key, id_col, label, cuts))
 
 
 def holdout_complement(df: DataFrame, holdout: DataFrame, key: str = R.ROW_ID) -> DataFrame:
@@ -133,7 +126,3 @@ def recombine(*frames: DataFrame) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out
-
-
-def expected_holdout_size(stratum_sizes, p: float) -> int:
-    return sum(math.ceil(p * n) for n in stratum_sizes)

@@ -24,6 +24,18 @@ def _on_view(fn) -> Query:
     return lambda spark, d: fn(appointments(spark, d))
 
 
+def _on_valid(fn) -> Query:
+    """Steps after the age filter."""
+    return lambda spark, d: fn(P.valid_age(appointments(spark, d)))
+
+
+def _same_day_bias(spark: SparkSession, d: str) -> DataFrame:
+    """Rows after the age filter against the rate from before it."""
+    view = appointments(spark, d)
+    before = view.agg(F.avg(F.col("no_show").cast("int")).alias("base_rate"))
+    return P.bias_by_same_day_visits(P.valid_age(view), base_rate=before)
+
+
 def _scan_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Write the view in the raw CSV layout to the shared checkpoint
     folder, read it back with the fixed schema and recode it."""
@@ -54,18 +66,18 @@ PROFILE_QUERIES: dict[str, Query] = {
     "count_by_gender": _on_view(P.count_by_gender),
     "rate_by_gender": _on_view(P.rate_by_gender),
     "rate_by_age_band": _on_view(P.rate_by_age_band),
-    "rate_by_date": _on_view(P.rate_by_date),
-    "rate_by_days_between": _on_view(P.rate_by_days_between),
-    "rate_by_weekday": _on_view(P.rate_by_weekday),
-    "sms_effect": _on_view(P.sms_effect),
-    "bias_by_same_day_visits": _on_view(P.bias_by_same_day_visits),
-    "top5_groups": _on_view(lambda df: P.top_groups(df, 5)),
-    "bottom5_groups": _on_view(lambda df: P.top_groups(df, 5, ascending=True)),
-    "group_rate_extremes": _on_view(P.group_rate_extremes),
+    "rate_by_date": _on_valid(P.rate_by_date),
+    "rate_by_days_between": _on_valid(P.rate_by_days_between),
+    "rate_by_weekday": _on_valid(P.rate_by_weekday),
+    "sms_effect": _on_valid(P.sms_effect),
+    "bias_by_same_day_visits": _same_day_bias,
+    "top5_groups": _on_valid(lambda df: P.top_groups(df, 5)),
+    "bottom5_groups": _on_valid(lambda df: P.top_groups(df, 5, ascending=True)),
+    "group_rate_extremes": _on_valid(P.group_rate_extremes),
     "hist_age_binwidth": _on_view(P.hist_age_binwidth),
     "hist_age_30bins": _on_view(P.hist_age_30bins),
     "preview": _on_view(lambda df: inspect.preview(df, "appointment_id", 10)),
-    "profile_columns": _on_view(inspect.profile_columns),
+    "profile_columns": _on_view(lambda df: inspect.profile_columns(df, ("gender", "neighbourhood", "handcap"))),
     "completeness_check": _on_view(inspect.completeness_check),
     "recode_types": _recode_types,
     "scan_csv_roundtrip": _scan_csv_roundtrip,
@@ -135,8 +147,9 @@ def _natural_left_join(spark, d):
 
 
 def feature_matrix(spark, d, lambda_nbh: int = 50):
-    """Encoders fitted on the non-holdout rows, applied to every row."""
-    split = materialize(_holdout(spark, d).drop("stratum"))
+    """Encoders fitted on the training rows (not held out, valid age),
+    applied to these and to all holdout rows."""
+    split = _holdout(spark, d).drop("stratum").filter(F.col("in_holdout") | (F.col("age") >= 0))
     train = split.filter(~F.col("in_holdout"))
     fitted = FeaturePlan(lambda_nbh=lambda_nbh).fit(train)
     return fitted.transform(split)
@@ -161,8 +174,7 @@ def _design_matrix(spark, d):
 
 
 def _oof(spark, d):
-    # the fold table feeds four aggregates and the final join: write it once
-    folds = materialize(SPL.kfold_assign(appointments(spark, d), folds=10, seed=1))
+    folds = SPL.kfold_assign(appointments(spark, d), folds=10, seed=1)
     enc = ENC.oof_target_encode(folds, "neighbourhood", 100, "bias_per_nbh")
     return enc.select("appointment_id", "fold", _rounded("bias_per_nbh").alias("bias_per_nbh"))
 
@@ -203,7 +215,7 @@ def _cutoff_search(spark, d):
 
 def _two_class(spark, d):
     s = scored_by_days(spark, d)
-    s = materialize(SPL.kfold_assign(s, folds=10, seed=1))
+    s = SPL.kfold_assign(s, folds=10, seed=1)
     return MET.two_class_summary(s, "score", "no_show", ["fold"])
 
 
@@ -239,9 +251,10 @@ from cohortlens.sources import read_table  # noqa: E402
 
 
 def train_dev(spark, d):
-    """The three-way split's train and dev rows (test is never touched)."""
+    """The three-way split's train rows with a valid age and all its dev
+    rows (test is never touched)."""
     s = materialize(_three_way(spark, d))
-    train = s.filter(F.col("split") == "train").drop("split")
+    train = P.valid_age(s.filter(F.col("split") == "train").drop("split"))
     dev = s.filter(F.col("split") == "dev").drop("split")
     return train, dev
 
@@ -287,8 +300,10 @@ def _importance(spark, d):
 
 
 def _non_test(spark, d):
+    """Rows to learn from (valid age) and the untouched, unfiltered test rows."""
     s = materialize(_three_way(spark, d))
-    return s.filter(F.col("split") != "test").drop("split"), s.filter(F.col("split") == "test").drop("split")
+    rest = P.valid_age(s.filter(F.col("split") != "test").drop("split"))
+    return rest, s.filter(F.col("split") == "test").drop("split")
 
 
 def _tune_grid(spark, d):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Settings every job relies on: UTC wall clock (the fixture timestamps are
@@ -50,7 +51,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts.
 
     A cluster names it in ``spark.checkpoint.dir``; that value is always
-    used. Only when it is unset (local tests) a scratch folder is made.
+    used. Where it is unset, a folder set on the context is used, and only a
+    local session (tests) gets a scratch folder: executors of a cluster
+    could not see one, so there a missing folder is an error.
     """
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None)
@@ -58,6 +61,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         current = sc._jsc.sc().getCheckpointDir()
         path = current.get() if current.isDefined() else None
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="cohortlens-ckpt-",
                                 dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
@@ -75,22 +80,27 @@ def materialize(df):
 _TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 
 
-def size_shuffle_partitions(spark, base_dir: str, tables=("events", "lineitem")) -> int | None:
+_SIZED = "cohortlens.shuffle.sized"
+
+
+def size_shuffle_partitions(spark, base_dir: str, tables=("events", "lineitem", "documents")) -> int | None:
     """Set ``spark.sql.shuffle.partitions`` from the input size when the
-    session still runs with Spark's default (200): one partition per
+    session runs with Spark's default (200) or with a value that an earlier
+    call set for another input: one partition per
     128 MB of the largest input table (Catalyst's size estimate, so any
     filesystem works), at least the cluster's default parallelism. AQE
     still coalesces small shuffles at run time. A value set explicitly by
     the cluster or user is left alone. Returns the value set, or None."""
-    if spark.conf.get("spark.sql.shuffle.partitions") != "200":
+    if spark.conf.get("spark.sql.shuffle.partitions") not in ("200", spark.conf.get(_SIZED, "200")):
         return None
     size = 0
     for t in tables:
         try:
             plan = spark.read.parquet(f"{base_dir.rstrip('/')}/{t}.parquet")._jdf.queryExecution()
             size = max(size, int(plan.optimizedPlan().stats().sizeInBytes().toString()))
-        except Exception:  # noqa: BLE001 - a table may be absent
+        except AnalysisException:  # the table is absent
             continue
     n = max(spark.sparkContext.defaultParallelism, -(-size // _TARGET_PARTITION_BYTES))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set(_SIZED, str(n))
     return n

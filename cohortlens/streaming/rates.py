@@ -20,7 +20,7 @@ from cohortlens.sources.tables import read_table
 
 
 def appointment_stream(spark: SparkSession, base_dir: str, events_path: str | None = None,
-                       max_files_per_trigger: int = 1) -> DataFrame:
+                       max_files_per_trigger: int | None = None) -> DataFrame:
     """A streaming appointments frame: events read as a parquet file stream
     (``events_path``, a folder, defaults to the table's own path)."""
     path = events_path or f"{base_dir.rstrip('/')}/events.parquet"

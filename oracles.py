@@ -46,18 +46,25 @@ RATE = "round(avg(CAST(no_show AS INT)), 6)"
 GAP = "CAST(date_diff('day', CAST(scheduled_ts AS DATE), CAST(appointment_day AS DATE)) AS INT)"
 
 
+VALID = "valid AS (SELECT * FROM appointments WHERE age >= 0)"
+
+
 def with_view(*ctes: str, body: str) -> str:
     """``WITH <appointments>, <ctes...> <body>``."""
     parts = [APPOINTMENTS_CTE.strip()] + [c.strip() for c in ctes]
     return "WITH " + ",\n".join(parts) + "\n" + body
 
 
+PROFILED = ("gender", "neighbourhood", "handcap")
+
+
 def _profile_columns() -> str:
     parts = []
     for c in APPOINTMENT_COLUMNS:
         parts.append(
             f"SELECT '{c}' AS column_name, '{COLUMN_TYPES[c]}' AS data_type, count(*) AS n, "
-            f"count(*) - count({c}) AS n_null, count(DISTINCT {c}) AS n_distinct, "
+            f"count(*) - count({c}) AS n_null, "
+            f"{f'count(DISTINCT {c})' if c in PROFILED else 'CAST(NULL AS BIGINT)'} AS n_distinct, "
             f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value "
             f"FROM appointments")
     return with_view(body="\nUNION ALL\n".join(parts))
@@ -127,36 +134,38 @@ PROFILE = {
         "a AS (SELECT CAST(floor(age / 10) * 10 AS INT) AS r, no_show FROM appointments WHERE age >= 0)",
         "b AS (SELECT CASE WHEN r >= 90 THEN 90 ELSE r END AS rounded_age, no_show FROM a)",
         body=f"SELECT rounded_age, {RATE} AS ratio FROM b WHERE rounded_age >= 0 GROUP BY rounded_age"),
-    "rate_by_date": with_view(body=(
+    "rate_by_date": with_view(VALID, body=(
         f"SELECT CAST(appointment_day AS DATE) AS app_date, {RATE} AS no_show_rate "
-        "FROM appointments GROUP BY 1")),
-    "rate_by_days_between": with_view(body=(
-        f"SELECT {GAP} AS days_between, {RATE} AS ratio FROM appointments GROUP BY 1")),
-    "rate_by_weekday": with_view(body=(
+        "FROM valid GROUP BY 1")),
+    "rate_by_days_between": with_view(VALID, body=(
+        f"SELECT {GAP} AS days_between, {RATE} AS ratio FROM valid GROUP BY 1")),
+    "rate_by_weekday": with_view(VALID, body=(
         f"SELECT CAST(dayofweek(appointment_day) + 1 AS INT) AS weekday, {RATE} AS no_show_mean "
-        "FROM appointments GROUP BY 1")),
-    "sms_effect": with_view(body=(
+        "FROM valid GROUP BY 1")),
+    "sms_effect": with_view(VALID, body=(
         f"SELECT CASE WHEN {GAP} < 3 THEN 'does_not_apply' WHEN sms_received THEN 'yes' ELSE 'no' END "
-        f"AS sms_received, count(*) AS count, {RATE} AS no_show_rate FROM appointments GROUP BY 1")),
+        f"AS sms_received, count(*) AS count, {RATE} AS no_show_rate FROM valid GROUP BY 1")),
     "bias_by_same_day_visits": with_view(
+        VALID,
         "d AS (SELECT patient_id, appointment_day, count(*) AS nbr, sum(CAST(no_show AS INT)) AS pos "
-        "FROM appointments GROUP BY 1, 2)",
+        "FROM valid GROUP BY 1, 2)",
         "n AS (SELECT nbr AS nbr_app_that_day, sum(nbr) AS rows_, sum(pos) AS pos FROM d GROUP BY 1)",
         "g AS (SELECT avg(CAST(no_show AS INT)) AS base_rate FROM appointments)",
         body=("SELECT nbr_app_that_day, round(CAST(pos AS DOUBLE) / rows_ - base_rate, 6) AS bias, "
               "CAST(rows_ / nbr_app_that_day AS DOUBLE) AS count FROM n, g")),
-    "top5_groups": with_view(body=(
-        "SELECT neighbourhood, count(*) AS count FROM appointments GROUP BY neighbourhood "
+    "top5_groups": with_view(VALID, body=(
+        "SELECT neighbourhood, count(*) AS count FROM valid GROUP BY neighbourhood "
         "ORDER BY count DESC, neighbourhood ASC LIMIT 5")),
-    "bottom5_groups": with_view(body=(
-        "SELECT neighbourhood, count(*) AS count FROM appointments GROUP BY neighbourhood "
+    "bottom5_groups": with_view(VALID, body=(
+        "SELECT neighbourhood, count(*) AS count FROM valid GROUP BY neighbourhood "
         "ORDER BY count ASC, neighbourhood ASC LIMIT 5")),
     "group_rate_extremes": with_view(
-        f"s AS (SELECT neighbourhood, {RATE} AS no_show_ratio, count(*) AS count FROM appointments "
+        VALID,
+        "s AS (SELECT neighbourhood, avg(CAST(no_show AS INT)) AS rate, count(*) AS count FROM valid "
         "GROUP BY neighbourhood HAVING count(*) >= 20)",
-        "r AS (SELECT *, row_number() OVER (ORDER BY no_show_ratio DESC, neighbourhood ASC) AS a, "
-        "row_number() OVER (ORDER BY no_show_ratio ASC, neighbourhood DESC) AS b FROM s)",
-        body="SELECT neighbourhood, no_show_ratio, count FROM r WHERE a <= 10 OR b <= 10"),
+        "r AS (SELECT *, row_number() OVER (ORDER BY rate DESC, neighbourhood ASC) AS a, "
+        "row_number() OVER (ORDER BY rate ASC, neighbourhood DESC) AS b FROM s)",
+        body="SELECT neighbourhood, round(rate, 6) AS no_show_ratio, count FROM r WHERE a <= 10 OR b <= 10"),
     "hist_age_binwidth": with_view(
         "x AS (SELECT CAST(ceil((age - 2.5) / 5) AS BIGINT) AS b FROM appointments WHERE age >= 0)",
         "c AS (SELECT b, count(*) AS count FROM x GROUP BY b)",
@@ -185,18 +194,18 @@ ORACLES.update(PROFILE)
 
 # ------------------------------------------------------ splits / encoders
 
-def md5_order(id_col: str = "appointment_id", seed: int = 1) -> str:
-    return f"md5(concat(CAST({id_col} AS VARCHAR), ':{seed}')), {id_col}"
+def md5_order(purpose: str, id_col: str = "appointment_id", seed: int = 1) -> str:
+    return f"md5(concat(CAST({id_col} AS VARCHAR), ':{seed}:{purpose}')), {id_col}"
 
 
-def split_ctes(src: str, name: str, p: float = 0.1, seed: int = 1) -> list[str]:
+def split_ctes(src: str, name: str, purpose: str = "test", p: float = 0.1, seed: int = 1) -> list[str]:
     """Quartile strata of appointment_id, then ceil(p * n) rows per stratum
     in md5 order -> CTE ``name`` = src columns + stratum + in_holdout."""
     return [
         f"{name}_q AS (SELECT quantile_cont(appointment_id, [0.25, 0.5, 0.75]) AS qs FROM {src})",
         f"{name}_s AS (SELECT x.*, CASE WHEN appointment_id <= qs[1] THEN 0 WHEN appointment_id <= qs[2] "
         f"THEN 1 WHEN appointment_id <= qs[3] THEN 2 ELSE 3 END AS stratum FROM {src} x, {name}_q)",
-        f"{name}_h AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY {md5_order(seed=seed)}) "
+        f"{name}_h AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY {md5_order(purpose, seed=seed)}) "
         f"AS rn_, count(*) OVER (PARTITION BY stratum) AS ns_ FROM {name}_s)",
         f"{name} AS (SELECT * EXCLUDE (rn_, ns_), rn_ <= ceil({p} * ns_) AS in_holdout FROM {name}_h)",
     ]
@@ -204,13 +213,13 @@ def split_ctes(src: str, name: str, p: float = 0.1, seed: int = 1) -> list[str]:
 
 THREE_WAY = split_ctes("appointments", "sp1") + [
     "rest AS (SELECT * EXCLUDE (stratum, in_holdout) FROM sp1 WHERE NOT in_holdout)",
-] + split_ctes("rest", "sp2") + [
+] + split_ctes("rest", "sp2", "dev") + [
     "three AS (SELECT appointment_id, 'test' AS split FROM sp1 WHERE in_holdout UNION ALL "
     "SELECT appointment_id, CASE WHEN in_holdout THEN 'dev' ELSE 'train' END AS split FROM sp2)",
 ]
 
 KFOLD = ("k AS (SELECT a.*, CAST(floor((row_number() OVER (ORDER BY "
-         f"{md5_order()}) - 1) * 10 / count(*) OVER ()) + 1 AS INT) AS fold FROM appointments a)")
+         f"{md5_order('fold')}) - 1) * 10 / count(*) OVER ()) + 1 AS INT) AS fold FROM appointments a)")
 
 DAYS_SCORED = [
     f"dv AS (SELECT *, {GAP} AS days_between FROM appointments)",
@@ -262,7 +271,7 @@ _FM_COLS = ("s.appointment_id, s.patient_id, s.gender, s.scheduled_ts, s.appoint
 
 def _feature_ctes(lam: int) -> list[str]:
     return split_ctes("appointments", "sp1") + [
-        "tr AS (SELECT * FROM sp1 WHERE NOT in_holdout)",
+        "tr AS (SELECT * FROM sp1 WHERE NOT in_holdout AND age >= 0)",
         "g AS (SELECT avg(CAST(no_show AS INT)) AS base_rate FROM tr)",
         "nb AS (SELECT neighbourhood, avg(CAST(no_show AS INT)) - (SELECT base_rate FROM g) AS bias_per_nbh "
         f"FROM tr GROUP BY neighbourhood HAVING count(*) > {lam})",
@@ -275,7 +284,7 @@ def _feature_ctes(lam: int) -> list[str]:
         "CAST(dayofweek(s.appointment_day) + 1 AS INT) AS wday_app, CAST(hour(s.scheduled_ts) AS INT) AS hour_sched, "
         "CAST(coalesce(pp.nbr_app_per_patient, 0) AS DOUBLE) AS nbr_app_per_patient, "
         "CAST(coalesce(pd.nbr_app_that_day, 0) AS DOUBLE) AS nbr_app_that_day "
-        "FROM sp1 s LEFT JOIN nb USING (neighbourhood) LEFT JOIN pp USING (patient_id) "
+        "FROM (SELECT * FROM sp1 WHERE in_holdout OR age >= 0) s LEFT JOIN nb USING (neighbourhood) LEFT JOIN pp USING (patient_id) "
         "LEFT JOIN pd USING (patient_id, appointment_day))",
     ]
 
@@ -304,7 +313,7 @@ MODEL_FREE = {
     "recombine_splits": with_view(*THREE_WAY, body="SELECT * FROM three WHERE split <> 'test'"),
     "kfold_assign": with_view(KFOLD, body="SELECT appointment_id, fold FROM k"),
     "balanced_sample": with_view(
-        f"b AS (SELECT appointment_id, no_show, row_number() OVER (PARTITION BY no_show ORDER BY {md5_order()}) "
+        f"b AS (SELECT appointment_id, no_show, row_number() OVER (PARTITION BY no_show ORDER BY {md5_order('balance')}) "
         "AS rn FROM appointments)", body="SELECT appointment_id, no_show FROM b WHERE rn <= 500"),
     "bias_per_group": with_view(
         "g AS (SELECT avg(CAST(no_show AS INT)) AS base_rate FROM appointments)",
@@ -353,7 +362,7 @@ MODEL_FREE = {
     "two_class_summary": with_view(
         *DAYS_SCORED,
         "k AS (SELECT s.*, CAST(floor((row_number() OVER (ORDER BY "
-        f"{md5_order()}) - 1) * 10 / count(*) OVER ()) + 1 AS INT) AS fold FROM scored s)",
+        f"{md5_order('fold')}) - 1) * 10 / count(*) OVER ()) + 1 AS INT) AS fold FROM scored s)",
         "pts AS (SELECT fold, score, sum(CAST(no_show AS INT)) AS pos, sum(1 - CAST(no_show AS INT)) AS neg "
         "FROM k GROUP BY 1, 2)",
         "cum AS (SELECT *, sum(pos) OVER (PARTITION BY fold ORDER BY score DESC) AS tp, "
@@ -429,11 +438,11 @@ OTHER_TABLES = {
         "SELECT nbr_app_that_day, round(CAST(pos AS DOUBLE) / rows_ - base_rate, 6) AS bias, "
         "CAST(rows_ / nbr_app_that_day AS DOUBLE) AS count FROM n, g"),
     "ship_group_rate_extremes": (
-        f"WITH {SHIP}, t AS (SELECT l_suppkey, round(avg(CAST(returned AS INT)), 6) AS no_show_ratio, "
+        f"WITH {SHIP}, t AS (SELECT l_suppkey, avg(CAST(returned AS INT)) AS rate, "
         "count(*) AS count FROM s GROUP BY l_suppkey HAVING count(*) >= 20), "
-        "r AS (SELECT *, row_number() OVER (ORDER BY no_show_ratio DESC, l_suppkey ASC) AS a, "
-        "row_number() OVER (ORDER BY no_show_ratio ASC, l_suppkey DESC) AS b FROM t) "
-        "SELECT l_suppkey, no_show_ratio, count FROM r WHERE a <= 10 OR b <= 10"),
+        "r AS (SELECT *, row_number() OVER (ORDER BY rate DESC, l_suppkey ASC) AS a, "
+        "row_number() OVER (ORDER BY rate ASC, l_suppkey DESC) AS b FROM t) "
+        "SELECT l_suppkey, round(rate, 6) AS no_show_ratio, count FROM r WHERE a <= 10 OR b <= 10"),
     "ship_visits_cumulative": (
         f"WITH {SHIP}, p AS (SELECT o_custkey, count(*) AS n FROM s GROUP BY 1), "
         "b AS (SELECT CASE WHEN n > 9 THEN 'ten_or_more' ELSE CAST(n AS VARCHAR) END AS app_number_per_patient, "

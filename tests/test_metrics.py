@@ -44,6 +44,23 @@ def test_auc_one_class_is_null_and_empty_is_empty(spark):
     assert [r.auc for r in empty] == [None]
 
 
+def test_rows_without_score_or_label_count_nowhere(spark):
+    rows = [(0.9, True), (0.8, True), (0.2, False), (0.1, False)]
+    more = rows + [(None, False)] * 4 + [(0.95, None)]
+    assert M.roc_auc(frame(spark, more), "score", "label").first()["auc"] == 1.0
+    key = lambda df: sorted(tuple(r) for r in df.collect())
+    assert key(M.roc_curve(frame(spark, more), "score", "label")) == key(M.roc_curve(frame(spark, rows), "score", "label"))
+    assert key(M.confusion_at_cutoffs(frame(spark, more), "score", "label", [0.5])) == key(
+        M.confusion_at_cutoffs(frame(spark, rows), "score", "label", [0.5]))
+
+
+def test_auc_of_many_distinct_scores(spark):
+    rnd = random.Random(2)
+    rows = [(rnd.random(), rnd.random() < 0.4) for _ in range(900)]
+    auc = M.roc_auc(frame(spark, rows), "score", "label").first()["auc"]
+    assert auc == pytest.approx(pairwise_auc(rows), abs=1e-6)
+
+
 def test_auc_unchanged_under_repartition(spark):
     rnd = random.Random(3)
     rows = [(rnd.random(), rnd.random() < 0.4) for _ in range(300)]

@@ -3,29 +3,27 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cohortlens.functions import hash_bucket, hash_key
+from cohortlens.functions import hash_key
 from cohortlens.operators import ordering as O
 from cohortlens.plans.tune import param_grid
 
 
-def test_hex_digits_for_grows_with_rows():
-    assert O.hex_digits_for(10_000) == 2
-    assert O.hex_digits_for(16 ** 4 * (1 << 20)) == 4
-    assert O.hex_digits_for(10 ** 15) == 7
-
-
-def test_assign_by_rank_equals_full_ranking(spark):
-    df = (spark.range(0, 2000).withColumn("g", (F.col("id") % 3).cast("int"))
-          .withColumn("h", hash_key("id", 3)).withColumn("hb", hash_bucket("h", 2)))
-    idx = lambda rank, n: F.floor((rank - 1) * 7 / n).cast("int")
-    got = O.assign_by_rank(df, "hb", [F.col("h"), F.col("id")], idx, partition=["g"], out="i")
-    w = Window.partitionBy("g").orderBy("h", "id")
-    want = (df.withColumn("rn", F.row_number().over(w))
-              .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("g")))
-              .withColumn("i", F.floor((F.col("rn") - 1) * 7 / F.col("n")).cast("int")))
-    assert sorted(got.select("id", "i").collect()) == sorted(want.select("id", "i").collect())
-    kept = O.assign_by_rank(df, "hb", [F.col("h"), F.col("id")], idx, partition=["g"], out="i", keep=0)
-    assert sorted(r.id for r in kept.collect()) == sorted(r.id for r in want.filter("i = 0").collect())
+def test_buckets_follow_the_row_count():
+    assert O.buckets_for(10_000) == O.LEAST_BUCKETS
+    assert O.buckets_for(10 ** 12) > 900_000
+
+
+def test_rank_cuts_equal_full_ranking(spark):
+    df = spark.range(0, 2000).withColumn("g", (F.col("id") % 3).cast("int"))
+    key = hash_key("id", 3, "x")
+    ranks = [lambda n: F.lit(1), lambda n: F.floor(n * 0.3), lambda n: n, lambda n: n + 1]
+    cuts = O.rank_cuts(df, key, "id", ranks, "g")
+    got = {g: (n, *[c and c[1] for c in at]) for g, (n, at) in cuts.items()}
+    w = Window.partitionBy("g").orderBy(key, "id")
+    full = df.withColumn("rn", F.row_number().over(w)).collect()
+    for g, (n, first, part, last, none) in got.items():
+        at = {r.rn: r.id for r in full if r.g == g}
+        assert (n, first, part, last, none) == (len(at), at[1], at[int(len(at) * 0.3)], at[len(at)], None)
 
 
 def test_values_at_ranks_picks_order_statistics(spark):

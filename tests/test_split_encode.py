@@ -3,12 +3,9 @@
 import math
 
 import pytest
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cohortlens.functions import hash_key
 from cohortlens.operators import encode as ENC
-from cohortlens.operators import ordering as O
 from cohortlens.operators import profile as P
 from cohortlens.operators import split as S
 from cohortlens.sources import appointments
@@ -20,18 +17,16 @@ def view(spark):
     return appointments(spark, SF001).cache()
 
 
-def test_bucketed_row_numbers_equal_global_window(spark):
-    df = spark.range(0, 5003).withColumn("h", hash_key("id", 5))
-    got = O.hash_row_numbers(df, "h", "id", out="rn", hex_digits=2)
-    want = df.withColumn("rn", F.row_number().over(Window.orderBy("h", "id")))
-    assert sorted(got.select("id", "rn").collect()) == sorted(want.select("id", "rn").collect())
-
-
-def test_value_row_numbers_with_duplicates(spark):
-    df = spark.range(0, 3000).withColumn("x", (F.col("id") % 97).cast("double"))
-    got = O.value_row_numbers(df, "x", "id", out="rn", n_buckets=16)
-    want = df.withColumn("rn", F.row_number().over(Window.orderBy("x", "id")))
-    assert sorted(got.select("id", "rn").collect()) == sorted(want.select("id", "rn").collect())
+def test_draws_are_independent(spark):
+    """Each fold holds its share of dev and test rows, and a balanced sample
+    isn't drawn from one part."""
+    df = spark.range(0, 6000).select(F.col("id").alias("appointment_id"), (F.col("id") % 5 == 0).alias("no_show"))
+    s = S.kfold_assign(S.three_way_split(df), 10)
+    shares = {(r.fold, r.split): r["count"] for r in s.groupBy("fold", "split").count().collect()}
+    for f in range(1, 11):
+        assert 0.05 < shares[f, "test"] / 600 < 0.15 and 0.05 < shares[f, "dev"] / 600 < 0.13
+    drawn = {r.split: r["count"] for r in S.balanced_sample(s, 500).groupBy("split").count().collect()}
+    assert 700 < drawn["train"] < 900
 
 
 def test_holdout_is_a_partition_with_ceil_sizes(view):
@@ -101,6 +96,12 @@ def test_group_rate_extremes_small_and_large(spark):
         for g in range(n):
             rows += [(f"g{g:02d}", i < g % 7) for i in range(25)]
         return spark.createDataFrame(rows, "neighbourhood string, no_show boolean")
+    close = spark.createDataFrame([("a", 1000000, 2000001), ("b", 1000001, 2000001)], "neighbourhood string, pos int, n int")
+    rows = close.select("neighbourhood", F.explode(F.sequence(F.lit(1), "n")).alias("i"), "pos").select(
+        "neighbourhood", (F.col("i") <= F.col("pos")).alias("no_show"))
+    assert [r.neighbourhood for r in P.group_rate_extremes(rows, n=1).orderBy("no_show_ratio").collect()]
+    top = P.group_rate_extremes(rows.filter("neighbourhood <> 'z'"), n=1).collect()
+    assert {r.neighbourhood for r in top} == {"a", "b"}
     for n, expect in ((15, 15), (20, 20), (21, 20), (25, 20)):
         assert P.group_rate_extremes(groups(n)).count() == expect
 
