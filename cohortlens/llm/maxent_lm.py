@@ -8,7 +8,7 @@ character, length).
 
 *Class model.* A softmax over sparse features of the context, each hashed
 to a row of one weight table: the previous word (bigram), the previous two
-together (trigram), and the words two and three back (skips). Every task
+together (trigram), and the word two back (skip). Every task
 runs minibatch gradient steps (Adagrad) over its share of the training
 texts; the updates of all tasks are averaged, each row of the table by how
 often the tasks met it.
@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
@@ -39,17 +40,17 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm.common import parts_for, small_batches, text_bytes, written
 
-HEAD = 39
-SHAPES = 24
+HEAD = 15
+SHAPES = 16
 CLASSES = 1 + HEAD + SHAPES
-ROW_BITS = 14
+ROW_BITS = 13
 ROWS = 1 << ROW_BITS
-TEMPLATES = 4
+TEMPLATES = 3
 #: Rows of the weight table that travel together.
 BLOCK_ROWS = 256
 #: Text that one dictionary covers, and text that one training task reads.
-CHUNK_BYTES, TRAIN_BYTES = 24 << 20, 512 << 20
-BATCH = 8192
+CHUNK_BYTES, TRAIN_BYTES = 32 << 20, 512 << 20
+BATCH = 4096
 RATE = 0.25
 #: 64-bit stand-ins for the end and for what precedes a text.
 END, BEFORE = 1, 2
@@ -68,8 +69,7 @@ def words_of(text: str | None) -> list[bytes]:
 def shape(word: bytes) -> int:
     last = word[-1]
     ending = 0 if last >= 128 or 97 <= last < 123 else 1 if last == 46 else 2 if last == 44 else 3
-    length = 0 if len(word) <= 4 else 1 if len(word) <= 8 else 2
-    return (0 if word.isascii() else 12) + ending * 3 + length
+    return (0 if word.isascii() else 8) + ending * 2 + (len(word) > 5)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -80,29 +80,31 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def features(h: np.ndarray) -> np.ndarray:
     """Rows of the weight table for each place of a sequence of word
-    hashes; places count from the fourth, after the three of the start."""
-    one, two, three = h[2:-1], h[1:-2], h[:-3]
-    k = [np.uint64(n * 0x9E3779B97F4A7C15 & (1 << 64) - 1) for n in range(1, 5)]
-    both = _mix(_mix(one + k[2]) + two)
-    rows = np.stack([_mix(one + k[0]), _mix(two + k[1]), both, _mix(three + k[3])])
+    hashes; places count from the third, after the two of the start."""
+    one, two = h[1:-1], h[:-2]
+    k = [np.uint64(n * 0x9E3779B97F4A7C15 & (1 << 64) - 1) for n in range(1, 4)]
+    rows = np.stack([_mix(one + k[0]), _mix(two + k[1]), _mix(_mix(one + k[2]) + two)])
     return (rows >> np.uint64(64 - ROW_BITS)).astype(np.uint16)
 
 
 def sequence(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """One sequence of word hashes for several documents: three places of
+    """One sequence of word hashes for several documents: two places of
     start before each and the end after it. Also the places to predict, as
     offsets into ``features``' columns."""
-    start, end = np.full(3, BEFORE, np.uint64), np.full(1, END, np.uint64)
+    start, end = np.full(2, BEFORE, np.uint64), np.full(1, END, np.uint64)
     flat = np.concatenate([p for d in docs for p in (start, d, end)])
     at = np.ones(len(flat), dtype=bool)
-    begins = np.cumsum([0] + [len(d) + 4 for d in docs[:-1]])
-    for k in range(3):
+    begins = np.cumsum([0] + [len(d) + 3 for d in docs[:-1]])
+    for k in range(2):
         at[begins + k] = False
-    return flat, np.flatnonzero(at) - 3
+    return flat, np.flatnonzero(at) - 2
+
+
+_ONES = np.ones(CLASSES, np.float32)
 
 
 class ClassModel:
-    """Softmax over the classes; ``2^14 x 64`` weights, whatever the corpus."""
+    """Softmax over the classes; ``2^13 x 32`` weights, whatever the corpus."""
 
     def __init__(self, bias: np.ndarray, weights: np.ndarray | None = None):
         self.bias = bias.astype(np.float32)
@@ -113,9 +115,9 @@ class ClassModel:
         for k in range(1, TEMPLATES):
             z += self.weights[rows[k]]
         z += self.bias
-        z -= z.max(axis=1, keepdims=True)
+        np.clip(z, -60.0, 60.0, out=z)
         np.exp(z, out=z)
-        z /= z.sum(axis=1, keepdims=True)
+        z *= (1.0 / (z @ _ONES))[:, None]
         return z
 
     def log10(self, rows: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -135,25 +137,36 @@ class ClassModel:
                 order = np.argsort(part[k], kind="stable")  # radix sort of 16-bit rows
                 row = part[k][order]
                 first = np.flatnonzero(np.diff(row.astype(np.int32), prepend=-1))
-                sums, row = np.add.reduceat(g[order], first, axis=0), row[first]
-                squares[row] += sums * sums
-                self.weights[row] -= RATE * sums / np.sqrt(squares[row])
+                sums, row = np.add.reduceat(np.ascontiguousarray(g[order].T), first, axis=1).T, row[first]
+                total = squares[row] + sums * sums
+                squares[row] = total
+                self.weights[row] -= RATE * sums / np.sqrt(total)
                 met[row] += np.diff(first, append=len(order))
 
 
-class Words:
+class Numbers(dict):
+    """Numbers distinct words in the order in which they are met."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
+class Words(dict):
     """word -> hash with the class in the low six bits, for a known head."""
 
     def __init__(self, head: dict[int, int]):
-        self.head, self.table = head, {}
+        self.head = head
+
+    def __missing__(self, word: bytes) -> int:
+        h = word_hash(word)
+        coded = self[word] = h | class_of(h, shape(word), self.head)
+        return coded
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        table = self.table
-        if len(table) > _MAX_WORDS:
-            table.clear()
-        for w in set(words) - table.keys():
-            table[w] = word_hash(w) & ~63 | class_of(word_hash(w), shape(w), self.head)
-        return np.fromiter(map(table.__getitem__, words), dtype=np.uint64, count=len(words))
+    def code(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > _MAX_WORDS:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
 def word_hash(word: bytes) -> int:
@@ -173,58 +186,55 @@ _CHUNKS = "chunk long, doc_id long, held boolean, ids binary, word long, h long,
 def _chunks(docs: DataFrame) -> DataFrame:
     """Rows of two kinds: a document as the word numbers of its chunk
     (``ids``), and a distinct word of a chunk with its training count."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        task, number = TaskContext.get().partitionId(), 0
-        table: dict[bytes, int] = {}
-        counts, size, ended = np.zeros(1024, np.int64), 0, 0
-
-        def listed() -> Iterator[pd.DataFrame]:
-            words = list(table)
-            for a in range(0, len(words), 50_000):
-                part = words[a:a + 50_000]
-                yield pd.DataFrame({
-                    "chunk": task << 32 | number, "doc_id": pd.array([None] * len(part), dtype="Int64"), "held": None, "ids": None,
-                    "word": np.arange(a, a + len(part)), "h": np.array([word_hash(w) for w in part], np.uint64).view(np.int64),
-                    "shape": [shape(w) for w in part], "n": counts[a:a + len(part)]})
-            # The end counts as a word with the number after the last.
-            yield pd.DataFrame({"chunk": [task << 32 | number], "doc_id": pd.array([None], dtype="Int64"), "held": [None], "ids": [None],
-                                "word": [len(words)], "h": [END], "shape": [0], "n": [ended]})
-
-        for pdf in batches:
-            out = []
-            for doc_id, text, held in zip(pdf["doc_id"], pdf["text"], pdf["held"]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, number, size = TaskContext.get().partitionId(), 0, 0
+        table, counts, ended = Numbers(), np.zeros(0, np.int64), 0
+        for batch in batches:
+            held = batch.column("held").to_pylist()
+            ids = []
+            for text in batch.column("text").to_pylist():
                 words = words_of(text)
-                for w in words:
-                    if w not in table:
-                        table[w] = len(table)
-                ids = np.fromiter(map(table.__getitem__, words), dtype=np.uint32, count=len(words))
-                if len(table) > len(counts):
-                    counts = np.concatenate([counts, np.zeros(len(table), np.int64)])
-                if not held:
-                    own = np.bincount(ids, minlength=1) if len(ids) else np.zeros(1, np.int64)
-                    counts[:len(own)] += own
-                    ended += 1
-                out.append((task << 32 | number, doc_id, held, ids.tobytes()))
+                ids.append(np.fromiter(map(table.__getitem__, words), dtype=np.uint32, count=len(words)))
                 size += len(text or "")
-                if size >= CHUNK_BYTES:
-                    yield _doc_rows(out)
-                    yield from listed()
-                    out, number, size, ended = [], number + 1, 0, 0
-                    table, counts = {}, np.zeros(1024, np.int64)
-            if out:
-                yield _doc_rows(out)
-        if size or table or ended or number == 0:
-            yield from listed()
+            learned = [x for x, h in zip(ids, held) if not h]
+            counts = np.concatenate([counts, np.zeros(len(table) - len(counts), np.int64)])
+            if learned:
+                counts += np.bincount(np.concatenate(learned), minlength=len(table))
+            ended += len(learned)
+            yield _rows(task << 32 | number, len(ids), doc_id=batch.column("doc_id"), held=batch.column("held"),
+                        ids=pa.array([x.tobytes() for x in ids], pa.binary()))
+            if size >= CHUNK_BYTES:
+                yield from _word_rows(task << 32 | number, table, counts, ended)
+                number, size = number + 1, 0
+                table, counts, ended = Numbers(), np.zeros(0, np.int64), 0
+        if size or len(table) or ended or not number:
+            yield from _word_rows(task << 32 | number, table, counts, ended)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out(F.col("doc_id")).alias("held"))
-    return rows.mapInPandas(run, _CHUNKS)
+    return rows.mapInArrow(run, _CHUNKS)
+
+
+_ARROW = {"chunk": pa.int64(), "doc_id": pa.int64(), "held": pa.bool_(), "ids": pa.binary(),
+          "word": pa.int64(), "h": pa.int64(), "shape": pa.int32(), "n": pa.int64()}
+
+
+def _rows(chunk: int, count: int, **columns) -> pa.RecordBatch:
+    """Rows of one chunk; columns that aren't given are null."""
+    columns["chunk"] = np.full(count, chunk)
+    return pa.RecordBatch.from_arrays(
+        [columns[c] if isinstance(columns.get(c), pa.Array) else pa.array(columns[c], t) if c in columns else pa.nulls(count, t)
+         for c, t in _ARROW.items()], names=list(_ARROW))
 
 
-def _doc_rows(rows: list[tuple]) -> pd.DataFrame:
-    pdf = pd.DataFrame(rows, columns=["chunk", "doc_id", "held", "ids"])
-    pdf["doc_id"] = pdf["doc_id"].astype("Int64")
-    none = pd.array([None] * len(pdf), dtype="Int64")
-    return pdf.assign(word=none, h=none, shape=none, n=none)
+def _word_rows(chunk: int, table: Numbers, counts: np.ndarray, ended: int) -> Iterator[pa.RecordBatch]:
+    """The chunk's words; the end counts as the word after the last."""
+    words = list(table)
+    for a in range(0, len(words), 65_536):
+        part = words[a:a + 65_536]
+        yield _rows(chunk, len(part), word=np.arange(a, a + len(part)), n=counts[a:a + len(part)],
+                    h=np.fromiter(map(word_hash, part), np.uint64, len(part)).view(np.int64),
+                    shape=np.fromiter(map(shape, part), np.int32, len(part)))
+    yield _rows(chunk, 1, word=np.array([len(words)]), h=np.array([END]), shape=np.zeros(1, np.int32), n=np.array([ended]))
 
 
 def _train(docs: DataFrame, bias: np.ndarray, head: dict[int, int], tasks: int) -> np.ndarray:
@@ -234,13 +244,13 @@ def _train(docs: DataFrame, bias: np.ndarray, head: dict[int, int], tasks: int)
         squares, met = np.full((ROWS, CLASSES), 1.0, np.float32), np.zeros(ROWS, np.int64)
         for pdf in batches:
             low = np.uint64(63)
-            coded = [words(words_of(t)) for t in pdf["text"]]
+            coded = [words.code(words_of(t)) for t in pdf["text"]]
             if not coded:
                 continue
             flat, at = sequence(coded)
             y = (flat & low).astype(np.int64)
             y[flat == END] = 0
-            model.steps(features(flat & ~low | np.where(flat < 64, flat, 0))[:, at], y[at + 3], squares, met)
+            model.steps(features(flat & ~low | np.where(flat < 64, flat, 0))[:, at], y[at + 2], squares, met)
         for b in range(0, ROWS, BLOCK_ROWS):
             part = slice(b, b + BLOCK_ROWS)
             if met[part].any():
@@ -261,7 +271,7 @@ def _train(docs: DataFrame, bias: np.ndarray, head: dict[int, int], tasks: int)
     updates = texts.mapInPandas(run, "block int, weights binary, met binary")
     mean = updates.repartition(ROWS // BLOCK_ROWS, "block").mapInPandas(average, "block int, weights binary")
     weights = np.zeros((ROWS, CLASSES), np.float32)
-    for row in mean.collect():  # the weight table: 4 MB
+    for row in mean.collect():  # the weight table: 1 MB
         a = row["block"] * BLOCK_ROWS
         weights[a:a + BLOCK_ROWS] = np.frombuffer(row["weights"], np.float32).reshape(-1, CLASSES)
     return weights
@@ -304,7 +314,7 @@ def score(docs: DataFrame) -> DataFrame:
 def _scored(rows: DataFrame, lists: DataFrame, model: ClassModel, head: dict[int, int], n: np.ndarray, unseen: np.ndarray,
             total: int, distinct: int) -> DataFrame:
     session = rows.sparkSession
-    shared = session.sparkContext.broadcast(model.weights)  # 4 MB
+    shared = session.sparkContext.broadcast(model.weights)  # 1 MB
     bias, norm = model.bias, total + 0.1 * (distinct + 1)
 
     def run(docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
