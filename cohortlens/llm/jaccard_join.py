@@ -5,14 +5,16 @@ is at most ``1 - t``. Most pairs of documents share nothing, so nearly all
 distances to any document pivot equal 1 and plain Voronoi cells would be
 replicated everywhere. Regions are therefore formed in two steps.
 
-*Projections.* The symmetric difference is a metric as well, and linked
-sets of sizes a and b differ in at most ``tau = (1 - t) / (1 + t) * (a + b)``
-shingles. Shingles are dealt by hash to slightly more than ``tau + 1``
+*Projections.* The symmetric difference is a metric as well, and two linked
+sets, the smaller one of a shingles, differ in at most ``tau = (1 / t - 1) a``
+of them. Shingles are dealt by hash to slightly more than ``tau + 1``
 blocks; the differences cannot touch all of them, so linked sets agree on
 a whole block. Each distinct projection of a set on a block is a pivot of
 radius 0 with its own region. The distance to the empty set (the size)
 gives rings: a set belongs to its ring and, by the triangle inequality, is
-replicated into the rings above that a linked set can reach.
+replicated into the rings below that a smaller linked set can be in. There
+are some more blocks than needed, so that linked sets share several regions
+and a set that meets others in fewer has no link.
 
 *Voronoi cells.* In every region all members are compared with its first
 member, the pivot. Linked members become one component, which ends most
@@ -82,12 +84,12 @@ def linked(shared: int, a: int, b: int, percent: int) -> bool:
 
 
 def rings(size: int, percent: int) -> list[tuple[int, int]]:
-    """(ring, its largest size) of the ring of ``size`` and of those above
-    that a linked set can be in."""
+    """(ring, its largest size) of the ring of ``size`` and of those below
+    that a smaller linked set can be in."""
     found, low, number = [], 1, 0
-    while low <= size * 100 // percent:
-        high = max(low + 1, low * 5 // 4)
-        if size < high:
+    while low <= size:
+        high = max(low + 1, low * 8 // 5)
+        if 100 * (high - 1) >= percent * size:
             found.append((number, high - 1))
         low, number = high, number + 1
     return found
@@ -100,7 +102,7 @@ def region_keys(shingles: np.ndarray, percent: int, seed: int = 0) -> tuple[np.n
     keys, sure = [], 1 << 30
     dealt = _mix(shingles + np.uint64((seed * 2 + 1) * 0xD1342543DE82EF95 & (1 << 64) - 1))
     for ring, largest in rings(len(shingles), percent):
-        tau = 2 * largest * (100 - percent) // (100 + percent)
+        tau = largest * (100 - percent) // percent
         if not tau:
             continue  # linked sets of this ring are equal
         blocks = (tau + 1) * 23 // 20 + 3
@@ -219,31 +221,57 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """Size, hashes and region keys of every row's set; of rows of one task
+    with equal sets only the first has keys."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[tuple[int, int]] = set()
+        none = np.empty(0, np.int64), 1
         for pdf in batches:
             sets = [shingle_set(t, n) for t in pdf["text"]]
-            keys = [region_keys(s, percent) for s in sets]
+            if len(seen) > _MAX_WORDS:
+                seen.clear()
+            h1 = [int(s.sum(dtype=np.uint64)) for s in sets]
+            h2 = [int(_mix(s).sum(dtype=np.uint64)) for s in sets]
+            keys = []
+            for s, h in zip(sets, zip(h1, h2)):
+                keys.append(none if h in seen else region_keys(s, percent))
+                seen.add(h)
+            signed = lambda x: np.array(x, dtype=np.uint64).view(np.int64)
             yield pd.DataFrame({
-                "doc_id": pdf["doc_id"].astype("Int64"), "th": pdf["th"], "n": [len(s) for s in sets],
-                "h1": [int(_signed(np.atleast_1d(s.sum(dtype=np.uint64)))[0]) for s in sets],
-                "h2": [int(_signed(np.atleast_1d(_mix(s).sum(dtype=np.uint64)))[0]) for s in sets],
+                "doc_id": pdf["doc_id"].astype("Int64"), "th": pdf["th"], "n": [len(s) for s in sets], "h1": signed(h1), "h2": signed(h2),
                 "sure": [sure for _, sure in keys], "keys": [_signed(k) for k, _ in keys]})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
-    return rows.mapInPandas(run, "doc_id long, th long, n long, h1 long, h2 long, sure long, keys array<long>")
+    return rows.mapInPandas(run, "doc_id long, th long, n long, h1 long, h2 long, sure long, keys array<long>").withColumn(
+        "rid", F.monotonically_increasing_id())
 
 
 def _arrays(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """``sid, set`` (little-endian hashes) of the wanted representatives,
-    whose texts are read again."""
+    """``sid, set`` (64-bit hashes) of the wanted representatives, whose
+    texts are read again."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             yield pd.DataFrame({"sid": pdf["sid"], "set": [_signed(shingle_set(t, n)) for t in pdf["text"]]})
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
-    same = (rows["doc_id"].eqNullSafe(wanted["rep_id"])) & (rows["th"] == wanted["rep_th"])
-    found = rows.join(wanted, same).select("sid", "text")
-    return found.mapInPandas(run, "sid long, set array<long>").dropDuplicates(["sid"])
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("a"), F.col("doc_id").isNull().alias("b"), "text",
+                       F.xxhash64("text").alias("c"))
+    wanted = wanted.select("sid", F.coalesce("rep_id", F.lit(-1)).alias("a"), F.col("rep_id").isNull().alias("b"), F.col("rep_th").alias("c"))
+    # Repeated rows have been dealt to one place by the join.
+    first = F.row_number().over(Window.partitionBy("a", "b", "c").orderBy("sid"))
+    return rows.join(wanted, ["a", "b", "c"]).withColumn("first", first).filter("first = 1").select("sid", "text").mapInPandas(
+        run, "sid long, set array<long>")
+
+
+def _met(members: DataFrame) -> DataFrame:
+    """Members (key, sid, sure) of regions with at least two; ``pivot`` is
+    the region's first."""
+    w = Window.partitionBy("key")
+    return members.withColumn("pivot", F.min("sid").over(w)).withColumn("last", F.max("sid").over(w)).filter("pivot < last").drop("last")
+
+
+def _able(members: DataFrame) -> DataFrame:
+    """Members that meet others in as many regions as a link needs."""
+    return members.withColumn("regions", F.count("*").over(Window.partitionBy("sid"))).filter("regions >= sure").select("key", "sid", "sure")
 
 
 def _compared(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
@@ -320,15 +348,14 @@ def _named_sets(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataF
     small_batches(docs.sparkSession)
     sets = written(_sets(docs, n, percent), "sets")
     filled = sets.filter("n > 0")
-    reps = filled.groupBy("h1", "h2").agg(F.min("doc_id").alias("least_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("rep"))
-    reps = written(reps.select("h1", "h2", "least_id", F.col("rep.doc_id").alias("rep_id"), F.col("rep.th").alias("rep_th"),
-                               F.monotonically_increasing_id().alias("sid")), "set-ids")
-    chosen = reps.select("sid", "h1", "h2", "rep_id", "rep_th")
-    one = filled.join(chosen, ["h1", "h2"]).filter(F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("th") == F.col("rep_th")))
-    keyed = one.select("sid", "sure", F.explode("keys").alias("key"))
-    w = Window.partitionBy("key")
-    members = written(keyed.select("key", "sid", "sure", F.min("sid").over(w).alias("pivot"), F.max("sid").over(w).alias("last"))
-                      .filter("pivot < last").select("key", "sid", "sure", "pivot").distinct(), "regions")
+    reps = filled.groupBy("h1", "h2").agg(F.min("doc_id").alias("least_id"), F.min("rid").alias("sid"),
+                                          F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("rep"))
+    reps = written(reps.select("h1", "h2", "least_id", F.col("rep.doc_id").alias("rep_id"), F.col("rep.th").alias("rep_th"), "sid"), "set-ids")
+    chosen = reps.select("sid", "rep_id", "rep_th")
+    keyed = filled.select(F.col("rid").alias("sid"), "sure", F.explode("keys").alias("key"))
+    names = filled.select("rid", "h1", "h2").join(reps.select("h1", "h2", "sid"), ["h1", "h2"]).select("rid", "sid")
+    met = _met(keyed).select("key", F.col("sid").alias("rid"), "sure").join(names, "rid").select("key", "sid", "sure").distinct()
+    members = written(_met(_able(_met(_able(_met(met).drop("pivot"))).drop("pivot"))), "regions")
     arrays = written(_arrays(docs, members.select("sid").distinct().join(chosen, "sid"), n), "arrays")
     pairs = members.filter("sid <> pivot").select(F.col("pivot").alias("u"), F.col("sid").alias("v")).distinct()
     edges = written(_compared(pairs, arrays, percent), "links")
