@@ -11,12 +11,15 @@ one bounded group is left or a round no longer shrinks the leftovers.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,35 +35,102 @@ GROUP = 20_000
 FULL = 0.995
 #: Bins that the local search offers a piece to before it gives up.
 TRIES = 64
-MAX_WORDS = 500_000
+MAX_WORDS = 600_000
+
+
+# A letter or digit next to ASCII punctuation other than the
+# apostrophe. The tokenizer always splits there.
+_EDGE = re.compile(rb"(?<=[A-Za-z0-9])(?=[!-&(-/:-@\[-`{-~])|(?<=[!-&(-/:-@\[-`{-~])(?=[A-Za-z0-9])")
+
+
+_PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+class Pending(dict):
+    """Ids by word; an unknown word gets a place that is filled later."""
+
+    def __init__(self):
+        self.places: dict[bytes, bytearray] = {}
+
+    def __missing__(self, word: bytes) -> bytearray:
+        return self.places.setdefault(word, bytearray())
 
 
 class WordEncoder:
-    """Ids of texts by a tokenizer that drops white space and never joins
-    across it: each distinct word between ASCII white space is encoded once
-    and its ids are kept as little-endian 32-bit bytes, up to ``MAX_WORDS``
-    words."""
+    """Ids of texts by a tokenizer that lower-cases, drops white space and
+    never joins across it or across the edge of a run of letters: each
+    distinct word, and of new words each distinct part between such edges,
+    is encoded once and its ids are kept as little-endian 32-bit bytes, up
+    to ``MAX_WORDS`` words. Parts of letters or punctuation alone are
+    encoded many at a time, as each of them ends with one of the tokens that
+    end a word. Texts with a special token's string go to the library."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a worker for each core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        apart, joined = ([i for t in x for i in self.tokenizer.encode(t, add_special_tokens=False).ids]
-                         for x in (["One", "é1", "'s", "..."], ["One é1\t's\n ..."]))
+        apart, joined = ([i for t in x for i in self._ids(t)] for x in (["One", "é", "1", "'s", "..."], ["One é1\t's\n ..."]))
         if apart != joined:
             raise ValueError("this tokenizer joins across white space")
-        self.table: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.words = Pending()
+        self.parts: dict[bytes, bytes] = {}
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _encode_parts(self, parts: list[bytes]) -> None:
+        blocks = [parts[a:a + 256] for a in range(0, len(parts), 256)]
+        texts = [b" ".join(block).decode("utf-8", "surrogatepass") for block in blocks]
+        for block, encoded in zip(blocks, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(encoded.ids, dtype="<u4")
+            stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            if len(stops) == len(block):
+                data, starts = ids.tobytes(), [0, *stops[:-1]]
+                self.parts.update(zip(block, [data[x:y] for x, y in zip(starts, stops)]))
+            else:  # some part is more than one word to the tokenizer
+                self._encode_singly(block)
+
+    def _encode_singly(self, parts: list[bytes]) -> None:
+        found = self.tokenizer.encode_batch_fast([x.decode("utf-8", "surrogatepass") for x in parts], add_special_tokens=False)
+        self.parts.update(zip(parts, [array("I", e.ids).tobytes() for e in found]))
+
+    def _learn(self, new: list[bytes]) -> None:
+        parts = [[w] if w.isalpha() else _EDGE.sub(b" ", w).split() for w in new]
+        unknown = [x for x in set().union(*parts) if x not in self.parts]
+        plain = lambda x: not x.strip(_PUNCTUATION) if x.isascii() else x.decode("utf-8", "surrogatepass").isalpha()
+        simple, others = [], []
+        for x in unknown:
+            (simple if x.isalpha() or plain(x) else others).append(x)
+        self._encode_parts(simple)
+        if others:
+            self._encode_singly(others)
+        at = self.parts.__getitem__
+        self.words.update(zip(new, [at(x[0]) if len(x) == 1 else b"".join(map(at, x)) for x in parts]))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [t.encode("utf-8", "surrogatepass").split() if t else [] for t in texts]
-        if len(self.table) > MAX_WORDS:
-            self.table = {}
-        new = list(set().union(*split) - self.table.keys())
-        if new:
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in new], add_special_tokens=False)
-            self.table.update(zip(new, [array("I", e.ids).tobytes() for e in found]))
-        at = self.table.__getitem__
-        return [b"".join(map(at, words)) for words in split]
+        """Little-endian 32-bit ids of each text (null or empty: none)."""
+        if len(self.words) > MAX_WORDS:
+            self.words, self.parts = Pending(), {}
+        look, found = self.words.__getitem__, []
+        for text in texts:
+            data = text.encode("utf-8", "surrogatepass") if text else b""
+            if any(s in data for s in self.special):
+                found.append([array("I", self._ids(text)).tobytes()])
+                continue
+            # A letter and U+0300 to U+036F may compose differently in lower case.
+            if b"\xcc" not in data and b"\xcd" not in data:
+                data = data.lower()
+            found.append(list(map(look, data.split())))
+        places, self.words.places = self.words.places, {}
+        self._learn(list(places))
+        for word, place in places.items():
+            place[:] = self.words[word]
+        return [b"".join(ids) for ids in found]
 
 
 @lru_cache(maxsize=2)

@@ -6,8 +6,7 @@ no merge crosses from a character to the next mark: every *marked word*
 (its marks and the characters up to the next mark) has ids of its own.
 Each distinct marked word of a batch is segmented once by the library; a
 text's ids are its words' ids joined by position. The table of words seen
-lives in the Python worker, holds at most ``MAX_WORDS`` and starts afresh
-beyond, so memory is bounded and nothing is shuffled or broadcast.
+lives in the Python worker and beyond ``MAX_WORDS`` keeps those in use, so memory is bounded and nothing is shuffled or broadcast.
 
 A model with a piece that crosses a mark, another normaliser or other
 symbols of its own is refused, since words would then not be independent.
@@ -55,9 +54,10 @@ class Codec:
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text (null or empty: none)."""
         split = [_WORDS.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        if len(self.table) > MAX_WORDS:
-            self.table = {}
-        new = list(set().union(*split) - self.table.keys())
+        needed = set().union(*split)
+        if len(self.table) > MAX_WORDS:  # words in use again stay
+            self.table = {w: self.table[w] for w in needed if w in self.table}
+        new = [w for w in needed if w not in self.table]
         if new:
             self.table.update(zip(new, [array("i", ids).tobytes() for ids in self._library(new)]))
         at = self.table.__getitem__
