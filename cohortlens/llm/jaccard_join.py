@@ -262,16 +262,13 @@ def _arrays(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
         run, "sid long, set array<long>")
 
 
-def _met(members: DataFrame) -> DataFrame:
-    """Members (key, sid, sure) of regions with at least two; ``pivot`` is
-    the region's first."""
+def _met(rows: DataFrame, who: str) -> DataFrame:
+    """Rows (key, who, ...) of the regions in which at least two meet, each
+    once; ``pivot`` is the region's first."""
     w = Window.partitionBy("key")
-    return members.withColumn("pivot", F.min("sid").over(w)).withColumn("last", F.max("sid").over(w)).filter("pivot < last").drop("last")
-
-
-def _able(members: DataFrame) -> DataFrame:
-    """Members that meet others in as many regions as a link needs."""
-    return members.withColumn("regions", F.count("*").over(Window.partitionBy("sid"))).filter("regions >= sure").select("key", "sid", "sure")
+    met = rows.withColumn("pivot", F.min(who).over(w)).withColumn("last", F.max(who).over(w))
+    again = F.row_number().over(Window.partitionBy("key", who).orderBy("pivot"))  # the same exchange serves both
+    return met.withColumn("again", again).filter("pivot < last and again = 1").drop("last", "again")
 
 
 def _compared(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
@@ -352,10 +349,12 @@ def _named_sets(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataF
                                           F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("rep"))
     reps = written(reps.select("h1", "h2", "least_id", F.col("rep.doc_id").alias("rep_id"), F.col("rep.th").alias("rep_th"), "sid"), "set-ids")
     chosen = reps.select("sid", "rep_id", "rep_th")
-    keyed = filled.select(F.col("rid").alias("sid"), "sure", F.explode("keys").alias("key"))
-    names = filled.select("rid", "h1", "h2").join(reps.select("h1", "h2", "sid"), ["h1", "h2"]).select("rid", "sid")
-    met = _met(keyed).select("key", F.col("sid").alias("rid"), "sure").join(names, "rid").select("key", "sid", "sure").distinct()
-    members = written(_met(_able(_met(_able(_met(met).drop("pivot"))).drop("pivot"))), "regions")
+    keyed = filled.select("rid", F.explode("keys").alias("key"))
+    names = filled.select("rid", "sure", "h1", "h2").join(reps.select("h1", "h2", "sid"), ["h1", "h2"]).select("rid", "sure", "sid")
+    # A set that meets others in fewer regions than a link needs has none.
+    able = _met(keyed, "rid").select("key", "rid").join(names, "rid").withColumn(
+        "regions", F.count("*").over(Window.partitionBy("rid"))).filter("regions >= sure")
+    members = written(_met(able.select("key", "sid", "sure"), "sid"), "regions")
     arrays = written(_arrays(docs, members.select("sid").distinct().join(chosen, "sid"), n), "arrays")
     pairs = members.filter("sid <> pivot").select(F.col("pivot").alias("u"), F.col("sid").alias("v")).distinct()
     edges = written(_compared(pairs, arrays, percent), "links")
