@@ -1,3 +1,74 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+from cohortlens.llm import quality_rules as Q
+
+# Words are the runs between the six white space characters of ASCII.
+_BREAKS = r"[ \t-\r]"
+_WORDS = f"list_filter(string_split_regex(coalesce(text, ''), '{_BREAKS}+'), lambda x: x <> '')"
+
+
+def _quality_rules() -> str:
+    """Measures by counting, levels by the exact binomial tail."""
+    names = list(Q.RULES)
+    levels = ", ".join(f"({i}, {', '.join(repr(float(Q.RULES[r][i])) for r in names)})" for i in range(Q.LEVELS))
+    rejects = " OR ".join(f"h.{r} > c.{r}" for r in names)
+    failed = ", ".join(f"CASE WHEN m.{r} > c.{r} THEN '{r}' END" for r in names)
+    a = Q.ALPHA
+    least = f"ceil(ln({Q.DELTA}) / ln(1 - {a}))"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
+t AS (SELECT r, unnest(range(1, len(w) - 1)) AS i, w FROM d),
+tc AS (SELECT r, i, count(*) OVER (PARTITION BY r, w[i] || chr(31) || w[i + 1] || chr(31) || w[i + 2]) AS c FROM t),
+rw AS (SELECT r, count(DISTINCT i + k) AS n FROM tc, (VALUES (0), (1), (2)) v(k) WHERE c > 1 GROUP BY r),
+l AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup
+      FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^ \\t-\\r]') GROUP BY r),
+b AS (SELECT d.r, doc_id, stratum, CAST(len(w) AS BIGINT) AS n_words,
+      CAST(length(regexp_replace(text, '{_BREAKS}', '', 'g')) AS BIGINT) AS word_chars,
+      CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+      CAST(coalesce(n_dup, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(rw.n, 0) AS BIGINT) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
+      length(regexp_replace(text, '[^A-Z]', '', 'g')) AS upper, length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS letters,
+      length(regexp_replace(text, '[^!]', '', 'g')) AS shouts FROM d LEFT JOIN rw USING (r) LEFT JOIN l USING (r)),
+m AS (SELECT *, n_words < {Q.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+      n_symbols / greatest(n_words, 1) AS symbols_per_word, n_dup_lines / greatest(n_lines, 1) AS duplicate_lines,
+      n_repeat_words / greatest(n_words, 1) AS repeated_words, upper / greatest(letters, 1) AS capitals,
+      shouts / greatest(n_words, 1) AS shouting FROM b),
+c(level, {', '.join(names)}) AS (VALUES {levels}),
+y AS (SELECT doc_id, min(quality) AS quality FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+h AS (SELECT m.*, y.quality FROM m JOIN y USING (doc_id) WHERE NOT base_failed),
+k AS (SELECT stratum, level, count(*) FILTER (WHERE quality = 1) AS n, count(*) FILTER (WHERE quality = 1 AND ({rejects})) AS good,
+      count(*) FILTER (WHERE quality = 0 AND ({rejects})) AS bad FROM h, c GROUP BY stratum, level),
+s AS (SELECT *, count(*) OVER () / {Q.LEVELS} AS strata FROM k WHERE n >= {least}),
+p AS (SELECT *, good <= {a} * n AND list_sum(list_transform(range(0, good + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1)
+      - lgamma(n - j + 1) + j * ln({a}) + (n - j) * ln(1 - {a})))) <= {Q.DELTA} / strata AS ok FROM s),
+f AS (SELECT *, bool_and(ok) OVER (PARTITION BY stratum ORDER BY level) AS accepted FROM p),
+u AS (SELECT stratum, min(level) AS level FROM (SELECT *, max(bad) OVER (PARTITION BY stratum) AS most FROM f WHERE accepted)
+      WHERE bad >= {Q.NEARLY} * most GROUP BY stratum),
+o AS (SELECT m.*, concat_ws(',', {failed}) AS failed_rules FROM m LEFT JOIN u USING (stratum) LEFT JOIN c USING (level))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND failed_rules = '' AS kept, failed_rules FROM o"""
+
+
+def _jaccard_join(n: int = 3, percent: int = 90) -> str:
+    """All pairs with a common shingle; components by reachability."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    words = _WORDS.replace("coalesce(text, '')", f"translate(coalesce(text, ''), '{upper}', '{upper.lower()}')")
+    joined = " || ' ' || ".join(f"w[i + {k}]" for k in range(n))
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, {words} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {n} THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - {n - 2}), lambda i: {joined}) END) AS g FROM d),
+z AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM i JOIN z a ON a.doc_id = x JOIN z b ON b.doc_id = y WHERE 100 * c >= {percent} * (a.n + b.n - c)),
+t AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+r(x, y) AS (SELECT x, y FROM t UNION SELECT r.x, t.y FROM r JOIN t ON r.y = t.x)
+SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, least(d.doc_id, coalesce(min(r.y), d.doc_id)) AS component_id
+FROM d LEFT JOIN z USING (doc_id) LEFT JOIN r ON r.x = d.doc_id GROUP BY d.doc_id, z.n"""
+
+
+ORACLES: dict[str, str] = {
+    "op1_quality_rules": _quality_rules(),
+    "op7_jaccard_join": _jaccard_join(),
+}

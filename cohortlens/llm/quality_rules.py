@@ -180,7 +180,8 @@ def judge(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float
     levels = calibrate(narrow, labels, alpha, delta)
     rows = narrow.withColumn("base_failed", _base(narrow)).withColumn("failed_rules", _failed_rules(levels))
     return rows.select("doc_id", *_COUNTS, "base_failed",
-                       (~F.col("base_failed") & (F.size("failed_rules") == 0)).alias("kept"), "failed_rules")
+                       (~F.col("base_failed") & (F.size("failed_rules") == 0)).alias("kept"),
+                       F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
 def keep(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
