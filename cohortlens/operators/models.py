@@ -12,6 +12,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -84,7 +86,7 @@ def mtry_default(p: int) -> int:
     return max(1, int(math.floor(math.sqrt(p))))
 
 
-def rf_estimator(n_predictors: int, num_trees: int = 20, max_depth: int = 10,
+def rf_estimator(n_predictors: int, num_trees: int = 500, max_depth: int = 10,
                  mtry: int | None = None, seed: int = 1, max_bins: int = 32,
                  weight_col: str | None = None, bootstrap: bool = True) -> RandomForestClassifier:
     m = mtry if mtry is not None else mtry_default(n_predictors)
@@ -130,18 +132,23 @@ def poisson1_weight(id_col: str, bag: int) -> F.Column:
 
 
 def oob_scores(train: DataFrame, cols: Sequence[str], label: str = R.LABEL,
-               id_col: str = R.ROW_ID, n_bags: int = 10, trees_per_bag: int = 5,
+               id_col: str = R.ROW_ID, n_bags: int = 30, num_trees: int = 500,
                seed: int = 1, **rf_kw) -> DataFrame:
     """Out-of-bag class-1 probability per training row.
 
     Spark's forest does not expose bag membership, so bags are explicit:
     bag b weights each row by a Poisson(1) draw; a forest fitted without
     further bootstrapping on the rows with weight > 0 scores the rows with
-    weight 0. A row's OOB score is the mean over the bags it was out of
-    (NULL if it was in every bag). ``(id, oob_score, label)``.
+    weight 0. A row's OOB score is the mean over the bags it was out of. From
+    ``n_bags`` on, bags are added until every row is out of one; the
+    ``num_trees`` trees are shared between them. ``(id, oob_score, label)``.
     """
     num, text = numeric_view(train, cols, label)
-    weights = {b: poisson1_weight(id_col, seed * 1000 + b) for b in range(n_bags)}
+    weight = lambda b: poisson1_weight(id_col, seed * 1000 + b)
+    while not num.filter(reduce(and_, [weight(b) > 0 for b in range(n_bags)])).isEmpty():
+        n_bags += 10
+    weights = [weight(b) for b in range(n_bags)]
+    trees_per_bag = -(-num_trees // n_bags)
     models = []
     for b in range(n_bags):
         bagged = num.withColumn("__w", weights[b]).filter("__w > 0")
@@ -185,7 +192,7 @@ class Bagged:
 
 
 def fit_rf_balanced(train: DataFrame, cols: Sequence[str], label: str = R.LABEL,
-                    n_per_class: int = 500, n_bags: int = 5, trees_per_bag: int = 20,
+                    n_per_class: int = 500, n_bags: int = 10, trees_per_bag: int = 500,
                     id_col: str = R.ROW_ID, seed: int = 1, **rf_kw) -> Bagged:
     """Class-balanced forest: each bag is an exact ``n_per_class`` per
     class sample (a different md5 seed per bag), each bag grows its own

@@ -259,6 +259,12 @@ def train_dev(spark, d):
     return train, dev
 
 
+# Trees of the registered forest queries. The operators default to the
+# original's 500; one such fit takes minutes on a single machine, and the
+# tuning query alone makes ninety.
+TREES, TREES_TUNE, TREES_OOB, TREES_BAG = 100, 20, 150, 20
+
+
 def _variant(spark, d, name, **plan_kw):
     train, dev = train_dev(spark, d)
     plan, extra = variant_plan(name, **plan_kw)
@@ -278,24 +284,24 @@ def _model_logreg(spark, d):
 
 def _model_rf(spark, d):
     tr, dv, cols = _variant(spark, d, "RF9")
-    model = MOD.fit_rf(tr, cols, num_trees=20, max_depth=10, seed=1)
+    model = MOD.fit_rf(tr, cols, num_trees=TREES, seed=1)
     return MET.roc_auc(model.score(dv), "prob", "label").select(F.lit("RF9").alias("model"), "auc")
 
 
 def _model_rf_balanced(spark, d):
     tr, dv, cols = _variant(spark, d, "RF10")
-    model = MOD.fit_rf_balanced(tr, cols, n_per_class=500, n_bags=5, trees_per_bag=20)
+    model = MOD.fit_rf_balanced(tr, cols, n_per_class=500, trees_per_bag=TREES_BAG)
     return MET.roc_auc(model.score(dv), "prob", "label").select(F.lit("RF10").alias("model"), "auc")
 
 
 def _oob(spark, d):
     tr, _, cols = _variant(spark, d, "RF2")
-    return MOD.oob_scores(tr, cols, n_bags=10, trees_per_bag=5, max_depth=10)
+    return MOD.oob_scores(tr, cols, num_trees=TREES_OOB)
 
 
 def _importance(spark, d):
     tr, _, cols = _variant(spark, d, "RF9")
-    model = MOD.fit_rf(tr, cols, num_trees=20, max_depth=10, seed=1)
+    model = MOD.fit_rf(tr, cols, num_trees=TREES, seed=1)
     return MOD.rf_importance(spark, model)
 
 
@@ -308,7 +314,7 @@ def _non_test(spark, d):
 
 def _tune_grid(spark, d):
     rest, _ = _non_test(spark, d)
-    return TUNE.summarise_grid(TUNE.tune_grid(spark, rest, folds=10, max_folds=2))
+    return TUNE.summarise_grid(TUNE.tune_grid(spark, rest, folds=10, num_trees=TREES_TUNE, max_depth=8))
 
 
 def _tune_grid_best(spark, d):
@@ -317,7 +323,7 @@ def _tune_grid_best(spark, d):
 
 def _final_model(spark, d):
     rest, test = _non_test(spark, d)
-    return TUNE.final_model(rest, test, lambda_nbh=50, tune_mtry=4)
+    return TUNE.final_model(rest, test, lambda_nbh=50, tune_mtry=4, num_trees=TREES)
 
 
 def _embeddings(spark, d):

@@ -36,19 +36,20 @@ def _auc(scored: DataFrame) -> float | None:
 
 
 def tune_grid(spark: SparkSession, df: DataFrame, grid: list[dict] | None = None,
-              folds: int = 10, max_folds: int = 2, seed: int = 1, num_trees: int = 20,
-              max_depth: int = 8, parallel_fits: int = 3) -> DataFrame:
+              folds: int = 10, seed: int = 1, num_trees: int = 500,
+              max_depth: int = 10, parallel_fits: int = 3, metric=None) -> DataFrame:
     """``(tune_mtry, lambda_nbh, k, auc_roc)`` for each grid row and each of
-    the first ``max_folds`` of ``folds`` folds. Folds cover all rows.
+    the ``folds`` folds, which cover all rows. ``metric`` maps the scored
+    validation rows (``prob``, ``label``) to a number, by default the AUC.
 
     Fits that share a (fold, lambda) feature frame are independent and are
     submitted together from ``parallel_fits`` driver threads, so the
     cluster runs several forests at once (each fit is itself distributed;
     seeds are fixed, so results do not depend on the interleaving)."""
-    grid = grid or param_grid()
+    grid, metric = grid or param_grid(), metric or _auc
     data = kfold_assign(df, folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
     rows = []
-    for k in range(1, max_folds + 1):
+    for k in range(1, folds + 1):
         train = data.filter(F.col("fold") != k).drop("fold").persist(StorageLevel.MEMORY_AND_DISK)
         valid = data.filter(F.col("fold") == k).drop("fold")
         per_patient = fit_count_encoder(train, R.ENTITY, "nbr_app_per_patient").persist()
@@ -63,7 +64,7 @@ def tune_grid(spark: SparkSession, df: DataFrame, grid: list[dict] | None = None
             def one(g, tr=tr, va=va, cols=cols, lam=lam, k=k):
                 model = fit_rf(tr, cols, num_trees=num_trees, max_depth=max_depth,
                                mtry=g["tune_mtry"], seed=seed)
-                return (g["tune_mtry"], lam, k, _auc(model.score(va)))
+                return (g["tune_mtry"], lam, k, metric(model.score(va)))
             todo = [g for g in grid if g["lambda_nbh"] == lam]
             with ThreadPoolExecutor(max_workers=max(1, parallel_fits)) as pool:
                 rows.extend(pool.map(one, todo))
@@ -85,7 +86,7 @@ def best_params(summary: DataFrame) -> DataFrame:
 
 
 def final_model(train: DataFrame, test: DataFrame, lambda_nbh: int = 50, tune_mtry: int = 4,
-                num_trees: int = 50, max_depth: int = 10, seed: int = 1,
+                num_trees: int = 500, max_depth: int = 10, seed: int = 1,
                 cutoffs: Sequence[float] = (0.32, 0.55)) -> DataFrame:
     """Refit encoders and forest on all training rows, score the untouched
     test rows once: confusion statistics per cut-off plus the test AUC."""

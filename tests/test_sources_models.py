@@ -62,7 +62,8 @@ def test_forest_learns_a_planted_signal(spark):
     scored = model.score(df)
     assert scored.filter((F.col("prob") < 0) | (F.col("prob") > 1)).count() == 0
     assert M.roc_auc(scored, "prob", "label").first().auc > 0.7
-    oob = MOD.oob_scores(df, ["signal", "noise"], n_bags=4, trees_per_bag=3, max_depth=4)
+    oob = MOD.oob_scores(df, ["signal", "noise"], n_bags=4, num_trees=36, max_depth=4)
+    assert oob.filter("oob_score is null").isEmpty()
     assert M.roc_auc(oob.filter(F.col("oob_score").isNotNull()), "oob_score", "label").first().auc > 0.65
 
 
