@@ -97,7 +97,7 @@ def size_shuffle_partitions(spark, base_dir: str, tables=("events", "lineitem",
     for t in tables:
         try:
             plan = spark.read.parquet(f"{base_dir.rstrip('/')}/{t}.parquet")._jdf.queryExecution()
-            size = max(size, int(plan.optimizedPlan().stats().sizeInBytes().toString()))
+            size = max(size, int(str(plan.optimizedPlan().stats().sizeInBytes())))
         except AnalysisException:  # the table is absent
             continue
     n = max(spark.sparkContext.defaultParallelism, -(-size // _TARGET_PARTITION_BYTES))

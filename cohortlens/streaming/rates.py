@@ -25,9 +25,10 @@ def appointment_stream(spark: SparkSession, base_dir: str, events_path: str | No
     (``events_path``, a folder, defaults to the table's own path)."""
     path = events_path or f"{base_dir.rstrip('/')}/events.parquet"
     schema = read_table(spark, base_dir, "events").schema
-    events = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-              .parquet(path))
-    return appointments(spark, base_dir, events=events)
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return appointments(spark, base_dir, events=reader.parquet(path))
 
 
 def streaming_rate_by(stream: DataFrame, key, label: str = "no_show") -> DataFrame:

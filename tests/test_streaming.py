@@ -13,7 +13,7 @@ def test_streaming_rate_matches_batch(spark, tmp_path):
     # Split the events table into several files to arrive one per trigger.
     src = tmp_path / "events"
     spark.read.parquet(f"{SF001}/events.parquet").repartition(4).write.parquet(str(src))
-    stream = appointment_stream(spark, SF001, events_path=str(src))
+    stream = appointment_stream(spark, SF001, events_path=str(src), max_files_per_trigger=1)
     agg = streaming_rate_by(stream, days_between("appointment_day", "scheduled_ts").alias("days_between"))
     q = (agg.writeStream.outputMode("complete").format("memory").queryName("rates_stream")
          .option("checkpointLocation", str(tmp_path / "ckpt")).start())
