@@ -88,13 +88,15 @@ class Model:
                     noisy = [w for w in words if rng.random() > 0.05]
                     size = rng.randint(max(min(5, len(noisy)), len(noisy) * 2 // 3), len(noisy)) if noisy else 0
                     at = rng.randint(0, len(noisy) - size)
-                    edge = [rng.choice(prose) for _ in range(rng.randint(0, 3))]
-                    out.append((edge + noisy[at:at + size], y))
+                    around = [rng.choice(prose) for _ in range(min(max(0, WINDOW - size), rng.choice((0, 2, rng.randint(0, size * 3 // 2)))))]
+                    before = rng.randint(0, len(around))
+                    out.append((around[:before] + noisy[at:at + size] + around[before:], y))
                 own = [w for w in words if in_families[w] <= 2]
                 for _ in range(COPIES // 2):
                     swap = {w: rng.choice(prose) for w in own}
                     mixed = [swap.get(w, w) for w in words]
-                    out.append((mixed, 0))
+                    if self.similar(mixed, None) < SIMILAR:  # else it still names a family
+                        out.append((mixed, 0))
         return [(w, y) for w, y in out if w]
 
     @staticmethod
