@@ -299,7 +299,8 @@ def _gathered(regions: DataFrame, sure: DataFrame) -> DataFrame:
     by_key = Window.partitionBy("key")
     firsts = regions.withColumn("first", F.min("sid").over(by_key))
     least = firsts.groupBy(F.col("sid").alias("first")).agg(F.min("first").alias("cell"))
-    placed = firsts.join(least, "first").groupBy("cell", "sid").agg(F.count("*").alias("shared"), F.first("comp").alias("comp"))
+    counted = firsts.groupBy("first", "sid").agg(F.count("*").alias("shared"), F.first("comp").alias("comp"))
+    placed = counted.join(least, "first").groupBy("cell", "sid").agg(F.sum("shared").alias("shared"), F.first("comp").alias("comp"))
     placed = placed.join(sure, "sid")
     cells = F.count("*").over(Window.partitionBy("sid"))
     placed = placed.withColumn("cells", cells).filter(F.col("shared") * F.col("cells") >= F.col("sure"))
