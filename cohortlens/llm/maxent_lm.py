@@ -8,22 +8,29 @@ character, length).
 
 *Class model.* A softmax over sparse features of the context, each hashed
 to a row of one weight table: the previous word (bigram), the previous two
-together (trigram), and the word two back (skip). Every task
+together (trigram), and the words two and three back (skips). The table
+has a row for each ``ROW_TOKENS`` training tokens, ``ROWS`` at least. Every task
 runs minibatch gradient steps (Adagrad) over its share of the training
 texts; the updates of all tasks are averaged, each row of the table by how
 often the tasks met it.
 
 *Words.* Within a shape class a known word has its share of the class's
 training tokens; the share of tokens seen only once (Good-Turing) goes to
-unknown words, one outcome per shape class. So the model sums to 1 over
-the known words and one unknown word per shape.
+unknown words, one outcome per shape class. After each previous word, the
+words of the class that followed it in training get their share of these
+followers, and what followed only once is given back to the shares without
+context. So the model sums to 1 over the known words and one unknown word
+per shape, whatever the previous word.
 
 *Counts* must be exact for every word, and the vocabulary grows with the
 corpus, so it is never broadcast. Texts are read once into chunks of
 bounded size with a dictionary each: a document becomes a sequence of the
 chunk's word numbers, and each chunk lists its distinct words with their
 training counts. The lists meet by word (64-bit hash) to get the totals,
-return to their chunk, and the chunk's documents are scored in numpy.
+return to their chunk, and the chunk's documents are scored in numpy. Each
+chunk also lists its distinct pairs of neighbouring words. They grow with
+the corpus as well and are never gathered in one place: they meet in blocks
+of previous words (hashed), and each chunk gets the shares of its pairs back.
 """
 
 from __future__ import annotations
@@ -40,16 +47,20 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm.common import parts_for, small_batches, text_bytes, written
 
-HEAD = 15
-SHAPES = 16
+HEAD = 39
+SHAPES = 24
 CLASSES = 1 + HEAD + SHAPES
-ROW_BITS = 13
+#: Least size of the weight table, and training tokens for each row of it.
+ROW_BITS = 14
 ROWS = 1 << ROW_BITS
-TEMPLATES = 3
+ROW_TOKENS = 1 << 14
+TEMPLATES = 4
 #: Rows of the weight table that travel together.
 BLOCK_ROWS = 256
 #: Text that one dictionary covers, and text that one training task reads.
-CHUNK_BYTES, TRAIN_BYTES = 32 << 20, 512 << 20
+CHUNK_BYTES, TRAIN_BYTES = 24 << 20, 512 << 20
+#: Text whose pairs of words meet in one block.
+PAIR_BYTES = 16 << 20
 BATCH = 4096
 RATE = 0.25
 #: 64-bit stand-ins for the end and for what precedes a text.
@@ -69,7 +80,8 @@ def words_of(text: str | None) -> list[bytes]:
 def shape(word: bytes) -> int:
     last = word[-1]
     ending = 0 if last >= 128 or 97 <= last < 123 else 1 if last == 46 else 2 if last == 44 else 3
-    return (0 if word.isascii() else 8) + ending * 2 + (len(word) > 5)
+    length = 0 if len(word) <= 4 else 1 if len(word) <= 8 else 2
+    return (0 if word.isascii() else 12) + ending * 3 + length
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -78,24 +90,29 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def features(h: np.ndarray) -> np.ndarray:
+def row_bits(tokens: int) -> int:
+    """Bits of a row number of the weight table for so many training tokens."""
+    return max(ROW_BITS, (max(tokens, 1) // ROW_TOKENS).bit_length())
+
+
+def features(h: np.ndarray, bits: int = ROW_BITS) -> np.ndarray:
     """Rows of the weight table for each place of a sequence of word
-    hashes; places count from the third, after the two of the start."""
-    one, two = h[1:-1], h[:-2]
-    k = [np.uint64(n * 0x9E3779B97F4A7C15 & (1 << 64) - 1) for n in range(1, 4)]
-    rows = np.stack([_mix(one + k[0]), _mix(two + k[1]), _mix(_mix(one + k[2]) + two)])
-    return (rows >> np.uint64(64 - ROW_BITS)).astype(np.uint16)
+    hashes; places count from the third (which is never predicted)."""
+    one, two, three = h[1:-1], h[:-2], np.concatenate([h[:1], h[:-3]])
+    k = [np.uint64(n * 0x9E3779B97F4A7C15 & (1 << 64) - 1) for n in range(1, 5)]
+    rows = np.stack([_mix(one + k[0]), _mix(two + k[1]), _mix(_mix(one + k[2]) + two), _mix(three + k[3])])
+    return (rows >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.uint32)
 
 
 def sequence(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """One sequence of word hashes for several documents: two places of
+    """One sequence of word hashes for several documents: three places of
     start before each and the end after it. Also the places to predict, as
     offsets into ``features``' columns."""
-    start, end = np.full(2, BEFORE, np.uint64), np.full(1, END, np.uint64)
+    start, end = np.full(3, BEFORE, np.uint64), np.full(1, END, np.uint64)
     flat = np.concatenate([p for d in docs for p in (start, d, end)])
     at = np.ones(len(flat), dtype=bool)
-    begins = np.cumsum([0] + [len(d) + 3 for d in docs[:-1]])
-    for k in range(2):
+    begins = np.cumsum([0] + [len(d) + 4 for d in docs[:-1]])
+    for k in range(3):
         at[begins + k] = False
     return flat, np.flatnonzero(at) - 2
 
@@ -104,11 +121,12 @@ _ONES = np.ones(CLASSES, np.float32)
 
 
 class ClassModel:
-    """Softmax over the classes; ``2^13 x 32`` weights, whatever the corpus."""
+    """Softmax over the classes; ``2^bits x 64`` weights."""
 
-    def __init__(self, bias: np.ndarray, weights: np.ndarray | None = None):
+    def __init__(self, bias: np.ndarray, weights: np.ndarray | None = None, bits: int = ROW_BITS):
         self.bias = bias.astype(np.float32)
-        self.weights = np.zeros((ROWS, CLASSES), np.float32) if weights is None else weights
+        self.weights = np.zeros((1 << bits, CLASSES), np.float32) if weights is None else weights
+        self.bits = len(self.weights).bit_length() - 1
 
     def _chances(self, rows: np.ndarray) -> np.ndarray:
         z = self.weights[rows[0]]
@@ -136,7 +154,7 @@ class ClassModel:
             for k in range(TEMPLATES):
                 order = np.argsort(part[k], kind="stable")  # radix sort of 16-bit rows
                 row = part[k][order]
-                first = np.flatnonzero(np.diff(row.astype(np.int32), prepend=-1))
+                first = np.flatnonzero(np.diff(row.astype(np.int64), prepend=-1))
                 sums, row = np.add.reduceat(np.ascontiguousarray(g[order].T), first, axis=1).T, row[first]
                 total = squares[row] + sums * sums
                 squares[row] = total
@@ -180,15 +198,16 @@ def class_of(h: int, s: int, head: dict[int, int]) -> int:
 
 # -- passes over the corpus ------------------------------------------------
 
-_CHUNKS = "chunk long, doc_id long, held boolean, ids binary, word long, h long, shape int, n long"
+_CHUNKS = "chunk long, doc_id long, held boolean, ids binary, word long, h long, shape int, n long, block int, pairs binary"
 
 
-def _chunks(docs: DataFrame) -> DataFrame:
-    """Rows of two kinds: a document as the word numbers of its chunk
-    (``ids``), and a distinct word of a chunk with its training count."""
+def _chunks(docs: DataFrame, blocks: int) -> DataFrame:
+    """Rows of three kinds: a document as the word numbers of its chunk
+    (``ids``), a distinct word of a chunk with its training count, and the
+    chunk's pairs of one block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number, size = TaskContext.get().partitionId(), 0, 0
-        table, counts, ended = Numbers(), np.zeros(0, np.int64), 0
+        table, counts, ended, read = Numbers(), np.zeros(0, np.int64), 0, []
         for batch in batches:
             held = batch.column("held").to_pylist()
             ids = []
@@ -201,21 +220,24 @@ def _chunks(docs: DataFrame) -> DataFrame:
             if learned:
                 counts += np.bincount(np.concatenate(learned), minlength=len(table))
             ended += len(learned)
+            read += zip(ids, held)
             yield _rows(task << 32 | number, len(ids), doc_id=batch.column("doc_id"), held=batch.column("held"),
                         ids=pa.array([x.tobytes() for x in ids], pa.binary()))
             if size >= CHUNK_BYTES:
                 yield from _word_rows(task << 32 | number, table, counts, ended)
+                yield from _pair_rows(task << 32 | number, table, read, blocks)
                 number, size = number + 1, 0
-                table, counts, ended = Numbers(), np.zeros(0, np.int64), 0
+                table, counts, ended, read = Numbers(), np.zeros(0, np.int64), 0, []
         if size or len(table) or ended or not number:
             yield from _word_rows(task << 32 | number, table, counts, ended)
+            yield from _pair_rows(task << 32 | number, table, read, blocks)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out(F.col("doc_id")).alias("held"))
     return rows.mapInArrow(run, _CHUNKS)
 
 
 _ARROW = {"chunk": pa.int64(), "doc_id": pa.int64(), "held": pa.bool_(), "ids": pa.binary(),
-          "word": pa.int64(), "h": pa.int64(), "shape": pa.int32(), "n": pa.int64()}
+          "word": pa.int64(), "h": pa.int64(), "shape": pa.int32(), "n": pa.int64(), "block": pa.int32(), "pairs": pa.binary()}
 
 
 def _rows(chunk: int, count: int, **columns) -> pa.RecordBatch:
@@ -237,11 +259,110 @@ def _word_rows(chunk: int, table: Numbers, counts: np.ndarray, ended: int) -> It
     yield _rows(chunk, 1, word=np.array([len(words)]), h=np.array([END]), shape=np.zeros(1, np.int32), n=np.array([ended]))
 
 
-def _train(docs: DataFrame, bias: np.ndarray, head: dict[int, int], tasks: int) -> np.ndarray:
+# -- pairs of neighbouring words -------------------------------------------
+
+
+def pair_places(docs: list[np.ndarray], size: int) -> np.ndarray:
+    """For each word of the documents one number for it and the word before
+    it, out of ``size`` words; the start counts as the word after the last."""
+    flat = np.concatenate([*docs, np.zeros(0, np.uint32)]).astype(np.uint64)
+    before = np.concatenate([np.zeros(1, np.uint64), flat[:-1]])[:len(flat)]
+    lengths = np.array([len(d) for d in docs], np.int64)
+    before[(np.cumsum(lengths) - lengths)[lengths > 0]] = size
+    return before * np.uint64(size + 1) + flat
+
+
+def _split(pairs: np.ndarray, h: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Order of a chunk's sorted distinct pairs by block; in that order the
+    numbers of both words; where each block begins. ``h``: hashes of the
+    chunk's words and, last, of the start."""
+    before, word = np.divmod(pairs, np.uint64(len(h)))
+    block = (_mix(h) % np.uint64(blocks)).astype(np.uint16)[before]
+    order = np.argsort(block, kind="stable")
+    return order, before[order], word[order], np.searchsorted(block[order], np.arange(blocks + 1))
+
+
+def pair_key(h: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """48 bits of a following word: 43 of its hash and five of its shape."""
+    return h >> np.uint64(21) << np.uint64(5) | s.astype(np.uint64)
+
+
+def _pair_rows(chunk: int, table: Numbers, read: list[tuple], blocks: int) -> Iterator[pa.RecordBatch]:
+    """The chunk's distinct pairs with their training counts, one row for
+    each block: hashes of the previous words, how many pairs each has, the
+    keys of the following words and the counts."""
+    if not table:
+        return
+    words = list(table)
+    h = np.fromiter(map(word_hash, words), np.uint64, len(words))
+    keys = pair_key(h, np.fromiter(map(shape, words), np.int64, len(words)))
+    h = np.append(h, np.uint64(BEFORE))
+    pairs, place = np.unique(pair_places([x for x, _ in read], len(words)), return_inverse=True)
+    learned = np.repeat([not held for _, held in read], [len(x) for x, _ in read])
+    counts = np.bincount(place[learned], minlength=len(pairs)).astype(np.uint32)
+    del place, learned
+    order, before, word, begins = _split(pairs, h, blocks)
+    counts = counts[order]
+    for b in range(blocks):
+        part = slice(begins[b], begins[b + 1])
+        if begins[b] < begins[b + 1]:
+            first = np.flatnonzero(np.diff(before[part].astype(np.int64), prepend=-1))
+            lengths = np.diff(first, append=begins[b + 1] - begins[b]).astype(np.uint32)
+            follow = np.ascontiguousarray(keys[word[part]].view(np.uint16).reshape(-1, 4)[:, :3])
+            packed = b"".join([np.uint32(len(first)).tobytes(), h[before[part][first]].tobytes(), lengths.tobytes(),
+                               follow.tobytes(), counts[part].tobytes()])
+            yield _rows(chunk, 1, block=np.array([b]), pairs=pa.array([packed], pa.binary()))
+
+
+def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Previous word's hash, following word's key and count of each pair."""
+    n = int(np.frombuffer(packed, np.uint32, 1)[0])
+    lengths = np.frombuffer(packed, np.uint32, n, 4 + 8 * n)
+    total, at = int(lengths.sum()), 4 + 12 * n
+    keys = np.zeros((total, 4), np.uint16)
+    keys[:, :3] = np.frombuffer(packed, np.uint16, 3 * total, at).reshape(-1, 3)
+    return (np.repeat(np.frombuffer(packed, np.uint64, n, 4), lengths), keys.view(np.uint64).ravel(),
+            np.frombuffer(packed, np.uint32, total, at + 6 * total))
+
+
+def followers(before: np.ndarray, key: np.ndarray, n: np.ndarray, head: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each listed pair, by the counts of all that are listed: the share
+    that the previous word gives to the following one among its class, and
+    the share that it leaves to what is known without it. Followers met
+    once (Good-Turing) are left; a previous word after which nothing recurs
+    leaves all. ``head``: keys of the words with a class of their own."""
+    _, first, pair = np.unique(_mix(before) ^ _mix(key + np.uint64(1)), return_index=True, return_inverse=True)
+    count = np.bincount(pair, weights=np.where(np.isin(key, head), 0, n))
+    group = _mix(_mix(before) + (key[first][pair] & np.uint64(31)))
+    _, group = np.unique(group, return_inverse=True)
+    total = np.bincount(group[first], weights=count)
+    once = np.bincount(group[first], weights=count == 1)
+    left = (once + 2.0) / (total + 2.0)
+    share = count[pair] / np.maximum(total, 1.0)[group] * (1.0 - left[group])
+    return share.astype(np.float32), left[group].astype(np.float32)
+
+
+def _followers(rows: DataFrame, head: np.ndarray) -> DataFrame:
+    """``chunk, block, found``: both shares of a chunk's pairs of a block."""
+    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
+        lists = [_unpacked(x) for x in pdf["pairs"]]
+        share, left = followers(*(np.concatenate(x) for x in zip(*lists)), head)
+        ends = np.cumsum([0] + [len(x[0]) for x in lists])
+        return pd.DataFrame({"chunk": pdf["chunk"], "block": pdf["block"],
+                             "found": [share[a:b].tobytes() + left[a:b].tobytes() for a, b in zip(ends, ends[1:])]})
+
+    return rows.filter("block is not null").select("chunk", "block", "pairs").groupBy("block").applyInPandas(
+        meet, "chunk long, block int, found binary")
+
+
+# -- training and scoring --------------------------------------------------
+
+
+def _train(docs: DataFrame, bias: np.ndarray, head: dict[int, int], tasks: int, bits: int) -> np.ndarray:
     """Weights after one pass of gradient steps over all training texts."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model, words = ClassModel(bias), Words(head)
-        squares, met = np.full((ROWS, CLASSES), 1.0, np.float32), np.zeros(ROWS, np.int64)
+        model, words = ClassModel(bias, bits=bits), Words(head)
+        squares, met = np.full((1 << bits, CLASSES), 1.0, np.float32), np.zeros(1 << bits, np.int64)
         for pdf in batches:
             low = np.uint64(63)
             coded = [words.code(words_of(t)) for t in pdf["text"]]
@@ -250,8 +371,8 @@ def _train(docs: DataFrame, bias: np.ndarray, head: dict[int, int], tasks: int)
             flat, at = sequence(coded)
             y = (flat & low).astype(np.int64)
             y[flat == END] = 0
-            model.steps(features(flat & ~low | np.where(flat < 64, flat, 0))[:, at], y[at + 2], squares, met)
-        for b in range(0, ROWS, BLOCK_ROWS):
+            model.steps(features(flat & ~low | np.where(flat < 64, flat, 0), bits)[:, at], y[at + 2], squares, met)
+        for b in range(0, 1 << bits, BLOCK_ROWS):
             part = slice(b, b + BLOCK_ROWS)
             if met[part].any():
                 yield pd.DataFrame({"block": [b // BLOCK_ROWS], "weights": [model.weights[part].tobytes()], "met": [met[part].tobytes()]})
@@ -270,8 +391,8 @@ def _train(docs: DataFrame, bias: np.ndarray, head: dict[int, int], tasks: int)
     texts = docs.filter(~held_out(F.col("doc_id"))).select("text").coalesce(tasks)
     updates = texts.mapInPandas(run, "block int, weights binary, met binary")
     mean = updates.repartition(ROWS // BLOCK_ROWS, "block").mapInPandas(average, "block int, weights binary")
-    weights = np.zeros((ROWS, CLASSES), np.float32)
-    for row in mean.collect():  # the weight table: 1 MB
+    weights = np.zeros((1 << bits, CLASSES), np.float32)
+    for row in mean.toLocalIterator():  # the weight table: 4 MB, 256 bytes a row of a larger one
         a = row["block"] * BLOCK_ROWS
         weights[a:a + BLOCK_ROWS] = np.frombuffer(row["weights"], np.float32).reshape(-1, CLASSES)
     return weights
@@ -287,7 +408,9 @@ def score(docs: DataFrame) -> DataFrame:
     alone. Other columns are ignored; an empty table gives an empty
     result."""
     small_batches(docs.sparkSession)
-    rows = written(_chunks(docs), "lm-chunks")
+    size = text_bytes(docs)
+    blocks = min(1 << 16, parts_for(size, PAIR_BYTES, 8))
+    rows = written(_chunks(docs, blocks), "lm-chunks")
     by_word = Window.partitionBy("h").orderBy("chunk").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     first = F.row_number().over(Window.partitionBy("h").orderBy("chunk")) == 1
     lists = written(rows.filter("h is not null").select(
@@ -295,7 +418,7 @@ def score(docs: DataFrame) -> DataFrame:
     known = lists.filter("first and c > 0")
     total, distinct = known.agg(F.sum("c"), F.count("*")).first()
     total, distinct = int(total or 0), int(distinct)
-    top = known.filter(F.col("h") != END).orderBy(F.desc("c"), "h").limit(HEAD).select("h", "c").collect()
+    top = known.filter(F.col("h") != END).orderBy(F.desc("c"), "h").limit(HEAD).select("h", "c", "shape").collect()
     head = {r["h"] & (1 << 64) - 1: i for i, r in enumerate(top, 1)} | {END: 0}
     tail = known.filter(~F.col("h").isin([h - (1 << 64) if h >> 63 else h for h in head]))
     by_shape = tail.groupBy("shape").agg(F.sum("c").alias("n"), F.count_if(F.col("c") == 1).alias("once")).collect()
@@ -307,35 +430,47 @@ def score(docs: DataFrame) -> DataFrame:
     mass = np.concatenate([[ends], [r["c"] for r in top], np.zeros(HEAD - len(top)), n])
     bias = np.log((mass + 0.5) / (mass + 0.5).sum())
     parallel = docs.sparkSession.sparkContext.defaultParallelism
-    weights = _train(docs, bias, head, parts_for(text_bytes(docs), TRAIN_BYTES, 2 * parallel)) if total else None
-    return _scored(rows, lists, ClassModel(bias, weights), head, n, unseen, total, distinct)
+    weights = _train(docs, bias, head, parts_for(size, TRAIN_BYTES, 2 * parallel), row_bits(total)) if total else None
+    shapes = [r["shape"] for r in top]
+    found = _followers(rows, pair_key(np.array([r["h"] for r in top], np.int64).view(np.uint64), np.array(shapes, np.int64)))
+    return _scored(rows, lists, found, blocks, ClassModel(bias, weights), head, n, unseen, total, distinct)
 
 
-def _scored(rows: DataFrame, lists: DataFrame, model: ClassModel, head: dict[int, int], n: np.ndarray, unseen: np.ndarray,
+def _scored(rows: DataFrame, lists: DataFrame, found: DataFrame, blocks: int, model: ClassModel, head: dict[int, int], n: np.ndarray, unseen: np.ndarray,
             total: int, distinct: int) -> DataFrame:
     session = rows.sparkSession
-    shared = session.sparkContext.broadcast(model.weights)  # 1 MB
+    shared = session.sparkContext.broadcast(model.weights)  # every text meets rows all over the table
     bias, norm = model.bias, total + 0.1 * (distinct + 1)
 
     def run(docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
         net = ClassModel(bias, shared.value)
-        words = words.sort_values("word")
+        back = words[words["block"] >= 0].sort_values("block")
+        words = words[words["block"] < 0].sort_values("word")
         h, c = words["h"].to_numpy().view(np.uint64), words["c"].to_numpy().astype(np.float64)
         s = words["shape"].to_numpy()
         kind = 1 + HEAD + s
         for key, number in head.items():
             kind[h == np.uint64(key)] = number
         inside = np.where(c > 0, (1.0 - unseen[s]) * c / np.maximum(n[s], 1.0), unseen[s])
-        inside = np.where(kind > HEAD, np.log10(np.maximum(inside, 1e-300)), 0.0)
         base = np.log10((c + 0.1) / norm)
         end = len(h) - 1
+        share, left = (np.concatenate([np.frombuffer(x, np.float32).reshape(2, -1)[k] for x in back["found"]]
+                                      + [np.zeros(0, np.float32)]) for k in (0, 1))
+        pairs = np.unique(np.concatenate([pair_places([np.frombuffer(x, np.uint32) for x in docs["ids"]], end), np.zeros(0, np.uint64)]))
+        order = _split(pairs, np.append(h[:end], np.uint64(BEFORE)), blocks)[0]
+        own, rest = np.empty_like(share), np.empty_like(left)
+        own[order], rest[order] = share, left
         out = []
         for a in range(0, len(docs), 256):
             part = docs.iloc[a:a + 256]
             coded = [np.frombuffer(x, np.uint32) for x in part["ids"]]
             flat, at = sequence([h[x] for x in coded])
             place = np.concatenate([y for x in coded for y in (x, [end])]).astype(np.int64)
-            value = net.log10(features(flat)[:, at], kind[place]) + inside[place]
+            chance, is_word = inside[place], place != end
+            pair = np.searchsorted(pairs, pair_places(coded, end))
+            chance[is_word] = own[pair] + rest[pair] * chance[is_word]
+            chance = np.where(kind[place] > HEAD, np.log10(np.maximum(chance, 1e-300)), 0.0)
+            value = net.log10(features(flat, net.bits)[:, at], kind[place]) + chance
             starts = np.cumsum([0] + [len(x) + 1 for x in coded[:-1]])
             out.append(pd.DataFrame({
                 "doc_id": part["doc_id"].to_numpy(), "held_out": part["held"].to_numpy(), "n_tokens": [len(x) + 1 for x in coded],
@@ -346,7 +481,10 @@ def _scored(rows: DataFrame, lists: DataFrame, model: ClassModel, head: dict[int
         return result
 
     documents = rows.filter("ids is not null").select("chunk", "doc_id", "held", "ids")
-    return documents.groupBy("chunk").cogroup(lists.select("chunk", "word", "h", "shape", "c").groupBy("chunk")).applyInPandas(
+    known = lists.select("chunk", "word", "h", "shape", "c", F.lit(-1).alias("block"), F.lit(None).cast("binary").alias("found")).unionByName(
+        found.select("chunk", F.lit(-1).cast("long").alias("word"), F.lit(0).cast("long").alias("h"), F.lit(0).alias("shape"),
+                     F.lit(0).cast("long").alias("c"), "block", "found"))
+    return documents.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInPandas(
         run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 

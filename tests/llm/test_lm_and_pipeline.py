@@ -111,3 +111,46 @@ def test_stages_handle_awkward_rows(spark, awkward, empty):
             out = stage(spark, first, SF001)
             assert out.count() <= len(rows) + 20
     assert jaccard_join.keep_one(docs).columns == docs.columns
+
+
+def test_words_in_a_class_follow_the_previous_word(spark):
+    """All words have one shape and are equally frequent, so neither the
+    classes nor the counts tell the successor; the previous word does."""
+    rng = random.Random(4)
+    names = [f"w{k:03d}x" for k in range(300)]
+    after = dict(zip(names, rng.sample(names, len(names))))
+    rows = []
+    for i in range(400):
+        words = [rng.choice(names)]
+        for _ in range(59):
+            words.append(after[words[-1]])
+        rows.append((i, " ".join(words), None, None, *["x"] * 14))
+    out = LM.score(spark.createDataFrame(rows, SCHEMA).repartition(2)).collect()
+    held = [r for r in out if r.held_out]
+    assert held and sum(r.score for r in held) / sum(r.n_tokens for r in held) > -0.5  # 1/300 is -2.48
+
+
+def test_shares_after_a_word_sum_to_one():
+    rng = np.random.default_rng(7)
+    before = rng.integers(0, 5, 4000).astype(np.uint64) * np.uint64(1 << 40) + np.uint64(64)
+    word = (rng.zipf(1.5, 4000) % 400).astype(np.uint64) * np.uint64(1 << 30)
+    shapes = (word >> np.uint64(30)).astype(np.int64) % 3
+    key = LM.pair_key(word, shapes)
+    head = LM.pair_key(np.array([1 << 30], np.uint64), np.array([1]))
+    share, left = LM.followers(before, key, np.ones(4000, np.uint32), head)
+    sums, rest = Counter(), {}
+    for b, k, s, x, r in sorted({*zip(before.tolist(), key.tolist(), shapes.tolist(), share.tolist(), left.tolist())}):
+        sums[b, s] += x
+        assert rest.setdefault((b, s), r) == r
+        assert x == 0 or k != int(head[0])
+    assert all(abs(sums[g] + rest[g] - 1) < 1e-5 for g in rest) and min(rest.values()) < 0.5
+
+
+def test_model_size():
+    """64 classes, four features, and rows that grow with the tokens."""
+    assert LM.CLASSES == 64 and LM.TEMPLATES == 4
+    assert LM.row_bits(1000) == 14 and LM.row_bits(5 * 10 ** 9) >= 19
+    flat, at = LM.sequence([np.arange(100, 120, dtype=np.uint64), np.arange(200, 210, dtype=np.uint64)])
+    other = flat.copy()
+    other[at[8] + 2 - 3] += np.uint64(1)  # three back
+    assert (LM.features(flat, 20)[3, at[8]] != LM.features(other, 20)[3, at[8]]) and LM.features(flat, 20).max() >= 1 << 16
