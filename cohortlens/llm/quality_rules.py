@@ -34,9 +34,6 @@ from cohortlens.llm.common import WORD_BREAKS, small_batches, written
 ALPHA, DELTA = 0.02, 0.05
 #: Share of the strictest level's labelled bad rejections that is enough.
 NEARLY = 0.99
-#: Labelled rows that calibration uses at most, drawn by hash. Keeps the
-#: calibration table, and so the number of strata with a cutoff, bounded.
-MAX_LABELS = 2_000_000
 MIN_WORDS = 50
 
 # The symbols that are counted, and letters by case.
@@ -133,19 +130,16 @@ def measure_documents(docs: DataFrame) -> DataFrame:
 
 
 def calibrate(narrow: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> dict[str, int]:
-    """Level by stratum, from the labelled documents that pass the base
+    """Level by stratum, from all labelled documents that pass the base
     rule. A document labelled more than once is good only if every label
     says so; null labels are ignored."""
     marked = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.min("quality").alias("quality"))
-    total = marked.count()
-    if total > MAX_LABELS:
-        marked = marked.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * MAX_LABELS / total))
     held = narrow.filter(~_base(narrow)).join(marked, "doc_id")
     rejects = [reduce(or_, [F.col(r) > cs[i] for r, cs in RULES.items()]) for i in range(LEVELS)]
     of = lambda q, i: F.count_if((F.col("quality") == q) & rejects[i]).alias(f"q{q}_{i}")
-    # No proof is possible below this many good labels, so at most
-    # MAX_LABELS divided by it rows come back.
+    # One row comes back for each stratum (language) with at least this many
+    # good labels; below it no proof is possible.
     least = math.ceil(math.log(delta) / math.log1p(-alpha))
     table = held.groupBy("stratum").agg(F.count_if(F.col("quality") == 1).alias("n"),
                                         *[of(q, i) for q in (0, 1) for i in range(LEVELS)]).filter(F.col("n") >= least).collect()

@@ -77,6 +77,17 @@ def test_judge_and_keep(spark, awkward, empty):
     assert Q.judge(empty, labels).count() == 0 and Q.keep(empty, labels).count() == 0
 
 
+def test_calibration_reads_every_label(spark, monkeypatch):
+    """A stratum with just enough good labels gets its level however many
+    labels there are in all (a bound on them used to thin it out)."""
+    monkeypatch.setattr(Q, "MAX_LABELS", 500, raising=False)
+    measure = {c: 0 for c in Q._COUNTS} | {r: 0.0 for r in Q.RULES} | {"n_words": 100}
+    rows = [(k, "big" if k < 4000 else "small", k % 10 != 0 if k < 4000 else k < 4300) for k in range(4400)]
+    narrow = spark.createDataFrame([{"doc_id": k, "stratum": s, **measure, "capitals": 0.0 if good else 0.99} for k, s, good in rows])
+    labels = spark.createDataFrame([(k, int(good)) for k, _, good in rows], "doc_id long, quality int")
+    assert Q.calibrate(narrow, labels) == {"big": 0, "small": 0}
+
+
 def test_votes_match_brute_force():
     rng = np.random.default_rng(2)
     texts = [prose(random.Random(k), 80) + (" ###!! $$" * 30 if k % 4 == 0 else "") for k in range(120)]
