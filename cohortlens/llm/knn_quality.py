@@ -1,6 +1,7 @@
 """Quality classifier by nearest-neighbour voting in a latent space.
 
-A text becomes a bag of *shapes*: its words with letters, digits and runs
+A text becomes a bag of its *words*, single and in pairs, hashed into
+``WORDS`` columns, a bag of *shapes*: its words with letters, digits and runs
 reduced to classes, single and in pairs, hashed into ``FEATURES`` columns,
 and bands of how much the text repeats words, word triples and lines. A
 truncated SVD of the weighted matrix of a bounded sample of labelled
@@ -27,7 +28,10 @@ from pyspark.sql import functions as F
 from cohortlens.llm.common import small_batches
 
 FEATURES, BANDS = 1024, 33
-AXES = 48
+#: Half for words, half for pairs.
+WORDS = 4096
+COLUMNS = FEATURES + BANDS + WORDS
+AXES = 64
 #: Labelled rows that the model is fitted on and votes with, at most.
 MAX_LABELLED = 8192
 NEIGHBOURS = 25
@@ -35,6 +39,8 @@ PREDICT = 0.7
 
 _CLASSES = bytes(0x61 if b >= 128 or 97 <= b < 123 else 0x41 if 65 <= b < 91 else 0x30 if 48 <= b < 58 else b
                  for b in range(256))
+#: Lower-case letters, digits and non-ASCII bytes make words.
+_LETTERS = bytes(b + 32 if 65 <= b < 91 else b if b >= 128 or 97 <= b < 123 or 48 <= b < 58 else 32 for b in range(256))
 _RUNS = re.compile(rb"([^\s])\1+")
 
 
@@ -43,9 +49,18 @@ def _column(term: tuple) -> int:
     return zlib.crc32(b" ".join(term)) % FEATURES
 
 
+def _word_counts(data: bytes) -> np.ndarray:
+    """Shares (log scaled) of the hashed words and pairs of words."""
+    h = np.array([zlib.crc32(w) for w in data.translate(_LETTERS).split()], dtype=np.uint64)
+    half, k = np.uint64(WORDS // 2), np.uint64(0x9E3779B97F4A7C15)
+    pairs = ((h[:-1] * k ^ h[1:]) * k >> np.uint64(33)) % half
+    counts = np.bincount(np.concatenate([h % half, half + pairs]).astype(np.int64), minlength=WORDS)
+    return np.log1p(1000.0 * counts / max(len(h), 1))
+
+
 def features(text: str | None) -> np.ndarray:
     """Term counts (log scaled) and repetition bands of one text."""
-    v = np.zeros(FEATURES + BANDS, dtype=np.float32)
+    v = np.zeros(COLUMNS, dtype=np.float32)
     if not text:
         return v
     data = text.encode("utf-8", "surrogatepass")
@@ -64,34 +79,62 @@ def features(text: str | None) -> np.ndarray:
                                            (len(lines), len(set(lines))))):
         share = 1.0 - distinct / whole if whole else 0.0
         v[FEATURES + 11 * k + int(10 * share)] = 1.0
+    v[FEATURES + BANDS:] = _word_counts(data)
     return v
 
 
+class Sparse:
+    """Rows as places and values of what isn't zero; slices are dense, so
+    the driver never holds the whole matrix."""
+
+    def __init__(self, rows: list[tuple[bytes, bytes]]):
+        self.rows = rows
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, part: slice) -> np.ndarray:
+        out = np.zeros((len(self.rows[part]), COLUMNS), dtype=np.float32)
+        for row, (at, v) in zip(out, self.rows[part]):
+            row[np.frombuffer(at, dtype=np.uint16)] = np.frombuffer(v, dtype=np.float32)
+        return out
+
+
 class Neighbours:
     """The fitted space with its labelled vectors; small enough to travel
     with each task (about ``MAX_LABELLED * AXES`` floats)."""
 
-    def __init__(self, rows: np.ndarray, labels: np.ndarray):
+    def __init__(self, rows: np.ndarray | Sparse, labels: np.ndarray):
         self.labels = labels.astype(np.float32)
         self.prior = float(self.labels.mean()) if len(labels) else 1.0
         if not len(labels):
             return
-        seen = (rows > 0).sum(axis=0)
+        seen = sum((rows[a:a + 512] > 0).sum(axis=0) for a in range(0, len(rows), 512))
         self.idf = (np.log((1.0 + len(rows)) / (1.0 + seen)) + 0.1).astype(np.float32)
-        weighted = self._weighted(rows)
-        values, vectors = np.linalg.eigh((weighted.T @ weighted).astype(np.float64))
+        self.axes = self._top(rows)
+        self.vectors = self._unit(np.concatenate([x @ self.axes for x in self._blocks(rows)]))
+
+    def _blocks(self, rows: np.ndarray | Sparse) -> Iterator[np.ndarray]:
+        for a in range(0, len(rows), 512):
+            yield self._weighted(rows[a:a + 512])
+
+    def _top(self, rows: np.ndarray | Sparse, turns: int = 12) -> np.ndarray:
+        """Leading right singular vectors by subspace iteration."""
+        basis = np.random.default_rng(1).standard_normal((COLUMNS, AXES + 32)).astype(np.float32)
+        for _ in range(turns):
+            basis, _ = np.linalg.qr(sum(x.T @ (x @ basis) for x in self._blocks(rows)))
+        within = np.concatenate([x @ basis for x in self._blocks(rows)]).astype(np.float64)
+        values, vectors = np.linalg.eigh(within.T @ within)
         keep = np.argsort(-values)[:AXES]
-        self.axes = vectors[:, keep[values[keep] > 1e-9 * max(values.max(), 1e-30)]].astype(np.float32)
-        self.vectors = self._unit(weighted @ self.axes)
+        return basis @ vectors[:, keep[values[keep] > 1e-9 * max(values.max(), 1e-30)]].astype(np.float32)
 
     @staticmethod
     def _unit(x: np.ndarray) -> np.ndarray:
         return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
     def _weighted(self, rows: np.ndarray) -> np.ndarray:
-        """Terms and bands weigh alike, whatever a text's length."""
-        x = rows * self.idf
-        return np.hstack([self._unit(x[:, :FEATURES]), self._unit(x[:, FEATURES:])])
+        """Shapes, bands and words weigh alike, whatever a text's length."""
+        return np.hstack([self._unit(x) for x in np.split(rows * self.idf, [FEATURES, FEATURES + BANDS], axis=1)])
 
     def score(self, rows: np.ndarray) -> np.ndarray:
         if not len(self.labels):
@@ -121,12 +164,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Neighbours:
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "quality": pdf["quality"],
-                                "v": [features(t).tobytes() for t in pdf["text"]]})
+            vectors = [features(t) for t in pdf["text"]]
+            at = [np.flatnonzero(v) for v in vectors]
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "quality": pdf["quality"], "at": [a.astype(np.uint16).tobytes() for a in at],
+                                "v": [v[a].tobytes() for v, a in zip(vectors, at)]})
 
-    found = texts.mapInPandas(extract, "doc_id long, quality int, v binary").collect()
+    found = texts.mapInPandas(extract, "doc_id long, quality int, at binary, v binary").collect()
     found.sort(key=lambda r: r["doc_id"])
-    rows = np.array([np.frombuffer(r["v"], dtype=np.float32) for r in found], dtype=np.float32).reshape(-1, FEATURES + BANDS)
+    rows = Sparse([(bytes(r["at"]), bytes(r["v"])) for r in found])
     return Neighbours(rows, np.array([r["quality"] for r in found]))
 
 

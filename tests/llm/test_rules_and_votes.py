@@ -105,6 +105,19 @@ def test_votes_match_brute_force():
     assert rng is not None
 
 
+def test_votes_tell_texts_apart_by_vocabulary(spark):
+    """Bad texts have the shapes, lengths and repetition of good ones, and
+    half of their words; only the other words differ."""
+    rng = random.Random(11)
+    both, good, bad = ([f"{a}{b}{c}" for a in x for b in "aeiou" for c in ("lor", "mis", "nut")] for x in ("bcd", "fgh", "pqr"))
+    rows = [(k, " ".join(rng.choice(both if rng.random() < 0.5 else bad if k % 3 == 0 else good) for _ in range(150)), None, None, *["x"] * 14)
+            for k in range(600)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    out = knn_quality.classify(docs, spark.createDataFrame([(k, int(k % 3 > 0)) for k in range(600)], "doc_id long, quality int")).collect()
+    held = [r for r in out if r.held_out]
+    assert len(held) > 100 and sum(r.predicted == int(r.doc_id % 3 > 0) for r in held) > 0.95 * len(held)
+
+
 def test_classify(spark, awkward, empty):
     df, rows = awkward
     labels = spark.createDataFrame([(k, int(k % 5 > 0)) for k in range(40)] + [(108, 0), (109, 0), (None, 0), (3, None)], "doc_id long, quality int")
