@@ -152,13 +152,14 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Neighbours:
-    """Fit on labelled documents that are not held out: at most
+    """Fit on labelled documents of ``docs`` that are not held out: at most
     ``MAX_LABELLED``, drawn by a hash of their id. Of several labels of a
     document the lowest counts, of several texts the first in order."""
     small_batches(docs.sparkSession)
     marked = (labels.filter("doc_id is not null and quality is not null").filter(~held_out(F.col("doc_id")))
               .groupBy("doc_id").agg(F.min("quality").alias("quality")))
-    sample = marked.orderBy(F.xxhash64(F.lit("labelled"), "doc_id"), "doc_id").limit(MAX_LABELLED)
+    present = marked.join(docs.select("doc_id"), "doc_id", "left_semi")
+    sample = present.orderBy(F.xxhash64(F.lit("labelled"), "doc_id"), "doc_id").limit(MAX_LABELLED)
     texts = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most MAX_LABELLED rows
              .groupBy("doc_id").agg(F.min("text").alias("text"), F.first("quality").alias("quality")))
 

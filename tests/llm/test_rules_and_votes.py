@@ -118,6 +118,13 @@ def test_votes_tell_texts_apart_by_vocabulary(spark):
     assert len(held) > 100 and sum(r.predicted == int(r.doc_id % 3 > 0) for r in held) > 0.95 * len(held)
 
 
+def test_labels_of_absent_documents_take_no_place(spark, monkeypatch):
+    monkeypatch.setattr(knn_quality, "MAX_LABELLED", 30)
+    docs = spark.createDataFrame([(k, prose(random.Random(k), 80), None, None, *["x"] * 14) for k in range(60)], SCHEMA)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(5000)], "doc_id long, quality int")
+    assert len(knn_quality.fit(docs, labels).labels) == 30
+
+
 def test_classify(spark, awkward, empty):
     df, rows = awkward
     labels = spark.createDataFrame([(k, int(k % 5 > 0)) for k in range(40)] + [(108, 0), (109, 0), (None, 0), (3, None)], "doc_id long, quality int")
