@@ -9,8 +9,10 @@ replaced. Half of the made examples calibrate it: a temperature for the
 probabilities, and the least probability at which a family is believed,
 so that no more than ``FALSE_SHARE`` of the unknown ones pass. A believed
 family is reported once a template of it shares ``SIMILAR`` of its word
-3-grams with the paragraph. Paragraphs without a template 3-gram could not
-be confirmed and are skipped before scoring.
+3-grams with the paragraph. Templates of fewer words (SPDX tags) are looked
+for whole, anywhere in a paragraph, and each identifier of an SPDX expression
+counts as a tag. Paragraphs without a template 3-gram or a short template
+could not be confirmed and are skipped before scoring.
 """
 
 from __future__ import annotations
@@ -36,6 +38,9 @@ COPIES = 16
 SIMILAR = 0.6
 FALSE_SHARE = 0.002
 
+#: What an SPDX expression starts with and what joins its parts.
+TAG, JOINTS = "spdx-license-identifier", ("or", "and", "with")
+
 _WORD = re.compile(r"[^\W_]+(?:[.'-][^\W_]+)*")
 
 
@@ -65,6 +70,9 @@ class Model:
         self.families = [UNKNOWN, *templates]
         self.templates = {f: [grams(words_of(t), 3) for t in ts] for f, ts in templates.items()}
         self.known = set().union(*[g for gs in self.templates.values() for g in gs])
+        self.short = {f: {g for gs in s for g in gs if len(g) < 3} for f, s in self.templates.items()}
+        self.tags = set().union(*self.short.values())
+        self.first = {g[0] for g in self.tags}
         examples = self._examples(templates, corpus, rng)
         rng.shuffle(examples)
         half = len(examples) // 2
@@ -161,12 +169,30 @@ class Model:
     def similar(self, words: list[str], family: str | None) -> float:
         """Largest share of 3-grams that the words have in common with one
         template (of one family), counted in the smaller of both."""
+        tags = {g for _, g in self.short_templates(words)}
+        if tags and not tags.isdisjoint(self.short[family] if family else self.tags):
+            return 1.0
         own = grams(words, 3)
         if not own or (family is None and self.known.isdisjoint(own)):
             return 0.0
         sets = self.templates[family] if family else [g for gs in self.templates.values() for g in gs]
         return max(len(own & t) / min(len(own), len(t)) for t in sets)
 
+    def short_templates(self, words: list[str]) -> list[tuple[int, tuple]]:
+        """Where templates of one or two words start among the words; the
+        later identifiers of an SPDX expression stand behind its start."""
+        if self.first.isdisjoint(words):
+            return []
+        found = [(at, g) for n in (1, 2) for at, g in enumerate(zip(*[words[k:] for k in range(n)])) if g in self.tags]
+        for at, word in enumerate(words):
+            end = at + 2
+            while word == TAG and words[end:end + 1] and words[end] in JOINTS and end + 1 < len(words):
+                g = (TAG, words[end + 1])
+                if words[end] != "with" and g in self.tags:
+                    found.append((at, g))
+                end += 2
+        return found
+
     def scan(self, text: str | None) -> list[tuple]:
         """(paragraph, word, family, probability, similarity) of each
         window with a confirmed family; the best window of a paragraph and
@@ -174,13 +200,18 @@ class Model:
         found = []
         for number, line in enumerate(text.split("\n") if text else ()):
             words = words_of(line)
-            if self.known.isdisjoint(zip(words, words[1:], words[2:])) and tuple(words) not in self.known:
+            tags = self.short_templates(words)
+            if not tags and self.known.isdisjoint(zip(words, words[1:], words[2:])) and tuple(words) not in self.known:
                 continue
             best: dict[str, tuple] = {}
             for at, part in windows(words):
                 family, chance = self.classify(part)
                 if family != UNKNOWN and (s := self.similar(part, family)) >= SIMILAR:
                     best[family] = max(best.get(family, (0.0, 0.0, 0)), (s, chance, -at))
+            for at, tag in tags:
+                family, chance = self.classify(list(tag))
+                if family not in best and tag in self.short.get(family, ()):
+                    best[family] = (1.0, chance, -at)
             found += [(number, -at, f, chance, s) for f, (s, chance, at) in sorted(best.items())]
         return found
 

@@ -168,3 +168,18 @@ def test_license_scan(spark, awkward, empty):
     assert found == {(i, f) for i, f, _ in planted}
     assert all(r.paragraph == 5 and r.similarity >= license_scan.SIMILAR and 0 < r.probability <= 1 for r in out)
     assert license_scan.scan(df).count() == 0 and license_scan.scan(empty).count() == 0
+
+
+def test_spdx_tags_inside_longer_lines(spark, awkward):
+    rng, rows = random.Random(9), awkward[1]
+    tags = {f: t for f, ts in license_scan.TEMPLATES.items() for t in ts if t.startswith("SPDX")}
+    planted = [(700 + k, {f}, f"Copyright 2020 Ann. {t}") for k, (f, t) in enumerate(tags.items())]
+    planted += [(730, {"MIT", "Apache-2.0"}, "SPDX-License-Identifier: MIT OR Apache-2.0"),
+                (731, {"ISC", "BSD", "MPL-2.0"}, "// SPDX-License-Identifier: (ISC AND BSD-3-Clause) OR MPL-2.0"),
+                (732, {"GPL"}, "SPDX-License-Identifier: GPL-3.0-or-later WITH MIT exception"),
+                (733, {"MIT"}, prose(rng, 90).replace("\n", " ") + " SPDX-License-Identifier: MIT " + prose(rng, 60).replace("\n", " ")),
+                (734, set(), "SPDX-License-Identifier: Strange and the MIT of the work")]
+    docs = spark.createDataFrame(rows + [(i, t, None, None, *["x"] * 14) for i, _, t in planted], SCHEMA)
+    out = license_scan.scan(docs).collect()
+    assert {(r.doc_id, r.family) for r in out} == {(i, f) for i, fs, _ in planted for f in fs}
+    assert len(out) == sum(len(fs) for _, fs, _ in planted)
