@@ -12,7 +12,9 @@ family is reported once a template of it shares ``SIMILAR`` of its word
 3-grams with the paragraph. Templates of fewer words (SPDX tags) are looked
 for whole, anywhere in a paragraph, and each identifier of an SPDX expression
 counts as a tag. Paragraphs without a template 3-gram or a short template
-could not be confirmed and are skipped before scoring.
+could not be confirmed and are skipped before scoring. A window may name
+several families while its probability is for one: the words that a template
+has in common with a paragraph are therefore scored by themselves as well.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ MAX_SAMPLE = 1000
 WINDOW, STEP = 48, 24
 COPIES = 16
 SIMILAR = 0.6
+#: Distance of two 3-grams up to which they belong to one passage.
+GAP = 3
 FALSE_SHARE = 0.002
 
 #: What an SPDX expression starts with and what joins its parts.
@@ -70,6 +74,11 @@ class Model:
         self.families = [UNKNOWN, *templates]
         self.templates = {f: [grams(words_of(t), 3) for t in ts] for f, ts in templates.items()}
         self.known = set().union(*[g for gs in self.templates.values() for g in gs])
+        self.where: dict[tuple, list[tuple[str, int]]] = {}
+        for f, sets in self.templates.items():
+            for number, gs in enumerate(sets):
+                for g in gs:
+                    self.where.setdefault(g, []).append((f, number))
         self.short = {f: {g for gs in s for g in gs if len(g) < 3} for f, s in self.templates.items()}
         self.tags = set().union(*self.short.values())
         self.first = {g[0] for g in self.tags}
@@ -193,6 +202,24 @@ class Model:
                 end += 2
         return found
 
+    def passages(self, words: list[str]) -> list[tuple[str, int, int]]:
+        """(family, start, end) of the words that hold ``SIMILAR`` of the
+        3-grams of one template, at most ``GAP`` words apart."""
+        hits: dict[tuple[str, int], list[int]] = {}
+        for at, g in enumerate(zip(words, words[1:], words[2:])):
+            for template in self.where.get(g, ()):
+                hits.setdefault(template, []).append(at)
+        found = []
+        for (family, number), places in hits.items():
+            size, begin = len(self.templates[family][number]), 0
+            for k, at in enumerate(places, 1):
+                if k == len(places) or places[k] - at > GAP:
+                    part = words[places[begin]:at + 3]
+                    if len(grams(part, 3) & self.templates[family][number]) >= SIMILAR * size:
+                        found.append((family, places[begin], at + 3))
+                    begin = k
+        return sorted(found, key=lambda x: (x[0], x[1] - x[2], x[1]))
+
     def scan(self, text: str | None) -> list[tuple]:
         """(paragraph, word, family, probability, similarity) of each
         window with a confirmed family; the best window of a paragraph and
@@ -208,6 +235,11 @@ class Model:
                 family, chance = self.classify(part)
                 if family != UNKNOWN and (s := self.similar(part, family)) >= SIMILAR:
                     best[family] = max(best.get(family, (0.0, 0.0, 0)), (s, chance, -at))
+            for named, at, end in self.passages(words):
+                if named not in best:
+                    family, chance = self.classify(words[at:end])
+                    if family == named:
+                        best[family] = (self.similar(words[at:end], family), chance, -at)
             for at, tag in tags:
                 family, chance = self.classify(list(tag))
                 if family not in best and tag in self.short.get(family, ()):

@@ -183,3 +183,18 @@ def test_spdx_tags_inside_longer_lines(spark, awkward):
     out = license_scan.scan(docs).collect()
     assert {(r.doc_id, r.family) for r in out} == {(i, f) for i, fs, _ in planted for f in fs}
     assert len(out) == sum(len(fs) for _, fs, _ in planted)
+
+
+def test_every_family_of_a_line(spark, awkward):
+    rng, rows = random.Random(10), awkward[1]
+    planted = [({"MIT", "Apache-2.0"}, "Licensed under the MIT License or the Apache License, Version 2.0."),
+               ({"MIT", "BSD"}, "Released under the MIT License. Released under the BSD license."),
+               ({"ISC", "CC-BY"}, "Licensed under the ISC License, and the texts are licensed under CC BY 4.0."),
+               ({"LGPL"}, "Licensed under the GNU Lesser General Public License, version 3."),
+               ({"AGPL"}, "Licensed under the GNU Affero General Public License, version 3."),
+               ({"CC-BY-SA"}, "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+               (set(), "This project is licensed under the usual terms of the work or the other license.")]
+    docs = spark.createDataFrame(rows + [(800 + k, t + "\n" + prose(rng, 40), None, None, *["x"] * 14) for k, (_, t) in enumerate(planted)], SCHEMA)
+    out = license_scan.scan(docs).collect()
+    assert {(r.doc_id, r.family) for r in out} == {(800 + k, f) for k, (fs, _) in enumerate(planted) for f in fs}
+    assert len(out) == sum(len(fs) for fs, _ in planted) and all(r.similarity >= license_scan.SIMILAR for r in out)
