@@ -68,7 +68,47 @@ SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, least(d.doc_id, coalesce(min(r.
 FROM d LEFT JOIN z USING (doc_id) LEFT JOIN r ON r.x = d.doc_id GROUP BY d.doc_id, z.n"""
 
 
+def _warc() -> str:
+    """Base 32 from the hexadecimal digest: five digits make four letters."""
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    at = lambda shift: f"substr('{letters}', 1 + ((x >> {shift}) & 31), 1)"
+    digits = "list_transform(range(8), lambda i: CAST('0x' || substr(h, CAST(1 + 5 * i AS INT), 5) AS INT))"
+    return f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS h, max(page_id) OVER (PARTITION BY html) AS head FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform({digits}, lambda x: {' || '.join(at(s) for s in (15, 10, 5, 0))}), '') AS payload_digest,
+       CASE WHEN page_id = head THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> head THEN head END AS refers_to FROM d"""
+
+
+def _centroids(clusters: int = 16, rounds: int = 3, dims: int = 64) -> str:
+    """Every distance to every centroid, round by round."""
+    steps, assign = [], """
+a{r} AS MATERIALIZED (SELECT i, arg_min(cluster, (distance, cluster)) AS cluster, min(distance) AS distance FROM
+     (SELECT v.i, c.cluster, sum((v.x - c.x) * (v.x - c.x)) AS distance FROM x v JOIN c{r} c USING (j) GROUP BY 1, 2) GROUP BY i)"""
+    for r in range(rounds):
+        steps.append(assign.format(r=r) + f""",
+m{r} AS (SELECT a.cluster, v.j, sum(v.x) AS total, count(*) AS n FROM x v JOIN a{r} a USING (i) GROUP BY 1, 2),
+c{r + 1} AS MATERIALIZED (SELECT cluster, j, CASE WHEN n IS NULL THEN x ELSE (total - ((total % n) + n) % n) // n END AS x
+     FROM c{r} LEFT JOIN m{r} USING (cluster, j))""")
+    steps.append(assign.format(r=rounds))
+    return f"""
+WITH k AS MATERIALIZED (SELECT row_number() OVER () AS i, vec_id, list_transform(embedding, lambda e: CAST(floor(64 * CAST(e AS DOUBLE)) AS HUGEINT)) AS v
+     FROM embeddings WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+x AS MATERIALIZED (SELECT i, unnest(range({dims})) AS j, unnest(v) AS x FROM k),
+c0 AS MATERIALIZED (SELECT cluster, unnest(range({dims})) AS j, unnest(v) AS x FROM
+     (SELECT v, row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS cluster FROM k WHERE vec_id IS NOT NULL QUALIFY cluster < {clusters})),
+{','.join(steps)},
+h AS (SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY j)) AS centroid_sha256 FROM c{rounds} GROUP BY cluster)
+SELECT k.vec_id, CAST(a.cluster AS INT) AS cluster, CAST(a.distance AS BIGINT) AS distance,
+       CAST(sum(a.distance) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia, CAST(sum(a.distance) OVER () AS BIGINT) AS inertia, h.centroid_sha256
+FROM a{rounds} a JOIN k USING (i) JOIN h USING (cluster)"""
+
+
 ORACLES: dict[str, str] = {
     "op1_quality_rules": _quality_rules(),
     "op7_jaccard_join": _jaccard_join(),
+    "op12_warc": _warc(),
+    "op13_centroid_clusters": _centroids(),
 }
