@@ -68,6 +68,35 @@ SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, least(d.doc_id, coalesce(min(r.
 FROM d LEFT JOIN z USING (doc_id) LEFT JOIN r ON r.x = d.doc_id GROUP BY d.doc_id, z.n"""
 
 
+def _divergence(least: int = 10, top: int = 10) -> str:
+    """Every pair of sources over every kept term."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    share = lambda n, total: f"1 + (1000000000 * (CAST({n} AS HUGEINT) + 2)) // ({total} + 2 * v)"
+    return f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+     regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+o AS MATERIALIZED (SELECT i, lang, source, unnest(w) AS term FROM d),
+k AS MATERIALIZED (SELECT lang, term FROM o GROUP BY 1, 2 HAVING count(DISTINCT i) >= {least}),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY 1),
+c AS MATERIALIZED (SELECT lang, source, term, count(*) AS n FROM o JOIN k USING (lang, term) GROUP BY 1, 2, 3),
+t AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY 1, 2),
+g AS MATERIALIZED (SELECT lang, source, coalesce(total, 0) AS total, coalesce(v, 0) AS v FROM (SELECT DISTINCT lang, source FROM d)
+     LEFT JOIN t USING (lang, source) LEFT JOIN v USING (lang)),
+p AS MATERIALIZED (SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n, {share('coalesce(n, 0)', 'total')} AS p
+     FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+q AS (SELECT lang, term, {share('n', 'total')} AS q FROM (SELECT lang, term, sum(n) AS n FROM c GROUP BY 1, 2)
+      JOIN (SELECT lang, sum(total) AS total, max(v) AS v FROM g GROUP BY 1) USING (lang)),
+terms AS (SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+r AS (SELECT *, 'pair' AS part, 0 AS most FROM pairs UNION ALL SELECT *, 'term', {top} FROM terms)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INT) AS rank
+FROM r QUALIFY part = 'pair' OR rank <= most"""
+
+
 def _warc() -> str:
     """Base 32 from the hexadecimal digest: five digits make four letters."""
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -109,6 +138,7 @@ FROM a{rounds} a JOIN k USING (i) JOIN h USING (cluster)"""
 ORACLES: dict[str, str] = {
     "op1_quality_rules": _quality_rules(),
     "op7_jaccard_join": _jaccard_join(),
+    "op11_source_divergence": _divergence(),
     "op12_warc": _warc(),
     "op13_centroid_clusters": _centroids(),
 }

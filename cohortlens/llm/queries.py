@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import centroid_search, fingerprints, jaccard_join, knn_quality, license_scan, maxent_lm, packing, quality_rules, sentencepiece_codec, sharding, token_counts, warc
+from cohortlens.llm import centroid_search, fingerprints, jaccard_join, knn_quality, license_scan, maxent_lm, packing, quality_rules, sentencepiece_codec, sharding, source_divergence, token_counts, warc
 from cohortlens.llm.common import documents, tokenizer_path
 
 
@@ -55,6 +55,10 @@ def op10_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
                         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op11_source_divergence(spark: SparkSession, d: str) -> DataFrame:
+    return source_divergence.audit(documents(spark, d), least=10, top=10)
+
+
 def op12_warc(spark: SparkSession, d: str) -> DataFrame:
     return warc.round_trip(documents(spark, d, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_source_divergence": op11_source_divergence,
     "op12_warc": op12_warc,
     "op13_centroid_clusters": op13_centroid_clusters,
 }

@@ -63,9 +63,15 @@ def base32_sha1(data: bytes) -> str:
     return _base32(hashlib.sha1(data).digest())
 
 
-def record_id(page_id: int | None, url: str | None, copy: int) -> str:
+def record_id(page_id: int | None, name: str) -> str:
     """The page's id stands in it, so that a reference can be followed."""
-    return f"<urn:page:{'' if page_id is None else page_id}:{hashlib.md5(f'{copy}:{url!r}'.encode('utf-8', 'surrogatepass')).hexdigest()}>"
+    return f"<urn:page:{'' if page_id is None else page_id}:{name}>"
+
+
+def _response_name(url: str | None, sha1: str) -> str:
+    """Names a response that others refer to: no other record of its id
+    has both this URL and this payload."""
+    return hashlib.md5(f"{sha1}:{url!r}".encode("utf-8", "surrogatepass")).hexdigest()
 
 
 def _page_of(urn: str | None) -> int | None:
@@ -88,11 +94,12 @@ def _record(kind: str, fields: dict[str, str | None], block: bytes, date: str) -
 def page_record(row: dict, date: str) -> bytes:
     """The record of a row of ``with_types``."""
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {row['payload_bytes']}\r\n\r\n".encode()
-    fields = {"WARC-Record-ID": record_id(row["page_id"], row["url"], row["copy"]),
+    name = _response_name(row["url"], row["sha1"]) if row["referred"] else uuid.uuid4().hex
+    fields = {"WARC-Record-ID": record_id(row["page_id"], name),
               "WARC-Target-URI": None if row["url"] is None else _header_value(row["url"]),
               "WARC-Payload-Digest": "sha1:" + _base32(bytes.fromhex(row["sha1"])), "Content-Type": "application/http; msgtype=response"}
     if row["record_type"] == "revisit":
-        fields |= {"WARC-Profile": _PROFILE, "WARC-Refers-To": record_id(row["refers_to"], row["refers_url"], 0),
+        fields |= {"WARC-Profile": _PROFILE, "WARC-Refers-To": record_id(row["refers_to"], _response_name(row["refers_url"], row["sha1"])),
                    "WARC-Refers-To-Target-URI": None if row["refers_url"] is None else _header_value(row["refers_url"])}
     else:
         block += row["payload"]
@@ -129,11 +136,11 @@ def parse_page(record: bytes) -> dict:
 # ---------------------------------------------------------------- writing
 
 def with_types(pages: DataFrame, at_least: int = 0) -> DataFrame:
-    """Rows to write: ``page_id, url, copy, record_type, payload_bytes,
-    sha1, payload, refers_to, refers_url``. Of rows with equal payloads of
+    """Rows to write: ``page_id, url, record_type, payload_bytes, sha1,
+    payload, referred, refers_to, refers_url``. Of rows with equal payloads of
     at least ``at_least`` bytes the one with the largest ``page_id`` (nulls
     least; then the largest URL) is the response. Rows that equal it in id
-    and URL as well are numbered; all but the first revisit it."""
+    and URL as well are counted; all but one revisit it."""
     payload = F.coalesce("html", F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload")).withColumns(
         {"payload_bytes": F.octet_length("payload").cast("long"), "key": F.sha2("payload", 256), "sha1": F.sha1("payload")})
@@ -149,11 +156,12 @@ def with_types(pages: DataFrame, at_least: int = 0) -> DataFrame:
 
     def typed(df, again):
         return df.select(
-            "page_id", "url", "copy", F.when(again, "revisit").otherwise("response").alias("record_type"), "payload_bytes",
-            "sha1", F.when(~again, F.col("payload")).alias("payload"), F.when(again, F.col("head.page_id")).alias("refers_to"),
+            "page_id", "url", F.when(again, "revisit").otherwise("response").alias("record_type"), "payload_bytes",
+            "sha1", F.when(~again, F.col("payload")).alias("payload"), (~again & F.col("head").isNotNull()).alias("referred"),
+            F.when(again, F.col("head.page_id")).alias("refers_to"),
             F.when(again, F.col("head.url")).alias("refers_url"))
 
-    out = typed(joined.filter(~several).withColumn("copy", F.lit(0)), again)
+    out = typed(joined.filter(~several), again)
     if repeated.filter("head.n > 1").isEmpty():
         return out
     equal = joined.filter(several).groupBy("key", "page_id", "url").agg(
