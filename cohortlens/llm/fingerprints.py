@@ -75,28 +75,47 @@ def as_string(a: Column) -> Column:
 
 def with_next(rows: DataFrame, columns: list[str], order: str = "doc_id", size: str = "n_chars") -> DataFrame:
     """Add ``next_<c>`` for each of ``columns``: the value in the next row
-    by descending ``order`` (ties by the text's hash), and in the first row
-    after the last one.
-
-    Rows are dealt into blocks of consecutive keys by sampled splitters, so
-    no task holds more than a block; every block also gets a copy of the
-    row that opens the block after it."""
-    spark, nulls_last = rows.sparkSession, F.lit(float("-inf"))
-    keyed = rows.withColumn("__key", F.coalesce(F.col(order).cast("double"), nulls_last)).withColumn(
-        "__tie", F.xxhash64("text"))
-    narrow = keyed.select("__key", "__tie", (F.coalesce(size, F.lit(0)) + 1).alias("__size"))
+    by descending ``order`` (a bigint, nulls last; ties by the text's hash),
+    and in the first row after the last one.
+
+    Rows are dealt into blocks of consecutive rows: sampled splitters of
+    the key as a double make ranges, the exact key orders rows within them,
+    and a range that one key overfills is divided by the tie. So no task
+    holds more than a block, unless one key holds that many equal texts;
+    every block also gets a copy of the row that opens the block after it."""
+    spark = rows.sparkSession
+    keyed = rows.withColumns({"__key": F.coalesce(F.col(order).cast("double"), F.lit(float("-inf"))), "__tie": F.xxhash64("text")})
+    narrow = keyed.select(order, "__key", "__tie", (F.coalesce(size, F.lit(0)) + 1).alias("__size"))
     total = narrow.agg(F.sum("__size")).first()[0] or 0
     parts = min(MAX_BLOCKS, parts_for(total, BLOCK_BYTES, 2 * spark.sparkContext.defaultParallelism))
     splits = sampled_splits(narrow, "__key", "__size", ["__key", "__tie"], parts, per_part=8)
-    heads = with_range(narrow, "__key", splits, "__block").groupBy("__block").agg(
-        F.max_by(F.struct("__key", "__tie"), F.struct("__key", -F.col("__tie"))).alias("head")).collect()
-    heads.sort(key=lambda r: -r["__block"])  # at most MAX_BLOCKS
-    follows = [(heads[n]["__block"], *heads[(n + 1) % len(heads)]["head"]) for n in range(len(heads))]
-    follows = spark.createDataFrame(follows, "__block int, __key double, __tie long")
-    blocks = with_range(keyed, "__key", splits, "__block").withColumn("__guest", F.lit(0))
-    guests = keyed.join(F.broadcast(follows), ["__key", "__tie"]).withColumn("__guest", F.lit(1))
-    w = Window.partitionBy("__block").orderBy("__guest", F.desc("__key"), "__tie")
-    both = blocks.unionByName(guests.select(blocks.columns))
+    share = max(total / parts, 1.0)
+    least = F.min(F.struct(F.col(order).isNotNull(), F.col(order).alias("id")))["id"].alias("__least")
+    # One row for each range: at most MAX_BLOCKS.
+    ranges = with_range(narrow, "__key", splits, "__range").groupBy("__range").agg(least, F.sum("__size").alias("__sum"))
+    ranges = F.broadcast(spark.createDataFrame(ranges.collect(), ranges.schema))
+
+    def blocked(df: DataFrame) -> DataFrame:
+        """``__part``: 0, or from 1 on for the least key of a range, by the
+        tie, when the range holds over two shares."""
+        inside = F.col("__tie") / F.lit(2.0 ** 64) + 0.5
+        part = 1 + F.floor(inside * F.ceil(F.col("__sum") / share))
+        divided = (F.col("__sum") > 2 * share) & F.col(order).eqNullSafe(F.col("__least"))
+        return with_range(df, "__key", splits, "__range").join(ranges, "__range").withColumn(
+            "__part", F.when(divided, part).otherwise(F.lit(0)).cast("int")).drop("__least", "__sum")
+
+    first = (F.col(order).isNotNull(), F.col(order).alias("id"), -F.col("__tie").cast("decimal(20,0)"), F.col("__tie").alias("tie"))
+    heads = blocked(narrow).groupBy("__range", "__part").agg(F.max(F.struct(*first)).alias("head")).collect()
+    heads.sort(key=lambda r: (-r["__range"], r["__part"]))  # a few times MAX_BLOCKS
+    follows = [(n, r["__range"], r["__part"], *[heads[(n + 1) % len(heads)]["head"][c] for c in ("id", "tie")]) for n, r in enumerate(heads)]
+    follows = spark.createDataFrame(follows, "__block int, __range int, __part int, __id long, __head long")
+    blocks = blocked(keyed).join(F.broadcast(follows.drop("__id", "__head")), ["__range", "__part"]).withColumn("__guest", F.lit(0))
+    kept = [c for c in blocks.columns if c not in ("__range", "__part")]
+    opening = keyed.join(F.broadcast(follows.drop("__range", "__part")),
+                         keyed[order].eqNullSafe(F.col("__id")) & (keyed["__tie"] == F.col("__head"))).withColumn("__guest", F.lit(1))
+    guests = opening.groupBy("__block").agg(F.first(F.struct(*kept)).alias("row")).select("row.*")  # equal rows: any
+    w = Window.partitionBy("__block").orderBy("__guest", F.desc_nulls_last(order), "__tie")
+    both = blocks.select(kept).unionByName(guests).repartition(max(1, len(heads)), "__block")
     return (both.select("*", *[F.lead(c).over(w).alias(f"next_{c}") for c in columns])
             .filter("__guest = 0").drop("__key", "__tie", "__block", "__guest"))
 

@@ -2,11 +2,14 @@
 
 import hashlib
 import random
+import re
+import struct
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -174,6 +177,73 @@ def test_edits_take_the_next_text(spark, monkeypatch, block):
     assert single[0].near_next == 1.0
 
 
+def _hash_long(x, seed):
+    return xxhash.xxh64_intdigest(struct.pack("<q", x), seed=seed)
+
+
+def _signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def brute_sketch(text, k=128, n=5):
+    """The k least distinct hashes of n-word shingles, by another library."""
+    hashes = [_signed(xxhash.xxh64_intdigest(w.encode(), seed=42)) for w in re.findall("[^\x20\x09-\x0D]+", text)]
+
+    def folded(values, seed):
+        for v in values:
+            seed = _hash_long(v, seed)
+        return _signed(seed)
+    if not hashes:
+        return []
+    if len(hashes) < n:
+        return [folded(hashes, xxhash.xxh64_intdigest(struct.pack("<i", n), seed=42))]
+    return sorted({folded(hashes[i:i + n], 42) for i in range(len(hashes) - n + 1)})[:k]
+
+
+def _check_edits(rows, out, k=128):
+    """``rows`` with distinct ids (one null), whole results."""
+    texts = {i: t for i, t in rows}
+    order = sorted(texts, key=lambda i: (i is not None, i or 0), reverse=True)
+    assert len(out) == len(rows)
+    got = {r.doc_id: r for r in out}
+    for a, b in zip(order, order[1:] + order[:1]):
+        t, cut = texts[a], len(texts[a]) // 3
+        edited, r = t[:len(t) - cut] + texts[b][:cut], got[a]
+        assert r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        own, changed, after = (brute_sketch(x, k) for x in (t, edited, texts[b]))
+        text = lambda sketch: "".join(f"{x & (2**64 - 1):016x}" for x in sketch)
+        assert r.fingerprint == text(own) and r.edited_fingerprint == text(changed)
+        for other, near in ((changed, r.near_edited), (after, r.near_next)):
+            union = sorted({*own, *other})[:k]
+            assert abs(near - (len({*union} & {*own} & {*other}) / len(union) if union else 1.0)) < 1e-12
+
+
+@pytest.mark.parametrize("block", [200, 1 << 20])
+def test_large_and_negative_ids(spark, monkeypatch, block):
+    monkeypatch.setattr(fingerprints, "BLOCK_BYTES", block)
+    rng = random.Random(3)
+    ids = [2**60 + k for k in range(30)] + [-2**60 - k for k in range(20)] + [2**63 - 1, -2**63, 0, -1, None]
+    rows = [(i, prose(rng, rng.choice([0, 3, 40, 300]))) for i in ids]
+    _check_edits(rows, fingerprints.fingerprint_edits(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect())
+
+
+def test_many_rows_of_one_id(spark, monkeypatch):
+    """Rows of one id, null here, are divided among blocks by their texts
+    and still follow one another."""
+    monkeypatch.setattr(fingerprints, "BLOCK_BYTES", 2_000)
+    rng = random.Random(4)
+    rows = [(k, f"text number {k}") for k in range(300)] + [(None, f"no id {rng.random()}") for k in range(4000)]
+    rows += [(7, f"seven {k}") for k in range(2000)]
+    out = fingerprints.fingerprint_edits(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    tie = lambda t: _signed(xxhash.xxh64_intdigest(t.encode(), seed=42))
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), tie(r[1])))
+    want = Counter()
+    for (i, t), (_, after) in zip(order, order[1:] + order[:1]):
+        cut = len(t) // 3
+        want[i, hashlib.sha256((t[:len(t) - cut] + after[:cut]).encode()).hexdigest()] += 1
+    assert Counter((r.doc_id, r.edited_sha256) for r in out) == want
+
+
 def test_sketches_merge_and_estimate(spark):
     rng = random.Random(2)
     words = [f"w{rng.randint(0, 10**6)}" for _ in range(6000)]
