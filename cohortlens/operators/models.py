@@ -4,7 +4,8 @@ out-of-bag scoring and class-balanced bagging.
 Fitting is distributed by Spark ML (one job per tree level group); the
 driver only holds model parameters. Rows reach a model as one vector
 column built by ``assemble`` (``label ~ .``: all predictor columns,
-timestamps as epoch seconds, flags as 0/1, text as an alphabetical index).
+timestamps as epoch seconds, flags as 0/1, text as an alphabetical index in
+forests and as contrasts in the regression).
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions import epoch_seconds, hash_key
 from cohortlens.operators import roles as R
+from cohortlens.operators.contrasts import Contrasts, fit_contrasts
 from cohortlens.operators.split import balanced_sample
 
 
@@ -58,10 +60,11 @@ class Fitted:
     model: PipelineModel
     cols: list[str]
     label: str = R.LABEL
+    levels: Contrasts | None = None
 
     def score(self, df: DataFrame, out: str = "prob") -> DataFrame:
         """Rows of ``df`` plus ``out`` = P(label = 1) and the 0/1 ``label``."""
-        num, _ = numeric_view(df, self.cols, self.label)
+        num, _ = numeric_view(self.levels.transform(df) if self.levels else df, self.cols, self.label)
         scored = self.model.transform(num)
         return scored.withColumn(out, vector_to_array("probability")[1]).drop(
             "features", "rawPrediction", "probability", "prediction",
@@ -74,11 +77,14 @@ class Fitted:
 
 def fit_logreg(train: DataFrame, cols: Sequence[str], label: str = R.LABEL,
                max_iter: int = 100) -> Fitted:
-    """Unpenalised logistic regression (``glm`` with a binomial family)."""
+    """Unpenalised logistic regression (``glm`` with a binomial family).
+    Text columns become 0/1 columns, one for each level but the first."""
+    levels = fit_contrasts(train, [c for c, t in train.dtypes if t == "string" and c in cols])
+    train, cols = levels.transform(train), levels.columns(cols)
     num, text = numeric_view(train, cols, label)
     lr = LogisticRegression(featuresCol="features", labelCol="label", regParam=0.0,
                             standardization=True, maxIter=max_iter)
-    return Fitted(Pipeline(stages=_stages(cols, text) + [lr]).fit(num), list(cols), label)
+    return Fitted(Pipeline(stages=_stages(cols, text) + [lr]).fit(num), list(cols), label, levels)
 
 
 def mtry_default(p: int) -> int:

@@ -103,15 +103,21 @@ def kfold_assign(df: DataFrame, folds: int = 10, seed: int = 1, id_col: str = R.
     return df.withColumn(out, fold.cast("int"))
 
 
+def balanced_flag(df: DataFrame, n_per_class: int = 500, label: str = R.LABEL,
+                  seed: int = 1, id_col: str = R.ROW_ID) -> Column:
+    """Whether a row of ``df`` is in its class-balanced sample."""
+    key = hash_key(id_col, seed, "balance")
+    cuts = rank_cuts(df.select(*dict.fromkeys((id_col, label))), key, id_col,
+                     [lambda n: F.least(n, F.lit(n_per_class))], label)
+    return _at_most_in(key, id_col, label, cuts)
+
+
 def balanced_sample(df: DataFrame, n_per_class: int = 500, label: str = R.LABEL,
                     seed: int = 1, id_col: str = R.ROW_ID) -> DataFrame:
     """Exactly ``n_per_class`` rows of each label value (all of a class
     that has fewer), chosen in md5 order: the equal down-sampling used
     for a class-balanced forest. The sample size is the feature."""
-    key = hash_key(id_col, seed, "balance")
-    cuts = rank_cuts(df.select(*dict.fromkeys((id_col, label))), key, id_col,
-                     [lambda n: F.least(n, F.lit(n_per_class))], label)
-    return df.filter(_at_most_in(key, id_col, label, cuts))
+    return df.filter(balanced_flag(df, n_per_class, label, seed, id_col))
 
 
 def holdout_complement(df: DataFrame, holdout: DataFrame, key: str = R.ROW_ID) -> DataFrame:

@@ -8,7 +8,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.operators import inspect, profile as P
@@ -95,6 +94,9 @@ from cohortlens.functions import rounded as _rounded  # noqa: E402
 from cohortlens.operators import encode as ENC  # noqa: E402
 from cohortlens.operators import metrics as MET  # noqa: E402
 from cohortlens.operators import split as SPL  # noqa: E402
+from cohortlens.operators.contrasts import fit_contrasts  # noqa: E402
+from cohortlens.sources.bucketed import write_bucketed  # noqa: E402
+from cohortlens.plans.estimator import FeatureEncoder, FeatureEncoderModel  # noqa: E402
 from cohortlens.plans.features import FeaturePlan, design_columns, variant_frame, variant_plan  # noqa: E402
 
 
@@ -160,6 +162,56 @@ def _feature_matrix(spark, d):
     return fm.withColumn("bias_per_nbh", _rounded("bias_per_nbh"))
 
 
+def _oof_split(spark, d):
+    """The rows of ``feature_matrix``, its training rows with a fold."""
+    split = materialize(_holdout(spark, d).drop("stratum").filter(F.col("in_holdout") | (F.col("age") >= 0)))
+    train = SPL.kfold_assign(split.filter(~F.col("in_holdout")), folds=10, seed=1)
+    return train, split.filter("in_holdout")
+
+
+def _feature_matrix_oof(spark, d):
+    """Training rows encoded by the other nine folds, holdout rows by all."""
+    train, test = _oof_split(spark, d)
+    fitted = FeatureEncoder(lambdaNbh=50, mode="oof").fit(train)
+    fm = fitted.transform(train.unionByName(test, allowMissingColumns=True))
+    return fm.withColumn("bias_per_nbh", _rounded("bias_per_nbh"))
+
+
+def _feature_matrix_saved(spark, d):
+    """``feature_matrix`` from an encoder that was saved and loaded."""
+    split = materialize(_holdout(spark, d).drop("stratum").filter(F.col("in_holdout") | (F.col("age") >= 0)))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/encoder-{uuid.uuid4().hex}"
+    FeatureEncoder(lambdaNbh=50).fit(split.filter(~F.col("in_holdout"))).save(path)
+    fm = FeatureEncoderModel.load(path).transform(split)
+    return fm.withColumn("bias_per_nbh", _rounded("bias_per_nbh"))
+
+
+def _feature_sink(spark, d):
+    """The feature matrix kept as a table bucketed by patient, joined with
+    every patient's visits, bucketed alike: no row is shuffled for it."""
+    name = f"features_{uuid.uuid4().hex}"
+    features = write_bucketed(feature_matrix(spark, d), name, "patient_id", spread_by="appointment_id")
+    visits = write_bucketed(P.visits_per_entity(appointments(spark, d)), f"visits_{name}", "patient_id")
+    joined = features.join(visits.hint("merge"), "patient_id")
+    return joined.withColumn("bias_per_nbh", _rounded("bias_per_nbh"))
+
+
+def _design_matrix_contrasts(spark, d):
+    """RF7 predictors as doubles, its three-level reminder status and the
+    nation as 0/1 columns, levels fitted on the training rows."""
+    split = materialize(_holdout(spark, d).drop("stratum").filter(F.col("in_holdout") | (F.col("age") >= 0)))
+    plan, extra = variant_plan("RF7")
+    nation = F.substring_index("neighbourhood", "/", 1)
+    train = split.filter(~F.col("in_holdout"))
+    fm = variant_frame(plan.fit(train), split.withColumn("nation", nation), extra)
+    levels = fit_contrasts(fm.filter(~F.col("in_holdout")), ["sms_received", "nation"])
+    out = levels.transform(fm)
+    kept = ("appointment_id", "in_holdout", "no_show")
+    types = dict(out.dtypes)
+    cols = [_rounded(_epoch(c) if types[c].startswith("timestamp") else F.col(c).cast("double")).alias(c) for c in out.columns if c not in kept]
+    return out.select("appointment_id", *cols, F.col("no_show").cast("double").alias("label"))
+
+
 def _design_matrix(spark, d):
     """RF9 predictors as doubles (timestamps as epoch seconds, flags 0/1)."""
     fm = feature_matrix(spark, d, lambda_nbh=15)
@@ -230,6 +282,10 @@ MODEL_FREE_QUERIES: dict[str, Query] = {
     "bias_per_entity": _bias_per_entity,
     "natural_left_join": _natural_left_join,
     "feature_matrix": _feature_matrix,
+    "feature_matrix_oof": _feature_matrix_oof,
+    "feature_matrix_saved": _feature_matrix_saved,
+    "feature_sink_bucketed": _feature_sink,
+    "design_matrix_contrasts": _design_matrix_contrasts,
     "design_matrix": _design_matrix,
     "oof_target_encode": _oof,
     "roc_curve": _roc_curve,
@@ -262,7 +318,7 @@ def train_dev(spark, d):
 # Trees of the registered forest queries. The operators default to the
 # original's 500; one such fit takes minutes on a single machine, and the
 # tuning query alone makes ninety.
-TREES, TREES_TUNE, TREES_OOB, TREES_BAG = 100, 20, 150, 20
+TREES, TREES_TUNE, TREES_OOB, TREES_BAG, TREES_SWEEP = 100, 20, 150, 20, 150
 
 
 def _variant(spark, d, name, **plan_kw):
@@ -271,8 +327,8 @@ def _variant(spark, d, name, **plan_kw):
     fitted = plan.fit(train)
     # Model fits pass over their input several times (split search,
     # bagging, levels): keep the joined feature rows instead of re-joining.
-    tr = variant_frame(fitted, train, extra).persist(StorageLevel.MEMORY_AND_DISK)
-    dv = variant_frame(fitted, dev, extra).persist(StorageLevel.MEMORY_AND_DISK)
+    tr = materialize(variant_frame(fitted, train, extra))
+    dv = materialize(variant_frame(fitted, dev, extra))
     return tr, dv, design_columns(tr)
 
 
@@ -347,20 +403,58 @@ KNN5_COLS = ["gender", "scheduled_ts", "appointment_day", "age", "scholarship",
              "diabetes", "alcoholism", "handcap", "sms_received"]
 
 
-def _knn_cv(spark, d, ks=(25, 35, 45)):
-    """KNN5 columns, 10 folds over the non-test rows, neighbours from the
-    other folds, all k from one neighbour list; mean fold AUC per k."""
-    rest, _ = _non_test(spark, d)
-    data = KNN.to_vector(SPL.kfold_assign(rest, 10, seed=1), KNN5_COLS)
-    nb = KNN.knn_join(data, data, max(ks), "appointment_id", "appointment_id", label="no_show",
-                      group="fold")
-    probs = KNN.knn_probs_for_ks(nb, ks)
+def _knn_join_approx(spark, d):
+    """Every row whose id is divisible by 20 against all rows."""
+    e = _embeddings(spark, d)
+    nb = KNN.approx_knn_join(e.filter("vec_id % 20 = 0"), e, 5, "vec_id", "vec_id", label="label", exclude_self=True)
+    return nb.select("query_id", "neighbour_id", "distance")
+
+
+def _cv_auc(data, ks, **kw):
+    """10 folds, neighbours from the other folds, all k from one neighbour
+    list; mean fold AUC per k."""
+    nb = KNN.cv_knn_join(data, max(ks), "appointment_id", "no_show", digits=6, **kw)
     lab = data.select(F.col("appointment_id").alias("query_id"), "fold", "no_show")
-    scored = probs.join(lab, "query_id")
+    scored = KNN.knn_probs_for_ks(nb, ks).join(lab, "query_id")
     per_fold = MET.roc_auc(scored, "prob", "no_show", partition=["k", "fold"], name="roc")
     return per_fold.groupBy("k").agg(_rounded(F.avg("roc")).alias("roc"))
 
 
+def _knn_cv(spark, d, ks=(25, 35, 45)):
+    """KNN5 columns, 10 folds over the non-test rows: on the columns as they
+    are, and standardised by each fold's training rows."""
+    rest, _ = _non_test(spark, d)
+    data = materialize(KNN.to_vector(SPL.kfold_assign(rest, 10, seed=1), KNN5_COLS).select("appointment_id", "no_show", "fold", "v"))
+    both = [_cv_auc(data, ks, standardize=s).withColumn("standardized", F.lit(s)) for s in (False, True)]
+    return both[0].unionByName(both[1])
+
+
+# The numbers of neighbours tried for each KNN variant.
+KNN_KS = {"KNN1": (35,), "KNN2": (35,), "KNN3": (35,), "KNN4": (25, 35, 45), "KNN5": (25, 35, 45)}
+
+
+def _knn_models(spark, d):
+    """Each KNN variant: mean fold AUC per k on the training rows, the best
+    k (ties: the smaller) and the AUC of the dev rows with it."""
+    train, dev = train_dev(spark, d)
+    out = None
+    for name, ks in KNN_KS.items():
+        plan, extra = variant_plan(name)
+        fitted = plan.fit(train)
+        tr, dv = variant_frame(fitted, train, extra), variant_frame(fitted, dev, extra)
+        cols = design_columns(tr)
+        tr, dv = (materialize(KNN.to_vector(x, cols).select("appointment_id", "no_show", "v")) for x in (tr, dv))
+        cv = materialize(_cv_auc(SPL.kfold_assign(tr, 10, seed=1), ks))
+        best = cv.orderBy(F.desc("roc"), "k").first()["k"]
+        nb = KNN.knn_join(dv, tr, best, "appointment_id", "appointment_id", label="no_show", digits=6)
+        scored = KNN.knn_vote_share(nb).join(dv.select(F.col("appointment_id").alias("query_id"), "no_show"), "query_id")
+        auc = MET.roc_auc(scored, "prob", "no_show").scalar()
+        rows = cv.select(F.lit(name).alias("variant"), "k", F.col("roc").alias("cv_auc"), (F.col("k") == best).alias("best"),
+                         F.when(F.col("k") == best, auc).alias("dev_auc"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 MODEL_QUERIES: dict[str, Query] = {
     "model_logreg": _model_logreg,
     "model_rf": _model_rf,
@@ -372,7 +466,9 @@ MODEL_QUERIES: dict[str, Query] = {
     "final_model": _final_model,
     "knn_join": _knn_join,
     "knn_classify": _knn_classify,
+    "knn_join_approx": _knn_join_approx,
     "knn_cv": _knn_cv,
+    "knn_models": _knn_models,
 }
 QUERIES.update(MODEL_QUERIES)
 
@@ -453,30 +549,20 @@ QUERIES.update(OTHER_TABLE_QUERIES)
 
 
 def _feature_variants(spark, d):
-    """Every feature-set variant fitted on the train split: its predictor
-    columns in order, with each predictor's mean over the training rows
-    (one aggregate per variant, unioned into one long table)."""
+    """Every feature-set variant on the train split: its predictors in
+    order, with their means over the training rows."""
     train, _ = train_dev(spark, d)
-    out = None
-    for name in VARIANTS:
-        plan, extra = variant_plan(name)
-        frame = variant_frame(plan.fit(train), train, extra)
-        cols = design_columns(frame)
-        types = dict(frame.dtypes)
-        means = frame.agg(*[
-            F.avg(_epoch(c) if types[c].startswith("timestamp")
-                  else F.col(c).cast("double")).alias(f"m{i}")
-            for i, c in enumerate(cols) if types[c] != "string"])
-        numeric = [(i, c) for i, c in enumerate(cols) if types[c] != "string"]
-        rows = [f"'{c}', {i + 1}, m{i}" for i, c in numeric]
-        rows += [f"'{c}', {i + 1}, CAST(NULL AS DOUBLE)" for i, c in enumerate(cols) if types[c] == "string"]
-        long = means.select(F.expr(f"stack({len(rows)}, {', '.join(rows)}) as (column_name, ordinal, mean)"))
-        long = long.select(F.lit(name).alias("variant"), "ordinal", "column_name",
-                           _rounded("mean").alias("mean"))
-        out = long if out is None else out.unionByName(long)
-    return out
+    return SWEEP.variant_means(train)
+
+
+def _model_sweep(spark, d):
+    """Out-of-bag and dev AUC of the logistic regression and of every
+    forest variant."""
+    train, dev = train_dev(spark, d)
+    return SWEEP.model_sweep(spark, train, dev, ["GLM", *[f"RF{k}" for k in range(1, 11)]], num_trees=TREES_SWEEP)
 
 
-from cohortlens.plans.features import VARIANTS  # noqa: E402
+from cohortlens.plans import sweep as SWEEP  # noqa: E402
 
 QUERIES["feature_variants"] = _feature_variants
+QUERIES["model_sweep"] = _model_sweep

@@ -14,9 +14,8 @@ predictor (``design_columns`` lists the predictors of each variant).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,16 +26,34 @@ from cohortlens.operators.encode import (
 )
 
 
+def fit_entity_counts(train: DataFrame) -> DataFrame:
+    """``(entity, nbr_app_per_patient, by_day)``: training rows of each
+    entity, in all and on each of its days (a map with as many entries as
+    the entity has days). One table for both counts, so that rows meet it in
+    one join on the entity instead of two shuffles."""
+    days = fit_count_encoder(train, [R.ENTITY, R.DAY], "__n")
+    entry = F.when(F.col(R.DAY).isNotNull(), F.struct(R.DAY, "__n"))
+    return days.groupBy(R.ENTITY).agg(F.sum("__n").alias("nbr_app_per_patient"),
+                                      F.map_from_entries(F.collect_list(entry)).alias("by_day"))
+
+
+def apply_entity_counts(df: DataFrame, counts: DataFrame) -> DataFrame:
+    """``nbr_app_per_patient`` and ``nbr_app_that_day`` of each row (0.0
+    for an entity or a day that was not fitted)."""
+    number = lambda c: F.coalesce(c.cast("double"), F.lit(0.0))
+    out = df.join(counts, R.ENTITY, "left")
+    return out.withColumns({"nbr_app_per_patient": number(F.col("nbr_app_per_patient")),
+                            "nbr_app_that_day": number(F.try_element_at("by_day", F.col(R.DAY)))}).drop("by_day")
+
+
 @dataclass
 class FittedPlan:
     bias_per_nbh: DataFrame | None
     bias_per_patient: DataFrame | None
-    nbr_app_per_patient: DataFrame | None
-    nbr_app_that_day: DataFrame | None
+    entity_counts: DataFrame | None
     drop: tuple = (R.GROUP,)
     sms_three_way: bool = False
     date_parts: bool = True
-    _cached: list = field(default_factory=list)
 
     def transform(self, df: DataFrame) -> DataFrame:
         out = df
@@ -44,6 +61,14 @@ class FittedPlan:
             out = apply_encoder(out, self.bias_per_nbh)
         if self.bias_per_patient is not None:
             out = apply_encoder(out, self.bias_per_patient)
+        out = self.before(out)
+        if self.entity_counts is not None:
+            out = apply_entity_counts(out, self.entity_counts)
+        return self.after(out)
+
+    def before(self, df: DataFrame) -> DataFrame:
+        """Columns of a row alone: day gap, SMS status, date parts."""
+        out = df
         if self.date_parts:
             out = out.withColumn("days_between", days_between(R.DAY, R.BOOKED))
         if self.sms_three_way and "days_between" in out.columns:
@@ -52,21 +77,17 @@ class FittedPlan:
             out = out.withColumns({"wday_sched": weekday(R.BOOKED),
                                    "wday_app": weekday(R.DAY),
                                    "hour_sched": hour_of(R.BOOKED)})
-        if self.nbr_app_per_patient is not None:
-            out = apply_encoder(out, self.nbr_app_per_patient)
-        if self.nbr_app_that_day is not None:
-            out = apply_encoder(out, self.nbr_app_that_day)
-        # dropped last: the entity column is a join key of the encoders
-        return out.drop(*self.drop)
+        return out
 
-    def unpersist(self) -> None:
-        for t in self._cached:
-            t.unpersist()
+    def after(self, df: DataFrame) -> DataFrame:
+        # dropped last: the entity column is a join key of the encoders
+        return df.drop(*self.drop)
 
 
 @dataclass
 class FeaturePlan:
-    """Which encoders to fit. Defaults are the final model's (RF9, lambda 50)."""
+    """Which encoders to fit. Defaults are the final model's (RF9, lambda 50).
+    ``folded.fit_folds`` fits the same encoders for every fold at once."""
     lambda_nbh: int | None = 50
     lambda_patient: int | None = None
     counts: bool = True
@@ -74,28 +95,17 @@ class FeaturePlan:
     sms_three_way: bool = False
     drop_entity: bool = False
     label: str = R.LABEL
-    cache: bool = False
 
     def fit(self, train: DataFrame, base: DataFrame | None = None) -> FittedPlan:
-        def keep(t):
-            if t is not None and self.cache:
-                t = t.persist(StorageLevel.MEMORY_AND_DISK)
-                cached.append(t)
-            return t
-        cached: list = []
-        nbh = pat = per_patient = per_day = None
+        nbh = pat = counts = None
         if self.lambda_nbh is not None:
-            nbh = keep(fit_target_encoder(train, R.GROUP, self.lambda_nbh, "bias_per_nbh",
-                                          self.label, base))
+            nbh = fit_target_encoder(train, R.GROUP, self.lambda_nbh, "bias_per_nbh", self.label, base)
         if self.lambda_patient is not None:
-            pat = keep(fit_target_encoder(train, R.ENTITY, self.lambda_patient,
-                                          "bias_per_patient", self.label, base))
+            pat = fit_target_encoder(train, R.ENTITY, self.lambda_patient, "bias_per_patient", self.label, base)
         if self.counts:
-            per_patient = keep(fit_count_encoder(train, R.ENTITY, "nbr_app_per_patient"))
-            per_day = keep(fit_count_encoder(train, [R.ENTITY, R.DAY], "nbr_app_that_day"))
+            counts = fit_entity_counts(train)
         drop = (R.GROUP,) + ((R.ENTITY,) if self.drop_entity else ())
-        return FittedPlan(nbh, pat, per_patient, per_day, drop, self.sms_three_way,
-                          self.date_parts, cached)
+        return FittedPlan(nbh, pat, counts, drop, self.sms_three_way, self.date_parts)
 
 
 # The feature-set variants, as (plan arguments, extra drops).

@@ -2,8 +2,7 @@
 
 The grid is small (a few parameter rows); the driver loops over it,
 and every fit inside is a distributed Spark ML job. Encoders are hoisted
-out of the loops: the count tables once per fold, the group bias once
-per (fold, lambda) instead of once per grid row.
+out of the loops: all folds and lambdas from one aggregate.
 """
 
 from __future__ import annotations
@@ -17,11 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.operators import roles as R
-from cohortlens.operators.encode import fit_count_encoder, fit_target_encoder
 from cohortlens.operators.metrics import confusion_at_cutoffs, roc_auc
 from cohortlens.operators.models import fit_rf
 from cohortlens.operators.split import kfold_assign
-from cohortlens.plans.features import FeaturePlan, FittedPlan, design_columns
+from cohortlens.plans.features import FeaturePlan, design_columns
+from cohortlens.plans.folded import fit_folds
+from cohortlens.session import materialize
 
 
 def param_grid(tune_mtry: Sequence[int] = (2, 4, 6),
@@ -42,37 +42,31 @@ def tune_grid(spark: SparkSession, df: DataFrame, grid: list[dict] | None = None
     the ``folds`` folds, which cover all rows. ``metric`` maps the scored
     validation rows (``prob``, ``label``) to a number, by default the AUC.
 
-    Fits that share a (fold, lambda) feature frame are independent and are
-    submitted together from ``parallel_fits`` driver threads, so the
-    cluster runs several forests at once (each fit is itself distributed;
-    seeds are fixed, so results do not depend on the interleaving)."""
+    The encoders of all folds and lambdas come from one aggregate
+    (``fit_folds``); a fold's frame holds a bias column for each lambda.
+    Fits of one fold are independent and are submitted together from
+    ``parallel_fits`` driver threads, so the cluster runs several forests
+    at once (each fit is itself distributed; seeds are fixed, so results do
+    not depend on the interleaving)."""
     grid, metric = grid or param_grid(), metric or _auc
-    data = kfold_assign(df, folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    lambdas = sorted({g["lambda_nbh"] for g in grid})
+    data = materialize(kfold_assign(df, folds, seed))
+    plan = fit_folds(data, lambda_nbh=lambdas)
     rows = []
     for k in range(1, folds + 1):
-        train = data.filter(F.col("fold") != k).drop("fold").persist(StorageLevel.MEMORY_AND_DISK)
-        valid = data.filter(F.col("fold") == k).drop("fold")
-        per_patient = fit_count_encoder(train, R.ENTITY, "nbr_app_per_patient").persist()
-        per_day = fit_count_encoder(train, [R.ENTITY, R.DAY], "nbr_app_that_day").persist()
-        for lam in sorted({g["lambda_nbh"] for g in grid}):
-            bias = fit_target_encoder(train, R.GROUP, lam, "bias_per_nbh").persist()
-            plan = FittedPlan(bias, None, per_patient, per_day)
-            tr = plan.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
-            va = plan.transform(valid).persist(StorageLevel.MEMORY_AND_DISK)
-            cols = [c for c in design_columns(tr)]
-
-            def one(g, tr=tr, va=va, cols=cols, lam=lam, k=k):
-                model = fit_rf(tr, cols, num_trees=num_trees, max_depth=max_depth,
-                               mtry=g["tune_mtry"], seed=seed)
-                return (g["tune_mtry"], lam, k, metric(model.score(va)))
-            todo = [g for g in grid if g["lambda_nbh"] == lam]
-            with ThreadPoolExecutor(max_workers=max(1, parallel_fits)) as pool:
-                rows.extend(pool.map(one, todo))
-            for t in (tr, va, bias):
-                t.unpersist()
-        for t in (train, per_patient, per_day):
-            t.unpersist()
-    data.unpersist()
+        frame = plan.transform(data, k).persist(StorageLevel.MEMORY_AND_DISK)
+
+        def one(g, frame=frame, k=k):
+            lam = g["lambda_nbh"]
+            own = frame.withColumnRenamed(f"bias_per_nbh_{lam}", "bias_per_nbh").drop(*[f"bias_per_nbh_{x}" for x in lambdas])
+            tr, va = (own.filter(side).drop("fold") for side in (F.col("fold") != k, F.col("fold") == k))
+            model = fit_rf(tr, design_columns(tr), num_trees=num_trees, max_depth=max_depth,
+                           mtry=g["tune_mtry"], seed=seed)
+            return (g["tune_mtry"], lam, k, metric(model.score(va)))
+
+        with ThreadPoolExecutor(max_workers=max(1, parallel_fits)) as pool:
+            rows.extend(pool.map(one, grid))
+        frame.unpersist()
     return spark.createDataFrame(rows, "tune_mtry int, lambda_nbh int, k int, auc_roc double")
 
 
@@ -91,10 +85,10 @@ def final_model(train: DataFrame, test: DataFrame, lambda_nbh: int = 50, tune_mt
     """Refit encoders and forest on all training rows, score the untouched
     test rows once: confusion statistics per cut-off plus the test AUC."""
     fitted = FeaturePlan(lambda_nbh=lambda_nbh).fit(train)
-    tr = fitted.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
+    tr = materialize(fitted.transform(train))
     te = fitted.transform(test)
     model = fit_rf(tr, design_columns(tr), num_trees=num_trees, max_depth=max_depth,
                    mtry=tune_mtry, seed=seed)
-    scored = model.score(te).persist(StorageLevel.MEMORY_AND_DISK)
+    scored = materialize(model.score(te).select("prob", "label"))
     auc = roc_auc(scored, "prob", "label")
     return confusion_at_cutoffs(scored, "prob", "label", cutoffs).withColumn("auc", auc.scalar())

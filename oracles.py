@@ -289,6 +289,44 @@ def _feature_ctes(lam: int) -> list[str]:
     ]
 
 
+def _contrasts_sql() -> str:
+    """Nations by name; the first in order is the baseline."""
+    nations = sorted(f"NATION_{i}" for i in range(25))
+    raw = ["patient_id", "gender", "scheduled_ts", "appointment_day", "age", "scholarship", "hipertension", "diabetes", "alcoholism", "handcap"]
+    cols = [f"round({'epoch_us(' + c + ') / 1e6' if c in ('scheduled_ts', 'appointment_day') else 'CAST(' + c + ' AS DOUBLE)'}, 6) AS {c}" for c in raw]
+    cols += [f"CAST(CASE WHEN days_between >= 3 AND {c} THEN 1 ELSE 0 END AS DOUBLE) AS sms_received_{v}" for v, c in (("no", "NOT sms_received"), ("yes", "sms_received"))]
+    cols += [f"CAST(nation = '{n}' AND EXISTS (SELECT 1 FROM tr WHERE split_part(neighbourhood, '/', 1) = '{n}') AS DOUBLE) AS \"nation_{n}\"" for n in nations[1:]]
+    return with_view(*_feature_ctes(15), body=(
+        f"SELECT appointment_id, {', '.join(cols)}, round(bias_per_nbh, 6) AS bias_per_nbh, CAST(days_between AS DOUBLE) AS days_between, "
+        "CAST(no_show AS DOUBLE) AS label FROM (SELECT *, split_part(neighbourhood, '/', 1) AS nation FROM fm)"))
+
+
+def _oof_matrix_sql(lam: int) -> str:
+    """Encoders refitted for every fold on the other folds (fold NULL: on
+    all training rows)."""
+    gap = GAP.replace("scheduled_ts", "s.scheduled_ts").replace("appointment_day", "s.appointment_day")
+    ctes = split_ctes("appointments", "sp1") + [
+        "tr AS (SELECT * EXCLUDE (stratum), CAST(floor((row_number() OVER (ORDER BY "
+        f"{md5_order('fold')}) - 1) * 10 / count(*) OVER ()) + 1 AS INT) AS fold FROM sp1 WHERE NOT in_holdout AND age >= 0)",
+        "fs AS (SELECT unnest([NULL, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10]) AS f)",
+        "o AS (SELECT f, tr.* FROM fs JOIN tr ON f IS NULL OR f <> fold)",
+        "g AS (SELECT f, avg(CAST(no_show AS INT)) AS base FROM o GROUP BY f)",
+        "nb AS (SELECT o.f, neighbourhood, avg(CAST(no_show AS INT)) - any_value(base) AS bias FROM o JOIN g ON o.f IS NOT DISTINCT FROM g.f "
+        f"GROUP BY 1, 2 HAVING count(*) > {lam})",
+        "pp AS (SELECT f, patient_id, count(*) AS n FROM o GROUP BY 1, 2)",
+        "pd AS (SELECT f, patient_id, appointment_day, count(*) AS n FROM o GROUP BY 1, 2, 3)",
+        "s AS (SELECT * FROM tr UNION ALL SELECT * EXCLUDE (stratum), NULL FROM sp1 WHERE in_holdout)",
+    ]
+    return with_view(*ctes, body=(
+        f"SELECT s.* EXCLUDE (neighbourhood), {gap} AS days_between, CAST(dayofweek(s.scheduled_ts) + 1 AS INT) AS wday_sched, "
+        "CAST(dayofweek(s.appointment_day) + 1 AS INT) AS wday_app, CAST(hour(s.scheduled_ts) AS INT) AS hour_sched, "
+        "round(coalesce(nb.bias, 0.0), 6) AS bias_per_nbh, CAST(coalesce(pp.n, 0) AS DOUBLE) AS nbr_app_per_patient, "
+        "CAST(coalesce(pd.n, 0) AS DOUBLE) AS nbr_app_that_day FROM s "
+        "LEFT JOIN nb ON nb.f IS NOT DISTINCT FROM s.fold AND nb.neighbourhood = s.neighbourhood "
+        "LEFT JOIN pp ON pp.f IS NOT DISTINCT FROM s.fold AND pp.patient_id = s.patient_id "
+        "LEFT JOIN pd ON pd.f IS NOT DISTINCT FROM s.fold AND pd.patient_id = s.patient_id AND pd.appointment_day = s.appointment_day"))
+
+
 _DESIGN = ["patient_id", "gender", "scheduled_ts", "appointment_day", "age", "scholarship",
            "hipertension", "diabetes", "alcoholism", "handcap", "sms_received", "bias_per_nbh",
            "days_between", "wday_sched", "wday_app", "hour_sched", "nbr_app_per_patient",
@@ -328,6 +366,12 @@ MODEL_FREE = {
         body="SELECT a.*, d.nbr_app_that_day FROM appointments a LEFT JOIN d USING (patient_id, appointment_day)"),
     "feature_matrix": with_view(*_feature_ctes(50), body=(
         f"SELECT * EXCLUDE (neighbourhood, stratum, bias_per_nbh), round(bias_per_nbh, 6) AS bias_per_nbh FROM fm")),
+    "feature_matrix_saved": with_view(*_feature_ctes(50), body=(
+        f"SELECT * EXCLUDE (neighbourhood, stratum, bias_per_nbh), round(bias_per_nbh, 6) AS bias_per_nbh FROM fm")),
+    "feature_matrix_oof": _oof_matrix_sql(50),
+    "feature_sink_bucketed": with_view(*_feature_ctes(50), "vis AS (SELECT patient_id, count(*) AS n_visits FROM appointments GROUP BY 1)", body=(
+        "SELECT * EXCLUDE (neighbourhood, stratum, bias_per_nbh), round(bias_per_nbh, 6) AS bias_per_nbh FROM fm JOIN vis USING (patient_id)")),
+    "design_matrix_contrasts": _contrasts_sql(),
     "design_matrix": _design_sql(),
     "oof_target_encode": with_view(
         KFOLD,
@@ -380,6 +424,75 @@ MODEL_FREE = {
 ORACLES.update(MODEL_FREE)
 
 
+def _confusion_tests_sql() -> str:
+    """Binomial tails summed term by term, interval bounds by bisection."""
+    base = _confusion_sql()
+    ctes, _, _ = base.partition("\nSELECT cutoff")
+    tail = ("list_sum(list_transform(range({k}, n + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) "
+            "+ j * ln({p}) + (n - j) * ln(1 - {p}))))")
+    mid = "((lo + hi) / 2)"
+    # lower: P[X >= ok | p] = 0.025; upper: P[X >= ok + 1 | p] = 0.975.
+    z = "sqrt(power(abs(fp - fn) - 1, 2) / CAST(fp + fn AS DOUBLE) / 2)"
+    erf = (f"list_sum(list_transform(range(0, 80), lambda i: CASE WHEN i % 2 = 0 THEN 1 ELSE -1 END * exp((2 * i + 1) * ln({z}) - lgamma(i + 1)) "
+           "/ (2 * i + 1))) * 2 / sqrt(pi())")
+    return (ctes.replace("WITH e AS", "WITH RECURSIVE e AS", 1) + f""",
+n AS (SELECT *, tp + fp + fn + tn AS n, tp + tn AS ok, greatest(tp + fn, fp + tn) / CAST(tp + fp + fn + tn AS DOUBLE) AS nir FROM c),
+b AS (SELECT cutoff, side, n, ok + side AS k, CASE WHEN side = 0 THEN 0.025 ELSE 0.975 END AS goal, 0 AS i,
+      CAST(0 AS DOUBLE) AS lo, CAST(1 AS DOUBLE) AS hi FROM n, (VALUES (0), (1)) v(side)
+      UNION ALL SELECT cutoff, side, n, k, goal, i + 1, CASE WHEN t < goal THEN {mid} ELSE lo END, CASE WHEN t < goal THEN hi ELSE {mid} END
+      FROM (SELECT *, {tail.format(k='k', p=mid)} AS t FROM b WHERE i < 45))
+SELECT n.cutoff, tp, fp, fn, tn, round(CASE WHEN ok = 0 THEN 0.0 ELSE l.lo END, 6) AS accuracy_lower,
+       round(CASE WHEN ok = n.n THEN 1.0 ELSE u.lo END, 6) AS accuracy_upper,
+       round({tail.format(k='ok', p='nir').replace('n +', 'n.n +').replace('n -', 'n.n -')}, 6) AS accuracy_p_value,
+       CASE WHEN fp + fn > 0 THEN round(CASE WHEN abs(fp - fn) = 1 THEN 1.0 WHEN {z} > 4.5 THEN 0.0 ELSE 1 - {erf} END, 6) END AS mcnemar_p_value
+FROM n JOIN b l ON l.cutoff = n.cutoff AND l.side = 0 AND l.i = 45 JOIN b u ON u.cutoff = n.cutoff AND u.side = 1 AND u.i = 45""")
+
+
+ORACLES["confusion_stats"] = _confusion_tests_sql()
+
+
+# ------------------------------------------------------ feature-set variants
+
+def _variants_sql() -> str:
+    """Means over the training rows of every variant's predictors."""
+    raw = ["patient_id", "gender", "scheduled_ts", "appointment_day", "age", "scholarship", "hipertension",
+           "diabetes", "alcoholism", "handcap", "sms_received"]
+    status = raw[:-1] + ["sms_received_no", "sms_received_yes"]
+    dates = ["days_between", "wday_sched", "wday_app", "hour_sched"]
+    counts = ["nbr_app_per_patient", "nbr_app_that_day"]
+    rf9 = raw + ["bias_per_nbh_15"] + dates + counts
+    lists = {
+        "GLM": raw, "RF1": raw, "RF2": raw[1:], "RF3": raw[1:] + ["bias_per_patient"], "RF4": raw + ["bias_per_patient"],
+        "RF5": raw + ["bias_per_nbh_15"], "RF6": raw + ["bias_per_nbh_15", "days_between"],
+        "RF7": status + ["bias_per_nbh_15", "days_between"], "RF8": raw + ["bias_per_nbh_15"] + dates, "RF9": rf9, "RF10": rf9,
+        "FINAL": raw + ["bias_per_nbh_50"] + dates + counts, "KNN1": rf9, "KNN2": rf9[1:], "KNN3": raw[1:] + ["bias_per_nbh_15"],
+        "KNN4": [c for c in raw[1:] if c not in ("diabetes", "alcoholism", "hipertension", "handcap")] + ["bias_per_nbh_15"], "KNN5": raw[1:],
+    }
+    number = {"scheduled_ts": "epoch_us(tr.scheduled_ts) / 1e6", "appointment_day": "epoch_us(tr.appointment_day) / 1e6",
+              "days_between": "gap", "wday_sched": "dayofweek(tr.scheduled_ts) + 1", "wday_app": "dayofweek(tr.appointment_day) + 1",
+              "hour_sched": "hour(tr.scheduled_ts)", "bias_per_nbh_15": "coalesce(b15.bias, 0.0)", "bias_per_nbh_50": "coalesce(b50.bias, 0.0)",
+              "bias_per_patient": "coalesce(bp.bias, 0.0)", "nbr_app_per_patient": "pp.n", "nbr_app_that_day": "pd.n",
+              "sms_received_no": "CASE WHEN gap >= 3 AND NOT sms_received THEN 1 ELSE 0 END",
+              "sms_received_yes": "CASE WHEN gap >= 3 AND sms_received THEN 1 ELSE 0 END"}
+    used = dict.fromkeys(c for cols in lists.values() for c in cols)
+    means = ", ".join(f"round(avg(CAST({number.get(c, 'tr.' + c)} AS DOUBLE)), {2 if c in ('scheduled_ts', 'appointment_day') else 6}) AS {c}" for c in used)
+    bias = lambda key, n: (f"(SELECT {key}, avg(CAST(no_show AS INT)) - (SELECT avg(CAST(no_show AS INT)) FROM tr) AS bias "
+                           f"FROM tr GROUP BY 1 HAVING count(*) > {n})")
+    rows = " UNION ALL ".join(f"SELECT '{v}' AS variant, {i + 1} AS ordinal, '{c.replace('_15', '').replace('_50', '')}' AS column_name, {c} AS mean FROM m"
+                              for v, cols in lists.items() for i, c in enumerate(cols))
+    ctes = THREE_WAY + [
+        f"tr AS MATERIALIZED (SELECT a.*, {GAP} AS gap FROM appointments a JOIN three t USING (appointment_id) WHERE t.split = 'train' AND age >= 0)",
+        f"m AS MATERIALIZED (SELECT {means} FROM tr LEFT JOIN {bias('neighbourhood', 15)} b15 USING (neighbourhood) "
+        f"LEFT JOIN {bias('neighbourhood', 50)} b50 USING (neighbourhood) LEFT JOIN {bias('patient_id', 4)} bp USING (patient_id) "
+        "JOIN (SELECT patient_id, count(*) AS n FROM tr GROUP BY 1) pp USING (patient_id) "
+        "JOIN (SELECT patient_id, appointment_day, count(*) AS n FROM tr GROUP BY 1, 2) pd USING (patient_id, appointment_day))",
+    ]
+    return with_view(*ctes, body=rows)
+
+
+ORACLES["feature_variants"] = _variants_sql()
+
+
 # -------------------------------------------------------------------- KNN
 
 KNN_PAIRS = (
@@ -401,7 +514,44 @@ KNN = {
     )) + ("\nSELECT b.query_id, CAST(b.neighbour_label AS INT) AS predicted_label, "
           "round(b.n / t.t, 6) AS share FROM b JOIN t USING (query_id)"),
 }
+
+
+_KNN5 = ["gender", "scheduled_ts", "appointment_day", "age", "scholarship", "hipertension",
+         "diabetes", "alcoholism", "handcap", "sms_received"]
+
+
+def _knn_cv_sql(ks=(25, 35, 45)) -> str:
+    """All pairs of rows of different folds."""
+    num = lambda c: f"epoch_us({c}) / 1e6" if c in ("scheduled_ts", "appointment_day") else f"CAST({c} AS DOUBLE)"
+    far = " + ".join(f"power(a.x{i} - b.x{i}, 2)" for i in range(len(_KNN5)))
+    near = " + ".join(f"power((a.x{i} - b.x{i}) / s{i}, 2)" for i in range(len(_KNN5)))
+    spread = ", ".join(f"CASE WHEN stddev_samp(x{i}) > 0 THEN stddev_samp(x{i}) ELSE 1 END AS s{i}" for i in range(len(_KNN5)))
+    ctes = THREE_WAY + [
+        "rest_rows AS (SELECT a.* FROM appointments a JOIN three t USING (appointment_id) WHERE t.split <> 'test' AND a.age >= 0)",
+        "k AS MATERIALIZED (SELECT appointment_id AS id, CAST(no_show AS INT) AS y, CAST(floor((row_number() OVER (ORDER BY "
+        f"{md5_order('fold')}) - 1) * 10 / count(*) OVER ()) + 1 AS INT) AS fold, "
+        + ", ".join(f"{num(c)} AS x{i}" for i, c in enumerate(_KNN5)) + " FROM rest_rows)",
+        f"sc AS MATERIALIZED (SELECT f, {spread} FROM (SELECT unnest(range(1, 11)) AS f) JOIN k ON f <> fold GROUP BY f)",
+    ]
+    for name, distance, source in (("p0", far, "k a"), ("p1", near, "(SELECT * FROM k JOIN sc ON f = fold) a")):
+        ctes += [f"{name} AS (SELECT a.id, list(struct_pack(d := d, y := y) ORDER BY d) AS nb FROM (SELECT a.id, b.y, round({distance}, 6) AS d, "
+                 f"rank() OVER (PARTITION BY a.id ORDER BY round({distance}, 6)) AS r FROM {source} JOIN k b ON a.fold <> b.fold "
+                 f"QUALIFY r <= {max(ks)}) a GROUP BY 1)"]
+    votes = " UNION ALL ".join(
+        f"SELECT id, {k} AS k, {st} AS standardized, list_avg(list_transform(list_filter(nb, lambda z: z.d <= nb[{k}].d), lambda z: z.y)) AS prob FROM {p}"
+        for p, st in (("p0", "false"), ("p1", "true")) for k in ks)
+    ctes += [
+        f"v AS (SELECT v.*, k.fold, k.y FROM ({votes}) v JOIN k USING (id))",
+        "r AS (SELECT *, rank() OVER (PARTITION BY k, standardized, fold ORDER BY prob) "
+        "+ (count(*) OVER (PARTITION BY k, standardized, fold, prob) - 1) / 2.0 AS r FROM v)",
+        "f AS (SELECT k, standardized, fold, round((sum(r) FILTER (WHERE y = 1) - count(*) FILTER (WHERE y = 1) * (count(*) FILTER (WHERE y = 1) + 1) / 2.0) "
+        "/ (CAST(count(*) FILTER (WHERE y = 1) AS DOUBLE) * count(*) FILTER (WHERE y = 0)), 6) AS roc FROM r GROUP BY 1, 2, 3)",
+    ]
+    return with_view(*ctes, body="SELECT CAST(k AS INT) AS k, standardized, round(avg(roc), 6) AS roc FROM f GROUP BY 1, 2")
+
+
 ORACLES.update(KNN)
+ORACLES["knn_cv"] = _knn_cv_sql()
 
 
 # ------------------------------------------- the same operators, other tables

@@ -73,7 +73,7 @@ def test_knn_join_with_group_exclusion_matches_brute_force(spark):
     pts = [(i, [rnd.gauss(0, 1) * 3, rnd.gauss(0, 1)], rnd.randint(0, 1), i % 4) for i in range(150)]
     df = spark.createDataFrame(pts, "id long, v array<double>, label int, fold int")
     got = {(r.query_id, r.neighbour_id) for r in
-           K.knn_join(df, df, 4, label="label", group="fold", block_rows=16, n_pivots=6).collect()}
+           K.knn_join(df, df, 4, label="label", group="fold", block_rows=16, cells=6).collect()}
     want = set()
     for i, v, _, f in pts:
         d = sorted((round(sum((a - b) ** 2 for a, b in zip(v, w)), 9), j) for j, w, _, g in pts if g != f)
