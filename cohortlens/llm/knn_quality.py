@@ -8,8 +8,9 @@ truncated SVD of the weighted matrix of a bounded sample of labelled
 documents gives the latent axes. The sample's latent vectors and labels
 (at most ``MAX_LABELLED`` rows of ``AXES`` numbers) go to every task, which
 computes the exact cosines of each block of documents with all of them in
-one matrix product and lets the nearest ``NEIGHBOURS`` vote, weighted by
-similarity. Nothing but the text enters a score.
+one matrix product and lets the nearest ``NEIGHBOURS`` and all that are tied
+with the last of them vote, weighted by similarity. Nothing but the text
+enters a score.
 """
 
 from __future__ import annotations
@@ -35,6 +36,9 @@ AXES = 64
 #: Labelled rows that the model is fitted on and votes with, at most.
 MAX_LABELLED = 8192
 NEIGHBOURS = 25
+#: Decimals of a cosine: what the rounding of the product leaves, so that
+#: equal texts tie wherever they stand in it.
+DECIMALS = 5
 PREDICT = 0.7
 
 _CLASSES = bytes(0x61 if b >= 128 or 97 <= b < 123 else 0x41 if 65 <= b < 91 else 0x30 if 48 <= b < 58 else b
@@ -139,12 +143,16 @@ class Neighbours:
     def score(self, rows: np.ndarray) -> np.ndarray:
         if not len(self.labels):
             return np.full(len(rows), self.prior)
-        cosines = self._unit(self._weighted(rows) @ self.axes) @ self.vectors.T
+        cosines = np.round(self._unit(self._weighted(rows) @ self.axes) @ self.vectors.T, DECIMALS)
         k = min(NEIGHBOURS, cosines.shape[1])
-        near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
-        weight = np.clip(np.take_along_axis(cosines, near, axis=1), 0.0, 1.0) ** 4
-        votes = (weight * self.labels[near]).sum(axis=1)
-        return np.clip((votes + 0.1 * self.prior) / (weight.sum(axis=1) + 0.1), 0.0, 1.0).astype(np.float64)
+        # Every label tied with the last neighbour votes too, so their order
+        # decides nothing.
+        last = -np.partition(-cosines, k - 1, axis=1)[:, k - 1]
+        row, near = np.nonzero(cosines >= last[:, None])
+        weight = np.clip(cosines[row, near], 0.0, 1.0).astype(np.float64) ** 4
+        total = np.bincount(row, weight, len(cosines))
+        votes = np.bincount(row, weight * self.labels[near], len(cosines))
+        return np.round(np.clip((votes + 0.1 * self.prior) / (total + 0.1), 0.0, 1.0), 6)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -171,7 +179,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Neighbours:
                                 "v": [v[a].tobytes() for v, a in zip(vectors, at)]})
 
     found = texts.mapInPandas(extract, "doc_id long, quality int, at binary, v binary").collect()
-    found.sort(key=lambda r: r["doc_id"])
+    # Ordered by what they say: ids have no part in the space either.
+    found.sort(key=lambda r: (bytes(r["at"]), bytes(r["v"]), r["quality"]))
     rows = Sparse([(bytes(r["at"]), bytes(r["v"])) for r in found])
     return Neighbours(rows, np.array([r["quality"] for r in found]))
 
@@ -201,5 +210,9 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that are predicted good."""
+    """The rows of ``docs``, all columns, that are predicted good. Scores
+    are those of ``classify``: null, empty and wordless texts have the share
+    of good labels, so they stay while that is ``PREDICT`` or more; equal
+    texts, repeated rows too, stay or go together, whatever their id; without
+    labels everything stays, and an empty table stays empty."""
     return docs.filter(score(F.col("text"), fit(docs, labels)) >= PREDICT)
