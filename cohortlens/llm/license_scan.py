@@ -204,7 +204,9 @@ class Model:
 
     def passages(self, words: list[str]) -> list[tuple[str, int, int]]:
         """(family, start, end) of the words that hold ``SIMILAR`` of the
-        3-grams of one template, at most ``GAP`` words apart."""
+        3-grams of one template, at most ``GAP`` words apart. Families share
+        sentences: a passage within one that has more 3-grams of another
+        family's template is that family's."""
         hits: dict[tuple[str, int], list[int]] = {}
         for at, g in enumerate(zip(words, words[1:], words[2:])):
             for template in self.where.get(g, ()):
@@ -215,10 +217,12 @@ class Model:
             for k, at in enumerate(places, 1):
                 if k == len(places) or places[k] - at > GAP:
                     part = words[places[begin]:at + 3]
-                    if len(grams(part, 3) & self.templates[family][number]) >= SIMILAR * size:
-                        found.append((family, places[begin], at + 3))
+                    shared = len(grams(part, 3) & self.templates[family][number])
+                    if shared >= SIMILAR * size:
+                        found.append((family, places[begin], at + 3, shared))
                     begin = k
-        return sorted(found, key=lambda x: (x[0], x[1] - x[2], x[1]))
+        own = [(f, a, b) for f, a, b, n in found if not any(g != f and c <= a and b <= d and m > n for g, c, d, m in found)]
+        return sorted(own, key=lambda x: (x[0], x[1] - x[2], x[1]))
 
     def scan(self, text: str | None) -> list[tuple]:
         """(paragraph, word, family, probability, similarity) of each

@@ -229,3 +229,39 @@ def test_every_family_of_a_line(spark, awkward):
     out = license_scan.scan(docs).collect()
     assert {(r.doc_id, r.family) for r in out} == {(800 + k, f) for k, (fs, _) in enumerate(planted) for f in fs}
     assert len(out) == sum(len(fs) for fs, _ in planted) and all(r.similarity >= license_scan.SIMILAR for r in out)
+
+
+@pytest.mark.parametrize("families, line", [
+    ({"MIT"}, "MIT License"),
+    ({"GPL"}, "Licensed under GPLv3"),
+    ({"Apache-2.0"}, "Apache License Version 2.0, January 2004"),
+    ({"GPL"}, "This software is released under the terms of the GNU GPL v2"),
+    ({"EPL"}, "EPL-2.0"),
+    ({"GPL"}, "SPDX-License-Identifier: GPL-2.0-only"),
+    ({"EPL"}, "SPDX-License-Identifier: EPL-2.0"),
+    ({"BSD"}, "SPDX-License-Identifier: BSD-2-Clause"),
+    ({"GPL"}, "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ({"LGPL"}, "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ({"AGPL"}, "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ({"MIT"}, 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF '
+              "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."),
+    ({"BSD"}, "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
+              "in the documentation and/or other materials provided with the distribution."),
+    ({"MIT", "GPL"}, "Dual licensed under the MIT License and GPL-2.0-or-later."),
+    (set(), "SPDX-License-Identifier: Strange-1.0"),
+    (set(), "The MIT press licensed the general public to read it under other terms."),
+])
+def test_common_names_titles_and_paragraphs(model_of_prose, families, line):
+    assert {f for _, _, f, _, _ in model_of_prose.scan("Some words before it.\n" + line + "\nand after")} == families
+
+
+@pytest.fixture(scope="module")
+def model_of_prose():
+    rng = random.Random(12)
+    return license_scan.Model(license_scan.TEMPLATES, [prose(rng, 30).replace("\n", " ") for _ in range(300)])
+
+
+def test_every_template_names_its_family_alone(model_of_prose):
+    for family, templates in license_scan.TEMPLATES.items():
+        for t in templates:
+            assert {f for _, _, f, _, _ in model_of_prose.scan(t)} == {family}, t
