@@ -19,7 +19,7 @@ over all of its buckets, so it is never gathered in one task either.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -90,18 +90,6 @@ def running_sums(df: DataFrame, bucket: str, order: Sequence[Column],
 # The flag of a row is then a comparison with the cut keys, so rows are
 # neither joined, sorted nor copied.
 
-def bucket_ranges(df: DataFrame, bucket: str, partition: Sequence[str] = ()) -> DataFrame:
-    """``(partition..., bucket, __lo, __hi, __n)``: the rows of a bucket hold
-    ranks ``__lo + 1 .. __hi`` of their partition, which has ``__n`` rows.
-    One aggregate (one row per bucket) plus windows over that small table."""
-    part = list(partition)
-    counts = df.groupBy(*part, bucket).agg(F.count(F.lit(1)).alias("__c"))
-    before = Window.partitionBy(*part).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    lo = F.coalesce(F.sum("__c").over(before), F.lit(0))
-    return counts.select(*part, bucket, lo.alias("__lo"), (lo + F.col("__c")).alias("__hi"),
-                         F.sum("__c").over(Window.partitionBy(*part)).alias("__n"))
-
-
 _PREFIX = 4
 
 
@@ -143,19 +131,50 @@ def rank_cuts(df: DataFrame, key: Column, tie: str, ranks,
     return {r["__p"]: (r["n"], [r[f"c{i}"] and tuple(r[f"c{i}"]) for i in range(len(ranks))]) for r in cuts}
 
 
-def values_at_ranks(df: DataFrame, bucket: str, order: Sequence[Column], value: str,
-                    ranks) -> DataFrame:
-    """One row with ``value`` at each exact rank ``ranks[i](n)`` (a function
-    of the row count ``n`` returning a rank column), as columns ``__v{i}``.
-    Only the buckets holding a requested rank are read back and ranked."""
-    st = bucket_ranges(df, bucket)
-    hit = F.lit(False)
-    for r in ranks:
-        rc = r(F.col("__n"))
-        hit = hit | ((F.col("__lo") < rc) & (rc <= F.col("__hi")))
-    st = st.filter(hit)
-    j = df.join(st, bucket)
-    rank = F.col("__lo") + F.row_number().over(Window.partitionBy(bucket).orderBy(*order))
-    j = j.withColumn("__r", rank)
-    return j.agg(*[F.max(F.when(F.col("__r") == r(F.col("__n")), F.col(value))).alias(f"__v{i}")
-                   for i, r in enumerate(ranks)])
+#: Cells into which a round of ``order_statistics`` divides a range.
+CELLS = 4096
+
+
+def order_statistics(df: DataFrame, value: str, ranks: Sequence[Callable[[int], int]]) -> tuple[int, list]:
+    """``n`` and the values of numeric column ``value`` at exact ranks:
+    ``ranks[i](n)`` of the ``n`` rows that have a value (from 1; None if
+    there is no such rank).
+
+    A round counts the rows of ``CELLS`` equal parts of a range of values,
+    with the least and the largest value in each; the part that holds a rank
+    is the next round's range, until it holds one value. So a round is one
+    pass that returns at most ``CELLS`` rows a rank, whatever the data: no
+    value is sampled, sorted or sent anywhere, and a value that a third of
+    the rows share ends its search at once. Evenly spread values of 10^12
+    rows take four rounds."""
+    rows = df.select(F.col(value).alias("__y")).filter("__y is not null")
+    n, low, high = rows.agg(F.count(F.lit(1)), F.min("__y"), F.max("__y")).first()
+    wanted = [r(n) for r in ranks]
+    found: list = [None] * len(wanted)
+    # Open ranges of values: the rows before it, and the ranks it holds.
+    spans = {(low, high): (0, [i for i, r in enumerate(wanted) if 1 <= r <= n])} if n else {}
+    while spans := {k: v for k, v in spans.items() if v[1]}:
+        for (lo, hi), (_, held) in spans.items():
+            for i in held if lo == hi else ():
+                found[i] = lo
+        spans = {k: v for k, v in spans.items() if k[0] != k[1]}
+        if not spans:
+            break
+        span, cell = F.lit(None).cast("int"), F.lit(None).cast("long")
+        for k, (lo, hi) in enumerate(spans):
+            wide = isinstance(lo, int) and hi - lo >= 1 << 62
+            y, at, width = (F.col("__y").cast("double"), float(lo), float(hi) - float(lo)) if wide else (F.col("__y"), lo, hi - lo)
+            inside = F.col("__y").between(lo, hi)
+            part = F.least(F.floor((y - F.lit(at)).cast("double") / F.lit(float(width)) * CELLS), F.lit(CELLS - 1))
+            span, cell = F.when(inside, k).otherwise(span), F.when(inside, part).otherwise(cell)
+        counts = rows.select("__y", span.alias("s"), cell.alias("c")).filter("s is not null").groupBy("s", "c").agg(
+            F.count(F.lit(1)).alias("rows"), F.min("__y").alias("lo"), F.max("__y").alias("hi")).collect()
+        after: dict = {}
+        for k, (before, held) in enumerate(spans.values()):
+            for r in sorted((r for r in counts if r["s"] == k), key=lambda r: r["c"]):
+                own = [i for i in held if before < wanted[i] <= before + r["rows"]]
+                if own:
+                    after[(r["lo"], r["hi"])] = (before, own)
+                before += r["rows"]
+        spans = after
+    return n, found

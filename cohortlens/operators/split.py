@@ -11,36 +11,33 @@ neither joined, sorted nor copied.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions import hash_key
 from cohortlens.operators import roles as R
-from cohortlens.operators.ordering import quantile_buckets, rank_cuts, values_at_ranks
+from cohortlens.operators.ordering import order_statistics, rank_cuts
+from cohortlens.session import materialize
 
 QUARTILES = (0.25, 0.5, 0.75)
 
 
-def quantile_strata(df: DataFrame, y: str = R.ROW_ID, tie: str = R.ROW_ID,
-                    probs=QUARTILES, out: str = "stratum",
-                    rows: DataFrame | None = None) -> DataFrame:
-    """Stratum of each row by the quantiles of numeric ``y``: intervals
-    ``[q0, q1], (q1, q2], ...`` of the type-7 (linearly interpolated)
-    quantiles, as ``cut(y, unique(quantile(y, probs)), include.lowest=TRUE)``.
+def quantile_strata(rows: DataFrame, y: str = R.ROW_ID, probs=QUARTILES) -> Column:
+    """Stratum of a row by the quantiles that numeric ``y`` has in ``rows``:
+    intervals ``[q0, q1], (q1, q2], ...`` of the type-7 (linearly
+    interpolated) quantiles, as ``cut(y, unique(quantile(y, probs)),
+    include.lowest=TRUE)``.
 
     For a data value, ``y <= q_p`` holds exactly when ``y`` is at most the
-    order statistic at 0-based rank ``floor((n - 1) p)``. Those order
-    statistics are selected exactly (``ordering.values_at_ranks``): only
-    the few value buckets that hold them are ranked, so no task ever holds
-    all values. ``rows`` gives the rows whose quantiles count, if not all.
-    """
-    yb = quantile_buckets((df if rows is None else rows).select(*dict.fromkeys((y, tie))), y, "__qb")
-    ranks = [lambda n, p=p: F.floor((n - 1) * p) + 1 for p in probs]
-    cuts = values_at_ranks(yb, "__qb", [F.col(y), F.col(tie)], y, ranks).first()
+    order statistic at 0-based rank ``floor((n - 1) p)``, which
+    ``ordering.order_statistics`` finds by counting."""
+    _, cuts = order_statistics(rows, y, [lambda n, p=p: math.floor((n - 1) * p) + 1 for p in probs])
     stratum = F.lit(len(probs))
     for i in reversed(range(len(probs))):
-        stratum = F.when(F.col(y) <= F.lit(cuts[f"__v{i}"]), F.lit(i)).otherwise(stratum)
-    return df.withColumn(out, stratum)
+        stratum = F.when(F.col(y) <= F.lit(cuts[i]), F.lit(i)).otherwise(stratum)
+    return stratum
 
 
 def _at_most(key: Column, id_col: str, cut: tuple | None) -> Column:
@@ -58,34 +55,38 @@ def _at_most_in(key: Column, id_col: str, part: str, cuts: dict) -> Column:
     return inside
 
 
+def _holdout_rule(rows: DataFrame, p: float, seed: int, y: str, id_col: str, purpose: str) -> tuple[Column, Column]:
+    """Stratum and flag of a row, by the ids and ``y`` of ``rows``."""
+    stratum, key = quantile_strata(rows, y), hash_key(id_col, seed, purpose)
+    cuts = rank_cuts(rows.withColumn("stratum", stratum), key, id_col, [lambda n: F.ceil(n * F.lit(float(p)))], "stratum")
+    inside = F.lit(False)
+    for value, (_, at) in cuts.items():
+        inside = F.when(stratum == value, _at_most(key, id_col, at[0])).otherwise(inside)
+    return stratum, inside
+
+
 def holdout_split(df: DataFrame, p: float = 0.1, seed: int = 1, y: str = R.ROW_ID,
-                  id_col: str = R.ROW_ID, out: str = "in_holdout", purpose: str = "test",
-                  where: Column | None = None) -> DataFrame:
+                  id_col: str = R.ROW_ID, out: str = "in_holdout", purpose: str = "test") -> DataFrame:
     """Stratified holdout flag: per quartile stratum of ``y``,
     ``ceil(p * n_stratum)`` rows in md5 order are flagged.
 
-    ``where`` restricts the split to a part of the rows (the others are
-    never flagged and count nowhere). Returns ``df`` plus ``stratum`` and
-    the boolean ``out``: a projection. The quartiles and the cut keys come
-    from small jobs over the id columns only."""
-    rows = df if where is None else df.filter(where)
-    s = quantile_strata(df, y, id_col, rows=rows)
-    key = hash_key(id_col, seed, purpose)
-    narrow = s if where is None else s.filter(where)
-    cuts = rank_cuts(narrow.select(*dict.fromkeys((id_col, "stratum"))), key, id_col,
-                     [lambda n: F.ceil(n * F.lit(float(p)))], "stratum")
-    inside = _at_most_in(key, id_col, "stratum", cuts)
-    return s.withColumn(out, inside if where is None else F.coalesce(where & inside, F.lit(False)))
+    Returns ``df`` plus ``stratum`` and the boolean ``out``: a projection.
+    The quartiles and the cut keys come from one narrow copy of the ids, so
+    ``df`` is read twice: for the copy, and for the result."""
+    rows = materialize(df.select(*dict.fromkeys((id_col, y))))
+    stratum, inside = _holdout_rule(rows, p, seed, y, id_col, purpose)
+    return df.withColumns({"stratum": stratum, out: inside})
 
 
 def three_way_split(df: DataFrame, p_test: float = 0.1, p_dev: float = 0.1, seed: int = 1,
                     y: str = R.ROW_ID, id_col: str = R.ROW_ID) -> DataFrame:
     """``split`` in {test, dev, train}: a stratified test holdout, then a
-    stratified dev holdout of the remaining rows with a key of its own."""
-    first = holdout_split(df, p_test, seed, y, id_col, "__test", "test").drop("stratum")
-    second = holdout_split(first, p_dev, seed, y, id_col, "__dev", "dev", where=~F.col("__test"))
-    split = F.when(F.col("__test"), "test").when(F.col("__dev"), "dev").otherwise("train")
-    return second.withColumn("split", split).drop("stratum", "__test", "__dev")
+    stratified dev holdout of the remaining rows with a key of its own.
+    Both rules come from one narrow copy of the ids."""
+    rows = materialize(df.select(*dict.fromkeys((id_col, y))))
+    _, test = _holdout_rule(rows, p_test, seed, y, id_col, "test")
+    _, dev = _holdout_rule(rows.filter(~test), p_dev, seed, y, id_col, "dev")
+    return df.withColumn("split", F.when(test, "test").when(dev, "dev").otherwise("train"))
 
 
 def kfold_assign(df: DataFrame, folds: int = 10, seed: int = 1, id_col: str = R.ROW_ID,

@@ -1,5 +1,6 @@
 """Rank selection primitives and the parameter grid."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -26,12 +27,33 @@ def test_rank_cuts_equal_full_ranking(spark):
         assert (n, first, part, last, none) == (len(at), at[1], at[int(len(at) * 0.3)], at[len(at)], None)
 
 
-def test_values_at_ranks_picks_order_statistics(spark):
-    df = spark.range(0, 1001).withColumn("y", ((F.col("id") * 7919) % 1001).cast("double"))
-    b = O.quantile_buckets(df, "y", "qb", 8)
-    ranks = [lambda n: F.lit(1), lambda n: F.floor((n - 1) * 0.5) + 1, lambda n: n]
-    row = O.values_at_ranks(b, "qb", [F.col("y"), F.col("id")], "y", ranks).first()
-    assert (row["__v0"], row["__v1"], row["__v2"]) == (0.0, 500.0, 1000.0)
+@pytest.mark.parametrize("values", [
+    [(k * 7919) % 1001 for k in range(1001)],
+    [-2**63, 2**63 - 1, 0, 5, 5, 5, -7, 2**60, 2**60 + 1, 2**60 + 2],
+    [3] * 500 + [1, 2, 4],
+    [1e-300, 1e300, 0.0, -1e300, 1.5, 1.5000000000000002, 2.5, -0.25],
+    [7],
+    [],
+])
+def test_order_statistics_equal_a_full_sort(spark, values):
+    kind = "double" if any(isinstance(v, float) for v in values) else "long"
+    df = spark.createDataFrame([(v,) for v in [*values, None]], f"y {kind}").repartition(3)
+    ranks = [lambda n: 0, lambda n: 1, lambda n: (n + 1) // 2, lambda n: n - 1, lambda n: n, lambda n: n + 1]
+    n, found = O.order_statistics(df, "y", ranks)
+    at = sorted(values)
+    assert n == len(values) and found == [at[r(n) - 1] if 1 <= r(n) <= n else None for r in ranks]
+
+
+def test_a_split_reads_its_rows_twice(spark, monkeypatch):
+    """Once for the narrow copy of the ids, once for the result."""
+    from cohortlens.operators import split
+    copies = []
+    real = split.materialize
+    monkeypatch.setattr(split, "materialize", lambda df: copies.append(df.columns) or real(df))
+    out = split.three_way_split(spark.range(0, 400).withColumnRenamed("id", "appointment_id").withColumn("wide", F.lit("x")))
+    assert copies == [["appointment_id"]]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 1
+    assert {r["split"]: r["count"] for r in out.groupBy("split").count().collect()} == {"test": 40, "dev": 36, "train": 324}
 
 
 def test_param_grid_first_factor_fastest():

@@ -7,7 +7,7 @@ subqueries reused instead of recomputed, window operators, Python
 and other actions that run inside the query callable are not counted.
 Writes a markdown table to stdout.
 
-    python tools/plan_stats.py [sf_dir] > PLANS.md
+    python tools/plan_stats.py [sf_dir] [key ...] > PLANS.md
 """
 
 from __future__ import annotations
@@ -52,7 +52,7 @@ def stats(plan: str) -> dict:
         "reused": n(r"Reused(Exchange|Subquery)"),
         "broadcasts": n(r"BroadcastExchange"),
         "windows": n(r"\bWindow \["),
-        "python": n(r"(ArrowEvalPython|FlatMapCoGroupsInPandas|MapInPandas|FlatMapGroupsInPandas|BatchEvalPython)"),
+        "python": n(r"(ArrowEvalPython|FlatMapCoGroupsInPandas|MapInPandas|FlatMapGroupsInPandas|FlatMapCoGroupsInArrow|MapInArrow|BatchEvalPython)"),
         "scans": n(r"FileScan parquet|Scan ExistingRDD|FileScan csv"),
         "max_read_cols": max(widths) if widths else 0,
     }
@@ -62,8 +62,9 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
     spark = get_session("local[4]", shuffle_partitions=8)
     rows = []
+    keys = sys.argv[2:]
     for k, f in QUERIES.items():
-        if k in SKIP:
+        if k in SKIP or (keys and k not in keys):
             continue
         df = f(spark, sf)
         df.collect()
