@@ -104,6 +104,29 @@ def test_stages_take_effect(spark):
         (r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in packed)
 
 
+def test_each_stage_rejects_rows_that_no_earlier_one_rejects(spark, tmp_path):
+    """Short texts fall to the rules, texts of a bad vocabulary (of good
+    shape) to the classifier, near copies to the join; the rest is packed."""
+    rng = random.Random(21)
+    both, good, bad = ([f"{a}{b}{c}" for a in x for b in "aeiou" for c in ("lor", "mis", "nut")] for x in ("bcd", "fgh", "pqr"))
+    text = lambda own: " ".join(rng.choice(both if rng.random() < 0.5 else own) for _ in range(150))
+    texts = {k: text(bad if k % 3 == 0 else good) for k in range(600)}
+    short = {1000 + k: " ".join(texts[k].split()[:12]) for k in range(20)}
+    near = {2000 + k: " ".join([*texts[3 * k + 1].split()[:70], "changed", *texts[3 * k + 1].split()[71:]]) for k in range(30)}
+    rows = [(i, t, "en", None, *["x"] * 14) for i, t in (texts | short | near).items()]
+    spark.createDataFrame([(k, int(k % 3 > 0)) for k in range(600)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs, kept = spark.createDataFrame(rows, SCHEMA), []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.written(stage(spark, docs, str(tmp_path)), name)
+        kept.append({r.doc_id for r in docs.select("doc_id").collect()})
+    rules, votes, distinct, packed = kept
+    assert rules == set(texts) | set(near)
+    wrong = {k for k in texts if k % 3 == 0}
+    assert len(votes & wrong) < 0.05 * len(wrong) and len((rules - wrong) - votes) < 0.03 * len(rules)
+    copied = {i for i in near if i in votes and 3 * (i - 2000) + 1 in votes}
+    assert len(copied) > 25 and distinct == votes - copied and packed == distinct
+
+
 def test_stages_handle_awkward_rows(spark, awkward, empty):
     docs, rows = awkward
     for first in (docs, empty):
