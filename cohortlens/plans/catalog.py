@@ -198,13 +198,13 @@ def _feature_sink(spark, d):
 
 def _design_matrix_contrasts(spark, d):
     """RF7 predictors as doubles, its three-level reminder status and the
-    nation as 0/1 columns, levels fitted on the training rows."""
+    booking's weekday as 0/1 columns, levels fitted on the training rows."""
     split = materialize(_holdout(spark, d).drop("stratum").filter(F.col("in_holdout") | (F.col("age") >= 0)))
     plan, extra = variant_plan("RF7")
-    nation = F.substring_index("neighbourhood", "/", 1)
+    weekday = F.dayofweek("scheduled_ts").cast("string")
     train = split.filter(~F.col("in_holdout"))
-    fm = variant_frame(plan.fit(train), split.withColumn("nation", nation), extra)
-    levels = fit_contrasts(fm.filter(~F.col("in_holdout")), ["sms_received", "nation"])
+    fm = variant_frame(plan.fit(train), split.withColumn("weekday", weekday), extra)
+    levels = fit_contrasts(fm.filter(~F.col("in_holdout")), ["sms_received", "weekday"])
     out = levels.transform(fm)
     kept = ("appointment_id", "in_holdout", "no_show")
     types = dict(out.dtypes)

@@ -290,15 +290,14 @@ def _feature_ctes(lam: int) -> list[str]:
 
 
 def _contrasts_sql() -> str:
-    """Nations by name; the first in order is the baseline."""
-    nations = sorted(f"NATION_{i}" for i in range(25))
+    """Weekdays of booking; Sunday (1) is the baseline."""
     raw = ["patient_id", "gender", "scheduled_ts", "appointment_day", "age", "scholarship", "hipertension", "diabetes", "alcoholism", "handcap"]
     cols = [f"round({'epoch_us(' + c + ') / 1e6' if c in ('scheduled_ts', 'appointment_day') else 'CAST(' + c + ' AS DOUBLE)'}, 6) AS {c}" for c in raw]
     cols += [f"CAST(CASE WHEN days_between >= 3 AND {c} THEN 1 ELSE 0 END AS DOUBLE) AS sms_received_{v}" for v, c in (("no", "NOT sms_received"), ("yes", "sms_received"))]
-    cols += [f"CAST(nation = '{n}' AND EXISTS (SELECT 1 FROM tr WHERE split_part(neighbourhood, '/', 1) = '{n}') AS DOUBLE) AS \"nation_{n}\"" for n in nations[1:]]
+    cols += [f"CAST(wday_sched = {n} AS DOUBLE) AS weekday_{n}" for n in range(2, 8)]
     return with_view(*_feature_ctes(15), body=(
         f"SELECT appointment_id, {', '.join(cols)}, round(bias_per_nbh, 6) AS bias_per_nbh, CAST(days_between AS DOUBLE) AS days_between, "
-        "CAST(no_show AS DOUBLE) AS label FROM (SELECT *, split_part(neighbourhood, '/', 1) AS nation FROM fm)"))
+        "CAST(no_show AS DOUBLE) AS label FROM fm"))
 
 
 def _oof_matrix_sql(lam: int) -> str:
