@@ -117,7 +117,7 @@ def _scored(df: DataFrame, models: list, weights: list[Column] | None) -> DataFr
 
 
 def model_sweep(spark: SparkSession, train: DataFrame, dev: DataFrame, variants: Sequence[str], num_trees: int = 500,
-                n_bags: int = 10, max_depth: int = 10, n_per_class: int = 500, seed: int = 1, parallel_fits: int = 4) -> DataFrame:
+                n_bags: int = 10, max_depth: int = 10, n_per_class: int = 500, seed: int = 1, parallel_fits: int = 8) -> DataFrame:
     """``variant, n_predictors, oob_auc, dev_auc``.
 
     A forest is grown in bags that share its trees: a row's out-of-bag score
