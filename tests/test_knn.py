@@ -61,6 +61,18 @@ def test_exact_join_across_folds_with_large_coordinates(spark):
     assert got == _brute(X, X, 4, skip=lambda i: fold == fold[i])
 
 
+def test_a_query_travels_once_to_a_region(spark, monkeypatch):
+    """Without structure every cell is visited; a vector is then copied for
+    each region (block of references), not for each of the cells."""
+    X, sent, real = np.random.default_rng(6).normal(0, 1, (1200, 24)), [], KNN._meet
+    monkeypatch.setattr(KNN, "_meet", lambda qv, *a: sent.append((qv.count(), qv.select(F.sum(F.size("cells"))).first()[0])) or real(qv, *a))
+    df = _frame(spark, X)
+    got = _pairs(KNN.knn_join(df, df, 3, exclude_self=True, block_rows=400))
+    assert got == _brute(X, X, 3, skip=lambda i: np.arange(len(X)) == i)
+    (_, _), (rows, cells) = sent
+    assert rows <= 8 * len(X) and cells > 20 * len(X)
+
+
 @pytest.mark.parametrize("n", [1, 3])
 def test_fewer_references_than_neighbours(spark, n):
     X = np.arange(2.0 * n).reshape(n, 2)
