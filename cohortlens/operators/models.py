@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -27,6 +28,7 @@ from cohortlens.functions import epoch_seconds, hash_key
 from cohortlens.operators import roles as R
 from cohortlens.operators.contrasts import Contrasts, fit_contrasts
 from cohortlens.operators.split import balanced_sample
+from cohortlens.session import fits_at_once, spread
 
 
 def numeric_view(df: DataFrame, cols: Sequence[str], label: str = R.LABEL) -> tuple[DataFrame, list[str]]:
@@ -131,10 +133,24 @@ def poisson1_weight(id_col: str, bag: int) -> F.Column:
     row in 10**8 has more). Deterministic, so
     a retried task draws the same bag."""
     u = F.conv(F.substring(hash_key(id_col, bag, "bag"), 1, 12), 16, 10).cast("double") / float(16 ** 12)
-    w = F.lit(len(_POISSON1_CDF))
-    for k in reversed(range(len(_POISSON1_CDF))):
-        w = F.when(u < _POISSON1_CDF[k], F.lit(k)).otherwise(w)
-    return w.cast("double")
+
+    def inverse(u: F.Column) -> F.Column:
+        w = F.lit(len(_POISSON1_CDF))
+        for k in reversed(range(len(_POISSON1_CDF))):
+            w = F.when(u < _POISSON1_CDF[k], F.lit(k)).otherwise(w)
+        return w.cast("double")
+
+    return F.transform(F.array(u), inverse)[0]  # as a variable: one md5 a row, not one a step
+
+
+def bag_weights(weights: Sequence[F.Column]) -> F.Column:
+    """Whole weights of all bags as one column, to be written with the rows:
+    the passes of every fit then read them."""
+    return F.array(*[w.cast("tinyint") for w in weights])
+
+
+def bag_weight(column: str, bag: int) -> F.Column:
+    return F.col(column)[bag].cast("double")
 
 
 def oob_scores(train: DataFrame, cols: Sequence[str], label: str = R.LABEL,
@@ -153,19 +169,27 @@ def oob_scores(train: DataFrame, cols: Sequence[str], label: str = R.LABEL,
     weight = lambda b: poisson1_weight(id_col, seed * 1000 + b)
     while not num.filter(reduce(and_, [weight(b) > 0 for b in range(n_bags)])).isEmpty():
         n_bags += 10
-    weights = [weight(b) for b in range(n_bags)]
+    stages = _stages(cols, text)
+    if not text:  # nothing to fit for a bag alone: rows are assembled once
+        num, stages = stages[-1].transform(num).select(id_col, "label", "features"), []
+    num = spread(num.withColumn("__bags", bag_weights([weight(b) for b in range(n_bags)])))
+    weights = [bag_weight("__bags", b) for b in range(n_bags)]
     trees_per_bag = -(-num_trees // n_bags)
-    models = []
-    for b in range(n_bags):
+
+    def grow(b: int) -> PipelineModel:
         bagged = num.withColumn("__w", weights[b]).filter("__w > 0")
         rf = rf_estimator(len(cols), num_trees=trees_per_bag, seed=seed + b,
                           weight_col="__w", bootstrap=False, **rf_kw)
-        models.append(Pipeline(stages=_stages(cols, text) + [rf]).fit(bagged))
+        return Pipeline(stages=stages + [rf]).fit(bagged)
+
+    # Bags are independent and their seeds fixed: submitted together.
+    with ThreadPoolExecutor(max_workers=fits_at_once(num.count())) as pool:
+        models = list(pool.map(grow, range(n_bags)))
     # Score every row with every bag's forest in one narrow pass (no
     # shuffle), keeping a bag's probability only where the row was out.
     cur = num
     for b, model in enumerate(models):
-        cur = _chain(cur, model, f"__p{b}").withColumn(
+        cur = _chain(cur, model, f"__p{b}", keep=() if text else ("features",)).withColumn(
             f"__p{b}", F.when(weights[b] == 0, F.col(f"__p{b}")))
     probs = F.array(*[F.col(f"__p{b}") for b in range(n_bags)])
     present = F.filter(probs, lambda x: x.isNotNull())
@@ -174,12 +198,11 @@ def oob_scores(train: DataFrame, cols: Sequence[str], label: str = R.LABEL,
     return cur.select(id_col, "label", oob.alias("oob_score"))
 
 
-def _chain(df: DataFrame, model: PipelineModel, out: str) -> DataFrame:
+def _chain(df: DataFrame, model: PipelineModel, out: str, keep: Sequence[str] = ()) -> DataFrame:
     """Apply one fitted pipeline and keep only its class-1 probability."""
     scored = model.transform(df)
-    return scored.withColumn(out, vector_to_array("probability")[1]).drop(
-        "features", "rawPrediction", "probability", "prediction",
-        *[c for c in scored.columns if c.endswith("__idx")])
+    made = ["features", "rawPrediction", "probability", "prediction", *[c for c in scored.columns if c.endswith("__idx")]]
+    return scored.withColumn(out, vector_to_array("probability")[1]).drop(*[c for c in made if c not in keep])
 
 
 @dataclass

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.operators import inspect, profile as P
-from cohortlens.session import checkpoint_dir, materialize
+from cohortlens.session import checkpoint_dir, materialize, spread
 from cohortlens.sources import appointments
 from cohortlens.sources.csv import read_raw_csv, recode, to_raw, write_raw_csv
 from pyspark.sql import functions as F
@@ -309,7 +309,7 @@ from cohortlens.sources import read_table  # noqa: E402
 def train_dev(spark, d):
     """The three-way split's train rows with a valid age and all its dev
     rows (test is never touched)."""
-    s = materialize(_three_way(spark, d))
+    s = spread(_three_way(spark, d))
     train = P.valid_age(s.filter(F.col("split") == "train").drop("split"))
     dev = s.filter(F.col("split") == "dev").drop("split")
     return train, dev
@@ -327,7 +327,7 @@ def _variant(spark, d, name, **plan_kw):
     fitted = plan.fit(train)
     # Model fits pass over their input several times (split search,
     # bagging, levels): keep the joined feature rows instead of re-joining.
-    tr = materialize(variant_frame(fitted, train, extra))
+    tr = spread(variant_frame(fitted, train, extra))
     dv = materialize(variant_frame(fitted, dev, extra))
     return tr, dv, design_columns(tr)
 
@@ -363,7 +363,7 @@ def _importance(spark, d):
 
 def _non_test(spark, d):
     """Rows to learn from (valid age) and the untouched, unfiltered test rows."""
-    s = materialize(_three_way(spark, d))
+    s = spread(_three_way(spark, d))
     rest = P.valid_age(s.filter(F.col("split") != "test").drop("split"))
     return rest, s.filter(F.col("split") == "test").drop("split")
 

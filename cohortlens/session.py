@@ -77,6 +77,33 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
+#: Rows that a partition of model input should hold, and the least that are
+#: worth a task of their own.
+_ROWS_MOST, _ROWS_LEAST = 1 << 18, 1 << 14
+
+
+def wanted_partitions(spark: SparkSession, rows: int) -> int:
+    """Partitions for rows that are passed over again and again: two tasks a
+    core, if the rows last for that, and tasks of bounded size."""
+    busy = max(2 * spark.sparkContext.defaultParallelism, -(-rows // _ROWS_MOST))
+    return max(1, min(busy, rows // _ROWS_LEAST))
+
+
+def spread(df):
+    """``materialize``, dealt over enough partitions for all cores. A scan
+    gives a small file to few tasks, and AQE merges small shuffles; a model
+    fitted on their output would run on as few cores."""
+    df = materialize(df)
+    wanted = wanted_partitions(df.sparkSession, df.count())
+    return df if df.rdd.getNumPartitions() >= wanted else materialize(df.repartition(wanted))
+
+
+def fits_at_once(rows: int, most: int = 8) -> int:
+    """Fits to submit together: many where one can't fill the cores, few
+    where each keeps a copy of many rows."""
+    return max(2, min(most, (1 << 22) // max(1, rows)))
+
+
 _TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 
 
