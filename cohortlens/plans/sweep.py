@@ -21,11 +21,11 @@ from cohortlens.functions import days_between, epoch_seconds, rounded, sms_statu
 from cohortlens.operators import roles as R
 from cohortlens.operators.contrasts import Contrasts, contrast_name
 from cohortlens.operators.metrics import roc_auc
-from cohortlens.operators.models import mtry_default, poisson1_weight, rf_estimator
+from cohortlens.operators.models import bag_weight, bag_weights, mtry_default, poisson1_weight, rf_estimator
 from cohortlens.operators.split import balanced_flag
 from cohortlens.plans.features import VARIANTS
 from cohortlens.plans.folded import fit_folds
-from cohortlens.session import materialize
+from cohortlens.session import fits_at_once, materialize, spread
 
 # Predictors of the table itself, in order, and the levels of
 # the reminder status.
@@ -124,30 +124,39 @@ def model_sweep(spark: SparkSession, train: DataFrame, dev: DataFrame, variants:
     comes from the bags it is out of (a row that is in every bag has none
     and counts in no AUC), a dev row's from all. ``GLM`` is a
     logistic regression (no out-of-bag score); ``RF10`` draws its bags as
-    class-balanced samples. Fits are independent and submitted together."""
+    class-balanced samples. Fits are independent and submitted together,
+    ``parallel_fits`` at most; the weights of all bags are written with the
+    rows once."""
     columns = superset_columns(variants)
     vector = VectorAssembler(inputCols=columns, outputCol="all", handleInvalid="error")
-    tr, dv = (materialize(vector.transform(x).select(R.ROW_ID, R.LABEL, F.col(R.LABEL).cast("double").alias("label"), "all"))
-              for x in superset(train, train, dev, variants=variants))
-    rows = []
-    with ThreadPoolExecutor(max_workers=max(1, parallel_fits)) as pool:
-        for name in variants:
-            slicer = VectorSlicer(inputCol="all", outputCol="features", indices=[columns.index(c) for _, c in variant_predictors(name)])
-            width = len(slicer.getIndices())
-            own, other = slicer.transform(tr), slicer.transform(dv)
-            oob = None
-            if name == "GLM":
-                models = [LogisticRegression(featuresCol="features", labelCol="label", regParam=0.0, maxIter=100).fit(own)]
-            else:
-                weights = _bags(tr, name, n_bags, n_per_class, seed)
-                trees = -(-num_trees // len(weights))
-
-                def grow(b, own=own, weights=weights, trees=trees, width=width):
-                    rf = rf_estimator(width, num_trees=trees, max_depth=max_depth, mtry=mtry_default(width), seed=seed + b,
-                                      weight_col="__w", bootstrap=False)
-                    return rf.fit(own.withColumn("__w", weights[b]).filter("__w > 0"))
-
-                models = list(pool.map(grow, range(len(weights))))
-                oob = roc_auc(_scored(own, models, weights), "prob", "label").first()["auc"]
-            rows.append((name, width, oob, roc_auc(_scored(other, models, None), "prob", "label").first()["auc"]))
+    kinds = list(dict.fromkeys("RF10" if v == "RF10" else "bootstrap" for v in variants if v != "GLM"))
+    bags = [bag_weights(_bags(train, kind, n_bags, n_per_class, seed)).alias(f"__{kind}") for kind in kinds]
+    rows = [vector.transform(x).select(R.ROW_ID, R.LABEL, F.col(R.LABEL).cast("double").alias("label"), "all")
+            for x in superset(train, train, dev, variants=variants)]
+    tr, dv = spread(rows[0].select("*", *bags)), materialize(rows[1])
+    at_once = min(max(1, parallel_fits), fits_at_once(tr.count()))
+
+    def one(name: str) -> tuple:
+        slicer = VectorSlicer(inputCol="all", outputCol="features", indices=[columns.index(c) for _, c in variant_predictors(name)])
+        width = len(slicer.getIndices())
+        own, other = slicer.transform(tr), slicer.transform(dv)
+        oob = None
+        if name == "GLM":
+            models = [LogisticRegression(featuresCol="features", labelCol="label", regParam=0.0, maxIter=100).fit(own)]
+        else:
+            weights = [bag_weight("__RF10" if name == "RF10" else "__bootstrap", b) for b in range(n_bags)]
+            trees = -(-num_trees // n_bags)
+
+            def grow(b: int):
+                rf = rf_estimator(width, num_trees=trees, max_depth=max_depth, mtry=mtry_default(width), seed=seed + b,
+                                  weight_col="__w", bootstrap=False)
+                return rf.fit(own.withColumn("__w", weights[b]).filter("__w > 0"))
+
+            models = list(fits.map(grow, range(n_bags)))
+            oob = roc_auc(_scored(own, models, weights), "prob", "label").first()["auc"]
+        return name, width, oob, roc_auc(_scored(other, models, None), "prob", "label").first()["auc"]
+
+    # A second variant's fits fill the cores while one is scored.
+    with ThreadPoolExecutor(max_workers=at_once) as fits, ThreadPoolExecutor(max_workers=2) as pool:
+        rows = list(pool.map(one, variants))
     return spark.createDataFrame(rows, "variant string, n_predictors int, oob_auc double, dev_auc double")
