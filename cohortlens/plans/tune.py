@@ -21,7 +21,7 @@ from cohortlens.operators.models import fit_rf
 from cohortlens.operators.split import kfold_assign
 from cohortlens.plans.features import FeaturePlan, design_columns
 from cohortlens.plans.folded import fit_folds
-from cohortlens.session import materialize
+from cohortlens.session import fits_at_once, spread, wanted_partitions
 
 
 def param_grid(tune_mtry: Sequence[int] = (2, 4, 6),
@@ -37,26 +37,31 @@ def _auc(scored: DataFrame) -> float | None:
 
 def tune_grid(spark: SparkSession, df: DataFrame, grid: list[dict] | None = None,
               folds: int = 10, seed: int = 1, num_trees: int = 500,
-              max_depth: int = 10, parallel_fits: int = 3, metric=None) -> DataFrame:
+              max_depth: int = 10, parallel_fits: int = 8, metric=None) -> DataFrame:
     """``(tune_mtry, lambda_nbh, k, auc_roc)`` for each grid row and each of
     the ``folds`` folds, which cover all rows. ``metric`` maps the scored
     validation rows (``prob``, ``label``) to a number, by default the AUC.
 
     The encoders of all folds and lambdas come from one aggregate
     (``fit_folds``); a fold's frame holds a bias column for each lambda.
-    Fits of one fold are independent and are submitted together from
-    ``parallel_fits`` driver threads, so the cluster runs several forests
-    at once (each fit is itself distributed; seeds are fixed, so results do
-    not depend on the interleaving)."""
+    Fits are independent and are submitted together from ``parallel_fits``
+    driver threads at most, so the cluster runs several forests at once (each
+    fit is itself distributed; seeds are fixed, so results do not depend on
+    the interleaving). While the last forests of a fold are scored, the next
+    fold's begin; no more than two folds' frames are kept."""
     grid, metric = grid or param_grid(), metric or _auc
     lambdas = sorted({g["lambda_nbh"] for g in grid})
-    data = materialize(kfold_assign(df, folds, seed))
+    data = spread(kfold_assign(df, folds, seed))
+    size = data.count()
+    parts = wanted_partitions(spark, size)
     plan = fit_folds(data, lambda_nbh=lambdas)
-    rows = []
-    for k in range(1, folds + 1):
-        frame = plan.transform(data, k).persist(StorageLevel.MEMORY_AND_DISK)
 
-        def one(g, frame=frame, k=k):
+    def fold(k: int) -> list[tuple]:
+        frame = plan.transform(data, k)
+        # The joins' shuffles are merged to few partitions otherwise.
+        frame = (frame.repartition(parts) if parts > 1 else frame).persist(StorageLevel.MEMORY_AND_DISK)
+
+        def one(g: dict) -> tuple:
             lam = g["lambda_nbh"]
             own = frame.withColumnRenamed(f"bias_per_nbh_{lam}", "bias_per_nbh").drop(*[f"bias_per_nbh_{x}" for x in lambdas])
             tr, va = (own.filter(side).drop("fold") for side in (F.col("fold") != k, F.col("fold") == k))
@@ -64,9 +69,13 @@ def tune_grid(spark: SparkSession, df: DataFrame, grid: list[dict] | None = None
                            mtry=g["tune_mtry"], seed=seed)
             return (g["tune_mtry"], lam, k, metric(model.score(va)))
 
-        with ThreadPoolExecutor(max_workers=max(1, parallel_fits)) as pool:
-            rows.extend(pool.map(one, grid))
+        done = list(fits.map(one, grid))
         frame.unpersist()
+        return done
+
+    at_once = min(max(1, parallel_fits), fits_at_once(size))
+    with ThreadPoolExecutor(max_workers=at_once) as fits, ThreadPoolExecutor(max_workers=2) as pool:
+        rows = [r for part in pool.map(fold, range(1, folds + 1)) for r in part]
     return spark.createDataFrame(rows, "tune_mtry int, lambda_nbh int, k int, auc_roc double")
 
 
@@ -85,10 +94,10 @@ def final_model(train: DataFrame, test: DataFrame, lambda_nbh: int = 50, tune_mt
     """Refit encoders and forest on all training rows, score the untouched
     test rows once: confusion statistics per cut-off plus the test AUC."""
     fitted = FeaturePlan(lambda_nbh=lambda_nbh).fit(train)
-    tr = materialize(fitted.transform(train))
+    tr = spread(fitted.transform(train))
     te = fitted.transform(test)
     model = fit_rf(tr, design_columns(tr), num_trees=num_trees, max_depth=max_depth,
                    mtry=tune_mtry, seed=seed)
-    scored = materialize(model.score(te).select("prob", "label"))
+    scored = spread(model.score(te).select("prob", "label"))
     auc = roc_auc(scored, "prob", "label")
     return confusion_at_cutoffs(scored, "prob", "label", cutoffs).withColumn("auc", auc.scalar())
