@@ -23,14 +23,15 @@ context. So the model sums to 1 over the known words and one unknown word
 per shape, whatever the previous word.
 
 *Counts* must be exact for every word, and the vocabulary grows with the
-corpus, so it is never broadcast. Texts are read once into chunks of
-bounded size with a dictionary each: a document becomes a sequence of the
-chunk's word numbers, and each chunk lists its distinct words with their
-training counts. The lists meet by word (64-bit hash) to get the totals,
-return to their chunk, and the chunk's documents are scored in numpy. Each
-chunk also lists its distinct pairs of neighbouring words. They grow with
-the corpus as well and are never gathered in one place: they meet in blocks
-of previous words (hashed), and each chunk gets the shares of its pairs back.
+corpus, so it is never broadcast. Texts are read once into chunks of bounded
+size with a dictionary each, and written as the chunk's word numbers. Each
+chunk lists the hashes and training counts of its distinct words; the lists
+meet in blocks of hashes, and only the totals return. By these, each chunk
+lists its distinct pairs of neighbouring words. They grow with the corpus as
+well and meet in blocks of previous words (hashed), and again only counts
+return. A pair whose previous word has at most one training token, or whose
+following word has a class of its own, has known shares (0 and 1, or none) and
+doesn't travel. Numbers travel with their bytes by place, compressed.
 """
 
 from __future__ import annotations
@@ -198,18 +199,39 @@ def class_of(h: int, s: int, head: dict[int, int]) -> int:
 
 # -- passes over the corpus ------------------------------------------------
 
-_CHUNKS = "chunk long, doc_id long, held boolean, ids binary, word long, h long, shape int, n long, block int, pairs binary"
+
+def packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of numbers as one compressed value: first the lowest bytes of
+    all numbers and last the highest, which are mostly 0."""
+    body = b"".join(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes() for x in arrays)
+    return np.array([len(body), *map(len, arrays)], np.int64).tobytes() + pa.compress(body, codec="zstd", asbytes=True)
+
+
+def unpacked(value: bytes, *types) -> list[np.ndarray]:
+    size, *counts = np.frombuffer(value, np.int64, len(types) + 1).tolist()
+    body = pa.decompress(value[8 * len(types) + 8:], decompressed_size=size, codec="zstd", asbytes=True) if size else b""
+    out, at = [], 0
+    for n, t in zip(counts, map(np.dtype, types), strict=True):
+        part = np.frombuffer(body, np.uint8, n * t.itemsize, at).reshape(t.itemsize, n)
+        out.append(np.ascontiguousarray(part.T).view(t).ravel())
+        at += n * t.itemsize
+    return out
+
+
+_CHUNKS = "chunk long, docs binary, block int, h binary, number binary, shape binary, n binary"
+_ARROW = {"chunk": pa.int64(), "docs": pa.binary(), "block": pa.int32(), "h": pa.binary(), "number": pa.binary(), "shape": pa.binary(), "n": pa.binary()}
+_DOCS = np.int64, np.bool_, np.bool_, np.uint32, np.uint32
 
 
 def _chunks(docs: DataFrame, blocks: int) -> DataFrame:
-    """Rows of three kinds: a document as the word numbers of its chunk
-    (``ids``), a distinct word of a chunk with its training count, and the
-    chunk's pairs of one block."""
+    """Rows of two kinds: documents (``docs``: ids, whether they have one,
+    held out, numbers of words, the chunk's word numbers), and the chunk's
+    distinct words of one block with their training counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number, size = TaskContext.get().partitionId(), 0, 0
-        table, counts, ended, read = Numbers(), np.zeros(0, np.int64), 0, []
+        table, counts, ended = Numbers(), np.zeros(0, np.int64), 0
         for batch in batches:
-            held = batch.column("held").to_pylist()
+            held = batch.column("held").to_numpy(zero_copy_only=False)
             ids = []
             for text in batch.column("text").to_pylist():
                 words = words_of(text)
@@ -220,56 +242,92 @@ def _chunks(docs: DataFrame, blocks: int) -> DataFrame:
             if learned:
                 counts += np.bincount(np.concatenate(learned), minlength=len(table))
             ended += len(learned)
-            read += zip(ids, held)
-            yield _rows(task << 32 | number, len(ids), doc_id=batch.column("doc_id"), held=batch.column("held"),
-                        ids=pa.array([x.tobytes() for x in ids], pa.binary()))
+            if ids:
+                doc_id = batch.column("doc_id")
+                yield _rows(task << 32 | number, docs=[packed(
+                    doc_id.fill_null(0).to_numpy(), doc_id.is_valid().to_numpy(zero_copy_only=False), held,
+                    np.array([len(x) for x in ids], np.uint32), np.concatenate(ids))])
             if size >= CHUNK_BYTES:
-                yield from _word_rows(task << 32 | number, table, counts, ended)
-                yield from _pair_rows(task << 32 | number, table, read, blocks)
+                yield _word_rows(task << 32 | number, table, counts, ended, blocks)
                 number, size = number + 1, 0
-                table, counts, ended, read = Numbers(), np.zeros(0, np.int64), 0, []
+                table, counts, ended = Numbers(), np.zeros(0, np.int64), 0
         if size or len(table) or ended or not number:
-            yield from _word_rows(task << 32 | number, table, counts, ended)
-            yield from _pair_rows(task << 32 | number, table, read, blocks)
+            yield _word_rows(task << 32 | number, table, counts, ended, blocks)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out(F.col("doc_id")).alias("held"))
     return rows.mapInArrow(run, _CHUNKS)
 
 
-_ARROW = {"chunk": pa.int64(), "doc_id": pa.int64(), "held": pa.bool_(), "ids": pa.binary(),
-          "word": pa.int64(), "h": pa.int64(), "shape": pa.int32(), "n": pa.int64(), "block": pa.int32(), "pairs": pa.binary()}
+def _rows(chunk: int, **columns: list) -> pa.RecordBatch:
+    """Rows of one chunk; columns that aren't given are null."""
+    count = len(next(iter(columns.values())))
+    columns["chunk"] = [chunk] * count
+    return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(count, t) for c, t in _ARROW.items()], names=list(_ARROW))
 
 
-def _rows(chunk: int, count: int, **columns) -> pa.RecordBatch:
-    """Rows of one chunk; columns that aren't given are null."""
-    columns["chunk"] = np.full(count, chunk)
-    return pa.RecordBatch.from_arrays(
-        [columns[c] if isinstance(columns.get(c), pa.Array) else pa.array(columns[c], t) if c in columns else pa.nulls(count, t)
-         for c, t in _ARROW.items()], names=list(_ARROW))
+def _block_of(h: np.ndarray, blocks: int) -> np.ndarray:
+    return (_mix(h) % np.uint64(blocks)).astype(np.uint16)
+
+
+def _word_rows(chunk: int, table: Numbers, counts: np.ndarray, ended: int, blocks: int) -> pa.RecordBatch:
+    """The chunk's words by block; the end counts as the word after the last."""
+    words, size = list(table), len(table) + 1
+    h = np.fromiter([*map(word_hash, words), END], np.uint64, size)
+    shapes, counts = np.fromiter([*map(shape, words), 0], np.uint8, size), np.append(counts, ended).astype(np.uint64)
+    block = _block_of(h, blocks)
+    order = np.argsort(block, kind="stable")
+    begins = np.searchsorted(block[order], np.arange(blocks + 1))
+    some = [b for b in range(blocks) if begins[b] < begins[b + 1]]
+    parts = [order[begins[b]:begins[b + 1]] for b in some]
+    return _rows(chunk, block=some, h=[h[x].tobytes() for x in parts], number=[packed(np.diff(x, prepend=0).astype(np.uint32)) for x in parts],
+                 shape=[packed(shapes[x]) for x in parts], n=[packed(counts[x]) for x in parts])
+
+
+# -- words -----------------------------------------------------------------
 
+_TOTALS = "chunk long, block int, c binary, h long, shape int, n long, once long, known long"
 
-def _word_rows(chunk: int, table: Numbers, counts: np.ndarray, ended: int) -> Iterator[pa.RecordBatch]:
-    """The chunk's words; the end counts as the word after the last."""
-    words = list(table)
-    for a in range(0, len(words), 65_536):
-        part = words[a:a + 65_536]
-        yield _rows(chunk, len(part), word=np.arange(a, a + len(part)), n=counts[a:a + len(part)],
-                    h=np.fromiter(map(word_hash, part), np.uint64, len(part)).view(np.int64),
-                    shape=np.fromiter(map(shape, part), np.int32, len(part)))
-    yield _rows(chunk, 1, word=np.array([len(words)]), h=np.array([END]), shape=np.zeros(1, np.int32), n=np.array([ended]))
+
+def _totals(rows: DataFrame) -> DataFrame:
+    """Training counts over all chunks (``c``) for each chunk's words of a
+    block. Beside them, of each block: the end's count, its most frequent
+    words, and by shape how many training tokens its words have, how many
+    of them occur once, and how many words that are."""
+    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
+        lists = [np.frombuffer(x, np.uint64) for x in pdf["h"]]
+        shapes, n = (np.concatenate([unpacked(x, t)[0] for x in pdf[c]]) for c, t in (("shape", np.uint8), ("n", np.uint64)))
+        h, first, place = np.unique(np.concatenate(lists), return_index=True, return_inverse=True)
+        c = np.bincount(place, weights=n).astype(np.uint64)
+        ends = np.cumsum([0] + [len(x) for x in lists])
+        back = pd.DataFrame({"chunk": pdf["chunk"], "c": [packed(c[place[a:b]]) for a, b in zip(ends, ends[1:])],
+                             "h": 0, "shape": 0, "n": 0, "once": 0, "known": 0})
+        s, end = shapes[first], h == np.uint64(END)
+        known = (c > 0) & ~end
+        by_shape = [np.bincount(s[known], weights=w, minlength=SHAPES).astype(np.int64) for w in (c[known], c[known] == 1, np.ones(known.sum()))]
+        sums = pd.DataFrame({"h": 0, "shape": np.arange(SHAPES), "n": by_shape[0], "once": by_shape[1], "known": by_shape[2]})
+        signed = h.view(np.int64)
+        top = np.flatnonzero(known)
+        top = np.concatenate([top[np.lexsort((signed[top], -c[top].astype(np.int64)))][:HEAD], np.flatnonzero(end)])
+        words = pd.DataFrame({"h": signed[top], "shape": s[top].astype(np.int64), "n": c[top].astype(np.int64), "once": 0, "known": 0})
+        return pd.concat([back, sums, words]).assign(block=pdf["block"].iloc[0])[_TOTALS.replace(",", "").split()[::2]]
+
+    return rows.filter("block is not null").select("chunk", "block", "h", "shape", "n").groupBy("block").applyInPandas(meet, _TOTALS)
 
 
 # -- pairs of neighbouring words -------------------------------------------
 
 
-def pair_places(docs: list[np.ndarray], size: int) -> np.ndarray:
-    """For each word of the documents one number for it and the word before
-    it, out of ``size`` words; the start counts as the word after the last."""
-    flat = np.concatenate([*docs, np.zeros(0, np.uint32)]).astype(np.uint64)
-    before = np.concatenate([np.zeros(1, np.uint64), flat[:-1]])[:len(flat)]
-    lengths = np.array([len(d) for d in docs], np.int64)
+def pair_places(flat: np.ndarray, lengths: np.ndarray, many: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the words of documents (numbers ``flat``, ``lengths`` a document)
+    those whose share the pairs must tell: the word before has ``many``
+    tokens (the start counts as the word after the last), and the word has
+    no class of its ``own``. A flag a word, and for each flagged one a number for
+    it and the word before it."""
+    size = len(own)
+    before = np.concatenate([np.zeros(1, np.uint64), flat[:-1].astype(np.uint64)])[:len(flat)]
     before[(np.cumsum(lengths) - lengths)[lengths > 0]] = size
-    return before * np.uint64(size + 1) + flat
+    told = many[before] & ~own[flat]
+    return told, before[told] * np.uint64(size + 1) + flat[told]
 
 
 def _split(pairs: np.ndarray, h: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -277,82 +335,130 @@ def _split(pairs: np.ndarray, h: np.ndarray, blocks: int) -> tuple[np.ndarray, n
     numbers of both words; where each block begins. ``h``: hashes of the
     chunk's words and, last, of the start."""
     before, word = np.divmod(pairs, np.uint64(len(h)))
-    block = (_mix(h) % np.uint64(blocks)).astype(np.uint16)[before]
+    block = _block_of(h, blocks)[before]
     order = np.argsort(block, kind="stable")
     return order, before[order], word[order], np.searchsorted(block[order], np.arange(blocks + 1))
 
 
+class Chunk:
+    """Documents and words of a chunk: ``left`` has its rows of ``_chunks``,
+    ``totals`` the training counts of its words."""
+
+    def __init__(self, left: pd.DataFrame, totals: pd.DataFrame, head: dict[int, int]):
+        docs = [unpacked(x, *_DOCS) for x in left["docs"] if x is not None]
+        self.doc_id, self.has_id, self.held, self.lengths, self.flat = (
+            np.concatenate([*x, np.zeros(0, t)]) for x, t in zip(zip(*docs) if docs else [()] * len(_DOCS), _DOCS, strict=True))
+        self.lengths = self.lengths.astype(np.int64)
+        words, totals = left[left["block"].notna()].sort_values("block"), totals.sort_values("block")
+        number = np.concatenate([np.cumsum(unpacked(x, np.uint32)[0], dtype=np.int64) for x in words["number"]])
+        self.h, self.shape, self.c = np.empty(len(number), np.uint64), np.empty(len(number), np.int64), np.empty(len(number), np.int64)
+        self.h[number] = np.concatenate([np.frombuffer(x, np.uint64) for x in words["h"]])
+        self.shape[number] = np.concatenate([unpacked(x, np.uint8)[0] for x in words["shape"]])
+        self.c[number] = np.concatenate([unpacked(x, np.uint64)[0] for x in totals["c"]])
+        self.end = len(number) - 1
+        self.kind = 1 + HEAD + self.shape
+        for key, place in head.items():
+            self.kind[self.h == np.uint64(key)] = place
+        self.told, places = pair_places(self.flat, self.lengths, np.append(self.c[:-1] > 1, True), self.kind[:-1] <= HEAD)
+        self.pairs, self.place = np.unique(places, return_inverse=True)
+
+    def split(self, blocks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        return _split(self.pairs, np.append(self.h[:-1], np.uint64(BEFORE)), blocks)
+
+
 def pair_key(h: np.ndarray, s: np.ndarray) -> np.ndarray:
     """48 bits of a following word: 43 of its hash and five of its shape."""
     return h >> np.uint64(21) << np.uint64(5) | s.astype(np.uint64)
 
 
-def _pair_rows(chunk: int, table: Numbers, read: list[tuple], blocks: int) -> Iterator[pa.RecordBatch]:
+def _pair_rows(key: tuple, chunk: Chunk, blocks: int) -> pd.DataFrame:
     """The chunk's distinct pairs with their training counts, one row for
     each block: hashes of the previous words, how many pairs each has, the
     keys of the following words and the counts."""
-    if not table:
-        return
-    words = list(table)
-    h = np.fromiter(map(word_hash, words), np.uint64, len(words))
-    keys = pair_key(h, np.fromiter(map(shape, words), np.int64, len(words)))
-    h = np.append(h, np.uint64(BEFORE))
-    pairs, place = np.unique(pair_places([x for x, _ in read], len(words)), return_inverse=True)
-    learned = np.repeat([not held for _, held in read], [len(x) for x, _ in read])
-    counts = np.bincount(place[learned], minlength=len(pairs)).astype(np.uint32)
-    del place, learned
-    order, before, word, begins = _split(pairs, h, blocks)
-    counts = counts[order]
-    for b in range(blocks):
+    h, keys = np.append(chunk.h[:-1], np.uint64(BEFORE)), pair_key(chunk.h, chunk.shape)
+    learned = np.repeat(~chunk.held, chunk.lengths)[chunk.told]
+    counts = np.bincount(chunk.place[learned], minlength=len(chunk.pairs)).astype(np.uint32)
+    order, before, word, begins = chunk.split(blocks)
+    counts, some, out = counts[order], np.flatnonzero(np.diff(begins)), []
+    for b in some:
         part = slice(begins[b], begins[b + 1])
-        if begins[b] < begins[b + 1]:
-            first = np.flatnonzero(np.diff(before[part].astype(np.int64), prepend=-1))
-            lengths = np.diff(first, append=begins[b + 1] - begins[b]).astype(np.uint32)
-            follow = np.ascontiguousarray(keys[word[part]].view(np.uint16).reshape(-1, 4)[:, :3])
-            packed = b"".join([np.uint32(len(first)).tobytes(), h[before[part][first]].tobytes(), lengths.tobytes(),
-                               follow.tobytes(), counts[part].tobytes()])
-            yield _rows(chunk, 1, block=np.array([b]), pairs=pa.array([packed], pa.binary()))
-
-
-def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Previous word's hash, following word's key and count of each pair."""
-    n = int(np.frombuffer(packed, np.uint32, 1)[0])
-    lengths = np.frombuffer(packed, np.uint32, n, 4 + 8 * n)
-    total, at = int(lengths.sum()), 4 + 12 * n
+        first = np.flatnonzero(np.diff(before[part].astype(np.int64), prepend=-1))
+        lengths = np.diff(first, append=begins[b + 1] - begins[b]).astype(np.uint32)
+        follow = np.ascontiguousarray(keys[word[part]].view(np.uint16).reshape(-1, 4)[:, :3])
+        out.append(b"".join([np.uint32(len(first)).tobytes(), h[before[part][first]].tobytes(), np.uint32(len(follow)).tobytes(),
+                             follow.tobytes(), packed(lengths, counts[part])]))
+    return pd.DataFrame({"chunk": key[0], "block": some.astype(np.int32), "pairs": out})
+
+
+def _unpacked(value: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Previous word's hash and number, following word's key and count of
+    each pair."""
+    n = int(np.frombuffer(value, np.uint32, 1)[0])
+    total, at = int(np.frombuffer(value, np.uint32, 1, 4 + 8 * n)[0]), 8 + 8 * n
     keys = np.zeros((total, 4), np.uint16)
-    keys[:, :3] = np.frombuffer(packed, np.uint16, 3 * total, at).reshape(-1, 3)
-    return (np.repeat(np.frombuffer(packed, np.uint64, n, 4), lengths), keys.view(np.uint64).ravel(),
-            np.frombuffer(packed, np.uint32, total, at + 6 * total))
+    keys[:, :3] = np.frombuffer(value, np.uint16, 3 * total, at).reshape(-1, 3)
+    lengths, counts = unpacked(value[at + 6 * total:], np.uint32, np.uint32)
+    return np.repeat(np.frombuffer(value, np.uint64, n, 4), lengths), np.repeat(np.arange(n), lengths), keys.view(np.uint64).ravel(), counts
 
 
-def followers(before: np.ndarray, key: np.ndarray, n: np.ndarray, head: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of each listed pair, by the counts of all that are listed: the share
-    that the previous word gives to the following one among its class, and
-    the share that it leaves to what is known without it. Followers met
-    once (Good-Turing) are left; a previous word after which nothing recurs
-    leaves all. ``head``: keys of the words with a class of their own."""
+def _counted(before: np.ndarray, key: np.ndarray, n: np.ndarray, head: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each listed pair: its count over the whole list, and of all pairs
+    with the same previous word and the same class how many tokens they
+    have, and how many occur once."""
     _, first, pair = np.unique(_mix(before) ^ _mix(key + np.uint64(1)), return_index=True, return_inverse=True)
     count = np.bincount(pair, weights=np.where(np.isin(key, head), 0, n))
     group = _mix(_mix(before) + (key[first][pair] & np.uint64(31)))
     _, group = np.unique(group, return_inverse=True)
     total = np.bincount(group[first], weights=count)
     once = np.bincount(group[first], weights=count == 1)
+    return count[pair], total[group], once[group]
+
+
+def _shares(count: np.ndarray, total: np.ndarray, once: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     left = (once + 2.0) / (total + 2.0)
-    share = count[pair] / np.maximum(total, 1.0)[group] * (1.0 - left[group])
-    return share.astype(np.float32), left[group].astype(np.float32)
+    share = count / np.maximum(total, 1.0) * (1.0 - left)
+    return share.astype(np.float32), left.astype(np.float32)
 
 
-def _followers(rows: DataFrame, head: np.ndarray) -> DataFrame:
-    """``chunk, block, found``: both shares of a chunk's pairs of a block."""
+def followers(before: np.ndarray, key: np.ndarray, n: np.ndarray, head: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each listed pair, by the counts of all that are listed: the share
+    that the previous word gives to the following one among its class, and
+    the share that it leaves to what is known without it. Followers met
+    once (Good-Turing) are left; a previous word after which nothing recurs
+    leaves all. ``head``: keys of the words with a class of their own."""
+    return _shares(*_counted(before, key, n, head))
+
+
+def _followers(pairs: DataFrame) -> DataFrame:
+    """``chunk, block, c``: the counts that make the shares of a chunk's
+    pairs of a block, those of a group (previous word and class) once."""
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
         lists = [_unpacked(x) for x in pdf["pairs"]]
-        share, left = followers(*(np.concatenate(x) for x in zip(*lists)), head)
-        ends = np.cumsum([0] + [len(x[0]) for x in lists])
-        return pd.DataFrame({"chunk": pdf["chunk"], "block": pdf["block"],
-                             "found": [share[a:b].tobytes() + left[a:b].tobytes() for a, b in zip(ends, ends[1:])]})
-
-    return rows.filter("block is not null").select("chunk", "block", "pairs").groupBy("block").applyInPandas(
-        meet, "chunk long, block int, found binary")
+        before, key, n = (np.concatenate([x[k] for x in lists]) for k in (0, 2, 3))
+        counted = [x.astype(np.uint64) for x in _counted(before, key, n, np.zeros(0, np.uint64))]
+        ends, found = np.cumsum([0] + [len(x[0]) for x in lists]), []
+        for (_, place, own, _), a, b in zip(lists, ends, ends[1:], strict=False):
+            count, total, once = (x[a:b] for x in counted)
+            _, first = np.unique(place.astype(np.int64) << 5 | (own & np.uint64(31)).astype(np.int64), return_index=True)
+            found.append(packed(count, total[first], once[first]))
+        return pd.DataFrame({"chunk": pdf["chunk"], "block": pdf["block"], "c": found})
+
+    return pairs.groupBy("block").applyInPandas(meet, "chunk long, block int, c binary")
+
+
+def _told(chunk: Chunk, found: pd.DataFrame, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """Both shares of each word of the chunk's documents."""
+    order, before, word, begins = chunk.split(blocks)
+    own, rest = np.empty(len(order), np.float32), np.empty(len(order), np.float32)
+    group = before.astype(np.int64) << 5 | chunk.shape[word]
+    for block, value in zip(found["block"], found["c"], strict=True):
+        count, total, once = (x.astype(np.float64) for x in unpacked(value, *[np.uint64] * 3))
+        part = slice(begins[block], begins[block + 1])
+        _, of = np.unique(group[part], return_inverse=True)
+        own[order[part]], rest[order[part]] = _shares(count, total[of], once[of])
+    share, left = np.zeros(len(chunk.flat), np.float32), np.ones(len(chunk.flat), np.float32)
+    share[chunk.told], left[chunk.told] = own[chunk.place], rest[chunk.place]
+    return share, left
 
 
 # -- training and scoring --------------------------------------------------
@@ -411,80 +517,65 @@ def score(docs: DataFrame) -> DataFrame:
     size = text_bytes(docs)
     blocks = min(1 << 16, parts_for(size, PAIR_BYTES, 8))
     rows = written(_chunks(docs, blocks), "lm-chunks")
-    by_word = Window.partitionBy("h").orderBy("chunk").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    first = F.row_number().over(Window.partitionBy("h").orderBy("chunk")) == 1
-    lists = written(rows.filter("h is not null").select(
-        "chunk", "word", "h", "shape", F.sum("n").over(by_word).alias("c"), first.alias("first")), "lm-words")
-    known = lists.filter("first and c > 0")
-    total, distinct = known.agg(F.sum("c"), F.count("*")).first()
-    total, distinct = int(total or 0), int(distinct)
-    top = known.filter(F.col("h") != END).orderBy(F.desc("c"), "h").limit(HEAD).select("h", "c", "shape").collect()
+    totals = written(_totals(rows), "lm-words")
+    by_block = totals.filter("chunk is null")
+    top = by_block.filter(~F.col("h").isin(0, END)).orderBy(F.desc("n"), "h").limit(HEAD).select("h", F.col("n").alias("c"), "shape").collect()
     head = {r["h"] & (1 << 64) - 1: i for i, r in enumerate(top, 1)} | {END: 0}
-    tail = known.filter(~F.col("h").isin([h - (1 << 64) if h >> 63 else h for h in head]))
-    by_shape = tail.groupBy("shape").agg(F.sum("c").alias("n"), F.count_if(F.col("c") == 1).alias("once")).collect()
+    ends = by_block.filter(F.col("h") == END).agg(F.sum("n")).first()[0] or 0
+    by_shape = by_block.filter("h = 0").groupBy("shape").agg(F.sum("n").alias("n"), F.sum("once").alias("once"), F.sum("known").alias("known")).collect()
+    total, distinct = int(ends + sum(r["n"] for r in by_shape)), int((ends > 0) + sum(r["known"] for r in by_shape))
     n, once = np.zeros(SHAPES), np.zeros(SHAPES)
     for r in by_shape:
         n[r["shape"]], once[r["shape"]] = r["n"], r["once"]
+    for r in top:  # these have classes of their own
+        n[r["shape"]] -= r["c"]
+        once[r["shape"]] -= r["c"] == 1
     unseen = np.where(n > 0, (once + 1.0) / (n + 2.0), 1.0)
-    ends = known.filter(F.col("h") == END).agg(F.sum("c")).first()[0] or 0
     mass = np.concatenate([[ends], [r["c"] for r in top], np.zeros(HEAD - len(top)), n])
     bias = np.log((mass + 0.5) / (mass + 0.5).sum())
     parallel = docs.sparkSession.sparkContext.defaultParallelism
     weights = _train(docs, bias, head, parts_for(size, TRAIN_BYTES, 2 * parallel), row_bits(total)) if total else None
-    shapes = [r["shape"] for r in top]
-    found = _followers(rows, pair_key(np.array([r["h"] for r in top], np.int64).view(np.uint64), np.array(shapes, np.int64)))
-    return _scored(rows, lists, found, blocks, ClassModel(bias, weights), head, n, unseen, total, distinct)
+    return _scored(rows, totals.filter("chunk is not null").select("chunk", "block", "c"), blocks, ClassModel(bias, weights), head, n, unseen, total, distinct)
 
 
-def _scored(rows: DataFrame, lists: DataFrame, found: DataFrame, blocks: int, model: ClassModel, head: dict[int, int], n: np.ndarray, unseen: np.ndarray,
+def _scored(rows: DataFrame, totals: DataFrame, blocks: int, model: ClassModel, head: dict[int, int], n: np.ndarray, unseen: np.ndarray,
             total: int, distinct: int) -> DataFrame:
     session = rows.sparkSession
     shared = session.sparkContext.broadcast(model.weights)  # every text meets rows all over the table
     bias, norm = model.bias, total + 0.1 * (distinct + 1)
 
-    def run(docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        net = ClassModel(bias, shared.value)
-        back = words[words["block"] >= 0].sort_values("block")
-        words = words[words["block"] < 0].sort_values("word")
-        h, c = words["h"].to_numpy().view(np.uint64), words["c"].to_numpy().astype(np.float64)
-        s = words["shape"].to_numpy()
-        kind = 1 + HEAD + s
-        for key, number in head.items():
-            kind[h == np.uint64(key)] = number
+    def pairs(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        return _pair_rows(key, Chunk(left, right, head), blocks)
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        net, chunk = ClassModel(bias, shared.value), Chunk(left, right[~right["pair"]], head)
+        share, rest = _told(chunk, right[right["pair"]], blocks)
+        h, c, s, kind, end = chunk.h, chunk.c.astype(np.float64), chunk.shape, chunk.kind, chunk.end
         inside = np.where(c > 0, (1.0 - unseen[s]) * c / np.maximum(n[s], 1.0), unseen[s])
         base = np.log10((c + 0.1) / norm)
-        end = len(h) - 1
-        share, left = (np.concatenate([np.frombuffer(x, np.float32).reshape(2, -1)[k] for x in back["found"]]
-                                      + [np.zeros(0, np.float32)]) for k in (0, 1))
-        pairs = np.unique(np.concatenate([pair_places([np.frombuffer(x, np.uint32) for x in docs["ids"]], end), np.zeros(0, np.uint64)]))
-        order = _split(pairs, np.append(h[:end], np.uint64(BEFORE)), blocks)[0]
-        own, rest = np.empty_like(share), np.empty_like(left)
-        own[order], rest[order] = share, left
-        out = []
-        for a in range(0, len(docs), 256):
-            part = docs.iloc[a:a + 256]
-            coded = [np.frombuffer(x, np.uint32) for x in part["ids"]]
+        at_word, out = np.cumsum(chunk.lengths) - chunk.lengths, []
+        for a in range(0, len(chunk.lengths), 256):
+            lengths = chunk.lengths[a:a + 256]
+            words = slice(at_word[a], at_word[a] + lengths.sum())
+            coded = np.split(chunk.flat[words], np.cumsum(lengths)[:-1])
             flat, at = sequence([h[x] for x in coded])
             place = np.concatenate([y for x in coded for y in (x, [end])]).astype(np.int64)
             chance, is_word = inside[place], place != end
-            pair = np.searchsorted(pairs, pair_places(coded, end))
-            chance[is_word] = own[pair] + rest[pair] * chance[is_word]
+            chance[is_word] = share[words] + rest[words] * chance[is_word]
             chance = np.where(kind[place] > HEAD, np.log10(np.maximum(chance, 1e-300)), 0.0)
             value = net.log10(features(flat, net.bits)[:, at], kind[place]) + chance
-            starts = np.cumsum([0] + [len(x) + 1 for x in coded[:-1]])
+            starts = np.cumsum(lengths + 1) - lengths - 1
             out.append(pd.DataFrame({
-                "doc_id": part["doc_id"].to_numpy(), "held_out": part["held"].to_numpy(), "n_tokens": [len(x) + 1 for x in coded],
-                "n_known": np.add.reduceat((c[place] > 0).astype(np.int64), starts), "train_tokens": total,
+                "doc_id": pd.arrays.IntegerArray(chunk.doc_id[a:a + 256], ~chunk.has_id[a:a + 256]), "held_out": chunk.held[a:a + 256],
+                "n_tokens": lengths + 1, "n_known": np.add.reduceat((c[place] > 0).astype(np.int64), starts), "train_tokens": total,
                 "base_score": np.add.reduceat(base[place], starts), "score": np.add.reduceat(value, starts)}))
-        result = pd.concat(out) if out else pd.DataFrame(columns=_RESULT)
-        result["doc_id"] = result["doc_id"].astype("Float64").astype("Int64") if result["doc_id"].dtype == object else result["doc_id"]
-        return result
-
-    documents = rows.filter("ids is not null").select("chunk", "doc_id", "held", "ids")
-    known = lists.select("chunk", "word", "h", "shape", "c", F.lit(-1).alias("block"), F.lit(None).cast("binary").alias("found")).unionByName(
-        found.select("chunk", F.lit(-1).cast("long").alias("word"), F.lit(0).cast("long").alias("h"), F.lit(0).alias("shape"),
-                     F.lit(0).cast("long").alias("c"), "block", "found"))
-    return documents.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInPandas(
+        return pd.concat(out) if out else pd.DataFrame(columns=_RESULT)
+
+    # Both passes read one shuffle of the chunks.
+    chunks = rows.select("chunk", "docs", "block", "h", "number", "shape").groupBy("chunk")
+    found = _followers(chunks.cogroup(totals.groupBy("chunk")).applyInPandas(pairs, "chunk long, block int, pairs binary"))
+    counts = totals.withColumn("pair", F.lit(False)).unionByName(found.withColumn("pair", F.lit(True)))
+    return chunks.cogroup(counts.groupBy("chunk")).applyInPandas(
         run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 

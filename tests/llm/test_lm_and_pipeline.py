@@ -1,6 +1,7 @@
 """Language model against brute-force counts, and the pipeline's stages."""
 
 import math
+import os
 import random
 import zlib
 from collections import Counter
@@ -177,3 +178,34 @@ def test_model_size():
     other = flat.copy()
     other[at[8] + 2 - 3] += np.uint64(1)  # three back
     assert (LM.features(flat, 20)[3, at[8]] != LM.features(other, 20)[3, at[8]]) and LM.features(flat, 20).max() >= 1 << 16
+
+
+def test_what_is_written_is_smaller_than_the_texts(spark, monkeypatch):
+    """Word numbers and counts are packed; pairs are written nowhere, and
+    those with known shares don't travel."""
+    rng, sizes, real = random.Random(8), [], LM.written
+    texts = [" ".join(f"word{int(rng.paretovariate(0.7)) % 20_000}" for _ in range(400)) for _ in range(300)]
+
+    def written(df, name):
+        out = real(df, name)
+        sizes.append(sum(os.path.getsize(f.removeprefix("file:").replace("///", "/")) for f in out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(LM, "written", written)
+    rows = [(i, t, None, None, *["x"] * 14) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(1)
+    assert rows_of(LM.score(df).collect()) == brute(rows)
+    assert sum(sizes) < 0.25 * sum(map(len, texts))
+
+
+def test_pairs_that_stay_have_known_shares():
+    """A previous word with one training token leaves all to what is known
+    without it, whatever followed it."""
+    before, key = np.array([7 << 20, 9 << 20, 9 << 20], np.uint64), np.array([3 << 5, 3 << 5, 4 << 5], np.uint64)
+    share, left = LM.followers(before, key, np.array([1, 0, 0], np.uint32), np.zeros(0, np.uint64))
+    assert share.tolist() == [0, 0, 0] and left.tolist() == [1, 1, 1]
+    flat, lengths = np.array([0, 1, 2, 1, 0], np.uint32), np.array([3, 0, 2])
+    told, places = LM.pair_places(flat, lengths, np.array([True, False, True, True]), np.array([True, False, False]))
+    assert told.tolist() == [False, True, False, True, False] and places.tolist() == [0 * 4 + 1, 3 * 4 + 1]
+    numbers = np.array([5, 1 << 40, 0], np.uint64), np.array([True, False])
+    assert all((a == b).all() for a, b in zip(LM.unpacked(LM.packed(*numbers), np.uint64, np.bool_), numbers, strict=True))
