@@ -144,6 +144,22 @@ def test_standardized_cross_validation_equals_one_join_a_fold(spark):
     assert {(i, j) for i, j, _ in got} == {(i, j) for i, j, _ in want}
 
 
+def test_a_row_is_a_standardized_reference_once(spark, monkeypatch):
+    """Folds share the cells, though their units differ by far."""
+    rng, seen, real = np.random.default_rng(9), [], KNN.knn_join
+    X, fold = np.stack([rng.normal(0, 50, 600), rng.normal(0, 1, 600)], axis=1), rng.integers(1, 4, 600)
+    X[fold == 2] *= [1, 9]  # the units of its own fold miss these
+    monkeypatch.setattr(KNN, "knn_join", lambda q, r, *a, **kw: seen.append((q.count(), r.count())) or real(q, r, *a, **kw))
+    df = _frame(spark, X, label=rng.integers(0, 2, 600), fold=fold)
+    got = _pairs(KNN.cv_knn_join(df, 5, "id", "label", standardize=True, digits=6, cells=40, block_rows=64))
+    assert seen == [(600, 600)]
+    want = set()
+    for f in (1, 2, 3):
+        Z = (X - X[fold != f].mean(axis=0)) / X[fold != f].std(axis=0, ddof=1)
+        own = np.flatnonzero(fold == f)
+        want |= {(int(own[i]), j) for i, j, _ in _brute(Z[own], Z, 5, 6, skip=lambda _, f=f: fold == f)}
+    assert {(i, j) for i, j, _ in got} == want
+
 def test_knn_models_report_the_best_k(spark):
     rows = _knn_models(spark, SF001, ("KNN5",)).collect()
     assert {(r.variant, r.k) for r in rows} == {("KNN5", k) for k in (25, 35, 45)}
