@@ -120,6 +120,30 @@ def sequence(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 _ONES = np.ones(CLASSES, np.float32)
 
+#: Gradients of one row of the table that are added one after the other, in
+#: the order in which ``reduceat`` adds so few.
+_FEW = 8
+
+
+def row_sums(g: np.ndarray, order: np.ndarray, first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Sums of rows of ``g`` over segments of ``order``, all of them not
+    empty. Most segments are short: these add whole rows of all segments at
+    once, and only long ones are turned to be reduced along memory."""
+    sums = g.take(order[first], axis=0)
+    short = np.flatnonzero((lengths > 1) & (lengths <= _FEW))
+    if len(short):
+        begin, size = first[short], lengths[short]
+        rest = g.take(order[begin + 1], axis=0)
+        for k in range(2, size.max()):
+            own = np.flatnonzero(size > k)
+            rest[own] += g.take(order[begin[own] + k], axis=0)
+        sums[short] += rest
+    long = np.flatnonzero(lengths > _FEW)
+    if len(long):
+        turned = np.ascontiguousarray(g.take(order[np.repeat(lengths > _FEW, lengths)], axis=0).T)
+        sums[long] = np.add.reduceat(turned, np.cumsum(lengths[long]) - lengths[long], axis=1).T
+    return sums
+
 
 class ClassModel:
     """Softmax over the classes; ``2^bits x 64`` weights."""
@@ -130,9 +154,10 @@ class ClassModel:
         self.bits = len(self.weights).bit_length() - 1
 
     def _chances(self, rows: np.ndarray) -> np.ndarray:
-        z = self.weights[rows[0]]
+        z = self.weights.take(rows[0], axis=0)
+        more = np.empty_like(z)
         for k in range(1, TEMPLATES):
-            z += self.weights[rows[k]]
+            z += self.weights.take(rows[k], axis=0, out=more, mode="clip")
         z += self.bias
         np.clip(z, -60.0, 60.0, out=z)
         np.exp(z, out=z)
@@ -155,12 +180,16 @@ class ClassModel:
             for k in range(TEMPLATES):
                 order = np.argsort(part[k], kind="stable")  # radix sort of 16-bit rows
                 row = part[k][order]
-                first = np.flatnonzero(np.diff(row.astype(np.int64), prepend=-1))
-                sums, row = np.add.reduceat(np.ascontiguousarray(g[order].T), first, axis=1).T, row[first]
-                total = squares[row] + sums * sums
+                first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+                lengths, row = np.diff(first, append=len(order)), row[first]
+                sums = row_sums(g, order, first, lengths)
+                total = squares.take(row, axis=0)
+                total += sums * sums
                 squares[row] = total
-                self.weights[row] -= RATE * sums / np.sqrt(total)
-                met[row] += np.diff(first, append=len(order))
+                sums *= RATE
+                sums /= np.sqrt(total, out=total)
+                self.weights[row] -= sums
+                met[row] += lengths
 
 
 class Numbers(dict):

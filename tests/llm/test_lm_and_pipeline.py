@@ -209,3 +209,15 @@ def test_pairs_that_stay_have_known_shares():
     assert told.tolist() == [False, True, False, True, False] and places.tolist() == [0 * 4 + 1, 3 * 4 + 1]
     numbers = np.array([5, 1 << 40, 0], np.uint64), np.array([True, False])
     assert all((a == b).all() for a, b in zip(LM.unpacked(LM.packed(*numbers), np.uint64, np.bool_), numbers, strict=True))
+
+
+def test_row_sums_add_as_one_reduction_does():
+    """The training step's sums by row of the table, to the last bit."""
+    rng = np.random.default_rng(8)
+    for rows in (1, 3, 700, 5000):
+        row = np.minimum(rng.integers(0, rows, 4096), rng.integers(0, rows, 4096)).astype(np.uint16)
+        g = rng.normal(size=(len(row), LM.CLASSES)).astype(np.float32)
+        order = np.argsort(row, kind="stable")
+        first = np.flatnonzero(np.diff(row[order].astype(np.int64), prepend=-1))
+        plain = np.add.reduceat(np.ascontiguousarray(g[order].T), first, axis=1).T
+        assert np.array_equal(LM.row_sums(g, order, first, np.diff(first, append=len(order))), plain)
