@@ -17,10 +17,11 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import DenseVector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,10 +107,63 @@ def rf_estimator(n_predictors: int, num_trees: int = 500, max_depth: int = 10,
     return rf
 
 
-def fit_rf(train: DataFrame, cols: Sequence[str], label: str = R.LABEL, **kw) -> Fitted:
+#: Rows x trees up to which a forest is one fit, the trees that a larger
+#: one fits together, and the rows up to which two such fits run at once.
+_FIT_WORK, _TREES_TOGETHER, _ROWS_TWICE = 1 << 24, 10, 1 << 24
+
+
+class Forests(Transformer):
+    """Forests grown on the same rows as one: class chances and importances
+    are the means over all trees, as within a forest."""
+
+    def __init__(self, members: Sequence):
+        super().__init__()
+        self.members = list(members)
+        trees = [m.getNumTrees for m in self.members]
+        self.shares = [t / sum(trees) for t in trees]
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        cur, own = dataset, [f"__forest{i}" for i in range(len(self.members))]
+        for m, c in zip(self.members, own, strict=True):
+            cur = m.transform(cur).withColumn(c, vector_to_array("probability")).drop("rawPrediction", "probability", "prediction")
+        mean = [sum(F.col(c)[k] * s for c, s in zip(own, self.shares, strict=True)) for k in range(self.members[0].numClasses)]
+        return cur.withColumn("probability", array_to_vector(F.array(*mean))).drop(*own)
+
+    @property
+    def featureImportances(self) -> DenseVector:
+        imp = sum(m.featureImportances.toArray() * s for m, s in zip(self.members, self.shares, strict=True))
+        return DenseVector(imp / (imp.sum() or 1.0))
+
+
+def _grow_in_groups(num: DataFrame, stages: list, n_predictors: int, rows: int, num_trees: int,
+                    seed: int, **rf_kw) -> PipelineModel:
+    """A forest of many rows, few trees at a time. All trees together keep
+    a weight for each tree with every row, and statistics of all nodes of a
+    level in every task: 100 trees ask for some 500 bytes a row and 150 MB a
+    task, which no processor cache and, at tens of millions of rows, no memory
+    holds. Rows are assembled and written once for all groups; rows keep the
+    node that they reached, instead of walking down every tree at each level."""
+    prepared = Pipeline(stages=stages).fit(num)
+    features = spread(prepared.transform(num).select("label", "features"))
+    sizes = [len(range(i, num_trees, -(-num_trees // _TREES_TOGETHER))) for i in range(-(-num_trees // _TREES_TOGETHER))]
+
+    def grow(i: int):
+        rf = rf_estimator(n_predictors, num_trees=sizes[i], seed=seed + 1_000_003 * i, **rf_kw)  # seeds of partitions are neighbours
+        return rf.setCacheNodeIds(True).setCheckpointInterval(-1).fit(features)
+
+    with ThreadPoolExecutor(max_workers=2 if rows <= _ROWS_TWICE else 1) as pool:
+        return PipelineModel(stages=[*prepared.stages, Forests(list(pool.map(grow, range(len(sizes)))))])
+
+
+def fit_rf(train: DataFrame, cols: Sequence[str], label: str = R.LABEL, num_trees: int = 500,
+           seed: int = 1, **kw) -> Fitted:
     num, text = numeric_view(train, cols, label)
-    rf = rf_estimator(len(cols), **kw)
-    return Fitted(Pipeline(stages=_stages(cols, text) + [rf]).fit(num), list(cols), label)
+    stages = _stages(cols, text)
+    rows = num.count() if num_trees > 2 * _TREES_TOGETHER and kw.get("bootstrap", True) and not kw.get("weight_col") else 0
+    if rows * num_trees > _FIT_WORK:
+        return Fitted(_grow_in_groups(num, stages, len(cols), rows, num_trees, seed, **kw), list(cols), label)
+    rf = rf_estimator(len(cols), num_trees=num_trees, seed=seed, **kw)
+    return Fitted(Pipeline(stages=stages + [rf]).fit(num), list(cols), label)
 
 
 def rf_importance(spark: SparkSession, fitted: Fitted) -> DataFrame:

@@ -44,3 +44,26 @@ def test_tuning_deals_a_fold_over_the_cores(spark, monkeypatch):
     rows = tune.tune_grid(spark, train_dev(spark, SF001)[0], grid, folds=2, num_trees=2, max_depth=2).collect()
     assert seen == [5] * 4
     assert {(r.tune_mtry, r.k) for r in rows} == {(m, k) for m in (2, 4) for k in (1, 2)} and all(0 <= r.auc_roc <= 1 for r in rows)
+
+
+def test_a_large_forest_grows_in_groups_of_trees(spark, monkeypatch):
+    """Its rows would else keep a weight for each of its trees, its tasks
+    the statistics of all trees' nodes."""
+    rows = _rows(spark, 3000).select("*", (F.col("appointment_id") % 2).alias("z"))
+    rows = rows.withColumn("no_show", F.col("x") + F.col("z") > 3)
+    grown = []
+    plain = MOD.rf_estimator
+    monkeypatch.setattr(MOD, "rf_estimator", lambda p, num_trees, **kw: grown.append(num_trees) or plain(p, num_trees=num_trees, **kw))
+    one = MOD.fit_rf(rows, ["x", "z"], num_trees=24, max_depth=4, mtry=2)
+    monkeypatch.setattr(MOD, "_FIT_WORK", 1000)
+    many = MOD.fit_rf(rows, ["x", "z"], num_trees=24, max_depth=4, mtry=2)
+    assert grown[0] == 24 and sum(grown[1:]) == 24 and max(grown[1:]) <= MOD._TREES_TOGETHER
+    members = many.last.members
+    assert sum(m.getNumTrees for m in members) == 24 and len({tuple(t.toDebugString for t in m.trees) for m in members}) == len(members)
+    got, want = ({r.appointment_id: r.prob for r in m.score(rows).collect()} for m in (many, one))
+    assert len(got) == 3000 and max(abs(got[i] - want[i]) for i in got) < 0.1
+    assert many.score(rows).columns == one.score(rows).columns
+    assert abs(sum(many.last.featureImportances.toArray()) - 1) < 1e-9
+    assert {r.feature for r in MOD.rf_importance(spark, many).collect()} == {"x", "z"}
+    balanced = MOD.Bagged([many, one])
+    assert balanced.score(rows).select("prob").dropna().count() == 3000
