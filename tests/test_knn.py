@@ -73,6 +73,40 @@ def test_a_query_travels_once_to_a_region(spark, monkeypatch):
     assert rows <= 8 * len(X) and cells > 20 * len(X)
 
 
+def test_lists_hold_the_pairs_and_vote_alike(spark):
+    """One row for each query, whose region is done or not; ties, a vector
+    with a null, an unknown label, an id that comes twice."""
+    rng = np.random.default_rng(11)
+    X, label, fold = np.round(rng.normal(0, 3, (900, 3)), 1), rng.integers(0, 2, 900), rng.integers(1, 4, 900)
+    rows = [(i, [float(x) for x in v], int(y), int(f)) for i, (v, y, f) in enumerate(zip(X, label, fold, strict=True))]
+    rows[5] = (5, [1.0, None, 0.0], 1, 1)
+    rows[6] = (6, rows[6][1], None, rows[6][3])
+    df = spark.createDataFrame(rows + [rows[7]], "id long, v array<double>, label int, fold int")
+    how = dict(label="label", group="fold", block_rows=100)
+    lists, pairs = (KNN.knn_join(df, df, 6, lists=x, **how).cache() for x in (True, False))
+    got = {(r.query_id, j, d) for r in lists.collect() for j, d in zip(r.neighbour_ids, r.distances, strict=True)}
+    assert got == _pairs(pairs) and lists.count() == lists.select("query_id").distinct().count()
+    want = _brute(np.vstack([X, X[7]]), np.vstack([X, X[7]]), 6,
+                  skip=lambda i: (np.append(fold, fold[7]) == np.append(fold, fold[7])[i]) | (np.arange(901) == 5))
+    ids = {(i, 7 if j == 900 else j, d) for i, j, d in want if i not in (5, 7, 900)}
+    assert {x for x in got if x[0] not in (5, 7)} == ids and not any(x[0] == 5 for x in got)
+    for vote in (lambda nb: KNN.knn_probs_for_ks(nb, (2, 4, 6)), KNN.knn_vote_share):
+        a, b = (sorted(tuple(r) for r in vote(nb).collect()) for nb in (lists, pairs))
+        assert [x[:-1] for x in a] == [x[:-1] for x in b]
+        np.testing.assert_allclose([x[-1] for x in a], [x[-1] for x in b])
+
+
+def test_cells_stay_small_as_references_grow(spark, monkeypatch):
+    """Over more references a query is compared with about as many."""
+    monkeypatch.setattr(KNN, "CELL_ROWS", 32)
+    X, seen = np.random.default_rng(12).uniform(0, 1, (16000, 2)), [{}, {}]
+    for n, s in zip((4000, 16000), seen, strict=True):
+        df = _frame(spark, X[:n])
+        got = KNN.knn_join(df, df, 5, exclude_self=True, block_rows=1000, observe=s, lists=True)
+        assert got.count() == n
+    assert seen[1]["pairs"] / 16000 < 1.3 * seen[0]["pairs"] / 4000
+
+
 @pytest.mark.parametrize("n", [1, 3])
 def test_fewer_references_than_neighbours(spark, n):
     X = np.arange(2.0 * n).reshape(n, 2)
