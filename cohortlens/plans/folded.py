@@ -93,10 +93,30 @@ class FoldedPlan:
             out = self._joined(out, table, held).withColumn(name, F.coalesce(F.col("__own")["n"].cast("double"), F.lit(0.0))).drop("__own")
         return self.plain.after(out)
 
+    def transform_each(self, df: DataFrame, folds: Sequence[int]) -> DataFrame:
+        """``transform`` for several left-out folds at once, from one join:
+        every encoder's column is an array with an entry for each of them."""
+        each = lambda total, by_fold: F.array(*[_without(total, by_fold, F.lit(k).cast("int")) for k in folds])
+        all_rows = self.base.select(F.struct(F.struct(*_SUMS).alias("t"), "by_fold").alias("s")).scalar()
+        out = self.plain.before(df).withColumn("__base", each(all_rows["t"], all_rows["by_fold"]))
+        tables = [(self.group, self.group_bias), (self.entity, self.entity_bias), *[(t, {c: None}) for c, t in self.counts.items()]]
+        for table, columns in tables:
+            if table is not None:
+                out = natural_left_join(out, self._packed(table), null_safe=False).withColumn("__own", each(F.col("__t"), F.col("__f"))).drop("__t", "__f")
+                for name, threshold in columns.items():
+                    bias = lambda own, base: F.when(own["n"] > threshold, own["p"] / own["m"] - base["p"] / base["m"])  # noqa: B023, E731
+                    value = (lambda own, base: own["n"].cast("double")) if threshold is None else bias
+                    out = out.withColumn(name, F.transform(F.zip_with("__own", "__base", value), lambda x: F.coalesce(x, F.lit(0.0))))
+                out = out.drop("__own")
+        return self.plain.after(out.drop("__base"))
+
+    @staticmethod
+    def _packed(table: DataFrame) -> DataFrame:
+        return table.withColumns({"__t": F.struct(*_SUMS), "__f": F.col("by_fold")}).drop(*_SUMS, "by_fold")
+
     @staticmethod
     def _joined(df: DataFrame, table: DataFrame, held: Column) -> DataFrame:
-        packed = table.withColumns({"__t": F.struct(*_SUMS), "__f": F.col("by_fold")}).drop(*_SUMS, "by_fold")
-        out = natural_left_join(df, packed, null_safe=False)
+        out = natural_left_join(df, FoldedPlan._packed(table), null_safe=False)
         return out.withColumn("__own", _without(F.col("__t"), F.col("__f"), held)).drop("__t", "__f")
 
 
