@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.functions import days_between, epoch_seconds, rounded, sms_status
+from cohortlens.operators import forest
 from cohortlens.operators import roles as R
 from cohortlens.operators.contrasts import Contrasts, contrast_name
 from cohortlens.operators.metrics import roc_auc
@@ -100,7 +101,8 @@ def _bags(train: DataFrame, name: str, n_bags: int, n_per_class: int, seed: int)
     """A weight for each bag: bootstrap multiplicities, or membership in
     class-balanced samples."""
     if name == "RF10":
-        return [balanced_flag(train, n_per_class, seed=seed * 1000 + b).cast("double") for b in range(n_bags)]
+        with ThreadPoolExecutor(max_workers=4) as pool:  # each finds its cuts by small jobs
+            return list(pool.map(lambda b: balanced_flag(train, n_per_class, seed=seed * 1000 + b).cast("double"), range(n_bags)))
     return [poisson1_weight(R.ROW_ID, seed * 1000 + b) for b in range(n_bags)]
 
 
@@ -126,7 +128,8 @@ def model_sweep(spark: SparkSession, train: DataFrame, dev: DataFrame, variants:
     logistic regression (no out-of-bag score); ``RF10`` draws its bags as
     class-balanced samples. Fits are independent and submitted together,
     ``parallel_fits`` at most; the weights of all bags are written with the
-    rows once."""
+    rows once. Where rows x trees of all fits exceed ``JOINT_WORK``, the
+    forests of all variants are grown and scored together (``operators.forest``)."""
     columns = superset_columns(variants)
     vector = VectorAssembler(inputCols=columns, outputCol="all", handleInvalid="error")
     kinds = list(dict.fromkeys("RF10" if v == "RF10" else "bootstrap" for v in variants if v != "GLM"))
@@ -134,7 +137,9 @@ def model_sweep(spark: SparkSession, train: DataFrame, dev: DataFrame, variants:
     rows = [vector.transform(x).select(R.ROW_ID, R.LABEL, F.col(R.LABEL).cast("double").alias("label"), "all")
             for x in superset(train, train, dev, variants=variants)]
     tr, dv = spread(rows[0].select("*", *bags)), materialize(rows[1])
-    at_once = min(max(1, parallel_fits), fits_at_once(tr.count()))
+    n_rows, forests = tr.count(), [v for v in variants if v != "GLM"]
+    at_once = min(max(1, parallel_fits), fits_at_once(n_rows))
+    together = n_rows * num_trees * len(forests) > forest.JOINT_WORK
 
     def one(name: str) -> tuple:
         slicer = VectorSlicer(inputCol="all", outputCol="features", indices=[columns.index(c) for _, c in variant_predictors(name)])
@@ -158,5 +163,28 @@ def model_sweep(spark: SparkSession, train: DataFrame, dev: DataFrame, variants:
 
     # A second variant's fits fill the cores while one is scored.
     with ThreadPoolExecutor(max_workers=at_once) as fits, ThreadPoolExecutor(max_workers=2) as pool:
-        rows = list(pool.map(one, variants))
+        each = [pool.submit(one, v) for v in variants if not (together and v in forests)]
+        joint = _forests_together(tr, dv, n_rows, forests, kinds, columns, num_trees, n_bags, max_depth, seed) if together else {}
+        alone = iter(each)
+        rows = [joint[v] if v in joint else next(alone).result() for v in variants]
     return spark.createDataFrame(rows, "variant string, n_predictors int, oob_auc double, dev_auc double")
+
+
+def _forests_together(tr: DataFrame, dv: DataFrame, n_rows: int, variants: Sequence[str], kinds: Sequence[str], columns: list[str],
+                      num_trees: int, n_bags: int, max_depth: int, seed: int) -> dict[str, tuple]:
+    """The rows of ``model_sweep`` for forest variants."""
+    vec = vector_to_array("all")
+    learnt = tr.withColumn("fold", F.lit(0)).repartition(forest.partitions(tr.sparkSession, n_rows))
+    X, _ = forest.sampled(learnt, vec, R.ROW_ID, n_rows, seed)
+    bins = [(i, forest.thresholds(x)) for i, x in enumerate(X.T)]
+    train = forest.pack(learnt.withColumn("__bags", F.concat(*[f"__{kind}" for kind in kinds])), vec, "label", bins, "__bags")
+    dev = forest.pack(dv.withColumn("fold", F.lit(1)), vec, "label", bins)
+    trees, specs = -(-num_trees // n_bags), []
+    for name in variants:
+        own = [columns.index(c) for _, c in variant_predictors(name)]
+        first = kinds.index("RF10" if name == "RF10" else "bootstrap") * n_bags
+        specs.append(forest.Spec(own, mtry_default(len(own)), [first + b for b in range(n_bags) for _ in range(trees)], 1, seed))
+    grown = forest.grow(train, specs, max_depth)
+    oob, ahead = ({r["forest"]: r["auc"] for r in roc_auc(s, "prob", "label", ["forest"]).collect()}  # a row a variant
+                  for s in (forest.score(train, grown, out_of_bag=True), forest.score(dev, grown)))
+    return {v: (v, len(s.columns), oob.get(i), ahead.get(i)) for i, (v, s) in enumerate(zip(variants, specs, strict=True))}

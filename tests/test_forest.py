@@ -124,3 +124,12 @@ def test_tuning_grows_all_forests_together(spark, monkeypatch):
         assert {(r.tune_mtry, r.lambda_nbh, r.k) for r in rows} == {(m, x, k) for m in (2, 4) for x in (2, 50) for k in (1, 2, 3)}
         assert len(rows) == 12 and all(0.3 <= r.auc_roc <= 0.9 for r in rows)
     assert sum(sizes) == 4 * train.count()  # every row is scored once for each of the grid
+
+
+def test_the_sweep_grows_all_forests_together(spark, monkeypatch):
+    monkeypatch.setattr(FO, "JOINT_WORK", 0)
+    monkeypatch.setattr(sweep, "rf_estimator", None)
+    train, dev = train_dev(spark, SF001)
+    rows = sweep.model_sweep(spark, train, dev, ["GLM", "RF2", "RF10"], num_trees=8, n_bags=4, max_depth=3, n_per_class=100).collect()
+    assert [r.variant for r in rows] == ["GLM", "RF2", "RF10"] and [r.n_predictors for r in rows] == [11, 10, 18]
+    assert rows[0].oob_auc is None and all(0 <= r.oob_auc <= 1 for r in rows[1:]) and all(0 <= r.dev_auc <= 1 for r in rows)
