@@ -200,3 +200,48 @@ def test_knn_models_report_the_best_k(spark):
     best = [r for r in rows if r.best]
     assert len(best) == 1 and best[0].cv_auc == max(r.cv_auc for r in rows) and 0 <= best[0].dev_auc <= 1
     assert all(r.dev_auc is None for r in rows if not r.best)
+
+
+def _rounds(monkeypatch):
+    """Every query travels in rounds of few references."""
+    real, sent = KNN._meet, []
+    monkeypatch.setattr(KNN, "TRAVEL_BYTES", 0)
+    monkeypatch.setattr(KNN, "ROUND_BYTES", 1 << 14)
+    monkeypatch.setattr(KNN, "_TOGETHER", 100)
+    monkeypatch.setattr(KNN, "_meet", lambda qv, *a: sent.append(qv.count()) or real(qv, *a))
+    return sent
+
+
+@pytest.mark.parametrize("kind", ["double", "float"])
+def test_a_query_is_not_copied_for_each_region(spark, monkeypatch, kind):
+    """Without structure each query visits every region: references then go
+    around in bounded rounds, and a query is shuffled once."""
+    X, sent = np.random.default_rng(21).normal(0, 1, (1200, 12)).astype(np.float32).astype(float), _rounds(monkeypatch)
+    X[300:340] = np.round(X[300:340])  # ties
+    X[340:360] = X[340]
+    df, seen = _frame(spark, X).withColumn("v", F.col("v").cast(f"array<{kind}>")), {}
+    got = _pairs(KNN.knn_join(df, df, 3, exclude_self=True, block_rows=100, observe=seen))
+    assert got == _brute(X, X, 3, skip=lambda i: np.arange(len(X)) == i)
+    assert sent == [len(X)] and len(X) ** 2 * 0.8 < seen["pairs"] <= len(X) ** 2 * 1.1
+
+
+def test_rounds_with_folds_units_repeated_ids_and_large_cells(spark, monkeypatch):
+    rng, sent = np.random.default_rng(22), _rounds(monkeypatch)
+    X, fold = np.stack([rng.normal(0, 2, 500), *rng.normal(0, 1, (7, 500))], axis=1), rng.integers(1, 4, 500)
+    X[:100] = X[0]
+    monkeypatch.setattr(KNN, "ROUND_BYTES", 1 << 12)  # the cell of these is more than a round
+    df = _frame(spark, X, label=rng.integers(0, 2, 500), fold=fold)
+    for standardize in (False, True):
+        got = _pairs(KNN.cv_knn_join(df, 4, "id", "label", standardize=standardize, digits=6, cells=12, block_rows=40))
+        want = set()
+        for f in (1, 2, 3):
+            rest, own = X[fold != f], np.flatnonzero(fold == f)
+            Z = (X - rest.mean(axis=0)) / rest.std(axis=0, ddof=1) if standardize else X
+            want |= {(int(own[i]), j) for i, j, _ in _brute(Z[own], Z, 4, 6, skip=lambda _, f=f: fold == f)}
+        assert {(i, j) for i, j, _ in got} == want
+    assert sent == [sent[0], sent[1]] and max(sent) < 800  # no copies for regions
+    twice = df.filter("id < 3 or id >= 490").unionByName(df.filter("id >= 490").withColumn("v", F.transform("v", lambda x: x + 1)))
+    with monkeypatch.context() as m:
+        m.setattr(KNN, "TRAVEL_BYTES", 1 << 40)
+        want = sorted(map(tuple, KNN.knn_join(twice, df, 4, label="label", cells=12, block_rows=40).collect()))
+    assert sorted(map(tuple, KNN.knn_join(twice, df, 4, label="label", cells=12, block_rows=40).collect())) == want
