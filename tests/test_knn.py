@@ -245,3 +245,35 @@ def test_rounds_with_folds_units_repeated_ids_and_large_cells(spark, monkeypatch
         m.setattr(KNN, "TRAVEL_BYTES", 1 << 40)
         want = sorted(map(tuple, KNN.knn_join(twice, df, 4, label="label", cells=12, block_rows=40).collect()))
     assert sorted(map(tuple, KNN.knn_join(twice, df, 4, label="label", cells=12, block_rows=40).collect())) == want
+
+
+@pytest.mark.parametrize("rounds", [False, True])
+def test_votes_without_lists(spark, monkeypatch, rounds):
+    """The same as from the lists, ties and unknown labels included."""
+    rng = np.random.default_rng(23)
+    X, label, fold = np.round(rng.normal(0, 3, (800, 4)), 1), rng.integers(0, 2, 800), rng.integers(1, 4, 800)
+    rows = [(i, [float(x) for x in v], None if i % 9 == 0 else int(y), int(f)) for i, (v, y, f) in enumerate(zip(X, label, fold, strict=True))]
+    df = spark.createDataFrame(rows + [rows[7]], "id long, v array<double>, label int, fold int")
+    how = dict(label="label", group="fold", block_rows=100)
+    want = KNN.knn_probs_for_ks(KNN.knn_join(df, df, 6, lists=True, **how), (1, 4, 6)).collect()
+    if rounds:
+        _rounds(monkeypatch)
+    votes = KNN.knn_join(df, df, 6, ks=(1, 4, 6), **how)
+    assert [c for c, _ in votes.dtypes] == ["query_id", "k", "prob"]
+    assert sorted(map(tuple, votes.collect()), key=str) == sorted(map(tuple, want), key=str)
+    none = KNN.knn_join(df, df.withColumn("label", F.lit(None).cast("int")), 6, ks=(2,), label="label").collect()
+    assert len(none) == 800 and all(r.prob is None for r in none)
+
+
+def test_what_a_variant_wrote_is_removed(spark, tmp_path, monkeypatch):
+    from cohortlens import session
+    monkeypatch.setattr(session, "checkpoint_dir", lambda spark: spark.sparkContext.setCheckpointDir(str(tmp_path)) or str(tmp_path))
+    assert _knn_models(spark, SF001, ("KNN5",)).count() == 3
+    assert [p for p in tmp_path.rglob("*") if p.is_file()] == []
+    df = session.materialize(spark.range(10))
+    with session.scratch(spark):
+        inner = session.materialize(df.filter("id > 3"))
+        assert inner.count() == 6 and list(tmp_path.glob("rows-*"))
+    assert df.count() == 10 and not list(tmp_path.glob("rows-*"))
+    session.discard(df)
+    assert [p for p in tmp_path.rglob("part-*")] == []
