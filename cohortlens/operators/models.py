@@ -29,7 +29,7 @@ from cohortlens.functions import epoch_seconds, hash_key
 from cohortlens.operators import roles as R
 from cohortlens.operators.contrasts import Contrasts, fit_contrasts
 from cohortlens.operators.split import balanced_sample
-from cohortlens.session import fits_at_once, spread
+from cohortlens.session import fits_at_once, materialize, spread
 
 
 def numeric_view(df: DataFrame, cols: Sequence[str], label: str = R.LABEL) -> tuple[DataFrame, list[str]]:
@@ -249,7 +249,8 @@ def oob_scores(train: DataFrame, cols: Sequence[str], label: str = R.LABEL,
     present = F.filter(probs, lambda x: x.isNotNull())
     oob = F.when(F.size(present) > 0,
                  F.aggregate(present, F.lit(0.0), lambda a, x: a + x) / F.size(present))
-    return cur.select(id_col, "label", oob.alias("oob_score"))
+    # Written: a filter on the score would be planned over all bags' models again.
+    return materialize(cur.select(id_col, "label", oob.alias("oob_score")))
 
 
 def _chain(df: DataFrame, model: PipelineModel, out: str, keep: Sequence[str] = ()) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from cohortlens.functions import hash_key
 from cohortlens.operators import roles as R
 from cohortlens.operators.ordering import order_statistics, rank_cuts
-from cohortlens.session import materialize, spread
+from cohortlens.session import dealt, materialize
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -83,7 +83,7 @@ def three_way_split(df: DataFrame, p_test: float = 0.1, p_dev: float = 0.1, seed
     """``split`` in {test, dev, train}: a stratified test holdout, then a
     stratified dev holdout of the remaining rows with a key of its own.
     Both rules come from one narrow copy of the ids, over all cores."""
-    rows = spread(df.select(*dict.fromkeys((id_col, y))))
+    rows = dealt(materialize(df.select(*dict.fromkeys((id_col, y)))))
     _, test = _holdout_rule(rows, p_test, seed, y, id_col, "test")
     _, dev = _holdout_rule(rows.filter(~test), p_dev, seed, y, id_col, "dev")
     return df.withColumn("split", F.when(test, "test").when(dev, "dev").otherwise("train"))

@@ -137,7 +137,12 @@ def spread(df):
     """``materialize``, dealt over enough partitions for all cores. A scan
     gives a small file to few tasks, and AQE merges small shuffles; a model
     fitted on their output would run on as few cores."""
-    df = materialize(df)
+    return dealt(materialize(df))
+
+
+def dealt(df):
+    """``df``, a result of ``materialize``, over enough partitions for all
+    cores: itself, or a copy in its place."""
     wanted = wanted_partitions(df.sparkSession, df.count())
     if df.rdd.getNumPartitions() >= wanted:
         return df
